@@ -46,11 +46,11 @@ def max_digit_run(text: Column | str) -> Column:
 
 
 def parse_dir_date(text: Column | str) -> Column:
-    return F.try_to_date(_col(text), F.lit(DATE_DIR_FORMAT))
+    return F.try_to_date(_col(text), DATE_DIR_FORMAT)
 
 
 def parse_column_date(text: Column | str) -> Column:
-    return F.try_to_date(_col(text), F.lit(DATE_COLUMN_FORMAT))
+    return F.try_to_date(_col(text), DATE_COLUMN_FORMAT)
 
 
 def parse_stamp(text: Column | str) -> Column:
@@ -76,7 +76,7 @@ def log_fields(line: Column | str) -> list[Column]:
     ok = ln.rlike(LOG_LINE_PATTERN)
     out = []
     for i, name in enumerate(LOG_FIELDS, start=1):
-        v = F.regexp_extract(ln, F.lit(LOG_LINE_PATTERN), i)
+        v = F.regexp_extract(ln, LOG_LINE_PATTERN, i)
         if name == "line":
             v = v.try_cast("bigint")
         out.append(F.when(ok, v).alias(name))

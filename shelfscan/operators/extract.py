@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf, udtf
 
 from .. import specs
@@ -66,7 +67,7 @@ def read_tiles(html: str | None, layout: specs.TileLayout):
 
 
 def tile_schema(layout: specs.TileLayout) -> str:
-    cols = ["tile_pos int"] + [f"{p.name} string" for p in layout.picks]
+    cols = ["tile_pos bigint"] + [f"{p.name} string" for p in layout.picks]
     for it in layout.items:
         inner = ",".join(f"{a}:string" for a in it.attrs)
         cols.append(f"{it.name} array<struct<{inner}>>")
@@ -110,8 +111,13 @@ def _nutrition(html):
             second_p(specs.NUTRITION_UOM), rows if table is not None else None, desc)
 
 
-NUTRITION_SCHEMA = ("reference_intake string, serving_size string, uom string, "
-                    "nutrient_cells array<array<string>>, description map<string,string>")
+NUTRITION_SCHEMA = T.StructType([
+    T.StructField("reference_intake", T.StringType()),
+    T.StructField("serving_size", T.StringType()),
+    T.StructField("uom", T.StringType()),
+    T.StructField("nutrient_cells", T.ArrayType(T.ArrayType(T.StringType()))),
+    T.StructField("description", T.MapType(T.StringType(), T.StringType())),
+])
 
 
 class _Nutrition:
@@ -122,7 +128,7 @@ class _Nutrition:
 _NUTRITION_UDTF = udtf(_Nutrition, returnType=NUTRITION_SCHEMA, useArrow=True)
 
 
-@pandas_udf("string")
+@pandas_udf(T.StringType())
 def counter_text(html):
     """Text of the result-counter node (exact class string), NULL if absent."""
     st = specs.RESULT_COUNTER
@@ -133,7 +139,7 @@ def counter_text(html):
     return html.map(one)
 
 
-@pandas_udf("array<string>")
+@pandas_udf(T.ArrayType(T.StringType()))
 def pager_pages(html):
     """``data-page`` of every pager node in document order (empty if none)."""
     st = specs.PAGER_NODE
@@ -143,7 +149,8 @@ def pager_pages(html):
     return html.map(one)
 
 
-@pandas_udf("struct<first_href:string,n_links:bigint>")
+@pandas_udf(T.StructType([T.StructField("first_href", T.StringType()),
+                          T.StructField("n_links", T.LongType())]))
 def link_facts(html):
     """First ``<a href>`` in document order and the number of such links."""
     import pandas as pd

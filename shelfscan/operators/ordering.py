@@ -46,15 +46,18 @@ def with_row_index(df: DataFrame, order_by: list[Column | str],
     if not groups:
         # n rows at most: one per task.
         w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stats.select("_pid", *groups, "_first",
+    # Offsets carry renamed keys so the join back is unambiguous.
+    ren = {g: f"_k{i}" for i, g in enumerate(groups)}
+    offsets = stats.select(F.col("_pid").alias("_opid"),
+                           *[F.col(g).alias(ren[g]) for g in groups], "_first",
                            F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
     if not groups:
         offsets = F.broadcast(offsets)  # size bounded by the partition count
-    cond = [ranged["_pid"] == offsets["_pid"]] + [
-        ranged[g].eqNullSafe(offsets[g]) for g in groups]
+    cond = [F.col("_pid") == F.col("_opid")] + [
+        F.col(g).eqNullSafe(F.col(ren[g])) for g in groups]
     joined = ranged.join(offsets, on=cond, how="inner")
-    out_cols = [ranged[c] for c in df.columns]
-    idx = (offsets["_before"] + ranged["_lpos"] - offsets["_first"]).cast("bigint").alias(name)
+    out_cols = [F.col(f"`{c}`") for c in df.columns]
+    idx = (F.col("_before") + F.col("_lpos") - F.col("_first")).cast("bigint").alias(name)
     return joined.select(*out_cols, idx)
 
 
