@@ -1,10 +1,11 @@
 """Landed pages → rows.
 
-One Arrow-enabled Python UDTF per tile layout walks the markup of a page and
-yields one row per tile with *string* fields; everything after that (JSON
-decoding, number parsing, ids from URLs, defaults) is a native projection, so
-Catalyst sees and prunes it.  Pages are independent, so the work is spread by
-the scan's own splits; nothing is gathered per category or per source.
+A per-page Python walk (``mapInArrow``: Arrow batches in and out) reads the
+markup of each page and yields one row per tile with *string* fields;
+everything after that (JSON decoding, number parsing, ids from URLs,
+defaults) is a native projection, so Catalyst sees and prunes it.  Pages are
+independent, so the work is spread over tasks by page; nothing is gathered per
+category or per source.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.functions import pandas_udf, udtf
+from pyspark.sql.functions import pandas_udf
 
 from .. import specs
 from ..functions import html as dom
@@ -20,7 +21,7 @@ from ..functions.price import parse_price, strip_text, to_number
 from ..functions.text import json_fields, max_digit_run, url_key
 
 # --------------------------------------------------------------------------
-# Python side: small, per-page helpers executed inside the UDTF.
+# Python side: small, per-page helpers executed inside the tasks.
 
 
 def _follow(node, path):
@@ -66,25 +67,18 @@ def read_tiles(html: str | None, layout: specs.TileLayout):
         yield tuple(row)
 
 
-def tile_schema(layout: specs.TileLayout) -> str:
-    cols = ["tile_pos bigint"] + [f"{p.name} string" for p in layout.picks]
+def tile_fields(layout: specs.TileLayout) -> list[T.StructField]:
+    f = [T.StructField("tile_pos", T.LongType())]
+    f += [T.StructField(p.name, T.StringType()) for p in layout.picks]
     for it in layout.items:
-        inner = ",".join(f"{a}:string" for a in it.attrs)
-        cols.append(f"{it.name} array<struct<{inner}>>")
-    cols.append("parse_error string")
-    return ", ".join(cols)
+        inner = T.StructType([T.StructField(a, T.StringType()) for a in it.attrs])
+        f.append(T.StructField(it.name, T.ArrayType(inner)))
+    f.append(T.StructField("parse_error", T.StringType()))
+    return f
 
 
-def _tile_udtf(layout: specs.TileLayout):
-    class Tiles:
-        def eval(self, html):
-            yield from read_tiles(html, layout)
-
-    Tiles.__name__ = f"Tiles_{layout.name}"
-    return udtf(Tiles, returnType=tile_schema(layout), useArrow=True)
-
-
-def _nutrition(html):
+def read_nutrition(html):
+    """Nutrition page → (reference_intake, serving_size, uom, cells, description)."""
     root = dom.parse(html)
 
     def second_p(step):
@@ -94,12 +88,12 @@ def _nutrition(html):
         ps = block.find_all("p")
         return ps[1].text_tight() if len(ps) > 1 else None
 
-    rows = []
+    rows = None
     table = root.find(specs.NUTRITION_TABLE.tag, specs.NUTRITION_TABLE.cls)
     if table is not None:
-        for r in table.find_all(specs.NUTRITION_ROW.tag, specs.NUTRITION_ROW.cls):
-            rows.append([c.text_tight() for c in
-                         r.find_all(specs.NUTRITION_CELL.tag, specs.NUTRITION_CELL.cls)])
+        rows = [[c.text_tight() for c in r.find_all(specs.NUTRITION_CELL.tag,
+                                                    specs.NUTRITION_CELL.cls)]
+                for r in table.find_all(specs.NUTRITION_ROW.tag, specs.NUTRITION_ROW.cls)]
     desc = None
     block = root.find(specs.DESCRIPTION_BLOCK.tag, specs.DESCRIPTION_BLOCK.cls)
     if block is not None:
@@ -108,7 +102,7 @@ def _nutrition(html):
             sib = h.next_sibling("p")
             desc[h.text_tight().replace(":", "")] = sib.text_tight() if sib is not None else None
     return (second_p(specs.NUTRITION_REFERENCE), second_p(specs.NUTRITION_SERVING),
-            second_p(specs.NUTRITION_UOM), rows if table is not None else None, desc)
+            second_p(specs.NUTRITION_UOM), rows, desc)
 
 
 NUTRITION_SCHEMA = T.StructType([
@@ -120,14 +114,6 @@ NUTRITION_SCHEMA = T.StructType([
 ])
 
 
-class _Nutrition:
-    def eval(self, html):
-        yield _nutrition(html)
-
-
-_NUTRITION_UDTF = udtf(_Nutrition, returnType=NUTRITION_SCHEMA, useArrow=True)
-
-
 @pandas_udf(T.StringType())
 def counter_text(html):
     """Text of the result-counter node (exact class string), NULL if absent."""
@@ -165,14 +151,73 @@ def link_facts(html):
 # --------------------------------------------------------------------------
 # Spark side.
 
+_OUT_ROWS = 4096  # rows per output Arrow batch
 
-def _lateral(pages: DataFrame, fn_name: str, fn, html_col: str, keys: list[str]) -> DataFrame:
+
+def spread_pages(pages: DataFrame, keys: list[str], html_col: str = "html",
+                 num_partitions: int | None = None) -> DataFrame:
+    """Hash-spread pages over ``num_partitions`` tasks before the Python walk.
+
+    Parsing markup in Python costs on the order of 100x more per byte than
+    moving it through a shuffle, so evening out the parse work beats saving
+    the exchange: a few large or skewed input splits (one retailer's dump, a
+    single small file) would otherwise pin the parse to a few cores.  The hash
+    is of the page key (or the markup), so a retried task sees the same rows.
+    """
     spark = pages.sparkSession
-    spark.udtf.register(fn_name, fn)
-    sel = ", ".join(f"p.`{k}`" for k in keys)
-    sel = (sel + ", ") if sel else ""
-    return spark.sql(f"SELECT {sel}t.* FROM {{pages}} p, LATERAL {fn_name}(p.`{html_col}`) t",
-                     pages=pages)
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by = [F.col(f"`{k}`") for k in keys] if keys else [F.xxhash64(F.col(f"`{html_col}`"))]
+    return pages.repartition(n, *by)
+
+
+def walk_pages(pages: DataFrame, keys: list[str], html_col: str, rows_of,
+               out_fields: list[T.StructField], spread: bool = True) -> DataFrame:
+    """Run ``rows_of(html) -> iterable of tuples`` over every page.
+
+    Arrow batches in, Arrow batches out (``mapInArrow``): the page keys are
+    carried to each output row with a vectorised ``take`` and only the markup
+    crosses into Python.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    if spread:
+        pages = spread_pages(pages, keys, html_col)
+    src = pages.select(*[F.col(f"`{k}`") for k in keys], F.col(f"`{html_col}`").alias("_html"))
+    out_schema = T.StructType([src.schema[k] for k in keys] + list(out_fields))
+    arrow_schema = to_arrow_schema(out_schema)
+    is_map = [isinstance(f.dataType, T.MapType) for f in out_fields]
+    width = len(out_fields)
+    nkeys = len(keys)
+
+    def run(batches):
+        import pyarrow as pa
+
+        def emit(batch, idx, cols):
+            take = pa.array(idx, pa.int64())
+            arrays = [batch.column(k).take(take) for k in keys]
+            for j in range(width):
+                vals = cols[j]
+                if is_map[j]:
+                    vals = [None if v is None else list(v.items()) for v in vals]
+                arrays.append(pa.array(vals, type=arrow_schema.field(nkeys + j).type))
+            return pa.RecordBatch.from_arrays(arrays, schema=arrow_schema)
+
+        for batch in batches:
+            htmls = batch.column("_html").to_pylist()
+            idx: list[int] = []
+            cols: list[list] = [[] for _ in range(width)]
+            for i, h in enumerate(htmls):
+                for row in rows_of(h):
+                    idx.append(i)
+                    for j in range(width):
+                        cols[j].append(row[j])
+                if len(idx) >= _OUT_ROWS:
+                    yield emit(batch, idx, cols)
+                    idx, cols = [], [[] for _ in range(width)]
+            if idx:
+                yield emit(batch, idx, cols)
+
+    return src.mapInArrow(run, out_schema)
 
 
 def explode_tiles(pages: DataFrame, layout: str | specs.TileLayout, html_col: str = "html",
@@ -184,8 +229,7 @@ def explode_tiles(pages: DataFrame, layout: str | specs.TileLayout, html_col: st
     """
     lay = specs.LAYOUTS[layout] if isinstance(layout, str) else layout
     keys = [c for c in pages.columns if c != html_col] if keys is None else keys
-    return _lateral(pages.select(*keys, html_col), f"shelfscan_tiles_{lay.name}",
-                    _tile_udtf(lay), html_col, keys)
+    return walk_pages(pages, keys, html_col, lambda h: read_tiles(h, lay), tile_fields(lay))
 
 
 def nutrition(pages: DataFrame, html_col: str = "html", keys: list[str] | None = None) -> DataFrame:
@@ -196,8 +240,8 @@ def nutrition(pages: DataFrame, html_col: str = "html", keys: list[str] | None =
     duplicate header winning.  Absent blocks are NULL.
     """
     keys = [c for c in pages.columns if c != html_col] if keys is None else keys
-    raw = _lateral(pages.select(*keys, html_col), "shelfscan_nutrition", _NUTRITION_UDTF,
-                   html_col, keys)
+    raw = walk_pages(pages, keys, html_col, lambda h: (read_nutrition(h),),
+                     list(NUTRITION_SCHEMA.fields))
     rows = F.filter(F.col("nutrient_cells"), lambda c, i: (i > 0) & (F.size(c) == 3))
     nutrients = F.transform(rows, lambda c: F.struct(c[0].alias("nutrient"),
                                                      c[1].alias("quantity"),
