@@ -7,6 +7,12 @@ all rows) into one task.  ``with_row_index`` instead range-partitions on
 (group keys, order keys) so a hot group is split across many tasks, numbers the
 rows of each task locally, and adds the count of the group's rows held by
 earlier tasks (a per-task summary whose size is bounded by tasks × groups).
+
+The locally numbered rows are checkpointed to the shared checkpoint folder
+before they are read twice (for the per-task summary and for the join back):
+range bounds are sampled per exchange, so two evaluations could split the rows
+differently; the checkpoint makes both readers see the same rows, cuts the
+lineage, and survives the loss of executors.
 """
 
 from __future__ import annotations
@@ -17,8 +23,12 @@ from pyspark.sql import functions as F
 _POS_BITS = 33  # monotonically_increasing_id = partition id << 33 | position
 
 
-def _name(c: Column | str) -> str:
-    return c if isinstance(c, str) else None
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into ``spark.checkpoint.dir`` (set from the session
+    conf when the context has none yet)."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def with_row_index(df: DataFrame, order_by: list[Column | str],
@@ -38,6 +48,7 @@ def with_row_index(df: DataFrame, order_by: list[Column | str],
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_lpos", F.monotonically_increasing_id()
                           - F.shiftleft(F.col("_pid").cast("bigint"), _POS_BITS)))
+    ranged = materialize(ranged)
     # Per (task, group): rows held and the first local position.  Bounded by
     # tasks + groups rows; each group spans at most ``n`` tasks.
     stats = ranged.groupBy("_pid", *groups).agg(F.min("_lpos").alias("_first"),

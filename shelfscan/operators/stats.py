@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordering import materialize
+
 DESCRIBE_PROBS = (0.25, 0.5, 0.75)
 
 
@@ -22,6 +24,14 @@ def _group_cols(by):
     return list(by) if by else []
 
 
+def _join_ns(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on ``keys`` where NULL matches NULL (a NULL group is a group)."""
+    ren = {k: f"_r_{k}" for k in keys}
+    r = right.select(*[F.col(c).alias(ren.get(c, c)) for c in right.columns])
+    cond = [F.col(k).eqNullSafe(F.col(ren[k])) for k in keys]
+    return left.join(r, on=cond, how="inner").drop(*ren.values())
+
+
 def exact_quantiles(df: DataFrame, value: str, probs=DESCRIBE_PROBS,
                     by: list[str] | None = None, buckets: int | None = None,
                     prefix: str = "q") -> DataFrame:
@@ -41,9 +51,12 @@ def exact_quantiles(df: DataFrame, value: str, probs=DESCRIBE_PROBS,
     vc = vals.groupBy(*key, "_v").agg(F.count(F.lit(1)).alias("_c"))
     # Bucket boundaries per group from the distinct values (bounded: nb-1 per group).
     fr = [i / nb for i in range(1, nb)]
-    splits = vc.groupBy(*key).agg(
-        F.percentile_approx("_v", fr, 10000).alias("_splits"))
-    vb = (vc.join(splits, on=key, how="inner")
+    # Approximate summaries depend on merge order, and the bucket of a value
+    # must be the same for every reader below: the small split table (groups
+    # x buckets) is checkpointed once.
+    splits = materialize(vc.groupBy(*key).agg(
+        F.percentile_approx("_v", fr, 10000).alias("_splits")))
+    vb = (_join_ns(vc, splits, key)
             .withColumn("_b", F.size(F.filter("_splits", lambda s: s < F.col("_v"))))
             .drop("_splits")
             .repartition(nb, *key, "_b"))
@@ -56,7 +69,7 @@ def exact_quantiles(df: DataFrame, value: str, probs=DESCRIBE_PROBS,
         F.coalesce(F.sum("_bc").over(w_blk.rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_blk_before"),
         F.sum("_bc").over(Window.partitionBy(*key)).alias("_n"))
-    ranked = vb.join(blocks, on=key + ["_b"], how="inner").select(
+    ranked = _join_ns(vb, blocks, key + ["_b"]).select(
         *key, "_v", "_c", "_n", (F.col("_blk_before") + F.col("_in_before")).alias("_before"))
     # Wanted ranks: floor and ceil of (n-1)p; a row holds rank r when
     # before <= r < before + count.
