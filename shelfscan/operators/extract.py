@@ -166,8 +166,11 @@ def spread_pages(pages: DataFrame, keys: list[str], html_col: str = "html",
     """
     spark = pages.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    by = [F.col(f"`{k}`") for k in keys] if keys else [F.xxhash64(F.col(f"`{html_col}`"))]
-    return pages.repartition(n, *by)
+    # A derived hash, not the bare key: an upstream ``groupBy(key)`` would
+    # otherwise make this exchange look redundant, and adaptive execution may
+    # have coalesced that upstream shuffle down to a single task.
+    cols = [F.col(f"`{k}`") for k in keys] if keys else [F.col(f"`{html_col}`")]
+    return pages.repartition(n, F.xxhash64(*cols))
 
 
 def walk_pages(pages: DataFrame, keys: list[str], html_col: str, rows_of,
@@ -288,6 +291,14 @@ def extract_products(pages: DataFrame, layout: str, html_col: str = "html",
     return TYPERS[layout](explode_tiles(pages, layout, html_col, keys))
 
 
+def page_links(pages: DataFrame, keys: list[str], html_col: str = "html") -> DataFrame:
+    """Per page: first ``<a href>`` in document order and the number of links."""
+    f = link_facts(F.col(f"`{html_col}`"))
+    return spread_pages(pages, keys, html_col).select(
+        *[F.col(f"`{k}`") for k in keys], f["first_href"].alias("first_href"),
+        f["n_links"].alias("n_links"))
+
+
 def expected_count(html: Column | str) -> Column:
     """Largest digit run in the result counter (``1.234`` reads as 234)."""
     return max_digit_run(counter_text(F.col(html) if isinstance(html, str) else html))

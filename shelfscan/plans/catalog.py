@@ -283,10 +283,7 @@ def q_expected_pages(spark, sf):
 
 
 def q_page_links(spark, sf):
-    p = D.table(spark, sf, "pages")
-    f = X.link_facts("html")
-    return p.select("page_id", f["first_href"].alias("first_href"),
-                    f["n_links"].alias("n_links"))
+    return X.page_links(D.table(spark, sf, "pages"), ["page_id"])
 
 
 def q_landed_pages(spark, sf):

@@ -29,6 +29,9 @@ def build_session(app: str = "shelfscan", cpus: int | str = "*",
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Pages are heavy rows (tens to hundreds of KB): keep Arrow batches to
+        # a few hundred rows so a batch stays in the tens of MB.
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
         .config("spark.driver.memory", "16g")
         .getOrCreate()
     )
