@@ -23,12 +23,27 @@ def write_snapshot(df: DataFrame, path: str, partition_by: list[str] | None = No
     """
     parts = partition_by or PARTITION_COLUMNS
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in hashable])
     (df.repartitionByRange(n, *[F.col(c) for c in parts], row_hash)
        .write.mode(mode).option("partitionOverwriteMode", "dynamic")
        .partitionBy(*parts).parquet(path))
 
 
+PAGE_PARTITIONS = ["source", "snapshot_date", "category"]
+
+
+def write_pages(pages: DataFrame, path: str) -> None:
+    """Land raw pages into the bronze ``pages_raw`` table.
+
+    Partitioned by source / snapshot date / category with dynamic overwrite:
+    re-landing one category of one day replaces only those pages, every page
+    of every other run survives (the original tool kept only the last page in
+    a single overwritten file).
+    """
+    write_snapshot(pages, path, PAGE_PARTITIONS)
+
+
 def to_csv_ready(df: DataFrame) -> DataFrame:
     """Nested columns → JSON text (CSV holds no arrays/maps/structs)."""
     cols = []

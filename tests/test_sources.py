@@ -92,3 +92,19 @@ def test_log_reader(spark, tmp_path):
                                 "level": "INFO", "file": "crawl.py", "line": 202,
                                 "func": "run_all", "message": "Start - phase 1"}
     assert all(v is None for v in rows[1].asDict().values())
+
+
+def test_pages_raw_sink_roundtrip(spark, tmp_path):
+    from shelfscan.schemas import PAGES_RAW
+    from shelfscan.sources.pages import read_pages_table
+    from shelfscan.sources.sinks import write_pages
+    d = dt.date(2024, 11, 13)
+    first = spark.createDataFrame([("r2", "frescos", d, 1, None, "<p>a</p>"),
+                                   ("r2", "frescos", d, 2, None, "<p>b</p>"),
+                                   ("r2", "bebidas", d, 1, None, "<p>c</p>")], PAGES_RAW)
+    out = str(tmp_path / "pages_raw")
+    write_pages(first, out)
+    relanded = spark.createDataFrame([("r2", "frescos", d, 1, None, "<p>a2</p>")], PAGES_RAW)
+    write_pages(relanded, out)
+    back = sorted((r.category, r.page_no, r.html) for r in read_pages_table(spark, out).collect())
+    assert back == [("bebidas", 1, "<p>c</p>"), ("frescos", 1, "<p>a2</p>")]
