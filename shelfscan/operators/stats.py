@@ -2,8 +2,9 @@
 
 ``describe`` returns count, mean, sample standard deviation, min, exact
 quartiles (linear interpolation, the pandas/NumPy default) and max per group.
-The exact quartiles avoid both an unbounded per-group buffer and a single-task
-sort: values are first collapsed to (value, count) with map-side partial
+Groups of proven small size use the built-in exact ``percentile``; beyond
+that bound the exact quartiles avoid both an unbounded per-group buffer and a
+single-task sort: values are first collapsed to (value, count) with map-side partial
 aggregation (prices repeat a lot), the distinct values are spread over
 approximately equal buckets per group, a running count is taken inside each
 bucket, and bucket totals give each bucket's starting rank.  Only the few rows
@@ -54,10 +55,17 @@ def exact_quantiles(df: DataFrame, value: str, probs=DESCRIBE_PROBS,
     # Approximate summaries depend on merge order, and the bucket of a value
     # must be the same for every reader below: the small split table (groups
     # x buckets) is checkpointed once.
-    splits = materialize(vc.groupBy(*key).agg(
-        F.percentile_approx("_v", fr, 10000).alias("_splits")))
-    vb = (_join_ns(vc, splits, key)
-            .withColumn("_b", F.size(F.filter("_splits", lambda s: s < F.col("_v"))))
+    if groups:
+        splits = materialize(vc.groupBy(*key).agg(
+            F.percentile_approx("_v", fr, 10000).alias("_splits")))
+        vb = _join_ns(vc, splits, key)
+    else:
+        # One group: its nb-1 split points are a bounded summary, read once
+        # on the driver and inlined as a literal array.
+        pts = vc.agg(F.percentile_approx("_v", fr, 10000).alias("s")).first()["s"] or []
+        vb = vc.withColumn("_splits", F.array(*[F.lit(float(x)) for x in pts])
+                           if pts else F.array().cast("array<double>"))
+    vb = (vb.withColumn("_b", F.size(F.filter("_splits", lambda s: s < F.col("_v"))))
             .drop("_splits")
             .repartition(nb, *key, "_b"))
     w_in = Window.partitionBy(*key, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
@@ -69,6 +77,8 @@ def exact_quantiles(df: DataFrame, value: str, probs=DESCRIBE_PROBS,
         F.coalesce(F.sum("_bc").over(w_blk.rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_blk_before"),
         F.sum("_bc").over(Window.partitionBy(*key)).alias("_n"))
+    if not groups:
+        blocks = F.broadcast(blocks)  # one row per bucket
     ranked = _join_ns(vb, blocks, key + ["_b"]).select(
         *key, "_v", "_c", "_n", (F.col("_blk_before") + F.col("_in_before")).alias("_before"))
     # Wanted ranks: floor and ceil of (n-1)p; a row holds rank r when
@@ -98,20 +108,45 @@ def exact_quantiles(df: DataFrame, value: str, probs=DESCRIBE_PROBS,
     return res.drop("_g") if not groups else res
 
 
+# Largest group whose sorted values may be held in one aggregate buffer.
+EXACT_BUFFER_LIMIT = 1_000_000
+
+
 def describe(df: DataFrame, value: str, by: list[str] | None = None,
-             probs=DESCRIBE_PROBS) -> DataFrame:
+             probs=DESCRIBE_PROBS, buffer_limit: int = EXACT_BUFFER_LIMIT) -> DataFrame:
     """count, mean, std (sample), min, quartiles, max of ``value`` per group.
 
     Missing values are skipped (``count`` counts present values).  A group
     whose values are all missing reports count 0 and NULL statistics.
+
+    Plan choice behind a size check: one aggregate finds the largest group's
+    count (a single number on the driver).  When it is at most
+    ``buffer_limit``, each group's values are sorted in the same single
+    aggregate as the moments and the quartiles read off the sorted array (the
+    buffer is bounded by that count); otherwise the distributed
+    ``exact_quantiles`` path runs, which never holds a group in one buffer.
     """
     groups = _group_cols(by)
     v = F.col(value).cast("double")
-    moments = df.groupBy(*groups).agg(
-        F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"), F.max(v).alias("max"))
-    q = exact_quantiles(df, value, probs, groups)
     qcols = [f"q{int(round(p * 100))}" for p in probs]
+    base = [F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+            F.min(v).alias("min"), F.max(v).alias("max")]
+    sizes = df.groupBy(*groups).agg(F.count(v).alias("_n"))
+    biggest = sizes.agg(F.max("_n").alias("m")).first()["m"] or 0
+    if biggest <= buffer_limit:
+        out = df.groupBy(*groups).agg(*base, F.sort_array(F.collect_list(v)).alias("_s"))
+        n, arr = F.col("count"), F.col("_s")
+
+        def interp(p):
+            pos = (n - 1) * F.lit(float(p))
+            lo, hi = F.floor(pos).cast("int"), F.ceil(pos).cast("int")
+            lo_v, hi_v = F.get(arr, lo), F.get(arr, hi)
+            return F.when(n > 0, lo_v + (hi_v - lo_v) * (pos - lo))
+
+        return out.select(*groups, "count", "mean", "std", "min",
+                          *[interp(p).alias(c) for p, c in zip(probs, qcols)], "max")
+    moments = df.groupBy(*groups).agg(*base)
+    q = exact_quantiles(df, value, probs, groups)
     if groups:
         cond = [moments[g].eqNullSafe(q[g]) for g in groups]
         joined = moments.join(q, on=cond, how="left")

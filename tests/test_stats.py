@@ -68,3 +68,19 @@ def test_null_profile_and_counts(spark):
     assert got == {"id": (0, 3), "s": (2, 3), "t": (2, 3)}
     rc = {r.t: r.n_rows for r in row_counts(df, ["t"]).collect()}
     assert rc == {"a": 1, None: 2}
+
+
+def test_describe_both_paths_agree(spark):
+    rnd = random.Random(9)
+    rows = [(rnd.choice(["a", "b", None]), rnd.choice([None, rnd.randint(0, 500) / 8]))
+            for _ in range(3000)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    small = {r.g: r.asDict() for r in describe(df, "x", ["g"]).collect()}
+    big = {r.g: r.asDict() for r in describe(df, "x", ["g"], buffer_limit=10).collect()}
+    assert small.keys() == big.keys()
+    for g in small:
+        for k, v in small[g].items():
+            assert big[g][k] == pytest.approx(v, abs=1e-9) if v is not None else big[g][k] is None
+    glob_small = describe(df, "x").first().asDict()
+    glob_big = describe(df, "x", buffer_limit=10).first().asDict()
+    assert glob_small == pytest.approx(glob_big)
