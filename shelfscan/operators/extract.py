@@ -165,7 +165,8 @@ def spread_pages(pages: DataFrame, keys: list[str], html_col: str = "html",
     is of the page key (or the markup), so a retried task sees the same rows.
     """
     spark = pages.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                              spark.sparkContext.defaultParallelism)
     # A derived hash, not the bare key: an upstream ``groupBy(key)`` would
     # otherwise make this exchange look redundant, and adaptive execution may
     # have coalesced that upstream shuffle down to a single task.
@@ -174,7 +175,8 @@ def spread_pages(pages: DataFrame, keys: list[str], html_col: str = "html",
 
 
 def walk_pages(pages: DataFrame, keys: list[str], html_col: str, rows_of,
-               out_fields: list[T.StructField], spread: bool = True) -> DataFrame:
+               out_fields: list[T.StructField], spread: bool = True,
+               num_partitions: int | None = None) -> DataFrame:
     """Run ``rows_of(html) -> iterable of tuples`` over every page.
 
     Arrow batches in, Arrow batches out (``mapInArrow``): the page keys are
@@ -184,7 +186,7 @@ def walk_pages(pages: DataFrame, keys: list[str], html_col: str, rows_of,
     from pyspark.sql.pandas.types import to_arrow_schema
 
     if spread:
-        pages = spread_pages(pages, keys, html_col)
+        pages = spread_pages(pages, keys, html_col, num_partitions)
     src = pages.select(*[F.col(f"`{k}`") for k in keys], F.col(f"`{html_col}`").alias("_html"))
     out_schema = T.StructType([src.schema[k] for k in keys] + list(out_fields))
     arrow_schema = to_arrow_schema(out_schema)
@@ -224,7 +226,7 @@ def walk_pages(pages: DataFrame, keys: list[str], html_col: str, rows_of,
 
 
 def explode_tiles(pages: DataFrame, layout: str | specs.TileLayout, html_col: str = "html",
-                  keys: list[str] | None = None) -> DataFrame:
+                  keys: list[str] | None = None, num_partitions: int | None = None) -> DataFrame:
     """One row per product tile of every page (raw string fields).
 
     ``keys`` are the page columns carried onto each tile row (default: every
@@ -232,7 +234,8 @@ def explode_tiles(pages: DataFrame, layout: str | specs.TileLayout, html_col: st
     """
     lay = specs.LAYOUTS[layout] if isinstance(layout, str) else layout
     keys = [c for c in pages.columns if c != html_col] if keys is None else keys
-    return walk_pages(pages, keys, html_col, lambda h: read_tiles(h, lay), tile_fields(lay))
+    return walk_pages(pages, keys, html_col, lambda h: read_tiles(h, lay), tile_fields(lay),
+                      num_partitions=num_partitions)
 
 
 def nutrition(pages: DataFrame, html_col: str = "html", keys: list[str] | None = None) -> DataFrame:
@@ -286,9 +289,20 @@ TYPERS = {"tile_json": type_tile_json, "card": type_card, "tile_attr": type_tile
 
 
 def extract_products(pages: DataFrame, layout: str, html_col: str = "html",
-                     keys: list[str] | None = None) -> DataFrame:
+                     keys: list[str] | None = None,
+                     num_partitions: int | None = None) -> DataFrame:
     """Explode + type in one go."""
-    return TYPERS[layout](explode_tiles(pages, layout, html_col, keys))
+    return TYPERS[layout](explode_tiles(pages, layout, html_col, keys, num_partitions))
+
+
+# Pages per parse task when a job sizes the page walk from the page count:
+# a few hundred catalogue pages is tens of seconds of parsing per task.
+PAGES_PER_TASK = 400
+
+
+def walk_partitions(n_pages: int, spark) -> int:
+    """Parse-task count for ``n_pages`` pages (at least the default parallelism)."""
+    return max(spark.sparkContext.defaultParallelism, -(-n_pages // PAGES_PER_TASK))
 
 
 def page_links(pages: DataFrame, keys: list[str], html_col: str = "html") -> DataFrame:

@@ -42,9 +42,10 @@ def with_row_index(df: DataFrame, order_by: list[Column | str],
     groups = list(partition_by or [])
     keys: list[Column] = [F.col(g) for g in groups] + [
         F.col(c) if isinstance(c, str) else c for c in order_by]
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # No fixed count by default: adaptive execution sizes the range partitions
+    # by bytes at run time (coalescing adjacent ranges keeps them ordered).
+    rp = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    ranged = (rp.sortWithinPartitions(*keys)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_lpos", F.monotonically_increasing_id()
                           - F.shiftleft(F.col("_pid").cast("bigint"), _POS_BITS)))
@@ -63,7 +64,7 @@ def with_row_index(df: DataFrame, order_by: list[Column | str],
                            *[F.col(g).alias(ren[g]) for g in groups], "_first",
                            F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
     if not groups:
-        offsets = F.broadcast(offsets)  # size bounded by the partition count
+        offsets = F.broadcast(offsets)  # one row per range partition
     cond = [F.col("_pid") == F.col("_opid")] + [
         F.col(g).eqNullSafe(F.col(ren[g])) for g in groups]
     joined = ranged.join(offsets, on=cond, how="inner")

@@ -44,6 +44,7 @@ def exact_quantiles(df: DataFrame, value: str, probs=DESCRIBE_PROBS,
     groups = _group_cols(by)
     spark = df.sparkSession
     nb = buckets or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    accuracy = max(10000, 10 * nb)
     key = groups if groups else ["_g"]
     vals = df.select(*groups, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     if not groups:
@@ -57,12 +58,12 @@ def exact_quantiles(df: DataFrame, value: str, probs=DESCRIBE_PROBS,
     # x buckets) is checkpointed once.
     if groups:
         splits = materialize(vc.groupBy(*key).agg(
-            F.percentile_approx("_v", fr, 10000).alias("_splits")))
+            F.percentile_approx("_v", fr, accuracy).alias("_splits")))
         vb = _join_ns(vc, splits, key)
     else:
         # One group: its nb-1 split points are a bounded summary, read once
         # on the driver and inlined as a literal array.
-        pts = vc.agg(F.percentile_approx("_v", fr, 10000).alias("s")).first()["s"] or []
+        pts = vc.agg(F.percentile_approx("_v", fr, accuracy).alias("s")).first()["s"] or []
         vb = vc.withColumn("_splits", F.array(*[F.lit(float(x)) for x in pts])
                            if pts else F.array().cast("array<double>"))
     vb = (vb.withColumn("_b", F.size(F.filter("_splits", lambda s: s < F.col("_v"))))
@@ -110,6 +111,17 @@ def exact_quantiles(df: DataFrame, value: str, probs=DESCRIBE_PROBS,
 
 # Largest group whose sorted values may be held in one aggregate buffer.
 EXACT_BUFFER_LIMIT = 1_000_000
+# Distributed path: values per bucket (one bucket is sorted in one task) and
+# the cap on buckets per group.
+ROWS_PER_BUCKET = 1_000_000
+MAX_BUCKETS = 20_000
+
+
+def quantile_buckets(df: DataFrame, biggest_group: int) -> int:
+    """Buckets so that a bucket of the largest group holds about
+    ``ROWS_PER_BUCKET`` values (never fewer buckets than shuffle partitions)."""
+    base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return int(min(MAX_BUCKETS, max(base, -(-biggest_group // ROWS_PER_BUCKET))))
 
 
 def describe(df: DataFrame, value: str, by: list[str] | None = None,
@@ -146,7 +158,7 @@ def describe(df: DataFrame, value: str, by: list[str] | None = None,
         return out.select(*groups, "count", "mean", "std", "min",
                           *[interp(p).alias(c) for p, c in zip(probs, qcols)], "max")
     moments = df.groupBy(*groups).agg(*base)
-    q = exact_quantiles(df, value, probs, groups)
+    q = exact_quantiles(df, value, probs, groups, buckets=quantile_buckets(df, biggest))
     if groups:
         cond = [moments[g].eqNullSafe(q[g]) for g in groups]
         joined = moments.join(q, on=cond, how="left")

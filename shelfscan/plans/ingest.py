@@ -60,7 +60,8 @@ CANONICAL = {"tile_json": _canonical_tile_json, "card": _canonical_card,
              "tile_attr": _canonical_tile_attr}
 
 
-def build_product_snapshot(pages: DataFrame, run_stamp: str | None = None) -> DataFrame:
+def build_product_snapshot(pages: DataFrame, run_stamp: str | None = None,
+                           num_partitions: int | None = None) -> DataFrame:
     """Every landed page → one canonical row per product tile.
 
     ``pages`` has the ``PAGES_RAW`` columns; ``source`` values are the keys of
@@ -70,7 +71,8 @@ def build_product_snapshot(pages: DataFrame, run_stamp: str | None = None) -> Da
     parts = []
     for spec in specs.SOURCES:
         mine = pages.where(F.col("source") == F.lit(spec.key))
-        tiles = X.extract_products(mine, spec.layout, keys=PAGE_KEYS)
+        tiles = X.extract_products(mine, spec.layout, keys=PAGE_KEYS,
+                                   num_partitions=num_partitions)
         parts.append(CANONICAL[spec.layout](tiles))
     out = parts[0]
     for p in parts[1:]:
@@ -82,8 +84,11 @@ def build_product_snapshot(pages: DataFrame, run_stamp: str | None = None) -> Da
 
 def run(spark: SparkSession, pages_path: str, out_path: str,
         run_stamp: str | None = None) -> None:
-    write_snapshot(build_product_snapshot(read_pages_table(spark, pages_path), run_stamp),
-                   out_path)
+    pages = read_pages_table(spark, pages_path)
+    # Parquet answers count() from file footers, so sizing the parse by page
+    # count costs no scan of the markup.
+    n = X.walk_partitions(pages.count(), spark)
+    write_snapshot(build_product_snapshot(pages, run_stamp, n), out_path)
 
 
 def main(argv: list[str] | None = None) -> None:

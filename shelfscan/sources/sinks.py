@@ -22,10 +22,10 @@ def write_snapshot(df: DataFrame, path: str, partition_by: list[str] | None = No
     Partition values with ``/`` are escaped by Spark and read back intact.
     """
     parts = partition_by or PARTITION_COLUMNS
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in hashable])
-    (df.repartitionByRange(n, *[F.col(c) for c in parts], row_hash)
+    # No fixed count: adaptive execution sizes the write tasks by bytes.
+    (df.repartitionByRange(*[F.col(c) for c in parts], row_hash)
        .write.mode(mode).option("partitionOverwriteMode", "dynamic")
        .partitionBy(*parts).parquet(path))
 
