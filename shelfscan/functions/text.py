@@ -24,7 +24,7 @@ def _col(c: Column | str) -> Column:
 def url_key(url: Column | str, position: int = -2) -> Column:
     """Path segment by position (1-based, negative from the end); NULL if absent.
 
-    ``…/pingo-doce/rucula-70-g/`` → ``rucula-70-g`` for the default -2.
+    ``…/produtos/rucula-70-g/`` → ``rucula-70-g`` for the default -2.
     """
     return F.try_element_at(F.split(_col(url), "/"), F.lit(position))
 
