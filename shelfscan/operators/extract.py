@@ -135,6 +135,21 @@ def pager_pages(html):
     return html.map(one)
 
 
+@pandas_udf(T.StructType([T.StructField("counter", T.StringType()),
+                          T.StructField("pager", T.ArrayType(T.StringType()))]))
+def head_facts(html):
+    """Result-counter text and pager ``data-page`` list from one parse."""
+    import pandas as pd
+    cs, ps = specs.RESULT_COUNTER, specs.PAGER_NODE
+    counters, pagers = [], []
+    for h in html:
+        root = dom.parse(h)
+        n = root.find(cs.tag, cs.cls)
+        counters.append("".join(n.strings()) if n is not None else None)
+        pagers.append([x.get(specs.PAGER_ATTR) for x in root.find_all(ps.tag, ps.cls, ps.attr)])
+    return pd.DataFrame({"counter": counters, "pager": pagers})
+
+
 @pandas_udf(T.StructType([T.StructField("first_href", T.StringType()),
                           T.StructField("n_links", T.LongType())]))
 def link_facts(html):

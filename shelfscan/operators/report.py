@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import log_fields
-from .extract import expected_count, last_page
+from ..functions.text import log_fields, max_digit_run
+from .extract import head_facts
 
 
 def run_report(pages: DataFrame, tiles: DataFrame, keys: list[str],
@@ -53,9 +53,10 @@ def completeness_audit(pages: DataFrame, tiles: DataFrame, keys: list[str], page
     parsed once more for one page per group, not for every page.
     """
     fp = first_page if first_page is not None else (F.col(page_key) == F.lit(0))
+    facts = head_facts(F.col(html_col))
     heads = (pages.where(fp)
-             .select(*keys, expected_count(html_col).alias("_exp"),
-                     last_page(html_col).alias("_last"))
+             .select(*keys, max_digit_run(facts["counter"]).alias("_exp"),
+                     F.try_element_at(facts["pager"], F.lit(-1)).try_cast("bigint").alias("_last"))
              .groupBy(*keys).agg(F.max("_exp").alias("expected_total"),
                                  F.max("_last").alias("last_page")))
     per_page = tiles.groupBy(*keys, page_key).agg(F.count(F.lit(1)).alias("_rows"))

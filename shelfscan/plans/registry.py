@@ -19,7 +19,7 @@ from ..operators import filters as FL
 from ..operators.conform import conform
 from ..operators.harmonise import harmonise, unit_price, with_harmonised_index
 from ..operators.ordering import cheapest_first as _cheapest, expected_pages as _exp_pages
-from ..operators.ordering import page_numbers, page_slice
+from ..operators.ordering import materialize, page_numbers, page_slice
 from ..operators.report import completeness_audit as _audit, run_report as _run_report
 from ..operators.stats import describe, null_profile as _null_profile, row_counts as _row_counts
 from ..session import scratch_path
@@ -398,13 +398,15 @@ def q_log_fields(spark, sf):
 
 
 def q_run_report(spark, sf):
-    pages = D.attr_tile_pages(spark, sf, with_category=True)
+    # The constructed pages stand in for a stored pages_raw table: written
+    # once, then read by both branches.
+    pages = materialize(D.attr_tile_pages(spark, sf, with_category=True))
     tiles = X.extract_products(pages, "tile_attr")
     return _run_report(pages, tiles, ["category"], "page_id")
 
 
 def q_completeness_audit(spark, sf):
-    pages = D.audit_pages(spark, sf)
+    pages = materialize(D.audit_pages(spark, sf))
     tiles = X.explode_tiles(pages, "tile_json", keys=["category", "page_start"])
     return _audit(pages, tiles, ["category"], "page_start", specs.PAGE_SIZE_TILE_JSON)
 
