@@ -83,6 +83,12 @@ def log_fields(line: Column | str) -> list[Column]:
     return out
 
 
+def attribute_present(attr: Column | str) -> Column:
+    """Truthy attribute: present and non-empty."""
+    a = _col(attr)
+    return a.isNotNull() & (a != "")
+
+
 def json_fields(attr: Column | str, ddl: str) -> Column:
     """Typed struct out of a JSON attribute; absent/empty/bad JSON → NULL fields.
 
@@ -90,4 +96,4 @@ def json_fields(attr: Column | str, ddl: str) -> Column:
     test).  Apostrophes need no escaping: Spark's JSON reader accepts them.
     """
     a = _col(attr)
-    return F.when(a.isNotNull() & (a != ""), F.from_json(a, ddl))
+    return F.when(attribute_present(a), F.from_json(a, ddl))

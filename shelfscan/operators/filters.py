@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import specs
+from ..functions.text import attribute_present
 
 
 def min_price(df: DataFrame, price_col: str = "price", pmin: float = specs.MIN_PRICE) -> DataFrame:
@@ -31,6 +32,6 @@ def drop_missing(df: DataFrame, col: str = "price") -> DataFrame:
     return df.where(F.col(col).isNotNull())
 
 
-def attribute_present(col: str):
-    """Truthy attribute: present and non-empty."""
-    return F.col(col).isNotNull() & (F.col(col) != "")
+def with_attribute(df: DataFrame, col: str) -> DataFrame:
+    """Keep rows whose attribute is present and non-empty."""
+    return df.where(attribute_present(col))

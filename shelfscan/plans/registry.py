@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from .. import specs
 from ..functions import quantity as Q
 from ..functions.price import parse_price
-from ..functions.text import (json_fields, log_fields, parse_column_date, parse_dir_date,
-                              parse_stamp, slug, url_key)
+from ..functions.text import (format_column_date, format_dir_date, format_stamp, json_fields,
+                              log_fields, parse_column_date, parse_dir_date, parse_stamp, slug,
+                              url_key)
 from ..operators import extract as X
 from ..operators import filters as FL
 from ..operators.conform import conform
@@ -363,9 +364,9 @@ def q_snapshot_date_parse(spark, sf):
     li = D.table(spark, sf, "lineitem")
     return li.select(
         "l_orderkey", "l_linenumber",
-        parse_dir_date(F.date_format("l_shipdate", "yyyyMMdd")).alias("d_dir"),
-        parse_column_date(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("d_col"),
-        F.date_format(parse_stamp(F.date_format("l_shipdate", "yyyyMMdd_HHmmss")),
+        parse_dir_date(format_dir_date("l_shipdate")).alias("d_dir"),
+        parse_column_date(format_column_date("l_shipdate")).alias("d_col"),
+        F.date_format(parse_stamp(format_stamp("l_shipdate")),
                       "yyyy-MM-dd HH:mm:ss").alias("observed_at"))
 
 

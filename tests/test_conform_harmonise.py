@@ -75,3 +75,15 @@ def test_unit_price_table(spark):
     o = out["Ovos 12 un"]
     assert (o.Weight_Value, o.Quantity, o.price_per_unit) == (None, 12, None)
     assert out["Agua 0.75l"].price_per_unit == pytest.approx(0.30 / 750)
+
+
+def test_filters(spark):
+    from shelfscan.operators import filters as FL
+    df = spark.createDataFrame([("a", 0.0, "x", "frescos"), ("b", 0.01, "", "bebidas"),
+                                ("c", None, None, "frescos")],
+                               "id string, price double, attr string, category string")
+    assert [r.id for r in FL.min_price(df).collect()] == ["b"]
+    assert [r.id for r in FL.with_attribute(df, "attr").collect()] == ["a"]
+    assert sorted(r.id for r in FL.categories(df, ["frescos"]).collect()) == ["a", "c"]
+    assert [r.id for r in FL.attr_equals(df, "attr", "x").collect()] == ["a"]
+    assert sorted(r.id for r in FL.drop_missing(df).collect()) == ["a", "b"]

@@ -1,6 +1,5 @@
 """Hand-written pages per layout, with the documented edge cases."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from shelfscan.operators import extract as X

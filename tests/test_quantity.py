@@ -56,7 +56,7 @@ def test_price_per_unit_zero_and_missing(spark):
 def test_property_roundtrip(spark):
     """Format (value, unit) → name → parse gives the value back for names
     free of the documented traps."""
-    from hypothesis import given, settings, strategies as st
+
     rows = []
     import random
     rnd = random.Random(7)
