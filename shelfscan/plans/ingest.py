@@ -23,6 +23,7 @@ from ..operators import extract as X
 from ..operators.conform import conform
 from ..schemas import PRODUCT_SNAPSHOT
 from ..sources.pages import read_pages_table
+from ..session import job_session
 from ..sources.sinks import write_snapshot
 
 PAGE_KEYS = ["source", "category", "snapshot_date", "page_no", "page_start"]
@@ -97,7 +98,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", required=True)
     ap.add_argument("--run-stamp", default=None)
     a = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("shelfscan-ingest").getOrCreate()
+    spark = job_session("shelfscan-ingest")
     run(spark, a.pages, a.out, a.run_stamp)
 
 

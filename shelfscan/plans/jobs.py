@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.harmonise import harmonise, unit_price, with_harmonised_index
 from ..operators.stats import describe
+from ..session import job_session
 from ..sources.snapshots import read_csv_snapshots
 
 
@@ -54,7 +55,7 @@ def main(argv: list[str] | None = None) -> None:
     u.add_argument("--schema", default="r3")
     u.add_argument("--out", required=True)
     a = ap.parse_args(argv)
-    spark = SparkSession.builder.appName(f"shelfscan-{a.cmd}").getOrCreate()
+    spark = job_session(f"shelfscan-{a.cmd}")
     if a.cmd == "harmonise":
         stats = run_harmonise(spark, {"r1": a.r1, "r2": a.r2, "r3": a.r3}, a.out, a.drop_missing)
         stats.show(truncate=False)

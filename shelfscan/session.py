@@ -9,6 +9,19 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Arrow batch size bound for the page walk (bytes).
+ARROW_BATCH_BYTES = 64 * 1024 * 1024
+
+
+def job_session(app: str) -> SparkSession:
+    """Session for a submitted job: the cluster's settings plus the byte bound
+    on Arrow batches the page walk needs."""
+    spark = (SparkSession.builder.appName(app)
+             .config("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
+             .getOrCreate())
+    ensure_checkpoint_dir(spark)
+    return spark
+
 
 def build_session(app: str = "shelfscan", cpus: int | str = "*",
                   shuffle_partitions: int | None = None) -> SparkSession:
@@ -29,9 +42,9 @@ def build_session(app: str = "shelfscan", cpus: int | str = "*",
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # Pages are heavy rows (tens to hundreds of KB): keep Arrow batches to
-        # a few hundred rows so a batch stays in the tens of MB.
-        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
+        # Pages are heavy rows (tens to hundreds of KB): bound Arrow batches
+        # by bytes, not only by rows.
+        .config("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
         .config("spark.driver.memory", "16g")
         .getOrCreate()
     )
