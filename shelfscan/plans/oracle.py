@@ -187,7 +187,7 @@ FROM {NAMES}""",
 SELECT p_partkey, CASE WHEN {_hit(U)} THEN {_grp(U, 2)} END AS unit,
   CASE WHEN {_hit(U)} THEN CAST({_grp(U, 1)} AS BIGINT) END AS quantity,
   CASE WHEN {_hit(U)} AND {_grp(U, 2)} IN ('dozen', 'meia dúzia')
-       THEN CAST({_grp(U, 1)} AS BIGINT) * 12.0 END AS items
+       THEN CAST(CAST({_grp(U, 1)} AS BIGINT) * 12 AS DOUBLE) END AS items
 FROM {NAMES}""",
     "to_base_unit": f"""
 SELECT p_partkey, weight_value, weight_unit,
