@@ -21,14 +21,17 @@ def _sources(labels: dict[str, str] | None):
 
 
 def harmonise(frames: dict[str, DataFrame], labels: dict[str, str] | None = None,
-              drop_missing: bool = False, with_rank: bool = False) -> DataFrame:
+              drop_missing: bool = False, with_rank: bool = False,
+              with_basis: bool = False) -> DataFrame:
     """UNION ALL of the per-source two-column projections, tagged by source.
 
     ``frames`` maps a source key (``r1``, ``r2``, ``r3``) to its snapshot
     DataFrame.  Each block is projected to (name, price text) by the source's
     mapping *before* the union, so the scan reads two columns per source.
     The price goes through the locale parser; rows whose price does not parse
-    are kept with a NULL price unless ``drop_missing``.
+    are kept with a NULL price unless ``drop_missing``.  ``with_basis`` adds
+    ``price_basis`` (``unit`` or ``shelf``): the first source's harmonised price
+    is its per-kg/per-litre text, the others' a shelf price.
     """
     parts = []
     for s, lab in _sources(labels):
@@ -40,6 +43,8 @@ def harmonise(frames: dict[str, DataFrame], labels: dict[str, str] | None = None
                 F.lit(lab).alias("source")]
         if with_rank:
             cols.append(F.lit(s.rank).alias("source_rank"))
+        if with_basis:
+            cols.append(F.lit(s.price_basis).alias("price_basis"))
         parts.append(df.select(*cols))
     if not parts:
         raise ValueError("no source frames given")

@@ -132,14 +132,15 @@ class SourceSpec:
     name_column: str    # snapshot column holding the product name
     price_column: str   # snapshot column holding the harmonised price
     rank: int           # block order in the harmonised table
+    price_basis: str    # what the harmonised price means: per unit, or shelf price
 
 
 # The harmonised price of the JSON-tile source is its *unit* price text
 # (e.g. "3,99€/kg"); the other two use their shelf price.  Labels are
 # configuration; pass your own to ``harmonise`` to change them.
 SOURCES = (
-    SourceSpec("r1", "R1", "tile_json", "Product Name", "Price per unit", 0),
-    SourceSpec("r2", "R2", "card", "product_name", "product_price", 1),
-    SourceSpec("r3", "R3", "tile_attr", "product_name", "product_price", 2),
+    SourceSpec("r1", "R1", "tile_json", "Product Name", "Price per unit", 0, "unit"),
+    SourceSpec("r2", "R2", "card", "product_name", "product_price", 1, "shelf"),
+    SourceSpec("r3", "R3", "tile_attr", "product_name", "product_price", 2, "shelf"),
 )
 SOURCE_BY_KEY = {s.key: s for s in SOURCES}

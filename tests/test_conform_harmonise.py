@@ -56,6 +56,8 @@ def test_harmonise_rows_and_types(spark):
     assert got[("Leite 1l", "R3")] == 0.89
     assert not any(isinstance(r.price, float) and math.isnan(r.price) for r in rows)
     assert harmonise(fr, drop_missing=True).count() == 3
+    basis = {(r.source, r.price_basis) for r in harmonise(fr, with_basis=True).collect()}
+    assert basis == {("R1", "unit"), ("R2", "shelf"), ("R3", "shelf")}
     labelled = {r.source for r in harmonise(fr, labels={"r2": "Shop Two"}).collect()}
     assert labelled == {"R1", "Shop Two", "R3"}
     idx = with_harmonised_index(harmonise(fr, with_rank=True)).orderBy("row_index").collect()
