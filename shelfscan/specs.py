@@ -1,6 +1,6 @@
 """Per-source configuration.  Sources are data, not code: a layout names the
 tile node and, per output field, where it sits inside the tile and how it is
-read.  The extraction UDTF interprets these; the typed projection after it is
+read.  The page walk (mapInArrow) interprets these; the typed projection after it is
 native Spark.
 """
 
