@@ -1,6 +1,6 @@
 """Minimal DOM over the standard-library HTML tokenizer.
 
-This is the per-row helper the extraction UDTFs call inside Spark tasks; it
+This is the per-page helper the extraction walk calls inside Spark tasks; it
 only builds a tree and answers "first/all descendants with this tag and class"
 and "text of this node".  Typing, JSON decoding, number parsing and filtering
 happen afterwards in Spark.
@@ -29,13 +29,14 @@ VOID_TAGS = frozenset([
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "parent")
+    __slots__ = ("tag", "attrs", "children", "parent", "_by_tag")
 
     def __init__(self, tag: str, attrs: dict[str, str], parent: "Node | None"):
         self.tag = tag
         self.attrs = attrs
         self.children: list = []
         self.parent = parent
+        self._by_tag = None
 
     # -- matching ---------------------------------------------------------
     def matches(self, tag: str | None, cls: str | None = None,
@@ -61,15 +62,32 @@ class Node:
                 yield n
                 stack.extend(reversed(n.children))
 
+    def _descendants_with(self, tag: str | None):
+        """Descendants (document order), by tag from an index built on first
+        use: several lookups under one node cost one walk of its subtree."""
+        if tag is None:
+            return self.iter_descendants()
+        idx = self._by_tag
+        if idx is None:
+            idx = {}
+            for n in self.iter_descendants():
+                lst = idx.get(n.tag)
+                if lst is None:
+                    idx[n.tag] = [n]
+                else:
+                    lst.append(n)
+            self._by_tag = idx
+        return idx.get(tag, ())
+
     def find(self, tag: str | None, cls: str | None = None, attr: str | None = None):
-        for n in self.iter_descendants():
-            if n.matches(tag, cls, attr):
+        for n in self._descendants_with(tag):
+            if n.matches(None, cls, attr):
                 return n
         return None
 
     def find_all(self, tag: str | None, cls: str | None = None,
                  attr: str | None = None) -> list["Node"]:
-        return [n for n in self.iter_descendants() if n.matches(tag, cls, attr)]
+        return [n for n in self._descendants_with(tag) if n.matches(None, cls, attr)]
 
     def next_sibling(self, tag: str) -> "Node | None":
         if self.parent is None:
