@@ -18,6 +18,7 @@ def job_session(app: str) -> SparkSession:
     on Arrow batches the page walk needs."""
     spark = (SparkSession.builder.appName(app)
              .config("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
+             .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
              .getOrCreate())
     ensure_checkpoint_dir(spark)
     return spark
@@ -46,6 +47,9 @@ def build_session(app: str = "shelfscan", cpus: int | str = "*",
         # by bytes, not only by rows.
         .config("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
         .config("spark.driver.memory", "16g")
+        # checkpoints written by the ordering / quantile operators are removed
+        # once their DataFrames are garbage-collected
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

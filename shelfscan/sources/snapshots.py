@@ -21,12 +21,12 @@ CATEGORY_FILE = r"/([^/]+?)(?:_\d{8})?\.csv$"
 CATEGORY_DIR = r"/(?:category|category_file|cgid)=([^/]+)/[^/]*$"
 OUTPUT_PREFIX = "processed_"
 
-CSV_OPTIONS = {"header": "true", "escape": '"', "multiLine": "true", "encoding": "UTF-8",
-               "mode": "PERMISSIVE"}
+CSV_OPTIONS = {"header": "true", "escape": '"', "encoding": "UTF-8", "mode": "PERMISSIVE"}
 
 
 def read_csv_snapshots(spark: SparkSession, paths: str | list[str],
-                       schema: T.StructType | str, exclude_outputs: bool = True) -> DataFrame:
+                       schema: T.StructType | str, exclude_outputs: bool = True,
+                       multiline: bool = True) -> DataFrame:
     """Read snapshot CSVs with a declared schema (never inferred).
 
     ``schema`` is a StructType or a source key (``r1``/``r2``/``r3``).  Adds
@@ -34,11 +34,18 @@ def read_csv_snapshots(spark: SparkSession, paths: str | list[str],
     file name) and ``file_path``.  Only the empty field is NULL: ``NA`` or
     ``None`` stay text.  Files named ``processed_*`` are skipped when
     ``exclude_outputs`` so a job never re-reads its own output.
+
+    ``multiline`` reads quoted fields that contain line breaks, as the
+    original writer could produce; it makes each file one task.  Per-category
+    daily files are small, so parallelism comes from the file count; for large
+    files known to hold no embedded newlines pass ``multiline=False`` to let
+    Spark split them.
     """
     sch = CSV_SCHEMAS[schema] if isinstance(schema, str) else schema
     # recursiveFileLookup: the folder names are parsed below, never turned
     # into inferred partition columns.
     reader = (spark.read.schema(sch).options(**CSV_OPTIONS)
+              .option("multiLine", str(multiline).lower())
               .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv"))
     df = reader.csv(paths)
     if exclude_outputs:
@@ -56,4 +63,5 @@ def read_name_column(spark: SparkSession, path: str, schema: T.StructType | str,
                      column: str = "product_name") -> DataFrame:
     """Single-file scan of one column (the scan reads only that column)."""
     sch = CSV_SCHEMAS[schema] if isinstance(schema, str) else schema
-    return spark.read.schema(sch).options(**CSV_OPTIONS).csv(path).select(column)
+    return (spark.read.schema(sch).options(**CSV_OPTIONS).option("multiLine", "true")
+            .csv(path).select(column))
