@@ -191,12 +191,14 @@ def spread_pages(pages: DataFrame, keys: list[str], html_col: str = "html",
 
 def walk_pages(pages: DataFrame, keys: list[str], html_col: str, rows_of,
                out_fields: list[T.StructField], spread: bool = True,
-               num_partitions: int | None = None) -> DataFrame:
+               num_partitions: int | None = None, normalize: str | None = None) -> DataFrame:
     """Run ``rows_of(html) -> iterable of tuples`` over every page.
 
     Arrow batches in, Arrow batches out (``mapInArrow``): the page keys are
     carried to each output row with a vectorised ``take`` and only the markup
-    crosses into Python.
+    crosses into Python.  ``normalize`` (e.g. ``"NFC"``) applies Unicode
+    normalisation to the markup first, so decomposed accents read like
+    composed ones (Spark SQL has no normaliser); off by default.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -224,6 +226,10 @@ def walk_pages(pages: DataFrame, keys: list[str], html_col: str, rows_of,
 
         for batch in batches:
             htmls = batch.column("_html").to_pylist()
+            if normalize:
+                import unicodedata
+                htmls = [None if h is None else unicodedata.normalize(normalize, h)
+                         for h in htmls]
             idx: list[int] = []
             cols: list[list] = [[] for _ in range(width)]
             for i, h in enumerate(htmls):
@@ -241,7 +247,8 @@ def walk_pages(pages: DataFrame, keys: list[str], html_col: str, rows_of,
 
 
 def explode_tiles(pages: DataFrame, layout: str | specs.TileLayout, html_col: str = "html",
-                  keys: list[str] | None = None, num_partitions: int | None = None) -> DataFrame:
+                  keys: list[str] | None = None, num_partitions: int | None = None,
+                  normalize: str | None = None) -> DataFrame:
     """One row per product tile of every page (raw string fields).
 
     ``keys`` are the page columns carried onto each tile row (default: every
@@ -250,7 +257,7 @@ def explode_tiles(pages: DataFrame, layout: str | specs.TileLayout, html_col: st
     lay = specs.LAYOUTS[layout] if isinstance(layout, str) else layout
     keys = [c for c in pages.columns if c != html_col] if keys is None else keys
     return walk_pages(pages, keys, html_col, lambda h: read_tiles(h, lay), tile_fields(lay),
-                      num_partitions=num_partitions)
+                      num_partitions=num_partitions, normalize=normalize)
 
 
 def nutrition(pages: DataFrame, html_col: str = "html", keys: list[str] | None = None) -> DataFrame:

@@ -144,3 +144,19 @@ def test_link_facts(spark):
     got = df.orderBy("page_id").select(X.link_facts("html").alias("f")).collect()
     assert (got[0].f.first_href, got[0].f.n_links) == ("/1", 2)
     assert (got[1].f.first_href, got[1].f.n_links) == (None, 0)
+
+
+def test_optional_nfc_normalisation(spark):
+    from shelfscan.functions.quantity import parse_quantity
+    decomposed = "Ovos 6 meia dúzia"          # 'ú' as u + combining accent
+    page = ('<div class="product-cards"><a class="product-cards__link" href="/p/ovos/">'
+            f'<h3 class="product-cards__title">{decomposed}</h3></a>'
+            '<span class="product-cards_price">1,99€</span>'
+            '<img class="product-cards__image" src="i.jpg"></div>')
+    df = pages(spark, page)
+    raw = X.explode_tiles(df, "card").select(parse_quantity("product_name").alias("q")).first().q
+    nfc = X.explode_tiles(df, "card", normalize="NFC").select(
+        parse_quantity("product_name").alias("q")).first().q
+    # decomposed: 'dúzia' is missed and the length rule takes "6 m" of "meia"
+    assert (raw.weight_unit, raw.quantity) == ("m", 6)
+    assert (nfc.weight_unit, nfc.quantity, nfc.weight_value) == ("meia dúzia", 6, 72.0)
