@@ -146,20 +146,19 @@ def value_units(part: DataFrame) -> DataFrame:
 
 
 def _pages_of(tiles: DataFrame, page_cols: list[str], key: str = "p_partkey",
-              tile_col: str = "tile", head: Column | None = None) -> DataFrame:
+              tile_col: str = "tile") -> DataFrame:
     """Group tile markup into pages in key order.  A page holds a bounded
     number of tiles by construction, so the per-page list is bounded."""
     grouped = tiles.groupBy(*page_cols).agg(
         F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"),
                                              F.col(tile_col).alias("t")))).alias("_ts"))
     body = F.array_join(F.transform("_ts", lambda x: x["t"]), "")
-    head = head if head is not None else F.lit("")
     return grouped.select(*page_cols, cat("<html><head><title>catalogue</title></head><body>",
-                                          head, '<div class="grid">', body,
+                                          '<div class="grid">', body,
                                           "</div></body></html>").alias("html"))
 
 
-def json_tile_markup(name_override: Column | None = None) -> Column:
+def json_tile_markup() -> Column:
     """One JSON-tile for a ``part`` row, with its documented edge cases:
     every 17th key has no JSON attribute, every 13th bad JSON, every 7th an
     apostrophe in the name, every 11th an ampersand; every 5th has no image,
