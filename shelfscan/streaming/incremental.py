@@ -34,3 +34,25 @@ def start_incremental_ingest(spark: SparkSession, pages_path: str, out_path: str
          .option("checkpointLocation", checkpoint_location))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start(out_path)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m shelfscan.streaming.incremental --pages P --out O --checkpoint C``"""
+    import argparse
+
+    from ..session import job_session
+
+    ap = argparse.ArgumentParser(description="incremental ingest of newly landed pages")
+    ap.add_argument("--pages", required=True)
+    ap.add_argument("--out", required=True)
+    ap.add_argument("--checkpoint", required=True, help="stream checkpoint (shared storage)")
+    ap.add_argument("--run-stamp", default=None)
+    ap.add_argument("--max-files-per-trigger", type=int, default=None)
+    a = ap.parse_args(argv)
+    spark = job_session("shelfscan-incremental")
+    start_incremental_ingest(spark, a.pages, a.out, a.checkpoint, a.run_stamp,
+                             a.max_files_per_trigger).awaitTermination()
+
+
+if __name__ == "__main__":
+    main()
