@@ -68,34 +68,50 @@ def _num(text: Column, kind: str) -> Column:
     return text.try_cast(kind)
 
 
-def match_weight(name: Column | str) -> Column:
+def _variant(pattern: str, decimal_comma: bool = False, word_boundary: bool = False) -> str:
+    """Optional switches (both off = the original semantics): a decimal comma
+    in the value (``0,75l`` → 0.75) and a word boundary after the unit (so
+    ``3 garrafas`` is not 3 g)."""
+    if decimal_comma:
+        pattern = pattern.replace(r"(\.\d+)?", r"([.,]\d+)?")
+    if word_boundary:
+        pattern = pattern + r"\b"
+    return pattern
+
+
+def _value(text: Column) -> Column:
+    return _num(F.replace(text, F.lit(","), F.lit(".")), "double")
+
+
+def match_weight(name: Column | str, decimal_comma: bool = False,
+                 word_boundary: bool = False) -> Column:
     """``0.75l`` → (0.75, 'l', NULL); NULL struct when there is no hit."""
     n = _col(name)
-    p = WEIGHT_PATTERN
-    return F.when(_hit(n, p), _triple(_num(_grp(n, p, 1), "double"), _grp(n, p, 3),
-                                      F.lit(None)))
+    p = _variant(WEIGHT_PATTERN, decimal_comma, word_boundary)
+    return F.when(_hit(n, p), _triple(_value(_grp(n, p, 1)), _grp(n, p, 3), F.lit(None)))
 
 
-def match_multipack(name: Column | str) -> Column:
+def match_multipack(name: Column | str, decimal_comma: bool = False,
+                    word_boundary: bool = False) -> Column:
     """``4x125 g`` → (125, 'g', 4)."""
     n = _col(name)
-    p = MULTIPACK_PATTERN
-    return F.when(_hit(n, p), _triple(_num(_grp(n, p, 2), "double"), _grp(n, p, 4),
+    p = _variant(MULTIPACK_PATTERN, decimal_comma, word_boundary)
+    return F.when(_hit(n, p), _triple(_value(_grp(n, p, 2)), _grp(n, p, 4),
                                       _num(_grp(n, p, 1), "bigint")))
 
 
-def match_volume_pack(name: Column | str) -> Column:
+def match_volume_pack(name: Column | str, word_boundary: bool = False) -> Column:
     """``6x25cl`` → (25, 'cl', 6)."""
     n = _col(name)
-    p = VOLUME_PACK_PATTERN
+    p = _variant(VOLUME_PACK_PATTERN, False, word_boundary)
     return F.when(_hit(n, p), _triple(_num(_grp(n, p, 2), "double"), _grp(n, p, 3),
                                       _num(_grp(n, p, 1), "bigint")))
 
 
-def match_length(name: Column | str) -> Column:
+def match_length(name: Column | str, word_boundary: bool = False) -> Column:
     """``20m`` → (NULL, 'm', 20), only when the name has ``m`` but no ``ml``."""
     n = _col(name)
-    p = LENGTH_PATTERN
+    p = _variant(LENGTH_PATTERN, False, word_boundary)
     guard = F.contains(n, F.lit("m")) & ~F.contains(n, F.lit("ml"))
     return F.when(guard & _hit(n, p), _triple(F.lit(None), _grp(n, p, 2),
                                               _num(_grp(n, p, 1), "bigint")))
@@ -115,24 +131,28 @@ def match_pairs(name: Column | str) -> Column:
                                       _num(_grp(n, p, 1), "bigint")))
 
 
-def match_units(name: Column | str) -> Column:
+def match_units(name: Column | str, word_boundary: bool = False) -> Column:
     """``16 un`` → (NULL, 'un', 16); a dozen unit also sets value = qty × 12."""
     n = _col(name)
-    p = UNIT_PATTERN
+    p = _variant(UNIT_PATTERN, False, word_boundary)
     qty = _num(_grp(n, p, 1), "bigint")
     unit = _grp(n, p, 2)
     value = F.when(unit.isin(DOZEN_UNITS), qty * F.lit(DOZEN_FACTOR))
     return F.when(_hit(n, p), _triple(value, unit, qty))
 
 
-def parse_quantity(name: Column | str) -> Column:
+def parse_quantity(name: Column | str, decimal_comma: bool = False,
+                   word_boundary: bool = False) -> Column:
     """Pack size triple ``struct<weight_value, weight_unit, quantity>``.
 
     All three fields are NULL when neither a value nor a quantity comes out.
+    ``decimal_comma`` and ``word_boundary`` are opt-in fixes of two documented
+    quirks; both off reproduce the original results.
     """
     n = _col(name)
-    t = F.coalesce(match_units(n), match_length(n), match_volume_pack(n),
-                   match_multipack(n), match_weight(n))
+    wb = word_boundary
+    t = F.coalesce(match_units(n, wb), match_length(n, wb), match_volume_pack(n, wb),
+                   match_multipack(n, decimal_comma, wb), match_weight(n, decimal_comma, wb))
     empty = t["weight_value"].isNull() & t["quantity"].isNull()
     return F.when(~empty, t).otherwise(F.lit(None).cast(TRIPLE_TYPE))
 

@@ -70,3 +70,19 @@ def test_property_roundtrip(spark):
         (F.col("t.weight_value") != F.col("v")) | (F.col("t.weight_unit") != F.col("u"))
         | F.col("t").isNull())
     assert bad.count() == 0
+
+
+def test_optional_switches(spark):
+    """Both switches off reproduce the goldens above; each on fixes one quirk."""
+    names = ["Azeite 0,75l", "Pack 3 garrafas", "Caixa 2 massas 500g", "Leite 500 ml",
+             "Iogurte 4x1,5 kg", "Cafe 16 un"]
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, name string")
+    out = df.select("i", parse_quantity("name", decimal_comma=True).alias("dc"),
+                    parse_quantity("name", word_boundary=True).alias("wb")).orderBy("i").collect()
+    dc = [(r.dc.weight_value, r.dc.weight_unit, r.dc.quantity) if r.dc else None for r in out]
+    wb = [(r.wb.weight_value, r.wb.weight_unit, r.wb.quantity) if r.wb else None for r in out]
+    assert dc[0] == (0.75, "l", None)          # decimal comma understood
+    assert dc[4] == (1.5, "kg", 4)
+    assert wb[1] is None                        # 'garrafas' is not grams
+    assert wb[2] == (500.0, "g", None)          # 'massas' no longer a length
+    assert wb[3] == (500.0, "ml", None) and wb[5] == (None, "un", 16)
