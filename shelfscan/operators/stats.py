@@ -124,40 +124,32 @@ def quantile_buckets(df: DataFrame, biggest_group: int) -> int:
     return int(min(MAX_BUCKETS, max(base, -(-biggest_group // ROWS_PER_BUCKET))))
 
 
-def describe(df: DataFrame, value: str, by: list[str] | None = None,
-             probs=DESCRIBE_PROBS, buffer_limit: int = EXACT_BUFFER_LIMIT) -> DataFrame:
-    """count, mean, std (sample), min, quartiles, max of ``value`` per group.
+def _base_aggs(v):
+    return [F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+            F.min(v).alias("min"), F.max(v).alias("max")]
 
-    Missing values are skipped (``count`` counts present values).  A group
-    whose values are all missing reports count 0 and NULL statistics.
 
-    Plan choice behind a size check: one aggregate finds the largest group's
-    count (a single number on the driver).  When it is at most
-    ``buffer_limit``, each group's values are sorted in the same single
-    aggregate as the moments and the quartiles read off the sorted array (the
-    buffer is bounded by that count); otherwise the distributed
-    ``exact_quantiles`` path runs, which never holds a group in one buffer.
-    """
-    groups = _group_cols(by)
-    v = F.col(value).cast("double")
+def _describe_sorted(df: DataFrame, v, groups: list[str], probs) -> DataFrame:
+    """One aggregate: moments plus each group's sorted values, quartiles read
+    off the sorted array.  Only for groups of proven bounded size."""
     qcols = [f"q{int(round(p * 100))}" for p in probs]
-    base = [F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-            F.min(v).alias("min"), F.max(v).alias("max")]
-    sizes = df.groupBy(*groups).agg(F.count(v).alias("_n"))
-    biggest = sizes.agg(F.max("_n").alias("m")).first()["m"] or 0
-    if biggest <= buffer_limit:
-        out = df.groupBy(*groups).agg(*base, F.sort_array(F.collect_list(v)).alias("_s"))
-        n, arr = F.col("count"), F.col("_s")
-
-        def interp(p):
-            pos = (n - 1) * F.lit(float(p))
-            lo, hi = F.floor(pos).cast("int"), F.ceil(pos).cast("int")
-            lo_v, hi_v = F.get(arr, lo), F.get(arr, hi)
-            return F.when(n > 0, lo_v + (hi_v - lo_v) * (pos - lo))
-
-        return out.select(*groups, "count", "mean", "std", "min",
-                          *[interp(p).alias(c) for p, c in zip(probs, qcols)], "max")
-    moments = df.groupBy(*groups).agg(*base)
+    out = df.groupBy(*groups).agg(*_base_aggs(v), F.sort_array(F.collect_list(v)).alias("_s"))
+    n, arr = F.col("count"), F.col("_s")
+
+    def interp(p):
+        pos = (n - 1) * F.lit(float(p))
+        lo, hi = F.floor(pos).cast("int"), F.ceil(pos).cast("int")
+        lo_v, hi_v = F.get(arr, lo), F.get(arr, hi)
+        return F.when(n > 0, lo_v + (hi_v - lo_v) * (pos - lo))
+
+    return out.select(*groups, "count", "mean", "std", "min",
+                      *[interp(p).alias(c) for p, c in zip(probs, qcols)], "max")
+
+
+def _describe_distributed(df: DataFrame, value: str, v, groups: list[str], probs,
+                          biggest: int) -> DataFrame:
+    qcols = [f"q{int(round(p * 100))}" for p in probs]
+    moments = df.groupBy(*groups).agg(*_base_aggs(v))
     q = exact_quantiles(df, value, probs, groups, buckets=quantile_buckets(df, biggest))
     if groups:
         cond = [moments[g].eqNullSafe(q[g]) for g in groups]
@@ -170,6 +162,41 @@ def describe(df: DataFrame, value: str, by: list[str] | None = None,
     return joined.select("count", "mean", "std", "min", *qcols, "max")
 
 
+def describe(df: DataFrame, value: str, by: list[str] | None = None,
+             probs=DESCRIBE_PROBS, buffer_limit: int = EXACT_BUFFER_LIMIT) -> DataFrame:
+    """count, mean, std (sample), min, quartiles, max of ``value`` per group.
+
+    Missing values are skipped (``count`` counts present values).  A group
+    whose values are all missing reports count 0 and NULL statistics.
+
+    Plan choice behind a size check.  One aggregate counts each group's
+    values.  Groups of at most ``buffer_limit`` values are described by a
+    single aggregate that sorts each group's values (the buffer is bounded by
+    that count).  Only groups beyond the bound take the distributed
+    ``exact_quantiles`` path, whose bucket count grows with the largest of
+    them; the row routing is a semi/anti join on the (small) set of oversized
+    group keys.
+    """
+    groups = _group_cols(by)
+    v = F.col(value).cast("double")
+    if not groups:
+        n = df.agg(F.count(v).alias("n")).first()["n"] or 0
+        if n <= buffer_limit:
+            return _describe_sorted(df, v, [], probs)
+        return _describe_distributed(df, value, v, [], probs, n)
+    sizes = materialize(df.groupBy(*groups).agg(F.count(v).alias("_n")))
+    biggest = sizes.agg(F.max("_n").alias("m")).first()["m"] or 0
+    if biggest <= buffer_limit:
+        return _describe_sorted(df, v, groups, probs)
+    large = sizes.where(F.col("_n") > F.lit(buffer_limit)).select(
+        *[F.col(g).alias(f"_L_{g}") for g in groups])
+    cond = [F.col(g).eqNullSafe(F.col(f"_L_{g}")) for g in groups]
+    big_rows = df.join(large, on=cond, how="left_semi")
+    small_rows = df.join(large, on=cond, how="left_anti")
+    return (_describe_sorted(small_rows, v, groups, probs)
+            .unionByName(_describe_distributed(big_rows, value, v, groups, probs, biggest)))
+
+
 def row_counts(df: DataFrame, by: list[str]) -> DataFrame:
     """Row count per group (BIGINT ``n_rows``)."""
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"))

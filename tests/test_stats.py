@@ -84,3 +84,23 @@ def test_describe_both_paths_agree(spark):
     glob_small = describe(df, "x").first().asDict()
     glob_big = describe(df, "x", buffer_limit=10).first().asDict()
     assert glob_small == pytest.approx(glob_big)
+
+
+def test_describe_mixed_group_sizes(spark):
+    """Oversized groups (here: > 50 values, incl. the NULL group) take the
+    distributed path, the rest the single aggregate; results match NumPy."""
+    rnd = random.Random(21)
+    rows = [("hot", rnd.randint(0, 900) / 4) for _ in range(400)]
+    rows += [(None, rnd.randint(0, 90) / 2) for _ in range(120)]
+    rows += [(f"s{i % 30}", float(rnd.randint(0, 99))) for i in range(300)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = {r.g: r for r in describe(df, "x", ["g"], buffer_limit=50).collect()}
+    groups = {}
+    for g, x in rows:
+        groups.setdefault(g, []).append(x)
+    assert set(got) == set(groups)
+    for g, xs in groups.items():
+        arr = np.array(xs)
+        assert got[g]["count"] == len(arr)
+        for p in (25, 50, 75):
+            assert got[g][f"q{p}"] == pytest.approx(np.percentile(arr, p), abs=1e-9)
