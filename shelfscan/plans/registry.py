@@ -24,7 +24,7 @@ from ..operators.ordering import materialize, page_numbers, page_slice
 from ..operators.report import completeness_audit as _audit, run_report as _run_report
 from ..operators.stats import describe, null_profile as _null_profile, row_counts as _row_counts
 from ..session import scratch_path
-from ..sources.sinks import write_snapshot
+from ..sources.sinks import write_csv, write_snapshot
 from ..sources.snapshots import read_csv_snapshots
 from . import driver_inputs as D
 
@@ -385,9 +385,7 @@ def q_snapshot_roundtrip(spark, sf):
 def q_scan_union_csv(spark, sf):
     rows = D.r2_csv_rows(spark, sf)
     path = scratch_path(spark, "csv")
-    (rows.repartition("snapshot_dir", "category_file").write.mode("overwrite")
-         .option("header", "true").option("escape", '"')
-         .partitionBy("snapshot_dir", "category_file").csv(path))
+    write_csv(rows, path, ["snapshot_dir", "category_file"])
     back = read_csv_snapshots(spark, path, "r2")
     return back.select("product_id", "product_name", "product_price", "source", "timestamp",
                        "snapshot_date", "category")

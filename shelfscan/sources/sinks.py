@@ -22,14 +22,21 @@ def write_snapshot(df: DataFrame, path: str, partition_by: list[str] | None = No
     Partition values with ``/`` are escaped by Spark and read back intact.
     """
     parts = partition_by or PARTITION_COLUMNS
-    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in hashable])
-    # No fixed count: adaptive execution sizes the write tasks by bytes.
-    (df.repartitionByRange(*[F.col(c) for c in parts], row_hash)
+    (cluster_for_write(df, parts)
        .write.mode(mode).option("partitionOverwriteMode", "dynamic")
        .partitionBy(*parts).parquet(path))
 
 
+def cluster_for_write(df: DataFrame, parts: list[str]) -> DataFrame:
+    """Range-partition on (partition columns, row hash) before a partitioned
+    write: few files per task, hot partition values spread over many tasks,
+    and the same rows per task on a retry.  No fixed count: adaptive execution
+    sizes the write tasks by bytes."""
+    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in hashable])
+    return df.repartitionByRange(*[F.col(c) for c in parts], row_hash)
+
+
 PAGE_PARTITIONS = ["source", "snapshot_date", "category"]
 
 
@@ -56,7 +63,11 @@ def to_csv_ready(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    w = to_csv_ready(df).write.mode("overwrite").option("header", "true").option("escape", '"')
+    """CSV interchange: nested columns as JSON text, header, ``"`` escaping."""
+    out = to_csv_ready(df)
+    if partition_by:
+        out = cluster_for_write(out, partition_by)
+    w = out.write.mode("overwrite").option("header", "true").option("escape", '"')
     if partition_by:
         w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     w.csv(path)
