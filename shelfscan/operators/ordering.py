@@ -31,13 +31,25 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+# Largest per-(task, group) offsets table that is broadcast back to the rows.
+OFFSETS_BROADCAST_ROWS = 1_000_000
+
+
 def with_row_index(df: DataFrame, order_by: list[Column | str],
                    partition_by: list[str] | None = None, name: str = "row_index",
-                   num_partitions: int | None = None) -> DataFrame:
+                   num_partitions: int | None = None,
+                   broadcast_rows: int = OFFSETS_BROADCAST_ROWS) -> DataFrame:
     """Add a dense 0-based BIGINT position per ``partition_by`` group.
 
     ``order_by`` should be a total order; rows tied on every key get
     consecutive positions in an unspecified order among themselves.
+
+    The per-(task, group) offsets table has one row per group held by each
+    task.  It is counted, and broadcast back when it holds at most
+    ``broadcast_rows`` rows.  Beyond that (very many groups), each row's
+    position inside its group within its task comes from one streaming pass
+    over the sorted task (no shuffle), and only groups that span task
+    boundaries — at most two per task, so a bounded table — need an offset.
     """
     groups = list(partition_by or [])
     keys: list[Column] = [F.col(g) for g in groups] + [
@@ -50,29 +62,91 @@ def with_row_index(df: DataFrame, order_by: list[Column | str],
               .withColumn("_lpos", F.monotonically_increasing_id()
                           - F.shiftleft(F.col("_pid").cast("bigint"), _POS_BITS)))
     ranged = materialize(ranged)
-    # Per (task, group): rows held and the first local position.  Bounded by
-    # tasks + groups rows; each group spans at most ``n`` tasks.
+    out_cols = [F.col(f"`{c}`") for c in df.columns]
+    # Per (task, group): rows held and the first local position.
     stats = ranged.groupBy("_pid", *groups).agg(F.min("_lpos").alias("_first"),
                                                 F.count(F.lit(1)).alias("_n"))
+    if groups and stats.count() > broadcast_rows:
+        return _index_by_group_runs(ranged, groups, out_cols, stats, name)
     w = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     if not groups:
-        # n rows at most: one per task.
+        # one row per task
         w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     # Offsets carry renamed keys so the join back is unambiguous.
     ren = {g: f"_k{i}" for i, g in enumerate(groups)}
     offsets = stats.select(F.col("_pid").alias("_opid"),
                            *[F.col(g).alias(ren[g]) for g in groups], "_first",
                            F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
-    if not groups:
-        offsets = F.broadcast(offsets)  # one row per range partition
+    # Size proven above: one row per task, or at most ``broadcast_rows``.
+    offsets = F.broadcast(offsets)
     cond = [F.col("_pid") == F.col("_opid")] + [
         F.col(g).eqNullSafe(F.col(ren[g])) for g in groups]
     joined = ranged.join(offsets, on=cond, how="inner")
-    out_cols = [F.col(f"`{c}`") for c in df.columns]
     idx = (F.col("_before") + F.col("_lpos") - F.col("_first")).cast("bigint").alias(name)
     return joined.select(*out_cols, idx)
 
 
+def _group_runs(groups: list[str]):
+    """Arrow pass over one sorted task: position of each row inside its run of
+    equal group keys (continuing across batch borders)."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        last = None     # group key of the previous row (across batches)
+        pos = -1        # its position inside its run
+        for b in batches:
+            n = b.num_rows
+            if n == 0:
+                yield b.append_column("_gpos", pa.array([], pa.int64()))
+                continue
+            change = np.zeros(n, dtype=bool)
+            for g in groups:
+                col = b.column(g)
+                valid = ~np.asarray(col.is_null().to_numpy(zero_copy_only=False), dtype=bool)
+                vals = col.to_numpy(zero_copy_only=False)
+                ne = np.asarray(vals[1:] != vals[:-1], dtype=bool)
+                if vals.dtype.kind == "f":
+                    ne &= ~(np.isnan(vals[1:]) & np.isnan(vals[:-1]))
+                both = valid[1:] & valid[:-1]
+                change[1:] |= (ne & both) | (valid[1:] != valid[:-1])
+            first = tuple(b.column(g)[0].as_py() for g in groups)
+            change[0] = last is None or first != last
+            idx = np.arange(n)
+            start = np.maximum.accumulate(np.where(change, idx, -1))
+            gpos = np.where(start >= 0, idx - start, pos + 1 + idx)
+            pos = int(gpos[-1])
+            last = tuple(b.column(g)[n - 1].as_py() for g in groups)
+            yield b.append_column("_gpos", pa.array(gpos, pa.int64()))
+
+    return run
+
+
+def _index_by_group_runs(ranged: DataFrame, groups: list[str], out_cols, stats: DataFrame,
+                         name: str) -> DataFrame:
+    from pyspark.sql import types as T
+    schema = T.StructType(list(ranged.schema.fields) + [T.StructField("_gpos", T.LongType())])
+    numbered = ranged.mapInArrow(_group_runs(groups), schema)
+    # Groups held by more than one task cross a task border; each border is
+    # crossed by at most one group, so these rows number at most 2 per task.
+    ren = {g: f"_k{i}" for i, g in enumerate(groups)}
+    spans = (stats.groupBy(*groups).agg(F.count(F.lit(1)).alias("_tasks"))
+             .where(F.col("_tasks") > 1)
+             .select(*[F.col(g).alias(ren[g]) for g in groups]))
+    cond_s = [F.col(g).eqNullSafe(F.col(ren[g])) for g in groups]
+    spanning = stats.join(F.broadcast(spans), on=cond_s, how="left_semi")
+    w = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = spanning.select(F.col("_pid").alias("_opid"),
+                              *[F.col(g).alias(ren[g]) for g in groups],
+                              F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
+    cond = [F.col("_pid") == F.col("_opid")] + [
+        F.col(g).eqNullSafe(F.col(ren[g])) for g in groups]
+    joined = numbered.join(F.broadcast(offsets), on=cond, how="left")
+    idx = (F.coalesce(F.col("_before"), F.lit(0)) + F.col("_gpos")).cast("bigint").alias(name)
+    return joined.select(*out_cols, idx)
+
+
 def cheapest_first(df: DataFrame, price: str = "price", tie: str = "product_id",
                    partition_by: list[str] | None = None, name: str = "price_rank") -> DataFrame:
     """Cheapest-first position (0-based) per group: price ascending (NULLs

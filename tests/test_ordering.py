@@ -72,3 +72,46 @@ def test_expected_pages(spark):
     df = spark.createDataFrame([("a", 3), ("b", None)], "category string, last_page long")
     got = sorted((r.category, r.page_no) for r in expected_pages(df).collect())
     assert got == [("a", 1), ("a", 2), ("a", 3), ("b", 1)]
+
+
+def test_many_groups_path_matches(spark):
+    """Past the broadcast bound the index comes from per-task runs plus the
+    offsets of groups that cross task borders; same answer as brute force."""
+    rng = random.Random(17)
+    rows = []
+    for i in range(4000):
+        g = "hot" if i % 3 == 0 else (None if i % 97 == 0 else f"g{rng.randint(0, 300)}")
+        rows.append((i, g, float(rng.randint(0, 20))))
+    df = spark.createDataFrame(rows, "id long, grp string, price double")
+    out = with_row_index(df, ["price", "id"], ["grp"], "rn", num_partitions=9,
+                         broadcast_rows=0).collect()
+    got = {r.id: r.rn for r in out}
+    want, groups = {}, {}
+    for r in rows:
+        groups.setdefault(r[1], []).append(r)
+    for g, rs in groups.items():
+        for i, r in enumerate(sorted(rs, key=lambda r: (r[2], r[0]))):
+            want[r[0]] = i
+    assert got == want
+
+
+def test_many_groups_path_multi_key_small_batches(spark):
+    rng = random.Random(23)
+    rows = [(i, rng.choice(["a", "b", None]), rng.choice([1, 2, None]), float(rng.randint(0, 9)))
+            for i in range(1500)]
+    df = spark.createDataFrame(rows, "id long, g1 string, g2 int, price double")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")   # runs cross batches
+    try:
+        out = with_row_index(df, ["price", "id"], ["g1", "g2"], "rn", num_partitions=5,
+                             broadcast_rows=0).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    got = {r.id: r.rn for r in out}
+    want, groups = {}, {}
+    for r in rows:
+        groups.setdefault((r[1], r[2]), []).append(r)
+    for rs in groups.values():
+        for i, r in enumerate(sorted(rs, key=lambda r: (r[3], r[0]))):
+            want[r[0]] = i
+    assert got == want
