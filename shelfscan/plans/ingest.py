@@ -35,7 +35,7 @@ def _nn_array(*cols):
 
 def _canonical_tile_json(t: DataFrame) -> DataFrame:
     return t.select(
-        *PAGE_KEYS, "product_id", "product_name", "brand",
+        *PAGE_KEYS, "tile_pos", "product_id", "product_name", "brand",
         _nn_array(F.col("category_name")).alias("category_path"),
         F.col("price").cast("string").alias("price_raw"), "price",
         F.lit("shelf").alias("price_basis"),
@@ -43,14 +43,14 @@ def _canonical_tile_json(t: DataFrame) -> DataFrame:
 
 
 def _canonical_card(t: DataFrame) -> DataFrame:
-    return t.select(*PAGE_KEYS, "product_id", "product_name", "price_raw", "price",
+    return t.select(*PAGE_KEYS, "tile_pos", "product_id", "product_name", "price_raw", "price",
                     F.lit("shelf").alias("price_basis"), "image_url", "product_url",
                     "rating", "parse_error")
 
 
 def _canonical_tile_attr(t: DataFrame) -> DataFrame:
     return t.select(
-        *PAGE_KEYS, "product_id", "product_name",
+        *PAGE_KEYS, "tile_pos", "product_id", "product_name",
         _nn_array("category_l1", "category_l2", "category_l3").alias("category_path"),
         "price_raw", "price", F.lit("shelf").alias("price_basis"),
         "image_url", F.col("product_urls").alias("product_url"), "rating", "labels",

@@ -380,6 +380,42 @@ SELECT lower(p_type) AS category, CAST(count(DISTINCT p_partkey // 50) AS BIGINT
   CASE WHEN lower(p_type) = 'promo' THEN 'empty'
        WHEN count(*) FILTER (WHERE p_partkey % 29 = 0) > 0 THEN 'error' ELSE 'saved' END AS status
 FROM part GROUP BY lower(p_type)""",
+    "ingest_snapshot": f"""
+SELECT 'r1' AS source, 'catalogue' AS category, DATE '2024-11-13' AS snapshot_date,
+  CAST(p_partkey // 50 AS BIGINT) AS page,
+  CASE WHEN {NOJSON} THEN NULL ELSE CAST(p_partkey AS VARCHAR) END AS product_id,
+  CASE WHEN {NOJSON} THEN NULL WHEN p_partkey % 7 = 0 THEN p_name || chr(39) || 's'
+       WHEN p_partkey % 11 = 0 THEN p_name || ' & co' ELSE p_name END AS product_name,
+  CASE WHEN {NOJSON} THEN NULL ELSE p_retailprice END AS price,
+  CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE {COMMA} || '€/kg' END AS unit_price_raw,
+  CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE 'https://img.example/' || p_partkey || '.jpg' END
+    AS image_url,
+  '/p/' || p_partkey AS product_url, CAST(NULL AS VARCHAR) AS rating,
+  CAST(NULL AS VARCHAR) AS promotion, CAST(NULL AS VARCHAR) AS parse_error,
+  CASE WHEN {NOJSON} THEN NULL ELSE p_type END AS category_l1,
+  CAST(CASE WHEN {NOJSON} THEN 0 ELSE 1 END AS BIGINT) AS n_categories,
+  '2024-11-13 17:34:05' AS observed_at
+FROM part
+UNION ALL
+SELECT 'r2', 'catalogue', DATE '2024-11-13', CAST(p_partkey // 50 AS BIGINT),
+  replace(p_name, ' ', '-') || '-' || p_partkey, p_name || ' ' || p_size || ' g', {DEC_NUM},
+  CAST(NULL AS VARCHAR), 'https://img.example/c/' || p_partkey || '.jpg',
+  'https://shop.example/produtos/' || replace(p_name, ' ', '-') || '-' || p_partkey || '/',
+  CASE WHEN p_partkey % 6 = 0 THEN CAST(p_size AS VARCHAR) END,
+  CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(0 AS BIGINT),
+  '2024-11-13 17:34:05'
+FROM part
+UNION ALL
+SELECT 'r3', 'catalogue', DATE '2024-11-13', CAST(p_partkey // 50 AS BIGINT),
+  CAST(p_partkey AS VARCHAR), p_name,
+  CASE WHEN p_partkey % 29 = 0 THEN NULL ELSE p_retailprice END,
+  CAST(NULL AS VARCHAR), 'https://img.example/a/' || p_partkey || '.png',
+  '{{"productUrl":"/p/' || p_partkey || '"}}', CAST(p_partkey AS VARCHAR),
+  CASE WHEN p_partkey % 4 = 0 THEN '-' || p_size || '%' END,
+  CASE WHEN p_partkey % 29 = 0 THEN 'missing: price_raw' END,
+  p_type, CAST(CASE WHEN p_partkey % 2 = 1 THEN 3 ELSE 2 END AS BIGINT),
+  '2024-11-13 17:34:05'
+FROM part""",
     "completeness_audit": """
 WITH r AS (SELECT lower(p_type) AS category, p_partkey,
              row_number() OVER (PARTITION BY lower(p_type) ORDER BY p_partkey) - 1 AS rn FROM part),

@@ -410,6 +410,36 @@ def q_completeness_audit(spark, sf):
     return _audit(pages, tiles, ["category"], "page_start", specs.PAGE_SIZE_TILE_JSON)
 
 
+def q_ingest_snapshot(spark, sf):
+    """The ingest job end to end: landed pages of all three layouts →
+    canonical product_snapshot rows."""
+    from ..plans.ingest import build_product_snapshot
+    from ..schemas import PAGES_RAW
+    day = F.lit(D.RUN_DATE).cast("date")
+
+    def landed(df, source, numbered):
+        pid = F.col("page_id").cast("int")
+        none = F.lit(None).cast("int")
+        return df.select(F.lit(source).alias("source"), F.lit("catalogue").alias("category"),
+                         day.alias("snapshot_date"),
+                         (pid if numbered else none).alias("page_no"),
+                         (none if numbered else pid).alias("page_start"), "html")
+
+    pages = (landed(D.json_tile_pages(spark, sf), "r1", False)
+             .unionByName(landed(D.card_pages(spark, sf), "r2", True))
+             .unionByName(landed(D.attr_tile_pages(spark, sf), "r3", False)))
+    snap = build_product_snapshot(conform(pages, PAGES_RAW), run_stamp="20241113_173405")
+    n_cat = F.when(F.col("category_path").isNull(), F.lit(0)).otherwise(F.size("category_path"))
+    return snap.select(
+        "source", "category", "snapshot_date",
+        F.coalesce("page_no", "page_start").cast("bigint").alias("page"),
+        "product_id", "product_name", "price", "unit_price_raw", "image_url", "product_url",
+        "rating", "promotion", "parse_error",
+        F.try_element_at("category_path", F.lit(1)).alias("category_l1"),
+        n_cat.cast("bigint").alias("n_categories"),
+        F.date_format("observed_at", "yyyy-MM-dd HH:mm:ss").alias("observed_at"))
+
+
 QUERIES: dict[str, Query] = {
     "price_parse": q_price_parse,
     "drop_missing": q_drop_missing,
@@ -462,4 +492,5 @@ QUERIES: dict[str, Query] = {
     "log_fields": q_log_fields,
     "run_report": q_run_report,
     "completeness_audit": q_completeness_audit,
+    "ingest_snapshot": q_ingest_snapshot,
 }

@@ -55,6 +55,8 @@ PRODUCT_SNAPSHOT = T.StructType([
     T.StructField("image_url", S), T.StructField("product_url", S),
     T.StructField("rating", S), T.StructField("labels", T.ArrayType(LABEL)),
     T.StructField("promotion", S), T.StructField("parse_error", S),
+    # where the product was found: page number or result offset, tile position
+    T.StructField("page_no", I), T.StructField("page_start", I), T.StructField("tile_pos", L),
     # partition columns last, in partition order
     T.StructField("source", S), T.StructField("snapshot_date", T.DateType()),
     T.StructField("category", S),
