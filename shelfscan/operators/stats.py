@@ -13,6 +13,8 @@ that hold a wanted rank survive to the final aggregate.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,7 +68,7 @@ def exact_quantiles(df: DataFrame, value: str, probs=DESCRIBE_PROBS,
         pts = vc.agg(F.percentile_approx("_v", fr, accuracy).alias("s")).first()["s"] or []
         vb = vc.withColumn("_splits", F.array(*[F.lit(float(x)) for x in pts])
                            if pts else F.array().cast("array<double>"))
-    vb = (vb.withColumn("_b", F.size(F.filter("_splits", lambda s: s < F.col("_v"))))
+    vb = (vb.withColumn("_b", bucket_of(F.col("_splits"), F.col("_v"), nb - 1))
             .drop("_splits")
             .repartition(nb, *key, "_b"))
     w_in = Window.partitionBy(*key, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
@@ -109,6 +111,20 @@ def exact_quantiles(df: DataFrame, value: str, probs=DESCRIBE_PROBS,
     return res.drop("_g") if not groups else res
 
 
+def bucket_of(splits, v, m: int):
+    """Number of the (sorted, length ``m``) split points below ``v``.
+
+    Two-level lookup in about 2*sqrt(m) comparisons instead of m: every k-th
+    split point gives a coarse bucket, then the k points of that stretch are
+    counted.
+    """
+    k = max(1, math.isqrt(max(m, 1)))
+    coarse = F.filter(splits, lambda x, i: (i + 1) % k == 0)
+    c = F.size(F.filter(coarse, lambda s: s < v))
+    stretch = F.slice(splits, c * k + 1, F.lit(k))
+    return c * k + F.size(F.filter(stretch, lambda s: s < v))
+
+
 # Largest group whose sorted values may be held in one aggregate buffer.
 EXACT_BUFFER_LIMIT = 1_000_000
 # Distributed path: values per bucket (one bucket is sorted in one task) and

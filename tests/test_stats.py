@@ -104,3 +104,26 @@ def test_describe_mixed_group_sizes(spark):
         assert got[g]["count"] == len(arr)
         for p in (25, 50, 75):
             assert got[g][f"q{p}"] == pytest.approx(np.percentile(arr, p), abs=1e-9)
+
+
+def test_bucket_lookup_matches_linear_count(spark):
+    from pyspark.sql import functions as F
+    from shelfscan.operators.stats import bucket_of
+    rnd = random.Random(4)
+    for m in (1, 2, 7, 50, 401):
+        splits = sorted(rnd.uniform(0, 100) for _ in range(m))
+        vals = [rnd.uniform(-5, 105) for _ in range(300)] + splits[:20]
+        df = spark.createDataFrame([(v,) for v in vals], "v double")
+        arr = F.array(*[F.lit(x) for x in splits])
+        got = [r.b for r in df.select(bucket_of(arr, F.col("v"), m).alias("b")).collect()]
+        assert got == [sum(1 for x in splits if x < v) for v in vals], m
+
+
+def test_quantiles_many_buckets(spark):
+    rnd = random.Random(12)
+    vals = [rnd.randint(0, 100000) / 7 for _ in range(4000)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = exact_quantiles(df, "x", (0.25, 0.5, 0.75), buckets=300).first()
+    arr = np.array(vals)
+    for p, c in [(25, "q25"), (50, "q50"), (75, "q75")]:
+        assert got[c] == pytest.approx(np.percentile(arr, p), abs=1e-9)
