@@ -73,11 +73,11 @@ def price_texts(part: DataFrame) -> DataFrame:
 
 
 def snapshot_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """``part`` split by key into three snapshot shapes (every row used once)."""
+    """The whole ``part`` catalogue listed by each of three retailers, in each
+    retailer's snapshot shape (the same products at three shops)."""
     part = table(spark, sf_dir, "part")
-    k3 = key_mod(3)
     cat_col = F.lower(F.col("p_type"))
-    r1 = part.where(k3 == 0).select(
+    r1 = part.select(
         F.col("p_name").alias("Product Name"),
         F.col("p_partkey").cast("string").alias("Product ID"),
         F.col("p_retailprice").alias("Price"),
@@ -85,13 +85,13 @@ def snapshot_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.col("p_brand").alias("Brand"), F.col("p_type").alias("Category"),
         cat_col.alias("cgid"), F.lit(RUN_DATE).alias("tracking_date"),
         F.lit("R1").alias("source"))
-    r2 = part.where(k3 == 1).select(
+    r2 = part.select(
         F.col("p_partkey").cast("string").alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.when(key_mod(7) == 0, F.lit("esgotado"))
          .otherwise(cat(comma_text(F.col("p_retailprice")), "€ / UN")).alias("product_price"),
         cat_col.alias("category"), F.lit("R2").alias("source"))
-    r3 = part.where(k3 == 2).select(
+    r3 = part.select(
         F.col("p_partkey").cast("string").alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_retailprice").alias("product_price"),

@@ -40,12 +40,12 @@ FROM b"""
 
 HARMONISED = f"""
 SELECT p_name AS product_name, {DEC_NUM} AS price, 'R1' AS source, 0 AS source_rank
-FROM part WHERE p_partkey % 3 = 0
+FROM part
 UNION ALL
 SELECT p_name, CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE {DEC_NUM} END, 'R2', 1
-FROM part WHERE p_partkey % 3 = 1
+FROM part
 UNION ALL
-SELECT p_name, p_retailprice, 'R3', 2 FROM part WHERE p_partkey % 3 = 2"""
+SELECT p_name, p_retailprice, 'R3', 2 FROM part"""
 
 
 def _stats(col: str, src: str, by: str = "") -> str:
@@ -141,8 +141,9 @@ ORACLE: dict[str, str] = {
     "harmonise": f"SELECT product_name, price, source FROM ({HARMONISED})",
     "row_counts": """
 SELECT source, category, count(*) AS n_rows FROM (
-  SELECT CASE p_partkey % 3 WHEN 0 THEN 'R1' WHEN 1 THEN 'R2' ELSE 'R3' END AS source,
-         lower(p_type) AS category FROM part) GROUP BY source, category""",
+  SELECT 'R1' AS source, lower(p_type) AS category FROM part
+  UNION ALL SELECT 'R2', lower(p_type) FROM part
+  UNION ALL SELECT 'R3', lower(p_type) FROM part) GROUP BY source, category""",
     "row_index": f"""
 SELECT product_name, price, source,
   CAST(row_number() OVER (ORDER BY source_rank, product_name NULLS LAST, price NULLS LAST) - 1
