@@ -19,6 +19,7 @@ from .. import specs
 from ..functions import html as dom
 from ..functions.price import parse_price, strip_text, to_number
 from ..functions.text import json_fields, max_digit_run, url_key
+from ..session import default_parallelism
 
 # --------------------------------------------------------------------------
 # Python side: small, per-page helpers executed inside the tasks.
@@ -181,7 +182,7 @@ def spread_pages(pages: DataFrame, keys: list[str], html_col: str = "html",
     """
     spark = pages.sparkSession
     n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                              spark.sparkContext.defaultParallelism)
+                              default_parallelism(spark))
     # A derived hash, not the bare key: an upstream ``groupBy(key)`` would
     # otherwise make this exchange look redundant, and adaptive execution may
     # have coalesced that upstream shuffle down to a single task.
@@ -324,7 +325,7 @@ PAGES_PER_TASK = 400
 
 def walk_partitions(n_pages: int, spark) -> int:
     """Parse-task count for ``n_pages`` pages (at least the default parallelism)."""
-    return max(spark.sparkContext.defaultParallelism, -(-n_pages // PAGES_PER_TASK))
+    return max(default_parallelism(spark), -(-n_pages // PAGES_PER_TASK))
 
 
 def page_links(pages: DataFrame, keys: list[str], html_col: str = "html") -> DataFrame:

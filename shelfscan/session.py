@@ -64,7 +64,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     we never replace it.  Only an unset value (tests, a laptop) gets a local
     folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Spark Connect session: the server's setting applies
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -76,7 +79,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    """Cluster parallelism (cores); shuffle partitions where it is not visible."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
+    base = ensure_checkpoint_dir(spark).rstrip("/") or tempfile.mkdtemp(prefix="shelfscan-")
     return f"{base}/shelfscan-{name}-{uuid.uuid4().hex[:12]}"
