@@ -160,3 +160,22 @@ def test_optional_nfc_normalisation(spark):
     # decomposed: 'dúzia' is missed and the length rule takes "6 m" of "meia"
     assert (raw.weight_unit, raw.quantity) == ("m", 6)
     assert (nfc.weight_unit, nfc.quantity, nfc.weight_value) == ("meia dúzia", 6, 72.0)
+
+
+def test_spread_exchange_survives_upstream_grouping(spark):
+    """Pages built by a groupBy on the page key must still be spread by the
+    derived hash right before the Python walk (an exchange on the bare key was
+    once dropped as redundant, pinning the parse to one task)."""
+    from pyspark.sql import functions as F
+    tiles = spark.range(0, 400).select((F.col("id") % 40).alias("page_id"),
+                                       F.lit('<div class="product-tile"><a href="/x">x</a></div>')
+                                       .alias("t"))
+    pages = tiles.groupBy("page_id").agg(F.concat_ws("", F.collect_list("t")).alias("html"))
+    out = X.explode_tiles(pages, "tile_json")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    plan = plan.split("Initial Plan")[-1]
+    assert "MapInArrow" in plan
+    assert "Exchange hashpartitioning(xxhash64(page_id" in plan
+    assert out.count() == 400
+    parts = out.groupBy(F.spark_partition_id()).count().count()
+    assert parts > 1
