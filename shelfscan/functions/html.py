@@ -123,6 +123,15 @@ class Node:
         return self.attrs.get(attr)
 
 
+def _attr_dict(attrs):
+    """Attributes as a dict (last duplicate wins); a valueless attribute reads
+    as the empty string, an absent one as ``None``."""
+    d = dict(attrs)
+    if None in d.values():
+        d = {k: ("" if v is None else v) for k, v in d.items()}
+    return d
+
+
 class _TreeBuilder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -131,15 +140,14 @@ class _TreeBuilder(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         parent = self.open[-1]
-        node = Node(tag, {k: ("" if v is None else v) for k, v in attrs}, parent)
+        node = Node(tag, _attr_dict(attrs), parent)
         parent.children.append(node)
         if tag not in VOID_TAGS:
             self.open.append(node)
 
     def handle_startendtag(self, tag, attrs):
         parent = self.open[-1]
-        parent.children.append(
-            Node(tag, {k: ("" if v is None else v) for k, v in attrs}, parent))
+        parent.children.append(Node(tag, _attr_dict(attrs), parent))
 
     def handle_endtag(self, tag):
         for i in range(len(self.open) - 1, 0, -1):

@@ -64,3 +64,12 @@ def test_next_sibling():
 def test_empty_document():
     assert parse(None).find_all("div") == []
     assert parse("").find("a") is None
+
+
+def test_valueless_and_duplicate_attributes():
+    root = parse('<input disabled name="a" name="b"><div class></div>')
+    inp = root.find("input")
+    assert inp.get("disabled") == "" and inp.get("missing") is None
+    assert inp.get("name") == "b"                      # last duplicate wins
+    assert root.find("div").get("class") == ""
+    assert root.find("div", "x") is None
