@@ -86,6 +86,11 @@ def with_row_index(df: DataFrame, order_by: list[Column | str],
     return joined.select(*out_cols, idx)
 
 
+def _same_key(a: tuple, b: tuple) -> bool:
+    """Group-key equality as grouping sees it: NULL equals NULL, NaN equals NaN."""
+    return all(x == y or (x != x and y != y) for x, y in zip(a, b))
+
+
 def _group_runs(groups: list[str]):
     """Arrow pass over one sorted task: position of each row inside its run of
     equal group keys (continuing across batch borders)."""
@@ -112,7 +117,7 @@ def _group_runs(groups: list[str]):
                 both = valid[1:] & valid[:-1]
                 change[1:] |= (ne & both) | (valid[1:] != valid[:-1])
             first = tuple(b.column(g)[0].as_py() for g in groups)
-            change[0] = last is None or first != last
+            change[0] = last is None or not _same_key(first, last)
             idx = np.arange(n)
             start = np.maximum.accumulate(np.where(change, idx, -1))
             gpos = np.where(start >= 0, idx - start, pos + 1 + idx)

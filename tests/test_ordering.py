@@ -115,3 +115,22 @@ def test_many_groups_path_multi_key_small_batches(spark):
         for i, r in enumerate(sorted(rs, key=lambda r: (r[3], r[0]))):
             want[r[0]] = i
     assert got == want
+
+
+def test_many_groups_path_nan_and_null_double_keys(spark):
+    rows = [(i, [float("nan"), None, 1.5][i % 3], float(i % 11)) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, g double, price double")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "13")
+    try:
+        out = with_row_index(df, ["price", "id"], ["g"], "rn", num_partitions=3,
+                             broadcast_rows=0).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    got = {r.id: r.rn for r in out}
+    want = {}
+    for k in range(3):
+        rs = sorted((r for r in rows if r[0] % 3 == k), key=lambda r: (r[2], r[0]))
+        for i, r in enumerate(rs):
+            want[r[0]] = i
+    assert got == want
