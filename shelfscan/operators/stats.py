@@ -225,9 +225,13 @@ def null_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     unpivoted; never one job per column.
     """
     cols = columns or df.columns
+    # count(*) and count(c) only: over a bare Parquet table read through the
+    # DataSource V2 reader (parquet not in spark.sql.sources.useV1SourceList)
+    # with spark.sql.parquet.aggregatePushdown=true, Spark answers them from
+    # file footers, so a wide text column is never read to count its NULLs.
     agg = df.agg(F.count(F.lit(1)).alias("_rows"),
-                 *[F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(cols)])
-    pairs = ", ".join(f"'{c}', `_n{i}`" for i, c in enumerate(cols))
+                 *[F.count(F.col(f"`{c}`")).alias(f"_c{i}") for i, c in enumerate(cols)])
+    pairs = ", ".join(f"'{c}', _rows - `_c{i}`" for i, c in enumerate(cols))
     return agg.selectExpr(f"stack({len(cols)}, {pairs}) as (column_name, n_null)",
                           "_rows as n_rows").select(
         "column_name", F.col("n_null").cast("bigint").alias("n_null"),

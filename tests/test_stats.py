@@ -127,3 +127,24 @@ def test_quantiles_many_buckets(spark):
     arr = np.array(vals)
     for p, c in [(25, "q25"), (50, "q50"), (75, "q75")]:
         assert got[c] == pytest.approx(np.percentile(arr, p), abs=1e-9)
+
+
+def test_null_profile_from_parquet_footers(spark):
+    """On a bare Parquet table with the V2 reader and aggregate pushdown, the
+    whole profile is answered from footers (no column data is read)."""
+    from tests.conftest import SF_SMALL
+    keys = ["spark.sql.parquet.aggregatePushdown", "spark.sql.sources.useV1SourceList"]
+    old = {k: spark.conf.get(k) for k in keys}
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    spark.conf.set("spark.sql.sources.useV1SourceList", "")
+    try:
+        d = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+        prof = null_profile(d)
+        plan = prof._jdf.queryExecution().executedPlan().toString()
+        got = {r.column_name: (r.n_null, r.n_rows) for r in prof.collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "PushedAggregation" in plan
+    n = d.count()
+    assert got["text"] == (d.where("text is null").count(), n)
