@@ -56,6 +56,31 @@ def harmonise(frames: dict[str, DataFrame], labels: dict[str, str] | None = None
     return out
 
 
+def harmonise_products(snapshot: DataFrame, labels: dict[str, str] | None = None,
+                       drop_missing: bool = False, with_basis: bool = False) -> DataFrame:
+    """The harmonised table straight from the typed ``product_snapshot``.
+
+    Same meaning as :func:`harmonise` over the CSV folders: a source whose
+    harmonised price is its unit-price text (``price_basis == "unit"``) takes
+    the parsed ``unit_price_raw``, the others their shelf ``price``.  One scan
+    of two or three columns; ``source``/``snapshot_date`` filters applied by the
+    caller prune partitions.
+    """
+    key = F.col("source")
+    unit_keys = [s.key for s in specs.SOURCES if s.price_basis == "unit"]
+    price = F.when(key.isin(unit_keys), parse_price("unit_price_raw")).otherwise(F.col("price"))
+    label = F.lit(None).cast("string")
+    basis = F.lit(None).cast("string")
+    for s, lab in reversed(_sources(labels)):
+        label = F.when(key == s.key, F.lit(lab)).otherwise(label)
+        basis = F.when(key == s.key, F.lit(s.price_basis)).otherwise(basis)
+    cols = [F.col("product_name"), price.alias("price"), label.alias("source")]
+    if with_basis:
+        cols.append(basis.alias("price_basis"))
+    out = snapshot.select(*cols)
+    return out.where(F.col("price").isNotNull()) if drop_missing else out
+
+
 def with_harmonised_index(harmonised: DataFrame, name: str = "row_index") -> DataFrame:
     """0..n-1 over the harmonised table in block order, then name, then price.
 

@@ -417,6 +417,15 @@ SELECT 'r3', 'catalogue', DATE '2024-11-13', CAST(p_partkey // 50 AS BIGINT),
   p_type, CAST(CASE WHEN p_partkey % 2 = 1 THEN 3 ELSE 2 END AS BIGINT),
   '2024-11-13 17:34:05'
 FROM part""",
+    "harmonise_snapshot": f"""
+SELECT CASE WHEN {NOJSON} THEN NULL WHEN p_partkey % 7 = 0 THEN p_name || chr(39) || 's'
+            WHEN p_partkey % 11 = 0 THEN p_name || ' & co' ELSE p_name END AS product_name,
+  CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE {DEC_NUM} END AS price, 'R1' AS source
+FROM part
+UNION ALL
+SELECT p_name || ' ' || p_size || ' g', {DEC_NUM}, 'R2' FROM part
+UNION ALL
+SELECT p_name, CASE WHEN p_partkey % 29 = 0 THEN NULL ELSE p_retailprice END, 'R3' FROM part""",
     "completeness_audit": """
 WITH r AS (SELECT lower(p_type) AS category, p_partkey,
              row_number() OVER (PARTITION BY lower(p_type) ORDER BY p_partkey) - 1 AS rn FROM part),

@@ -440,6 +440,24 @@ def q_ingest_snapshot(spark, sf):
         F.date_format("observed_at", "yyyy-MM-dd HH:mm:ss").alias("observed_at"))
 
 
+def q_harmonise_snapshot(spark, sf):
+    """Landed pages → product_snapshot → harmonised (name, price, source)."""
+    from ..operators.harmonise import harmonise_products
+    from ..plans.ingest import build_product_snapshot
+    from ..schemas import PAGES_RAW
+    day = F.lit(D.RUN_DATE).cast("date")
+
+    def landed(df, source):
+        return df.select(F.lit(source).alias("source"), F.lit("catalogue").alias("category"),
+                         day.alias("snapshot_date"), F.col("page_id").cast("int").alias("page_no"),
+                         F.lit(None).cast("int").alias("page_start"), "html")
+
+    pages = (landed(D.json_tile_pages(spark, sf), "r1")
+             .unionByName(landed(D.card_pages(spark, sf), "r2"))
+             .unionByName(landed(D.attr_tile_pages(spark, sf), "r3")))
+    return harmonise_products(build_product_snapshot(conform(pages, PAGES_RAW)))
+
+
 QUERIES: dict[str, Query] = {
     "price_parse": q_price_parse,
     "drop_missing": q_drop_missing,
@@ -493,4 +511,5 @@ QUERIES: dict[str, Query] = {
     "run_report": q_run_report,
     "completeness_audit": q_completeness_audit,
     "ingest_snapshot": q_ingest_snapshot,
+    "harmonise_snapshot": q_harmonise_snapshot,
 }

@@ -114,3 +114,23 @@ def test_incremental_ingest(spark, tmp_path):
     # only the new files were processed; nothing from batch1 was repeated
     got = sorted(r.product_id for r in spark.read.parquet(out).collect())
     assert got == ["1", "2", "3", "P1", "P2", "lasanha-1kg"]
+
+
+def test_harmonise_from_product_snapshot(spark, tmp_path):
+    from shelfscan.operators.harmonise import harmonise_products
+    from shelfscan.operators.stats import describe
+    pages_path, out = str(tmp_path / "pages"), str(tmp_path / "snap")
+    landed(spark).write.partitionBy("source", "snapshot_date").parquet(pages_path)
+    ingest.run(spark, pages_path, out)
+    snap = spark.read.parquet(out)
+    h = harmonise_products(snap, with_basis=True)
+    got = sorted((r.product_name, r.price, r.source, r.price_basis) for r in h.collect())
+    assert ("Queijo 200g", 2.49, "R1", "unit") in got          # from the unit-price text
+    assert ("Lasanha 1kg", 4.49, "R2", "shelf") in got
+    assert ("Creme", None, "R3", "shelf") in got               # kept with a missing price
+    assert len(got) == snap.count()
+    only_r2 = harmonise_products(snap.where(F.col("source") == "r2"))
+    plan = only_r2._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(source" in plan
+    d = describe(harmonise_products(snap, drop_missing=True), "price", ["source"]).collect()
+    assert {r.source for r in d} == {"R1", "R2", "R3"}
