@@ -32,7 +32,7 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 # Largest per-(task, group) offsets table that is broadcast back to the rows.
-OFFSETS_BROADCAST_ROWS = 1_000_000
+OFFSETS_BROADCAST_ROWS = 200_000  # ~10 MB: the size of a default auto-broadcast
 
 
 def with_row_index(df: DataFrame, order_by: list[Column | str],
