@@ -19,7 +19,7 @@ from .. import specs
 from ..functions import html as dom
 from ..functions.price import parse_price, strip_text, to_number
 from ..functions.text import json_fields, max_digit_run, url_key
-from ..session import default_parallelism
+from ..session import default_parallelism, ship_package
 
 # --------------------------------------------------------------------------
 # Python side: small, per-page helpers executed inside the tasks.
@@ -203,6 +203,7 @@ def walk_pages(pages: DataFrame, keys: list[str], html_col: str, rows_of,
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    ship_package(pages.sparkSession)
     if spread:
         pages = spread_pages(pages, keys, html_col, num_partitions)
     src = pages.select(*[F.col(f"`{k}`") for k in keys], F.col(f"`{html_col}`").alias("_html"))
@@ -330,6 +331,7 @@ def walk_partitions(n_pages: int, spark) -> int:
 
 def page_links(pages: DataFrame, keys: list[str], html_col: str = "html") -> DataFrame:
     """Per page: first ``<a href>`` in document order and the number of links."""
+    ship_package(pages.sparkSession)
     f = link_facts(F.col(f"`{html_col}`"))
     return spread_pages(pages, keys, html_col).select(
         *[F.col(f"`{k}`") for k in keys], f["first_href"].alias("first_href"),

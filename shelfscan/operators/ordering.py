@@ -131,6 +131,9 @@ def _group_runs(groups: list[str]):
 def _index_by_group_runs(ranged: DataFrame, groups: list[str], out_cols, stats: DataFrame,
                          name: str) -> DataFrame:
     from pyspark.sql import types as T
+
+    from ..session import ship_package
+    ship_package(ranged.sparkSession)
     schema = T.StructType(list(ranged.schema.fields) + [T.StructField("_gpos", T.LongType())])
     numbered = ranged.mapInArrow(_group_runs(groups), schema)
     # Groups held by more than one task cross a task border; each border is

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import log_fields, max_digit_run
+from ..session import ship_package
 from .extract import head_facts
 
 
@@ -52,6 +53,7 @@ def completeness_audit(pages: DataFrame, tiles: DataFrame, keys: list[str], page
     The counter and pager are read only from first pages, so the markup is
     parsed once more for one page per group, not for every page.
     """
+    ship_package(pages.sparkSession)
     fp = first_page if first_page is not None else (F.col(page_key) == F.lit(0))
     facts = head_facts(F.col(html_col))
     heads = (pages.where(fp)

@@ -21,6 +21,7 @@ def job_session(app: str) -> SparkSession:
              .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
              .getOrCreate())
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -54,6 +55,7 @@ def build_session(app: str = "shelfscan", cpus: int | str = "*",
     )
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -79,6 +81,43 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``shelfscan`` importable in the Python workers of this application.
+
+    The page walk and the page-fact UDFs run library functions inside tasks;
+    workers import them by module name.  The package's ``.py`` files are zipped
+    once per application and added with ``addPyFile`` (Spark distributes the
+    file to every executor).  A package installed on the cluster makes this a
+    harmless no-op duplicate.
+    """
+    import zipfile
+
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: ship as a session artifact
+        sc = None
+    key = sc.applicationId if sc is not None else f"connect-{id(spark)}"
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="shelfscan-pkg-"), "shelfscan.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg_dir):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    if sc is not None:
+        sc.addPyFile(out)
+    else:
+        spark.addArtifacts(out, pyfile=True)
+    _SHIPPED.add(key)
+
+
 def default_parallelism(spark: SparkSession) -> int:
     """Cluster parallelism (cores); shuffle partitions where it is not visible."""
     try:
