@@ -130,7 +130,11 @@ def scan(docs: DataFrame, base: dict[str, str] = BASE, statements: dict[str, tup
     spans = spans.withColumn("coverage", F.col("held") / F.col("n_grams"))
     fine = (F.col("coverage") >= COVERAGE) & (
         F.col("last") - F.col("first") + 1 <= F.col("words") + STRETCH)
-    return documents, spans.where(fine).select(
+    # of statements that start together, such as two versions of one license,
+    # the best covered ones hold
+    rivals = Window.partitionBy("k1", "k2", "is_base").orderBy("first").rangeBetween(-STRETCH, STRETCH)
+    spans = spans.where(fine).withColumn("best", F.max("coverage").over(rivals))
+    return documents, spans.where(F.col("is_base") | (F.col("coverage") == F.col("best"))).select(
         "k1", "k2", "tid", "label", "is_base", "first", "last", "coverage")
 
 
