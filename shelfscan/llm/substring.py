@@ -9,13 +9,15 @@ overlapping suffixes, and the anchor's gram is the prefix by which bundles
 are partitioned.
 
 1. Per document the anchors' grams are counted; grams seen once in the corpus
-   cannot belong to a repeat and go.
-2. Bundles of the other grams are sent, with their words, to tasks by gram and
-   read in gram order in memory-sized groups.  Each group gets its suffix tree
-   (as ranks of word prefixes of doubling lengths: the classes of equal rank
-   are the tree's nodes at that depth).  Nodes at the window's depth with two
-   suffixes or more are repeats; neighbouring ones join to maximal repeats.
-3. A gram with more than ``group_rows`` occurrences would not fit a group.  Its
+   cannot belong to a repeat and go.  A gram that is in one document only, but
+   more than once, can repeat only there and is settled in place.
+2. Bundles of the grams of two documents or more are sent by gram, equal bundles
+   of a batch of documents as one with all their places, and read in gram order in
+   memory-sized groups.  Each group gets its suffix tree (as ranks of word
+   prefixes of doubling lengths: the classes of equal rank are the tree's
+   nodes at that depth).  Nodes at the window's depth with two places or more
+   are repeats; neighbouring ones join to maximal repeats.
+3. A gram with more than ``group_rows`` places would not fit a group.  Its
    prefix is made longer, up to the whole window: windows are counted by a
    128-bit hash, combined before the shuffle, however many copies there are.
 """
@@ -35,7 +37,7 @@ from shelfscan.llm.winnow import MIX, rolling, window_minima
 
 WINDOW = 35             # words
 PREFIX = 8              # words of an anchor gram
-GROUP_ROWS = 20_000     # occurrences of a gram that one group may hold
+GROUP_ROWS = 1_000_000  # places of a gram that one group may hold (24 bytes each)
 TREE_WORDS = 1 << 20    # words of bundles a suffix tree is built over at a time, about
 BLOCK = 1 << 18         # windows of one document looked at at a time
 POSITION_BITS = 24      # low bits of an anchor's sort key (block positions fit)
@@ -67,9 +69,10 @@ def anchors(words: list[bytes], window: int = WINDOW, prefix: int = PREFIX):
     return tuple(np.concatenate([o[i] for o in out]) for i in range(4))
 
 
-def repeated_starts(bundles: list[list[bytes]], starts: list[int], window: int = WINDOW) -> list[np.ndarray]:
-    """Per bundle, the offsets below ``starts`` whose window of words is also
-    elsewhere in ``bundles``.
+def repeated_starts(bundles: list[list[bytes]], starts: list[int], places: list[int],
+                    window: int = WINDOW) -> list[np.ndarray]:
+    """Per bundle, the offsets below ``starts`` whose window of words has two
+    places or more; ``places`` says how many a bundle itself has.
 
     The suffixes' tree is held as ranks: after step j equal ranks mean equal
     first 2^j words, that is, one tree node at that depth."""
@@ -87,7 +90,7 @@ def repeated_starts(bundles: list[list[bytes]], starts: list[int], window: int =
         rank = _pair_ranks(rank[:-depth], rank[depth:])
         depth *= 2
     node = _pair_ranks(rank[suffix], rank[suffix + window - depth])
-    deep = np.bincount(node, minlength=1)[node] > 1
+    deep = np.bincount(node, np.array(places, np.int64)[owner], 1)[node] > 1
     ends = np.cumsum(n_starts)
     return [offset[e - n: e][deep[e - n: e]] for e, n in zip(ends.tolist(), n_starts.tolist())]
 
@@ -124,54 +127,77 @@ def _grams(window: int, prefix: int):
 
 
 def _bundles(window: int, prefix: int):
-    """Documents with their repeated grams -> bundles with their words."""
+    """Documents with their repeated grams -> bundles with their words and
+    places (k1, k2, first word).  A row without words is a repeat found in
+    place: ``n`` words from its place on."""
 
     def run(batches):
         for b in batches:
-            rows: list[tuple] = []
-            for k1, k2, body, some in zip(*(b.column(c).to_pylist()
-                                            for c in ("k1", "k2", "body", "some"))):
-                if not some:
-                    continue
+            at: dict[tuple, list[int]] = {}
+            for k1, k2, body, some, own in zip(*(b.column(c).to_pylist()
+                                                 for c in ("k1", "k2", "body", "some", "own"))):
                 words = body.split()
                 g, _, first, last = anchors(words, window, prefix)
-                hit = np.flatnonzero(np.isin(g, np.array(some, np.int64)))
-                rows.extend((int(g[i]), k1, k2, int(first[i]), int(last[i] - first[i]) + 1,
-                             b" ".join(words[first[i]: last[i] + window])) for i in hit.tolist())
+                for i in np.flatnonzero(np.isin(g, np.array(some, np.int64))).tolist():
+                    key = (int(g[i]), int(last[i] - first[i]) + 1,
+                           b" ".join(words[first[i]: last[i] + window]))
+                    at.setdefault(key, []).extend((k1, k2, int(first[i])))
+                here = np.flatnonzero(np.isin(g, np.array(own, np.int64))).tolist()
+                if here:
+                    found = repeated_starts([words[first[i]: last[i] + window] for i in here],
+                                            [int(last[i] - first[i]) + 1 for i in here],
+                                            [1] * len(here), window)
+                    starts = np.sort(np.concatenate([first[i] + f for i, f in zip(here, found)]))
+                    for start, end in _spans(starts, window):
+                        at.setdefault((k1, end - start, b""), []).extend((k1, k2, start))
+            rows = [(*key, np.array(v, "<i8").tobytes()) for key, v in at.items()]
             if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64()] * 5 + [pa.binary()])],
-                    ["g", "k1", "k2", "start", "n", "words"])
+                    [pa.array(c, t) for c, t in zip(
+                        zip(*rows), [pa.int64(), pa.int64(), pa.binary(), pa.binary()])],
+                    ["g", "n", "words", "places"])
     return run
 
 
 def _trees(window: int):
     """Bundles in gram order -> repeated spans, one suffix tree a group of whole grams."""
 
-    def run(batches):
-        held: list[tuple] = []
-        size, last = 0, None
+    def spans(rows: list[np.ndarray]):
+        all_rows = np.concatenate(rows) if rows else np.zeros((0, 4), np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(all_rows[:, i]) for i in range(4)],
+                                          ["k1", "k2", "from", "to"])
 
-        def grow():
-            found = repeated_starts([w for *_, w in held], [n for *_, n, _ in held], window)
-            rows = [(k1, k2, start + a, start + z) for (k1, k2, start, _, _), at in zip(held, found)
-                    for a, z in _spans(at, window)]
-            held.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [[]] * 4)],
-                ["k1", "k2", "from", "to"])
+    def grow(held: dict[tuple, list[bytes]]):
+        places = [np.frombuffer(b"".join(v), "<i8").reshape(-1, 3) for v in held.values()]
+        found = repeated_starts([words.split() for words, _ in held], [n for _, n in held],
+                                [len(x) for x in places], window)
+        return spans([np.c_[at[:, :2], at[:, 2] + a, at[:, 2] + z]
+                      for at, offsets in zip(places, found) for a, z in _spans(offsets, window)])
 
+    def run(batches):
+        held: dict[tuple, list[bytes]] = {}
+        size, last = 0, None
         for b in batches:
-            for g, k1, k2, start, n, words in zip(*(b.column(c).to_pylist() for c in (
-                    "g", "k1", "k2", "start", "n", "words"))):
+            whole = []
+            for g, n, words, places in zip(*(b.column(c).to_pylist()
+                                             for c in ("g", "n", "words", "places"))):
+                if not words:
+                    at = np.frombuffer(places, "<i8").reshape(-1, 3)
+                    whole.append(np.c_[at, at[:, 2] + n])
+                    continue
                 if g != last and size >= TREE_WORDS:
-                    yield grow()
-                    size = 0
+                    yield grow(held)
+                    held, size = {}, 0
                 last = g
-                held.append((k1, k2, start, n, words.split()))
-                size += len(held[-1][-1])
+                key = (words, n)
+                if key not in held:
+                    size += words.count(b" ") + 1
+                held.setdefault(key, []).append(places)
+                size += len(places) // 24
+            if whole:
+                yield spans(whole)
         if held:
-            yield grow()
+            yield grow(held)
     return run
 
 
@@ -198,16 +224,18 @@ def _windows(window: int, prefix: int):
 def _repeats(dealt: DataFrame, grams: DataFrame, window: int, prefix: int,
              group_rows: int) -> DataFrame:
     """``k1, k2, from, to``: repeated spans, from documents dealt by key."""
-    total = grams.groupBy("g").agg(F.sum("n").alias("total")).where("total > 1")
-    repeated = grams.join(total, "g").select(
-        "k1", "k2", "g", (F.col("total") > group_rows).alias("hot"))
+    total = (grams.groupBy("g").agg(F.sum("n").alias("total"), F.count("*").alias("docs"))
+             .where("total > 1"))
+    # 0: in this document only, 1: to be met in a tree, 2: too many places for one
+    way = (F.when(F.col("docs") == 1, 0).when(F.col("total") <= group_rows, 1).otherwise(2))
+    repeated = grams.join(total, "g").select("k1", "k2", "g", way.alias("way"))
     # per document: at most as many grams as it has words
-    by_doc = cut(repeated.groupBy("k1", "k2").agg(
-        F.collect_set(F.when(~F.col("hot"), F.col("g"))).alias("some"),
-        F.collect_set(F.when(F.col("hot"), F.col("g"))).alias("hot")))
-    cool = by_doc.where(F.size("some") > 0).select("k1", "k2", "some")
-    bundles = dealt.join(cool, ["k1", "k2"]).select("k1", "k2", "body", "some").mapInArrow(
-        _bundles(window, prefix), "g long, k1 long, k2 long, start long, n long, words binary")
+    by_doc = cut(repeated.groupBy("k1", "k2").agg(*[
+        F.collect_set(F.when(F.col("way") == i, F.col("g"))).alias(name)
+        for i, name in enumerate(("own", "some", "hot"))]))
+    met = by_doc.where("size(some) > 0 or size(own) > 0").select("k1", "k2", "some", "own")
+    bundles = dealt.join(met, ["k1", "k2"]).select("k1", "k2", "body", "some", "own").mapInArrow(
+        _bundles(window, prefix), "g long, n long, words binary, places binary")
     parts = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spans = (bundles.repartition(parts, "g").sortWithinPartitions("g")
              .mapInArrow(_trees(window), "k1 long, k2 long, from long, to long"))
