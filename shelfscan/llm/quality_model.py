@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from shelfscan.llm.common import cut, join_rows, narrow, prepare, same
 from shelfscan.llm.quality_rules import Features
 
-TRAIN_ROWS = 20_000     # labelled documents the model is fitted on, at most
+TRAIN_ROWS = 20_000     # labelled documents the model is fitted on, about
 RIDGE = 1.0
 STEPS = 30
 SITE_WEIGHT = 0.5       # weight of the site's log-odds beside the document's own
@@ -103,14 +103,16 @@ def fit(x: np.ndarray, y: np.ndarray) -> Model:
 
 def train(feats: DataFrame, labels: DataFrame, id_col: str = "doc_id",
           label_col: str = "quality", rows: int = TRAIN_ROWS) -> Model:
-    """Model from at most ``rows`` labelled documents, drawn by a hash of the
-    id.  Null labels and ids are left out; of contradicting labels the
-    smallest counts."""
+    """Model from about ``rows`` labelled documents (all, if fewer), drawn by a
+    hash of the id.  Null labels and ids are left out; of contradicting labels
+    the smallest counts."""
     known = (labels.select(labels[id_col].cast("long").alias("doc_id"),
                            labels[label_col].cast("int").alias("y")).dropna()
              .groupBy("doc_id").agg(F.min("y").alias("y")))
-    drawn = feats.join(known, "doc_id").select("doc_id", "k2", "x", "y").orderBy(
-        F.xxhash64("doc_id"), "doc_id", "k2").limit(rows).collect()
+    share = min(1.0, rows / max(1, known.count()))
+    known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    # in a fixed order, so that the fit does not depend on task order
+    drawn = sorted(feats.join(known, "doc_id").select("doc_id", "k2", "x", "y").collect())
     x = np.array([r.x for r in drawn], float).reshape(-1, N_FEATURES)
     return fit(x, np.array([r.y for r in drawn], float))
 
