@@ -2,12 +2,12 @@
 
 Two neighbouring symbols that no vocabulary token holds side by side can never
 be merged, so between them every encoding has a cut.  Words are split at these
-forced boundaries, the fragments are encoded independently (and remembered:
-far fewer fragments than words differ), and their ids are concatenated.
+forced boundaries, the fragments are encoded independently, and their ids are
+concatenated.  Words repeat, so a task remembers the recent ones.
 
 The vocabulary file follows the public ``tokenizers`` JSON layout for
-byte-level BPE with an end-of-word suffix; normalisation is done by that
-library.  The path is a parameter; the file is read on the driver and its
+byte-level BPE with an end-of-word suffix; that library's BPE model encodes
+the fragments.  The path is a parameter; the file is read on the driver and its
 content (of fixed size) is broadcast.
 """
 
@@ -16,20 +16,21 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
+from tokenizers.models import BPE
 
 from shelfscan.llm.common import narrow, prepare
 
-CACHE = 200_000         # words and fragments a task remembers before it starts afresh
-CHUNK = 1 << 20         # words of one text encoded at a time
-# All letters and numbers up to here have long been assigned, so that every
-# Unicode version classifies them alike.
+CACHE = 200_000         # words, and chunks of text, that a task remembers at least while it can
+# Up to this character all letters and numbers have long been assigned, and
+# normalisation but for the case changes nothing (but for U+0130).
 STABLE = 0x2FF
+UNUSUAL = re.compile("[^\t\n\r\x20-\x7e\xa0-\u012f\u0131-\u02ff]")
 
 
 def vocabulary_path() -> str:
@@ -46,6 +47,31 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in set(plain) else chr(next(other)) for b in range(256)]
 
 
+class _Recent(dict):
+    """Results of ``make``: the last CACHE new keys and those used since the CACHE before them."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.older = make, {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= CACHE:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
+def _stable_words() -> re.Pattern:
+    """The word pattern over characters up to STABLE, with their classes spelled out."""
+    kind = {k: re.escape("".join(chr(c) for c in range(STABLE + 1)
+                                 if unicodedata.category(chr(c))[0] == k)) for k in "LN"}
+    return re.compile(f"[{kind['L']}]+|[{kind['N']}]|'(?:s|t|re|ve|m|ll|d)|[^\\s{kind['L']}{kind['N']}]+")
+
+
 class Encoder:
     """Encodes and decodes texts as the vocabulary's own library does."""
 
@@ -56,20 +82,18 @@ class Encoder:
         self.suffix: str = model["end_of_word_suffix"] or ""
         merges = [tuple(m) if not isinstance(m, str) else tuple(m.split(" "))
                   for m in model["merges"]]
-        self.rank = {m: i for i, m in enumerate(merges)}
         self.library = Tokenizer.from_str(content)
-        self.normalizer = self.library.normalizer
+        self.last = self.library.model                         # for a word's last fragment
+        self.inner = BPE(vocab=self.vocab, merges=merges)      # for the others: no word end
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.at_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special))) + ")") \
             if self.special else None
-        pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.words = regex.compile(pattern)
-        self.symbols = byte_symbols()
-        self.table = {b: s for b, s in enumerate(self.symbols)}
+        self.words = _stable_words()
+        self.table = dict(enumerate(byte_symbols()))
         self.token_of = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
         self.joined = self._pairs()
-        self.by_word: dict[str, tuple[bytes, str, str]] = {}
-        self.by_fragment: dict[str, list[int]] = {}
+        self.by_word = _Recent(self._word)
+        self.by_chunk = _Recent(self._chunk)
 
     def _pairs(self) -> set[str]:
         """Symbol pairs that stand side by side inside some token."""
@@ -84,27 +108,6 @@ class Encoder:
         cuts = [i for i in range(1, len(symbols)) if symbols[i - 1: i + 1] not in self.joined]
         return [symbols[a:b] for a, b in zip([0, *cuts], [*cuts, len(symbols)])]
 
-    def _merge(self, fragment: str, ends_word: bool) -> list[int]:
-        parts = list(fragment)
-        if ends_word:
-            parts[-1] += self.suffix
-        while len(parts) > 1:
-            ranked = [(self.rank.get(p, 1 << 60), i) for i, p in enumerate(zip(parts, parts[1:]))]
-            best, at = min(ranked)
-            if best == 1 << 60:
-                break
-            left, right = parts[at], parts[at + 1]
-            out, i = [], 0
-            while i < len(parts):
-                if i + 1 < len(parts) and parts[i] == left and parts[i + 1] == right:
-                    out.append(left + right)
-                    i += 2
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
-        return [self.vocab[p] for p in parts]
-
     def _out(self, ids: list[int]) -> tuple[bytes, str, str]:
         """Ids as int32 (little-endian) bytes, as text, and their tokens; texts
         are joined by a space."""
@@ -112,43 +115,31 @@ class Encoder:
                 " ".join([self.token_of[i] for i in ids]))
 
     def _word(self, word: str) -> tuple[bytes, str, str]:
-        symbols = "".join([self.table[b] for b in word.encode()])
-        ids: list[int] = []
-        parts = self.fragments(symbols)
-        for i, part in enumerate(parts):
-            last = i + 1 == len(parts)
-            key = part + " " if last else part
-            got = self.by_fragment.get(key)
-            if got is None:
-                got = self._merge(part, last)
-                if len(self.by_fragment) >= CACHE:
-                    self.by_fragment.clear()
-                self.by_fragment[key] = got
-            ids += got
-        out = self._out(ids)
-        if len(self.by_word) >= CACHE:
-            self.by_word.clear()
-        self.by_word[word] = out
-        return out
-
-    def _split(self, text: str) -> list[str]:
-        """Words of a text without special tokens."""
-        normal = self.normalizer.normalize_str(text)
-        if normal and (normal.isascii() or ord(max(normal)) <= STABLE):
-            return self.words.findall(normal)
-        # newer characters: the library's own classes decide
-        return [normal[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(normal)]
-
-    def pieces(self, text: str):
-        """Ids (bytes, text) and tokens of successive words of ``text``, see ``_out``."""
-        parts = self.at_special.split(text) if self.at_special and "<" in text else [text]
-        for part in parts:
+        *inner, last = self.fragments("".join([self.table[b] for b in word.encode()]))
+        ids = [t.id for part in inner for t in self.inner.tokenize(part)]
+        return self._out(ids + [t.id for t in self.last.tokenize(last)])
+
+    def _chunk(self, chunk: str) -> tuple[bytes, str, str]:
+        parts = [self.by_word[w] for w in self.words.findall(chunk)]
+        if len(parts) == 1:
+            return parts[0]
+        return (b"".join([p[0] for p in parts]), " ".join([p[1] for p in parts]),
+                " ".join([p[2] for p in parts]))
+
+    def pieces(self, text: str) -> list[tuple[bytes, str, str]]:
+        """Ids (bytes, text) and tokens of successive parts of ``text``, see ``_out``."""
+        out: list[tuple[bytes, str, str]] = []
+        known = self.by_chunk
+        for part in self.at_special.split(text) if self.at_special and "<" in text else [text]:
             if part in self.special:
-                yield self._out([self.special[part]])
-                continue
-            words, known = self._split(part), self.by_word
-            for at in range(0, len(words), CHUNK):
-                yield from [known.get(w) or self._word(w) for w in words[at: at + CHUNK]]
+                out.append(self._out([self.special[part]]))
+            elif UNUSUAL.search(part) is None:
+                out += [known[c] for c in part.lower().split()]
+            else:   # the library's own normalisation and classes decide
+                normal = self.library.normalizer.normalize_str(part)
+                spans = self.library.pre_tokenizer.pre_tokenize_str(normal)
+                out += [self.by_word[normal[a:b]] for _, (a, b) in spans]
+        return out
 
     def encode(self, text: str) -> np.ndarray:
         return np.frombuffer(b"".join([p[0] for p in self.pieces(text)]), "<i4")
@@ -232,7 +223,7 @@ def digests(docs: DataFrame, path: str | None = None, id_col: str = "doc_id",
         for b in batches:
             n, of_ids, of_text = [], [], []
             for body in b.column("body").to_pylist():
-                pieces = list(e.pieces(_text(body)))
+                pieces = e.pieces(_text(body))
                 n.append(sum([len(p[0]) for p in pieces]) // 4)
                 of_ids.append(hashlib.sha256(" ".join([p[1] for p in pieces]).encode()).hexdigest())
                 of_text.append(hashlib.sha256(" ".join([p[2] for p in pieces]).encode()).hexdigest())

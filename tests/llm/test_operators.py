@@ -411,12 +411,23 @@ def test_bpe_on_strange_texts():
         assert e.decode(want) == t.decode(want, skip_special_tokens=False)
 
 
+def test_forced_boundaries():
+    with open(bpe.vocabulary_path(), encoding="utf-8") as f:
+        e = bpe.Encoder(f.read())
+    word = "hello" + chr(0x65E5) * 3 + "qzxj"
+    symbols = "".join(e.table[b] for b in word.encode())
+    parts = e.fragments(symbols)
+    assert "".join(parts) == symbols and len(parts) > 1
+    for a, b in zip(parts, parts[1:]):
+        assert not any(a[-1] + b[0] in t for t in e.vocab)
+
+
 def test_bpe_cache_is_bounded(monkeypatch):
     monkeypatch.setattr(bpe, "CACHE", 3)
     with open(bpe.vocabulary_path(), encoding="utf-8") as f:
         e = bpe.Encoder(f.read())
     a = e.encode("many different words here so that the cache overflows again and again").tolist()
-    assert len(e.by_word) <= 3 and len(e.by_fragment) <= 3 + 8
+    assert len(e.by_word) <= 3 and len(e.by_word.older) <= 3 and len(e.by_chunk) <= 3
     assert a == e.library.encode("many different words here so that the cache overflows again and again").ids
 
 
