@@ -19,9 +19,8 @@ CURRENCY_SIGN = "€"
 UNIT_SEPARATOR = "/"
 NUMBER_SHAPE = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
-# Python's str.strip() removes Unicode white space (incl. NBSP and the
-# information separators); SQL trim() only removes blanks.
-_EDGE_SPACE = r"(?U)^[\s\p{Z}\x1c-\x1f]+|[\s\p{Z}\x1c-\x1f]+$"
+# The characters that Python's str.strip() removes (SQL trim() only removes blanks).
+EDGE_SPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
 def _col(c: Column | str) -> Column:
@@ -30,32 +29,31 @@ def _col(c: Column | str) -> Column:
 
 def strip_text(c: Column | str) -> Column:
     """Strip leading/trailing white space the way Python's ``str.strip`` does."""
-    return F.regexp_replace(_col(c), _EDGE_SPACE, "")
+    return F.btrim(_col(c), F.lit(EDGE_SPACE))
 
 
 def clean_price_text(c: Column | str) -> Column:
-    """Text part of the rules: euro sign out, unit suffix cut, separators fixed."""
+    """Text part of the rules: euro sign out, unit suffix cut, separators fixed.
+
+    With a comma every dot goes and the comma becomes the decimal mark; without
+    dots there is nothing to remove, so both comma rules are one.
+    """
     s = _col(c).cast("string")
     s = F.replace(s, F.lit(CURRENCY_SIGN), F.lit(""))
-    s = F.split_part(s, F.lit(UNIT_SEPARATOR), F.lit(1))
-    s = strip_text(s)
-    has_comma = F.contains(s, F.lit(","))
-    has_dot = F.contains(s, F.lit("."))
-    return (
-        F.when(has_comma & has_dot,
-               F.replace(F.replace(s, F.lit("."), F.lit("")), F.lit(","), F.lit(".")))
-        .when(has_comma, F.replace(s, F.lit(","), F.lit(".")))
-        .otherwise(s)
-    )
+    s = strip_text(F.split_part(s, F.lit(UNIT_SEPARATOR), F.lit(1)))
+    return F.when(F.contains(s, F.lit(",")),
+                  F.replace(F.replace(s, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
+                  ).otherwise(s)
 
 
 def to_number(text: Column) -> Column:
     """Guarded number parse: NULL unless the text is a plain decimal number.
 
-    ``try_cast`` alone would accept ``1.5d``, ``2f``, ``nan`` and ``inf``; a
-    plain ``cast`` would abort an ANSI job on the first bad row.
+    ``try_cast`` alone would accept ``1.5d``, ``2f``, ``nan`` and ``inf``; the
+    pattern returns the whole text or, for anything else, an empty one, which
+    is no number.  The text is spelled out once.
     """
-    return F.when(text.rlike(NUMBER_SHAPE), text.try_cast("double"))
+    return F.regexp_extract(text, NUMBER_SHAPE, 0).try_cast("double")
 
 
 def parse_price(c: Column | str) -> Column:

@@ -48,14 +48,20 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _grp(name: Column, pattern: str, idx: int) -> Column:
-    return F.regexp_extract(name, UNICODE + pattern, idx)
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _hit(name: Column, pattern: str) -> Column:
-    # Every pattern needs at least one digit, so a hit is never the empty
-    # string; regexp_extract returns '' for no match.
-    return _grp(name, pattern, 0) != F.lit("")
+def _match(name: Column, pattern: str, use) -> Column:
+    """``use(group)`` where the pattern hits, else NULL.  The name is searched once;
+    groups are then read from the short text that matched."""
+    p = UNICODE + pattern
+
+    def found(text: Column) -> Column:
+        # Every pattern needs at least one digit, so a hit is never empty.
+        return F.when(text != F.lit(""), use(lambda i: F.regexp_extract(text, p, i)))
+    return _let(F.regexp_extract(name, p, 0), found)
 
 
 def _triple(value: Column, unit: Column, qty: Column) -> Column:
@@ -86,26 +92,22 @@ def _value(text: Column) -> Column:
 def match_weight(name: Column | str, decimal_comma: bool = False,
                  word_boundary: bool = False) -> Column:
     """``0.75l`` → (0.75, 'l', NULL); NULL struct when there is no hit."""
-    n = _col(name)
     p = _variant(WEIGHT_PATTERN, decimal_comma, word_boundary)
-    return F.when(_hit(n, p), _triple(_value(_grp(n, p, 1)), _grp(n, p, 3), F.lit(None)))
+    return _match(_col(name), p, lambda g: _triple(_value(g(1)), g(3), F.lit(None)))
 
 
 def match_multipack(name: Column | str, decimal_comma: bool = False,
                     word_boundary: bool = False) -> Column:
     """``4x125 g`` → (125, 'g', 4)."""
-    n = _col(name)
     p = _variant(MULTIPACK_PATTERN, decimal_comma, word_boundary)
-    return F.when(_hit(n, p), _triple(_value(_grp(n, p, 2)), _grp(n, p, 4),
-                                      _num(_grp(n, p, 1), "bigint")))
+    return _match(_col(name), p, lambda g: _triple(_value(g(2)), g(4), _num(g(1), "bigint")))
 
 
 def match_volume_pack(name: Column | str, word_boundary: bool = False) -> Column:
     """``6x25cl`` → (25, 'cl', 6)."""
-    n = _col(name)
     p = _variant(VOLUME_PACK_PATTERN, False, word_boundary)
-    return F.when(_hit(n, p), _triple(_num(_grp(n, p, 2), "double"), _grp(n, p, 3),
-                                      _num(_grp(n, p, 1), "bigint")))
+    return _match(_col(name), p,
+                  lambda g: _triple(_num(g(2), "double"), g(3), _num(g(1), "bigint")))
 
 
 def match_length(name: Column | str, word_boundary: bool = False) -> Column:
@@ -113,32 +115,27 @@ def match_length(name: Column | str, word_boundary: bool = False) -> Column:
     n = _col(name)
     p = _variant(LENGTH_PATTERN, False, word_boundary)
     guard = F.contains(n, F.lit("m")) & ~F.contains(n, F.lit("ml"))
-    return F.when(guard & _hit(n, p), _triple(F.lit(None), _grp(n, p, 2),
-                                              _num(_grp(n, p, 1), "bigint")))
+    return F.when(guard, _match(n, p, lambda g: _triple(F.lit(None), g(2), _num(g(1), "bigint"))))
 
 
 def match_doses(name: Column | str) -> Column:
-    n = _col(name)
-    p = DOSE_PATTERN
-    return F.when(_hit(n, p), _triple(F.lit(None), F.lit("doses"),
-                                      _num(_grp(n, p, 1), "bigint")))
+    return _match(_col(name), DOSE_PATTERN,
+                  lambda g: _triple(F.lit(None), F.lit("doses"), _num(g(1), "bigint")))
 
 
 def match_pairs(name: Column | str) -> Column:
-    n = _col(name)
-    p = PAIR_PATTERN
-    return F.when(_hit(n, p), _triple(F.lit(None), F.lit("par"),
-                                      _num(_grp(n, p, 1), "bigint")))
+    return _match(_col(name), PAIR_PATTERN,
+                  lambda g: _triple(F.lit(None), F.lit("par"), _num(g(1), "bigint")))
 
 
 def match_units(name: Column | str, word_boundary: bool = False) -> Column:
     """``16 un`` → (NULL, 'un', 16); a dozen unit also sets value = qty × 12."""
-    n = _col(name)
     p = _variant(UNIT_PATTERN, False, word_boundary)
-    qty = _num(_grp(n, p, 1), "bigint")
-    unit = _grp(n, p, 2)
-    value = F.when(unit.isin(DOZEN_UNITS), qty * F.lit(DOZEN_FACTOR))
-    return F.when(_hit(n, p), _triple(value, unit, qty))
+
+    def triple(qty: Column, unit: Column) -> Column:
+        return _triple(F.when(unit.isin(DOZEN_UNITS), qty * F.lit(DOZEN_FACTOR)), unit, qty)
+    return _match(_col(name), p, lambda g: _let(
+        F.struct(_num(g(1), "bigint").alias("q"), g(2).alias("u")), lambda t: triple(t["q"], t["u"])))
 
 
 def parse_quantity(name: Column | str, decimal_comma: bool = False,
@@ -153,8 +150,8 @@ def parse_quantity(name: Column | str, decimal_comma: bool = False,
     wb = word_boundary
     t = F.coalesce(match_units(n, wb), match_length(n, wb), match_volume_pack(n, wb),
                    match_multipack(n, decimal_comma, wb), match_weight(n, decimal_comma, wb))
-    empty = t["weight_value"].isNull() & t["quantity"].isNull()
-    return F.when(~empty, t).otherwise(F.lit(None).cast(TRIPLE_TYPE))
+    return _let(t, lambda x: F.when(
+        x["weight_value"].isNotNull() | x["quantity"].isNotNull(), x)).cast(TRIPLE_TYPE)
 
 
 def to_base_unit(value: Column | str, unit: Column | str) -> Column:
@@ -176,12 +173,12 @@ def standardise(triple: Column) -> Column:
     Mass and volume units convert and keep only the base unit; count units keep
     only the quantity; everything else (cl, m, mt, unknown) becomes all NULL.
     """
-    v, u, q = triple["weight_value"], triple["weight_unit"], triple["quantity"]
-    base = u.isin(MASS_UNITS + VOLUME_UNITS)
-    std_value = F.when(base, to_base_unit(v, u))
-    std_unit = F.when(u.isin(MASS_UNITS), F.lit("g")).when(u.isin(VOLUME_UNITS), F.lit("ml"))
-    std_qty = F.when(u.isin(COUNT_UNITS), q)
-    return _triple(std_value, std_unit, std_qty)
+    def standard(t: Column) -> Column:
+        v, u, q = t["weight_value"], t["weight_unit"], t["quantity"]
+        base = u.isin(MASS_UNITS + VOLUME_UNITS)
+        std_unit = F.when(u.isin(MASS_UNITS), F.lit("g")).when(u.isin(VOLUME_UNITS), F.lit("ml"))
+        return _triple(F.when(base, to_base_unit(v, u)), std_unit, F.when(u.isin(COUNT_UNITS), q))
+    return _let(triple, standard)
 
 
 def price_per_unit(price: Column | str, std_value: Column | str) -> Column:

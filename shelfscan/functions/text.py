@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 DATE_DIR_FORMAT = "yyyyMMdd"
 DATE_COLUMN_FORMAT = "yyyy-MM-dd"
 STAMP_FORMAT = "yyyyMMdd_HHmmss"
+STAMP_SHAPE = r"^\d{8}_([01]\d|2[0-3])[0-5]\d[0-5]\d$"
 LOG_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss,SSS"
 LOG_LINE_PATTERN = (r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2},\d{3}) - (.*?) - ([A-Z]+) - "
                     r"([^:\s]+):(\d+) - (\S+) - (.*)$")
@@ -54,8 +55,16 @@ def parse_column_date(text: Column | str) -> Column:
 
 
 def parse_stamp(text: Column | str) -> Column:
-    """``20241113_173405`` → TIMESTAMP_NTZ (wall clock, as written)."""
-    return F.try_to_timestamp(_col(text), F.lit(STAMP_FORMAT)).cast("timestamp_ntz")
+    """``20241113_173405`` → TIMESTAMP_NTZ (wall clock, as written).
+
+    Built from its parts, so no session time zone is involved: an hour that a
+    clock change skips stays as it is.  Anything else is NULL.
+    """
+    t = _col(text)
+    part = lambda at, n: F.substring(t, at, n).try_cast("int")
+    made = F.try_make_timestamp_ntz(part(1, 4), part(5, 2), part(7, 2), part(10, 2), part(12, 2),
+                                    part(14, 2).cast("decimal(16,6)"))
+    return F.when(t.rlike(STAMP_SHAPE), made)
 
 
 def format_dir_date(c: Column | str) -> Column:

@@ -3,6 +3,7 @@ shared scratch folder the cluster names in ``spark.checkpoint.dir``."""
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -63,8 +64,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset.
 
     A cluster names a shared folder (HDFS/S3/ABFS) in ``spark.checkpoint.dir``;
-    we never replace it.  Only an unset value (tests, a laptop) gets a local
-    folder.
+    we never replace it.  Only a local session (tests, a laptop) without one
+    gets a local folder; on a cluster executors could not read it, so an unset
+    value is an error there.
     """
     try:
         sc = spark.sparkContext
@@ -76,6 +78,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="shelfscan-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -126,7 +130,28 @@ def default_parallelism(spark: SparkSession) -> int:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
+def _remove_scratch() -> None:
+    """At exit: scratch tables are removed while their session still lives."""
+    for spark, path in _SCRATCH:
+        try:
+            sc = spark.sparkContext
+            where = sc._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
+        except Exception:  # noqa: BLE001 - the session has ended: nothing can be removed any more
+            return
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for written tables."""
-    base = ensure_checkpoint_dir(spark).rstrip("/") or tempfile.mkdtemp(prefix="shelfscan-")
-    return f"{base}/shelfscan-{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path under the shared checkpoint folder for written tables,
+    removed when the application ends."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    if not base:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    path = f"{base}/shelfscan-{name}-{uuid.uuid4().hex[:12]}"
+    if not _SCRATCH:
+        atexit.register(_remove_scratch)
+    _SCRATCH.append((spark, path))
+    return path
