@@ -9,8 +9,6 @@ the same document to every operator; ids may be null.
 
 from __future__ import annotations
 
-import atexit
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,29 +37,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-_WRITTEN: list[tuple[SparkSession, str]] = []
-
-
-def _remove_tables() -> None:
-    """At exit: written tables are removed while the session still lives."""
-    for spark, path in _WRITTEN:
-        try:
-            jvm = spark.sparkContext._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-        except Exception:  # noqa: BLE001 - the session is gone: leave the files to its owner
-            return
-
-
 def cut_table(df: DataFrame, name: str) -> DataFrame:
     """Like ``cut``, as a compressed Parquet table in the same shared folder:
     for many rows with repeating columns."""
     spark = prepare(df.sparkSession)
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    if not _WRITTEN:
-        atexit.register(_remove_tables)
-    _WRITTEN.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
