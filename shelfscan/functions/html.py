@@ -159,10 +159,17 @@ class _TreeBuilder(HTMLParser):
         self.open[-1].children.append(data)
 
 
+class BadMarkup(ValueError):
+    """The tokenizer failed on a page."""
+
+
 def parse(html: str | None) -> Node:
     """Parse markup into a tree; ``None`` gives an empty document."""
     b = _TreeBuilder()
     if html:
-        b.feed(html)
-        b.close()
+        try:
+            b.feed(html)
+            b.close()
+        except Exception as e:  # the tokenizer raises many kinds, assertions among them
+            raise BadMarkup(f"{type(e).__name__}: {e}") from e
     return b.root

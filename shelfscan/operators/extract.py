@@ -115,13 +115,22 @@ NUTRITION_SCHEMA = T.StructType([
 ])
 
 
+def _tree(html):
+    """The page's tree; a page the tokenizer fails on reads as empty here (the
+    tile walk reports it)."""
+    try:
+        return dom.parse(html)
+    except dom.BadMarkup:
+        return dom.parse(None)
+
+
 @pandas_udf(T.StringType())
 def counter_text(html):
     """Text of the result-counter node (exact class string), NULL if absent."""
     st = specs.RESULT_COUNTER
 
     def one(h):
-        n = dom.parse(h).find(st.tag, st.cls)
+        n = _tree(h).find(st.tag, st.cls)
         return "".join(n.strings()) if n is not None else None
     return html.map(one)
 
@@ -132,7 +141,7 @@ def pager_pages(html):
     st = specs.PAGER_NODE
 
     def one(h):
-        return [n.get(specs.PAGER_ATTR) for n in dom.parse(h).find_all(st.tag, st.cls, st.attr)]
+        return [n.get(specs.PAGER_ATTR) for n in _tree(h).find_all(st.tag, st.cls, st.attr)]
     return html.map(one)
 
 
@@ -144,7 +153,7 @@ def head_facts(html):
     cs, ps = specs.RESULT_COUNTER, specs.PAGER_NODE
     counters, pagers = [], []
     for h in html:
-        root = dom.parse(h)
+        root = _tree(h)
         n = root.find(cs.tag, cs.cls)
         counters.append("".join(n.strings()) if n is not None else None)
         pagers.append([x.get(specs.PAGER_ATTR) for x in root.find_all(ps.tag, ps.cls, ps.attr)])
@@ -158,7 +167,7 @@ def link_facts(html):
     import pandas as pd
 
     def one(h):
-        links = dom.parse(h).find_all("a", None, "href")
+        links = _tree(h).find_all("a", None, "href")
         return (links[0].get("href") if links else None, len(links))
     vals = [one(h) for h in html]
     return pd.DataFrame({"first_href": [v[0] for v in vals], "n_links": [v[1] for v in vals]})
@@ -200,6 +209,9 @@ def walk_pages(pages: DataFrame, keys: list[str], html_col: str, rows_of,
     crosses into Python.  ``normalize`` (e.g. ``"NFC"``) applies Unicode
     normalisation to the markup first, so decomposed accents read like
     composed ones (Spark SQL has no normaliser); off by default.
+
+    A page that cannot be read does not end the job: it gives one row whose
+    fields are NULL but for ``parse_error`` (where the layout has one).
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -212,6 +224,13 @@ def walk_pages(pages: DataFrame, keys: list[str], html_col: str, rows_of,
     is_map = [isinstance(f.dataType, T.MapType) for f in out_fields]
     width = len(out_fields)
     nkeys = len(keys)
+    names = [f.name for f in out_fields]
+
+    def safe_rows(h):
+        try:
+            return list(rows_of(h))
+        except dom.BadMarkup as e:
+            return [tuple(f"page: {e}" if n == "parse_error" else None for n in names)]
 
     def run(batches):
         import pyarrow as pa
@@ -235,7 +254,7 @@ def walk_pages(pages: DataFrame, keys: list[str], html_col: str, rows_of,
             idx: list[int] = []
             cols: list[list] = [[] for _ in range(width)]
             for i, h in enumerate(htmls):
-                for row in rows_of(h):
+                for row in safe_rows(h):
                     idx.append(i)
                     for j in range(width):
                         cols[j].append(row[j])

@@ -33,6 +33,9 @@ def harmonise(frames: dict[str, DataFrame], labels: dict[str, str] | None = None
     ``price_basis`` (``unit`` or ``shelf``): the first source's harmonised price
     is its per-kg/per-litre text, the others' a shelf price.
     """
+    unknown = sorted(set(frames) - {s.key for s in specs.SOURCES})
+    if unknown:
+        raise ValueError(f"no mapping for the sources {unknown}")
     parts = []
     for s, lab in _sources(labels):
         if s.key not in frames:

@@ -4,12 +4,12 @@ unpartitioned window.
 ``row_number() over (order by …)`` with no partition pulls every row into one
 task, and ``partition by category`` puts a hot category (possibly a third of
 all rows) into one task.  ``with_row_index`` instead range-partitions on
-(group keys, order keys) so a hot group is split across many tasks, numbers the
-rows of each task locally, and adds the count of the group's rows held by
-earlier tasks (a per-task summary whose size is bounded by tasks × groups).
+(group keys, order keys, row hash) so a hot group, or a run of equal keys, is
+split across many tasks, numbers the rows of each task locally, and adds the
+count of the group's rows held by earlier tasks.
 
-The locally numbered rows are checkpointed to the shared checkpoint folder
-before they are read twice (for the per-task summary and for the join back):
+The sorted rows are checkpointed to the shared checkpoint folder
+before they are read twice (for the per-task summary and for the numbering):
 range bounds are sampled per exchange, so two evaluations could split the rows
 differently; the checkpoint makes both readers see the same rows, cuts the
 lineage, and survives the loss of executors.
@@ -20,9 +20,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_POS_BITS = 33  # monotonically_increasing_id = partition id << 33 | position
-
-
 def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into ``spark.checkpoint.dir`` (set from the session
     conf when the context has none yet)."""
@@ -31,59 +28,54 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-# Largest per-(task, group) offsets table that is broadcast back to the rows.
-OFFSETS_BROADCAST_ROWS = 200_000  # ~10 MB: the size of a default auto-broadcast
-
-
 def with_row_index(df: DataFrame, order_by: list[Column | str],
                    partition_by: list[str] | None = None, name: str = "row_index",
-                   num_partitions: int | None = None,
-                   broadcast_rows: int = OFFSETS_BROADCAST_ROWS) -> DataFrame:
+                   num_partitions: int | None = None) -> DataFrame:
     """Add a dense 0-based BIGINT position per ``partition_by`` group.
 
     ``order_by`` should be a total order; rows tied on every key get
-    consecutive positions in an unspecified order among themselves.
-
-    The per-(task, group) offsets table has one row per group held by each
-    task.  It is counted, and broadcast back when it holds at most
-    ``broadcast_rows`` rows.  Beyond that (very many groups), each row's
-    position inside its group within its task comes from one streaming pass
-    over the sorted task (no shuffle), and only groups that span task
-    boundaries — at most two per task, so a bounded table — need an offset.
+    consecutive positions, ordered among themselves by a hash of the row.  That
+    hash is the last range key, so a run of equal keys (a third of all prices
+    missing, say) spreads over tasks like any other rows.
+
+    A row's position inside its group within its task comes from one streaming
+    pass over the sorted task (no second shuffle).  Only groups that cross a
+    task border need an offset: at most two per task, so that table is bounded by
+    the task count and broadcast.
     """
+    from pyspark.sql import types as T
+
+    from ..session import ship_package
+    ship_package(df.sparkSession)
     groups = list(partition_by or [])
+    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in hashable])
     keys: list[Column] = [F.col(g) for g in groups] + [
-        F.col(c) if isinstance(c, str) else c for c in order_by]
+        F.col(c) if isinstance(c, str) else c for c in order_by] + [tie]
     # No fixed count by default: adaptive execution sizes the range partitions
     # by bytes at run time (coalescing adjacent ranges keeps them ordered).
     rp = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
-    ranged = (rp.sortWithinPartitions(*keys)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_lpos", F.monotonically_increasing_id()
-                          - F.shiftleft(F.col("_pid").cast("bigint"), _POS_BITS)))
-    ranged = materialize(ranged)
-    out_cols = [F.col(f"`{c}`") for c in df.columns]
-    # Per (task, group): rows held and the first local position.
-    stats = ranged.groupBy("_pid", *groups).agg(F.min("_lpos").alias("_first"),
-                                                F.count(F.lit(1)).alias("_n"))
-    if groups and stats.count() > broadcast_rows:
-        return _index_by_group_runs(ranged, groups, out_cols, stats, name)
-    w = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    if not groups:
-        # one row per task
-        w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    # Offsets carry renamed keys so the join back is unambiguous.
+    ranged = materialize(rp.sortWithinPartitions(*keys).withColumn("_pid", F.spark_partition_id()))
+    schema = T.StructType(list(ranged.schema.fields) + [T.StructField("_gpos", T.LongType())])
+    numbered = ranged.mapInArrow(_group_runs(groups), schema)
+
+    # Rows of each group per task; groups of more than one task cross a border.
+    stats = ranged.groupBy("_pid", *groups).agg(F.count(F.lit(1)).alias("_n"))
     ren = {g: f"_k{i}" for i, g in enumerate(groups)}
-    offsets = stats.select(F.col("_pid").alias("_opid"),
-                           *[F.col(g).alias(ren[g]) for g in groups], "_first",
-                           F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
-    # Size proven above: one row per task, or at most ``broadcast_rows``.
-    offsets = F.broadcast(offsets)
+    spans = (stats.groupBy(*groups).agg(F.count(F.lit(1)).alias("_tasks"))
+             .where(F.col("_tasks") > 1)
+             .select(*[F.col(g).alias(ren[g]) for g in groups], "_tasks"))
+    cond_s = [F.col(g).eqNullSafe(F.col(ren[g])) for g in groups]
+    spanning = stats.join(F.broadcast(spans), on=cond_s or F.lit(True), how="left_semi")
+    w = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = spanning.select(F.col("_pid").alias("_opid"),
+                              *[F.col(g).alias(ren[g]) for g in groups],
+                              F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
     cond = [F.col("_pid") == F.col("_opid")] + [
         F.col(g).eqNullSafe(F.col(ren[g])) for g in groups]
-    joined = ranged.join(offsets, on=cond, how="inner")
-    idx = (F.col("_before") + F.col("_lpos") - F.col("_first")).cast("bigint").alias(name)
-    return joined.select(*out_cols, idx)
+    joined = numbered.join(F.broadcast(offsets), on=cond, how="left")
+    idx = (F.coalesce(F.col("_before"), F.lit(0)) + F.col("_gpos")).cast("bigint").alias(name)
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], idx)
 
 
 def _same_key(a: tuple, b: tuple) -> bool:
@@ -117,7 +109,7 @@ def _group_runs(groups: list[str]):
                 both = valid[1:] & valid[:-1]
                 change[1:] |= (ne & both) | (valid[1:] != valid[:-1])
             first = tuple(b.column(g)[0].as_py() for g in groups)
-            change[0] = last is None or not _same_key(first, last)
+            change[0] = last is None or not _same_key(first, last)      # no groups: one run
             idx = np.arange(n)
             start = np.maximum.accumulate(np.where(change, idx, -1))
             gpos = np.where(start >= 0, idx - start, pos + 1 + idx)
@@ -128,33 +120,6 @@ def _group_runs(groups: list[str]):
     return run
 
 
-def _index_by_group_runs(ranged: DataFrame, groups: list[str], out_cols, stats: DataFrame,
-                         name: str) -> DataFrame:
-    from pyspark.sql import types as T
-
-    from ..session import ship_package
-    ship_package(ranged.sparkSession)
-    schema = T.StructType(list(ranged.schema.fields) + [T.StructField("_gpos", T.LongType())])
-    numbered = ranged.mapInArrow(_group_runs(groups), schema)
-    # Groups held by more than one task cross a task border; each border is
-    # crossed by at most one group, so these rows number at most 2 per task.
-    ren = {g: f"_k{i}" for i, g in enumerate(groups)}
-    spans = (stats.groupBy(*groups).agg(F.count(F.lit(1)).alias("_tasks"))
-             .where(F.col("_tasks") > 1)
-             .select(*[F.col(g).alias(ren[g]) for g in groups]))
-    cond_s = [F.col(g).eqNullSafe(F.col(ren[g])) for g in groups]
-    spanning = stats.join(F.broadcast(spans), on=cond_s, how="left_semi")
-    w = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = spanning.select(F.col("_pid").alias("_opid"),
-                              *[F.col(g).alias(ren[g]) for g in groups],
-                              F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
-    cond = [F.col("_pid") == F.col("_opid")] + [
-        F.col(g).eqNullSafe(F.col(ren[g])) for g in groups]
-    joined = numbered.join(F.broadcast(offsets), on=cond, how="left")
-    idx = (F.coalesce(F.col("_before"), F.lit(0)) + F.col("_gpos")).cast("bigint").alias(name)
-    return joined.select(*out_cols, idx)
-
-
 def cheapest_first(df: DataFrame, price: str = "price", tie: str = "product_id",
                    partition_by: list[str] | None = None, name: str = "price_rank") -> DataFrame:
     """Cheapest-first position (0-based) per group: price ascending (NULLs

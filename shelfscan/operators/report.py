@@ -14,24 +14,29 @@ from ..session import ship_package
 from .extract import head_facts
 
 
+def _n_tiles(tiles: DataFrame) -> F.Column:
+    """Rows that are tiles: a page that could not be read has no position."""
+    return F.count("tile_pos" if "tile_pos" in tiles.columns else F.lit(1))
+
+
 def run_report(pages: DataFrame, tiles: DataFrame, keys: list[str],
                page_key: str) -> DataFrame:
     """Per ``keys`` group: pages landed, rows extracted, rows with a parse
-    error, and a status — ``empty`` (no rows), ``error`` (some row could not be
-    read) or ``saved``.
+    error, and a status — ``error`` (some row or page could not be read),
+    ``empty`` (no rows) or ``saved``.
 
     ``pages`` has one row per landed page (``keys`` + ``page_key``); ``tiles``
     one row per extracted tile with the same columns and ``parse_error``.
     """
     p = pages.groupBy(*keys).agg(F.countDistinct(page_key).alias("n_pages"))
     t = tiles.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_rows"),
+        _n_tiles(tiles).alias("n_rows"),
         F.count_if(F.col("parse_error").isNotNull()).alias("n_errors"))
     cond = [p[k].eqNullSafe(t[k]) for k in keys]
     j = p.join(t, on=cond, how="left")
     rows = F.coalesce(t["n_rows"], F.lit(0)).cast("bigint")
     errs = F.coalesce(t["n_errors"], F.lit(0)).cast("bigint")
-    status = (F.when(rows == 0, F.lit("empty")).when(errs > 0, F.lit("error"))
+    status = (F.when(errs > 0, F.lit("error")).when(rows == 0, F.lit("empty"))
               .otherwise(F.lit("saved")))
     return j.select(*[p[k] for k in keys], p["n_pages"].cast("bigint").alias("n_pages"),
                     rows.alias("n_rows"), errs.alias("n_errors"), status.alias("status"))
@@ -61,7 +66,7 @@ def completeness_audit(pages: DataFrame, tiles: DataFrame, keys: list[str], page
                      F.try_element_at(facts["pager"], F.lit(-1)).try_cast("bigint").alias("_last"))
              .groupBy(*keys).agg(F.max("_exp").alias("expected_total"),
                                  F.max("_last").alias("last_page")))
-    per_page = tiles.groupBy(*keys, page_key).agg(F.count(F.lit(1)).alias("_rows"))
+    per_page = tiles.groupBy(*keys, page_key).agg(_n_tiles(tiles).alias("_rows"))
     landed = pages.select(*keys, page_key).distinct()
     cond_p = [landed[k].eqNullSafe(per_page[k]) for k in keys + [page_key]]
     pg = landed.join(per_page, on=cond_p, how="left").select(

@@ -26,6 +26,7 @@ from ..sources.pages import read_pages_table
 from ..session import job_session
 from ..sources.sinks import write_snapshot
 
+UNKNOWN_SOURCE = "page: unknown source"
 PAGE_KEYS = ["source", "category", "snapshot_date", "page_no", "page_start"]
 
 
@@ -66,7 +67,9 @@ def build_product_snapshot(pages: DataFrame, run_stamp: str | None = None,
     """Every landed page → one canonical row per product tile.
 
     ``pages`` has the ``PAGES_RAW`` columns; ``source`` values are the keys of
-    ``specs.SOURCES``.  ``run_stamp`` (``yyyyMMdd_HHmmss``) fills
+    ``specs.SOURCES``.  A page of any other source, or one that cannot be read,
+    is one row with a ``parse_error`` and no product, which the run report
+    counts.  ``run_stamp`` (``yyyyMMdd_HHmmss``) fills
     ``observed_at`` — the run time is a job argument, never ``now()``.
     """
     parts = []
@@ -75,6 +78,9 @@ def build_product_snapshot(pages: DataFrame, run_stamp: str | None = None,
         tiles = X.extract_products(mine, spec.layout, keys=PAGE_KEYS,
                                    num_partitions=num_partitions)
         parts.append(CANONICAL[spec.layout](tiles))
+    known = F.col("source").isin([spec.key for spec in specs.SOURCES])
+    parts.append(pages.where(~F.coalesce(known, F.lit(False)))
+                 .select(*PAGE_KEYS, F.lit(UNKNOWN_SOURCE).alias("parse_error")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)

@@ -38,7 +38,7 @@ def run_harmonise(spark: SparkSession, dirs: dict[str, str], out: str,
 
 
 def run_unit_price(spark: SparkSession, input_dir: str, schema: str, out: str) -> None:
-    snaps = read_csv_snapshots(spark, input_dir, schema, exclude_outputs=True)
+    snaps = read_csv_snapshots(spark, input_dir, schema)
     unit_price(snaps).write.mode("overwrite").parquet(out)
 
 

@@ -15,10 +15,9 @@ def write_snapshot(df: DataFrame, path: str, partition_by: list[str] | None = No
 
     Overwrite is *dynamic*: only the partitions present in ``df`` are
     replaced, so re-running one category of one day replaces that category
-    only.  Rows are range-partitioned on (partition columns, row hash): each
-    task writes few files, and a hot partition value (say one source holding a
-    third of all rows) is spread over proportionally many tasks instead of one.
-    The hash is of the row itself, so a retried task gets the same rows.
+    only.  Rows are rebalanced by the partition columns: each task writes few
+    files, and adaptive execution splits a hot partition value (say one source
+    holding a third of all rows) over several tasks.  ``df`` is evaluated once.
     Partition values with ``/`` are escaped by Spark and read back intact.
     """
     parts = partition_by or PARTITION_COLUMNS
@@ -28,13 +27,10 @@ def write_snapshot(df: DataFrame, path: str, partition_by: list[str] | None = No
 
 
 def cluster_for_write(df: DataFrame, parts: list[str]) -> DataFrame:
-    """Range-partition on (partition columns, row hash) before a partitioned
-    write: few files per task, hot partition values spread over many tasks,
-    and the same rows per task on a retry.  No fixed count: adaptive execution
-    sizes the write tasks by bytes."""
-    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in hashable])
-    return df.repartitionByRange(*[F.col(c) for c in parts], row_hash)
+    """Rebalance by the partition columns before a partitioned write: few files
+    per task, hot values split by size at run time.  Unlike a range exchange it
+    samples nothing, so the upstream runs once."""
+    return df.hint("rebalance", *parts)
 
 
 PAGE_PARTITIONS = ["source", "snapshot_date", "category"]

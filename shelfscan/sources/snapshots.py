@@ -7,11 +7,15 @@ row's file path (``_metadata.file_path``), so no Python loop over files.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import csv
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import parse_dir_date
+from ..operators.conform import conform, empty_frame
 from ..schemas import CSV_SCHEMAS
 
 # Folder date and file-name shape of the snapshot layout.  A
@@ -19,21 +23,48 @@ from ..schemas import CSV_SCHEMAS
 DATE_DIR = r"/(?:[^/=]+=)?(\d{8})/(?:[^/]+/)?[^/]*$"
 CATEGORY_FILE = r"/([^/]+?)(?:_\d{8})?\.csv$"
 CATEGORY_DIR = r"/(?:category|category_file|cgid)=([^/]+)/[^/]*$"
-OUTPUT_PREFIX = "processed_"
 
 CSV_OPTIONS = {"header": "true", "escape": '"', "encoding": "UTF-8", "mode": "PERMISSIVE"}
 
 
+def _decoded(text: Column) -> Column:
+    """Percent-encoding undone (a plus sign stays one)."""
+    return F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+
+
+def file_category(path: Column) -> Column:
+    """Category of a snapshot file: from a ``category=…`` folder, whose writer
+    escaped the value once more, or else from the file's name."""
+    folder = F.regexp_extract(path, CATEGORY_DIR, 1)
+    return F.when(folder != "", _decoded(_decoded(folder))).otherwise(
+        _decoded(F.regexp_extract(path, CATEGORY_FILE, 1)))
+
+
+def _layouts(spark: SparkSession, paths: str | list[str], exclude: list[str]) -> dict[str, list[str]]:
+    """Header line -> files that start with it.  One text scan that keeps a
+    file's first line only; the driver gets file names, as for any file scan."""
+    lines = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
+             .text(paths).where(F.col("_metadata.file_block_start") == 0)
+             .groupBy(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_name").alias("name"))
+             .agg(F.first("value").alias("header")))
+    out: dict[str, list[str]] = {}
+    for r in lines.where(~F.col("name").isin(exclude)).collect() if exclude else lines.collect():
+        out.setdefault(r.header.lstrip("\ufeff").rstrip("\r"), []).append(r.file)
+    return out
+
+
 def read_csv_snapshots(spark: SparkSession, paths: str | list[str],
-                       schema: T.StructType | str, exclude_outputs: bool = True,
+                       schema: T.StructType | str, exclude: list[str] | None = None,
                        multiline: bool = True) -> DataFrame:
-    """Read snapshot CSVs with a declared schema (never inferred).
+    """Read snapshot CSVs with a declared schema (never inferred), columns by name.
 
-    ``schema`` is a StructType or a source key (``r1``/``r2``/``r3``).  Adds
-    ``snapshot_date`` (DATE, from the folder name), ``category`` (from the
-    file name) and ``file_path``.  Only the empty field is NULL: ``NA`` or
-    ``None`` stay text.  Files named ``processed_*`` are skipped when
-    ``exclude_outputs`` so a job never re-reads its own output.
+    ``schema`` is a StructType or a source key (``r1``/``r2``/``r3``).  Files
+    may differ in the order of their columns, lack some (NULL) or have others
+    (left out): files are grouped by their header line, each group is read in
+    its own column order and conformed to the schema.  Adds ``snapshot_date``
+    (DATE, from the folder name), ``category`` (from the folder or file name)
+    and ``file_path``.  Only the empty field is NULL: ``NA`` or ``None`` stay text.
+    ``exclude`` names files to leave out, by exact file name.
 
     ``multiline`` reads quoted fields that contain line breaks, as the
     original writer could produce; it makes each file one task.  Per-category
@@ -42,26 +73,39 @@ def read_csv_snapshots(spark: SparkSession, paths: str | list[str],
     Spark split them.
     """
     sch = CSV_SCHEMAS[schema] if isinstance(schema, str) else schema
-    # recursiveFileLookup: the folder names are parsed below, never turned
-    # into inferred partition columns.
-    reader = (spark.read.schema(sch).options(**CSV_OPTIONS)
-              .option("multiLine", str(multiline).lower())
-              .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv"))
-    df = reader.csv(paths)
-    if exclude_outputs:
-        df = df.where(~F.col("_metadata.file_name").startswith(OUTPUT_PREFIX))
-    fp = F.col("_metadata.file_path")
-    category = F.coalesce(F.nullif(F.regexp_extract(fp, CATEGORY_DIR, 1), F.lit("")),
-                          F.regexp_extract(fp, CATEGORY_FILE, 1))
-    return df.select("*",
-                     parse_dir_date(F.regexp_extract(fp, DATE_DIR, 1)).alias("snapshot_date"),
-                     category.alias("category"),
-                     fp.alias("file_path"))
+    declared = {f.name: f for f in sch.fields}
+    extra = T.StructType([T.StructField("snapshot_date", T.DateType()),
+                          T.StructField("category", T.StringType()),
+                          T.StructField("file_path", T.StringType())])
+    parts = []
+    for header, files in sorted(_layouts(spark, paths, exclude or []).items()):
+        names = next(csv.reader([header]), [])
+        taken: set[str] = set()
+        fields = []
+        for i, n in enumerate(names):       # a repeated name counts where it stands first
+            fields.append(declared[n] if n in declared and n not in taken
+                          else T.StructField(f"_other_{i}", T.StringType()))
+            taken.add(n)
+        df = (spark.read.schema(T.StructType(fields)).options(**CSV_OPTIONS)
+              .option("multiLine", str(multiline).lower()).csv([_decode_path(f) for f in files]))
+        fp = F.col("_metadata.file_path")
+        df = df.select("*", parse_dir_date(F.regexp_extract(fp, DATE_DIR, 1)).alias("snapshot_date"),
+                       file_category(fp).alias("category"), _decoded(fp).alias("file_path"))
+        parts.append(conform(df, T.StructType(sch.fields + extra.fields)))
+    if not parts:
+        return empty_frame(spark, T.StructType(sch.fields + extra.fields))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _decode_path(uri: str) -> str:
+    """A reported file URI as a path to read, glob characters taken literally."""
+    return "".join("\\" + c if c in "{}[]*?\\" else c for c in unquote(uri))
 
 
 def read_name_column(spark: SparkSession, path: str, schema: T.StructType | str,
                      column: str = "product_name") -> DataFrame:
-    """Single-file scan of one column (the scan reads only that column)."""
-    sch = CSV_SCHEMAS[schema] if isinstance(schema, str) else schema
-    return (spark.read.schema(sch).options(**CSV_OPTIONS).option("multiLine", "true")
-            .csv(path).select(column))
+    """Scan of one column, found by its name in the header."""
+    return read_csv_snapshots(spark, path, schema).select(column)

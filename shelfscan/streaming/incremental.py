@@ -2,20 +2,24 @@
 
 Each crawl lands page files under ``pages_raw``; instead of re-reading every
 day's folder, a Structured Streaming query picks up only the files it has not
-seen (file-source log in the checkpoint), walks them with the same
-transformations as the batch ingest job, and appends to the partitioned
-``product_snapshot`` through the file sink, whose metadata log makes the
-output exactly-once across restarts.  ``availableNow`` processes what is there
-and stops, so a scheduler can run it once a day like the batch job.
+seen (file-source log in the checkpoint).  For every micro-batch the touched
+categories (source, date, category) are built anew from all their landed pages
+and written with the batch writer, which replaces just those partitions.  So a
+replayed micro-batch changes nothing, a category that arrives in several files
+is whole, and batch and stream share one table.  ``availableNow`` processes
+what is there and stops, so a scheduler can run it once a day.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.ingest import build_product_snapshot
 from ..schemas import PAGES_RAW, PARTITION_COLUMNS
+from ..sources.pages import read_pages_table
+from ..sources.sinks import write_snapshot
 
 
 def start_incremental_ingest(spark: SparkSession, pages_path: str, out_path: str,
@@ -27,13 +31,20 @@ def start_incremental_ingest(spark: SparkSession, pages_path: str, out_path: str
     reader = spark.readStream.schema(PAGES_RAW)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    pages = reader.parquet(pages_path)
-    rows = build_product_snapshot(pages, run_stamp)
-    w = (rows.writeStream.format("parquet").outputMode("append")
-         .partitionBy(*PARTITION_COLUMNS)
+    keys = [F.col(k) for k in PARTITION_COLUMNS]
+
+    def land(batch: DataFrame, _: int) -> None:
+        session = batch.sparkSession
+        touched = batch.select(*[c.alias(f"_t{i}") for i, c in enumerate(keys)]).distinct()
+        pages = read_pages_table(session, pages_path)
+        same = [c.eqNullSafe(F.col(f"_t{i}")) for i, c in enumerate(keys)]
+        write_snapshot(build_product_snapshot(pages.join(touched, on=same, how="left_semi"),
+                                              run_stamp), out_path)
+
+    w = (reader.parquet(pages_path).select(*keys).writeStream.foreachBatch(land)
          .option("checkpointLocation", checkpoint_location))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start(out_path)
+    return w.start()
 
 
 def main(argv: list[str] | None = None) -> None:

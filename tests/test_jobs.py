@@ -116,6 +116,40 @@ def test_incremental_ingest(spark, tmp_path):
     assert got == ["1", "2", "3", "P1", "P2", "lasanha-1kg"]
 
 
+def test_batch_and_stream_share_a_table(spark, tmp_path):
+    """Batch, stream, batch over one table: every row is there, and a category
+    that lands again (in two files, one per micro-batch) is replaced whole."""
+    land, out, ck = tmp_path / "landing", str(tmp_path / "snap"), str(tmp_path / "ck")
+    pages = landed(spark)
+    pages.where("source = 'r1'").write.parquet(str(land / "a"))
+    ingest.run(spark, str(land / "*"), out)
+    pages.where("source = 'r2'").write.parquet(str(land / "b"))
+    pages.where("source = 'r3'").coalesce(1).write.parquet(str(land / "c"))
+    start_incremental_ingest(spark, str(land / "*"), out, ck, max_files_per_trigger=1).awaitTermination()
+    ids = lambda: sorted(r.product_id for r in spark.read.parquet(out).collect())
+    assert ids() == ["1", "2", "3", "P1", "P2", "lasanha-1kg"]
+    ingest.run(spark, str(land / "a"), out)
+    assert ids() == ["1", "2", "3", "P1", "P2", "lasanha-1kg"]
+
+
+def test_bad_pages_are_rows(spark):
+    """A page the tokenizer fails on and a page of an unknown source are error rows."""
+    day = dt.date(2024, 11, 13)
+    pages = landed(spark).unionByName(spark.createDataFrame(
+        [("r1", "broken", day, None, 0, "<![foo[bar]]>"), ("r9", "x", day, 1, None, "<p>hi</p>"),
+         (None, "x", day, 1, None, None)], PAGES_RAW))
+    snap = ingest.build_product_snapshot(pages)
+    errors = {(r.source, r.category): r.parse_error for r in snap.where("tile_pos is null").collect()}
+    assert errors["r1", "broken"].startswith("page: AssertionError")
+    assert errors["r9", "x"] == errors[None, "x"] == ingest.UNKNOWN_SOURCE
+    rep = {(r.source, r.category): (r.n_pages, r.n_rows, r.status) for r in run_report(
+        pages.withColumn("page", F.coalesce("page_no", "page_start")), snap,
+        ["source", "category"], "page").collect()}
+    assert rep["r1", "broken"] == (1, 0, "error") and rep["r9", "x"] == (1, 0, "error")
+    with pytest.raises(ValueError):
+        jobs.harmonise({"r9": pages})
+
+
 def test_harmonise_from_product_snapshot(spark, tmp_path):
     from shelfscan.operators.harmonise import harmonise_products
     from shelfscan.operators.stats import describe

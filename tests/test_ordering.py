@@ -75,16 +75,14 @@ def test_expected_pages(spark):
 
 
 def test_many_groups_path_matches(spark):
-    """Past the broadcast bound the index comes from per-task runs plus the
-    offsets of groups that cross task borders; same answer as brute force."""
+    """The index comes from per-task runs plus the offsets of groups that cross task borders; same answer as brute force."""
     rng = random.Random(17)
     rows = []
     for i in range(4000):
         g = "hot" if i % 3 == 0 else (None if i % 97 == 0 else f"g{rng.randint(0, 300)}")
         rows.append((i, g, float(rng.randint(0, 20))))
     df = spark.createDataFrame(rows, "id long, grp string, price double")
-    out = with_row_index(df, ["price", "id"], ["grp"], "rn", num_partitions=9,
-                         broadcast_rows=0).collect()
+    out = with_row_index(df, ["price", "id"], ["grp"], "rn", num_partitions=9).collect()
     got = {r.id: r.rn for r in out}
     want, groups = {}, {}
     for r in rows:
@@ -103,8 +101,7 @@ def test_many_groups_path_multi_key_small_batches(spark):
     old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")   # runs cross batches
     try:
-        out = with_row_index(df, ["price", "id"], ["g1", "g2"], "rn", num_partitions=5,
-                             broadcast_rows=0).collect()
+        out = with_row_index(df, ["price", "id"], ["g1", "g2"], "rn", num_partitions=5).collect()
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
     got = {r.id: r.rn for r in out}
@@ -123,8 +120,7 @@ def test_many_groups_path_nan_and_null_double_keys(spark):
     old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "13")
     try:
-        out = with_row_index(df, ["price", "id"], ["g"], "rn", num_partitions=3,
-                             broadcast_rows=0).collect()
+        out = with_row_index(df, ["price", "id"], ["g"], "rn", num_partitions=3).collect()
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
     got = {r.id: r.rn for r in out}
@@ -134,3 +130,12 @@ def test_many_groups_path_nan_and_null_double_keys(spark):
         for i, r in enumerate(rs):
             want[r[0]] = i
     assert got == want
+
+
+def test_tied_keys_spread_over_tasks(spark):
+    """A third of all keys missing: the largest task stays near the mean."""
+    df = spark.range(30000).selectExpr("id", "if(id % 3 = 0, null, cast(id as double)) price")
+    out = with_row_index(df, ["price"], None, "rn", num_partitions=6)
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sorted(r.rn for r in out.select("rn").collect()) == list(range(30000))
+    assert max(sizes) < 1.6 * 30000 / 6

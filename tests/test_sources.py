@@ -26,9 +26,10 @@ def _write(path, text):
 def test_csv_snapshot_folders(spark, tmp_path):
     _write(tmp_path / "20241113" / "frescos-embalados.csv", DAY1)
     _write(tmp_path / "20241114" / "frescos-embalados.csv", DAY2)
-    # an output a previous run left inside the input folder is never re-read
+    # a file is left out only if the caller names it
     _write(tmp_path / "20241113" / "processed_all_products.csv", HEADER + "x,y,z,,,,r2,1\n")
-    df = read_csv_snapshots(spark, str(tmp_path), "r2")
+    df = read_csv_snapshots(spark, str(tmp_path), "r2", exclude=["processed_all_products.csv"])
+    assert read_csv_snapshots(spark, str(tmp_path), "r2").count() == 5
     rows = sorted(df.collect(), key=lambda r: r.product_id)
     assert len(rows) == 4
     by = {r.product_id: r for r in rows}
@@ -117,3 +118,31 @@ def test_csv_quoted_newline(spark, tmp_path):
     assert len(rows) == 1 and rows[0].product_name == "Linha 1\nLinha 2 500 g"
     flat = read_csv_snapshots(spark, str(tmp_path), "r2", multiline=False).collect()
     assert len(flat) >= 1          # splittable mode: the caller vouches for no newlines
+
+
+def test_csv_columns_by_name_with_drift(spark, tmp_path):
+    """Other column order, a missing and an extra column, odd file names."""
+    _write(tmp_path / "20241113" / "Páginas be Acne+%7B.csv",
+           "source,product_name,product_id,extra\nr2,Água,a,zzz\n")
+    _write(tmp_path / "20241113" / "processed_cheese.csv", HEADER + "b,Queijo,1,,,,r2,t\n")
+    _write(tmp_path / "20241114" / "category=saude%2Facne%2F" / "part-0.csv",
+           "product_id,product_name\r\nc,Creme\r\n")
+    _write(tmp_path / "20241114" / "vazio.csv", "")
+    got = {r.product_id: r for r in read_csv_snapshots(spark, str(tmp_path), "r2").collect()}
+    assert {k: (r.product_name, r.source, r.product_price, r.category) for k, r in got.items()} == {
+        "a": ("Água", "r2", None, "Páginas be Acne+%7B"),
+        "b": ("Queijo", "r2", "1", "processed_cheese"), "c": ("Creme", None, None, "saude/acne/")}
+    assert got["c"].snapshot_date == dt.date(2024, 11, 14) and "extra" not in got["a"].asDict()
+
+
+def test_write_evaluates_once(spark, tmp_path):
+    acc = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            acc.add(b.num_rows)
+            yield b
+    df = spark.range(2000).selectExpr("id", "'r1' source", "date'2024-11-13' snapshot_date",
+                                      "concat('c', id % 3) category")
+    write_snapshot(df.mapInArrow(count, df.schema), str(tmp_path / "once"))
+    assert acc.value == 2000 and spark.read.parquet(str(tmp_path / "once")).count() == 2000
