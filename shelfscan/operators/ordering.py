@@ -49,13 +49,18 @@ def with_row_index(df: DataFrame, order_by: list[Column | str],
     ship_package(df.sparkSession)
     groups = list(partition_by or [])
     hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    tie = F.xxhash64(*[F.col(f"`{c}`") for c in hashable])
     keys: list[Column] = [F.col(g) for g in groups] + [
-        F.col(c) if isinstance(c, str) else c for c in order_by] + [tie]
+        F.col(c) if isinstance(c, str) else c for c in order_by] + [F.col("_tie")]
+    # A range exchange runs its input twice (to sample it, then to deal it out).
+    # After an even hash exchange both runs read shuffle files, not the upstream.
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in hashable])
+    even = df.repartition(row_hash).withColumn("_tie", row_hash)
     # No fixed count by default: adaptive execution sizes the range partitions
     # by bytes at run time (coalescing adjacent ranges keeps them ordered).
-    rp = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
-    ranged = materialize(rp.sortWithinPartitions(*keys).withColumn("_pid", F.spark_partition_id()))
+    rp = even.repartitionByRange(num_partitions, *keys) if num_partitions \
+        else even.repartitionByRange(*keys)
+    ranged = materialize(rp.sortWithinPartitions(*keys).drop("_tie")
+                         .withColumn("_pid", F.spark_partition_id()))
     schema = T.StructType(list(ranged.schema.fields) + [T.StructField("_gpos", T.LongType())])
     numbered = ranged.mapInArrow(_group_runs(groups), schema)
 

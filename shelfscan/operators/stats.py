@@ -2,19 +2,16 @@
 
 ``describe`` returns count, mean, sample standard deviation, min, exact
 quartiles (linear interpolation, the pandas/NumPy default) and max per group.
-Groups of proven small size use the built-in exact ``percentile``; beyond
-that bound the exact quartiles avoid both an unbounded per-group buffer and a
-single-task sort: values are first collapsed to (value, count) with map-side partial
-aggregation (prices repeat a lot), the distinct values are spread over
-approximately equal buckets per group, a running count is taken inside each
-bucket, and bucket totals give each bucket's starting rank.  Only the few rows
-that hold a wanted rank survive to the final aggregate.
+There is one plan for every size.  Values are collapsed to (group, value, count) with
+map-side partial aggregation (prices repeat a lot) and range-partitioned on (group,
+value), so a hot group spreads over many tasks; that table is checkpointed and is
+all that later steps read.  Moments are grouped sums over it.  For the quartiles, counts
+run inside each (task, group) slice, slices get the counts of earlier tasks, and only the
+few rows that hold a wanted rank reach the final aggregate.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,194 +20,102 @@ from .ordering import materialize
 DESCRIBE_PROBS = (0.25, 0.5, 0.75)
 
 
-def _group_cols(by):
-    return list(by) if by else []
-
+def _group_cols(by: list[str] | None) -> dict:
+    """Reserved name -> group column; the whole table is the group 0."""
+    return {f"_g{i}": F.col(f"`{g}`") for i, g in enumerate(by)} if by else {"_g0": F.lit(0)}
 
-def _join_ns(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join on ``keys`` where NULL matches NULL (a NULL group is a group)."""
-    ren = {k: f"_r_{k}" for k in keys}
-    r = right.select(*[F.col(c).alias(ren.get(c, c)) for c in right.columns])
-    cond = [F.col(k).eqNullSafe(F.col(ren[k])) for k in keys]
-    return left.join(r, on=cond, how="inner").drop(*ren.values())
 
+def _join_ns(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where NULL matches NULL (a NULL group is a group)."""
+    ren = {k: f"_r{k}" for k in keys}
+    r = right.withColumnsRenamed(ren)
+    cond = [F.col(k).eqNullSafe(F.col(v)) for k, v in ren.items()]
+    return left.join(r, on=cond, how=how).drop(*ren.values())
 
-def exact_quantiles(df: DataFrame, value: str, probs=DESCRIBE_PROBS,
-                    by: list[str] | None = None, buckets: int | None = None,
-                    prefix: str = "q") -> DataFrame:
-    """Exact linear-interpolated quantiles of ``value`` per group.
 
-    Output: group columns + ``{prefix}{int(p*100)}`` DOUBLE per probability.
-    NULL values are ignored; a group with no values has no row.
-    """
+def value_counts(df: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
+    """Checkpointed ``_g0 .. , _v, _c, _task``: how often each group holds each
+    value (NULL values are one row), range-partitioned and sorted by (group, value)."""
     groups = _group_cols(by)
-    spark = df.sparkSession
-    nb = buckets or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    accuracy = max(10000, 10 * nb)
-    key = groups if groups else ["_g"]
-    vals = df.select(*groups, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    if not groups:
-        vals = vals.withColumn("_g", F.lit(0))
-    # (group, value) → count: partial aggregation collapses repeated values.
-    vc = vals.groupBy(*key, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    # Bucket boundaries per group from the distinct values (bounded: nb-1 per group).
-    fr = [i / nb for i in range(1, nb)]
-    # Approximate summaries depend on merge order, and the bucket of a value
-    # must be the same for every reader below: the small split table (groups
-    # x buckets) is checkpointed once.
-    if groups:
-        splits = materialize(vc.groupBy(*key).agg(
-            F.percentile_approx("_v", fr, accuracy).alias("_splits")))
-        vb = _join_ns(vc, splits, key)
-    else:
-        # One group: its nb-1 split points are a bounded summary, read once
-        # on the driver and inlined as a literal array.
-        pts = vc.agg(F.percentile_approx("_v", fr, accuracy).alias("s")).first()["s"] or []
-        vb = vc.withColumn("_splits", F.array(*[F.lit(float(x)) for x in pts])
-                           if pts else F.array().cast("array<double>"))
-    vb = (vb.withColumn("_b", bucket_of(F.col("_splits"), F.col("_v"), nb - 1))
-            .drop("_splits")
-            .repartition(nb, *key, "_b"))
-    w_in = Window.partitionBy(*key, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    vb = vb.withColumn("_in_before", F.coalesce(F.sum("_c").over(w_in), F.lit(0)))
-    blocks = vb.groupBy(*key, "_b").agg(F.sum("_c").alias("_bc"))
-    w_blk = Window.partitionBy(*key).orderBy("_b")
-    blocks = blocks.select(
-        *key, "_b",
-        F.coalesce(F.sum("_bc").over(w_blk.rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_blk_before"),
-        F.sum("_bc").over(Window.partitionBy(*key)).alias("_n"))
-    if not groups:
-        blocks = F.broadcast(blocks)  # one row per bucket
-    ranked = _join_ns(vb, blocks, key + ["_b"]).select(
-        *key, "_v", "_c", "_n", (F.col("_blk_before") + F.col("_in_before")).alias("_before"))
+    v = F.col(f"`{value}`").cast("double")
+    keys = [*groups, "_v"]
+    counts = (df.select(*[c.alias(n) for n, c in groups.items()], v.alias("_v"))
+              .groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")))
+    return materialize(counts.repartitionByRange(*keys).sortWithinPartitions(*keys)
+                       .withColumn("_task", F.spark_partition_id()))
+
+
+def _quantiles(counts: DataFrame, keys: list[str], probs, prefix: str) -> DataFrame:
+    """``keys`` + one column per probability, from ``value_counts``."""
+    vc = counts.where("_v is not null")
+    slices = vc.groupBy(*keys, "_task").agg(F.sum("_c").alias("_s"))
+    w = Window.partitionBy(*keys).orderBy("_task")
+    slices = slices.select(
+        *keys, "_task",
+        F.coalesce(F.sum("_s").over(w.rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("_earlier"),
+        F.sum("_s").over(Window.partitionBy(*keys)).alias("_n"))
+    inside = Window.partitionBy(*keys, "_task").orderBy("_v").rowsBetween(
+        Window.unboundedPreceding, -1)
+    rows = vc.withColumn("_in", F.coalesce(F.sum("_c").over(inside), F.lit(0)))
+    ranked = _join_ns(rows, slices, [*keys, "_task"]).withColumn(
+        "_before", F.col("_earlier") + F.col("_in"))
     # Wanted ranks: floor and ceil of (n-1)p; a row holds rank r when
     # before <= r < before + count.
-    holds = []
-    aggs = []
-    for p in probs:
+    holds = lambda r: (F.col("_before") <= r) & (r < F.col("_before") + F.col("_c"))
+    aggs, outs, wanted = [], [], F.lit(False)
+    for i, p in enumerate(probs):
         pos = (F.col("_n") - 1) * F.lit(float(p))
         lo, hi = F.floor(pos), F.ceil(pos)
-        tag = f"{int(round(p * 100))}"
-        h_lo = (F.col("_before") <= lo) & (lo < F.col("_before") + F.col("_c"))
-        h_hi = (F.col("_before") <= hi) & (hi < F.col("_before") + F.col("_c"))
-        holds += [h_lo, h_hi]
-        aggs += [F.min(F.when(h_lo, F.col("_v"))).alias(f"_lo{tag}"),
-                 F.min(F.when(h_hi, F.col("_v"))).alias(f"_hi{tag}"),
-                 F.first(pos - lo, ignorenulls=True).alias(f"_fr{tag}")]
-    any_hold = holds[0]
-    for h in holds[1:]:
-        any_hold = any_hold | h
-    picked = ranked.where(any_hold).groupBy(*key).agg(*aggs)
-    outs = []
-    for p in probs:
-        tag = f"{int(round(p * 100))}"
-        lo_v, hi_v, fr_v = F.col(f"_lo{tag}"), F.col(f"_hi{tag}"), F.col(f"_fr{tag}")
-        outs.append((lo_v + (hi_v - lo_v) * fr_v).alias(f"{prefix}{tag}"))
-    res = picked.select(*key, *outs)
-    return res.drop("_g") if not groups else res
-
-
-def bucket_of(splits, v, m: int):
-    """Number of the (sorted, length ``m``) split points below ``v``.
-
-    Two-level lookup in about 2*sqrt(m) comparisons instead of m: every k-th
-    split point gives a coarse bucket, then the k points of that stretch are
-    counted.
+        wanted = wanted | holds(lo) | holds(hi)
+        aggs += [F.min(F.when(holds(lo), F.col("_v"))).alias(f"_lo{i}"),
+                 F.min(F.when(holds(hi), F.col("_v"))).alias(f"_hi{i}"),
+                 F.max(pos - lo).alias(f"_part{i}")]
+        outs.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_part{i}"))
+                    .alias(f"{prefix}{int(round(p * 100))}"))
+    return ranked.where(wanted).groupBy(*keys).agg(*aggs).select(*keys, *outs)
+
+
+def exact_quantiles(df: DataFrame, value: str, probs=DESCRIBE_PROBS,
+                    by: list[str] | None = None, prefix: str = "q") -> DataFrame:
+    """Exact linear-interpolated quantiles of ``value`` per group.
+
+    Output: group columns + ``{prefix}{int(p*100)}`` DOUBLE per probability.
+    NULL values are ignored; a group with no values has no row.
     """
-    k = max(1, math.isqrt(max(m, 1)))
-    coarse = F.filter(splits, lambda x, i: (i + 1) % k == 0)
-    c = F.size(F.filter(coarse, lambda s: s < v))
-    stretch = F.slice(splits, c * k + 1, F.lit(k))
-    return c * k + F.size(F.filter(stretch, lambda s: s < v))
-
-
-# Largest group whose sorted values may be held in one aggregate buffer.
-EXACT_BUFFER_LIMIT = 1_000_000
-# Distributed path: values per bucket (one bucket is sorted in one task) and
-# the cap on buckets per group.
-ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 20_000
-
-
-def quantile_buckets(df: DataFrame, biggest_group: int) -> int:
-    """Buckets so that a bucket of the largest group holds about
-    ``ROWS_PER_BUCKET`` values (never fewer buckets than shuffle partitions)."""
-    base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return int(min(MAX_BUCKETS, max(base, -(-biggest_group // ROWS_PER_BUCKET))))
-
-
-def _base_aggs(v):
-    return [F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-            F.min(v).alias("min"), F.max(v).alias("max")]
-
-
-def _describe_sorted(df: DataFrame, v, groups: list[str], probs) -> DataFrame:
-    """One aggregate: moments plus each group's sorted values, quartiles read
-    off the sorted array.  Only for groups of proven bounded size."""
-    qcols = [f"q{int(round(p * 100))}" for p in probs]
-    out = df.groupBy(*groups).agg(*_base_aggs(v), F.sort_array(F.collect_list(v)).alias("_s"))
-    n, arr = F.col("count"), F.col("_s")
-
-    def interp(p):
-        pos = (n - 1) * F.lit(float(p))
-        lo, hi = F.floor(pos).cast("int"), F.ceil(pos).cast("int")
-        lo_v, hi_v = F.get(arr, lo), F.get(arr, hi)
-        return F.when(n > 0, lo_v + (hi_v - lo_v) * (pos - lo))
-
-    return out.select(*groups, "count", "mean", "std", "min",
-                      *[interp(p).alias(c) for p, c in zip(probs, qcols)], "max")
-
-
-def _describe_distributed(df: DataFrame, value: str, v, groups: list[str], probs,
-                          biggest: int) -> DataFrame:
-    qcols = [f"q{int(round(p * 100))}" for p in probs]
-    moments = df.groupBy(*groups).agg(*_base_aggs(v))
-    q = exact_quantiles(df, value, probs, groups, buckets=quantile_buckets(df, biggest))
-    if groups:
-        cond = [moments[g].eqNullSafe(q[g]) for g in groups]
-        joined = moments.join(q, on=cond, how="left")
-        return joined.select(*[moments[g] for g in groups], "count", "mean", "std", "min",
-                             *[q[c] for c in qcols], "max")
-    # Global: both sides are a single row.
-    joined = moments.withColumn("_k", F.lit(0)).join(
-        F.broadcast(q.withColumn("_k", F.lit(0))), on="_k", how="left")
-    return joined.select("count", "mean", "std", "min", *qcols, "max")
+    out = _quantiles(value_counts(df, value, by), list(_group_cols(by)), probs, prefix)
+    return out.withColumnsRenamed(dict(zip(_group_cols(by), by))) if by else out.drop("_g0")
 
 
 def describe(df: DataFrame, value: str, by: list[str] | None = None,
-             probs=DESCRIBE_PROBS, buffer_limit: int = EXACT_BUFFER_LIMIT) -> DataFrame:
+             probs=DESCRIBE_PROBS) -> DataFrame:
     """count, mean, std (sample), min, quartiles, max of ``value`` per group.
 
     Missing values are skipped (``count`` counts present values).  A group
-    whose values are all missing reports count 0 and NULL statistics.
-
-    Plan choice behind a size check.  One aggregate counts each group's
-    values.  Groups of at most ``buffer_limit`` values are described by a
-    single aggregate that sorts each group's values (the buffer is bounded by
-    that count).  Only groups beyond the bound take the distributed
-    ``exact_quantiles`` path, whose bucket count grows with the largest of
-    them; the row routing is a semi/anti join on the (small) set of oversized
-    group keys.
+    whose values are all missing reports count 0 and NULL statistics.  ``df``
+    is read by one aggregate only.
     """
-    groups = _group_cols(by)
-    v = F.col(value).cast("double")
-    if not groups:
-        n = df.agg(F.count(v).alias("n")).first()["n"] or 0
-        if n <= buffer_limit:
-            return _describe_sorted(df, v, [], probs)
-        return _describe_distributed(df, value, v, [], probs, n)
-    sizes = materialize(df.groupBy(*groups).agg(F.count(v).alias("_n")))
-    biggest = sizes.agg(F.max("_n").alias("m")).first()["m"] or 0
-    if biggest <= buffer_limit:
-        return _describe_sorted(df, v, groups, probs)
-    large = sizes.where(F.col("_n") > F.lit(buffer_limit)).select(
-        *[F.col(g).alias(f"_L_{g}") for g in groups])
-    cond = [F.col(g).eqNullSafe(F.col(f"_L_{g}")) for g in groups]
-    big_rows = df.join(large, on=cond, how="left_semi")
-    small_rows = df.join(large, on=cond, how="left_anti")
-    return (_describe_sorted(small_rows, v, groups, probs)
-            .unionByName(_describe_distributed(big_rows, value, v, groups, probs, biggest)))
+    keys = list(_group_cols(by))
+    counts = value_counts(df, value, by)
+    n = F.sum(F.when(F.col("_v").isNotNull(), F.col("_c")))
+    first = counts.groupBy(*keys).agg(
+        F.coalesce(n, F.lit(0)).cast("bigint").alias("count"),
+        (F.sum(F.col("_v") * F.col("_c")) / n).alias("mean"),
+        F.min("_v").alias("min"), F.max("_v").alias("max"))
+    # squared distances from the mean in a second sum: no cancellation
+    off = F.col("_v") - F.col("mean")
+    spread = (_join_ns(counts, first.select(*keys, "mean"), keys)
+              .groupBy(*keys).agg(F.sum(off * off * F.col("_c")).alias("_ss")))
+    q = _quantiles(counts, keys, probs, "q")
+    out = _join_ns(_join_ns(first, spread, keys), q, keys, "left")
+    std = F.when(F.col("count") > 1, F.sqrt(F.col("_ss") / (F.col("count") - 1)))
+    stats = ["mean", std.alias("std"), "min", *[f"q{int(round(p * 100))}" for p in probs], "max"]
+    if by:
+        return out.select(*[F.col(k).alias(g) for k, g in zip(keys, by)], "count", *stats)
+    # an empty table still has a description
+    whole = df.sparkSession.range(1).select(F.lit(0).alias("_g0"))
+    return whole.join(out, "_g0", "left").select(
+        F.coalesce("count", F.lit(0).cast("bigint")).alias("count"), *stats)
 
 
 def row_counts(df: DataFrame, by: list[str]) -> DataFrame:

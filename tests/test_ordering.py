@@ -139,3 +139,16 @@ def test_tied_keys_spread_over_tasks(spark):
     sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
     assert sorted(r.rn for r in out.select("rn").collect()) == list(range(30000))
     assert max(sizes) < 1.6 * 30000 / 6
+
+
+def test_index_evaluates_its_input_once(spark):
+    acc = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            acc.add(b.num_rows)
+            yield b
+    df = spark.range(2000).selectExpr("id % 3 g", "cast(id % 50 as double) x", "id")
+    out = with_row_index(df.mapInArrow(count, df.schema), ["x"], ["g"], "rn")
+    assert out.where("rn < 0").count() == 0 and out.count() == 2000
+    assert acc.value == 2000

@@ -70,31 +70,24 @@ def test_null_profile_and_counts(spark):
     assert rc == {"a": 1, None: 2}
 
 
-def test_describe_both_paths_agree(spark):
-    rnd = random.Random(9)
-    rows = [(rnd.choice(["a", "b", None]), rnd.choice([None, rnd.randint(0, 500) / 8]))
-            for _ in range(3000)]
-    df = spark.createDataFrame(rows, "g string, x double")
-    small = {r.g: r.asDict() for r in describe(df, "x", ["g"]).collect()}
-    big = {r.g: r.asDict() for r in describe(df, "x", ["g"], buffer_limit=10).collect()}
-    assert small.keys() == big.keys()
-    for g in small:
-        for k, v in small[g].items():
-            assert big[g][k] == pytest.approx(v, abs=1e-9) if v is not None else big[g][k] is None
-    glob_small = describe(df, "x").first().asDict()
-    glob_big = describe(df, "x", buffer_limit=10).first().asDict()
-    assert glob_small == pytest.approx(glob_big)
-
-
-def test_describe_mixed_group_sizes(spark):
-    """Oversized groups (here: > 50 values, incl. the NULL group) take the
-    distributed path, the rest the single aggregate; results match NumPy."""
+@pytest.mark.parametrize("parts", ["1", "60"])
+def test_describe_is_the_same_at_any_partitioning(spark, parts):
+    """Slices of a hot group on one task and on many; results match NumPy."""
     rnd = random.Random(21)
-    rows = [("hot", rnd.randint(0, 900) / 4) for _ in range(400)]
+    rows = [("hot", rnd.randint(0, 900) / 4) for _ in range(2400)]
     rows += [(None, rnd.randint(0, 90) / 2) for _ in range(120)]
     rows += [(f"s{i % 30}", float(rnd.randint(0, 99))) for i in range(300)]
     df = spark.createDataFrame(rows, "g string, x double")
-    got = {r.g: r for r in describe(df, "x", ["g"], buffer_limit=50).collect()}
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled"]
+    old = {k: spark.conf.get(k) for k in keys}
+    spark.conf.set(keys[0], parts)
+    spark.conf.set(keys[1], "false")
+    try:
+        got = {r.g: r for r in describe(df, "x", ["g"]).collect()}
+        whole = describe(df, "x").first()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
     groups = {}
     for g, x in rows:
         groups.setdefault(g, []).append(x)
@@ -102,31 +95,32 @@ def test_describe_mixed_group_sizes(spark):
     for g, xs in groups.items():
         arr = np.array(xs)
         assert got[g]["count"] == len(arr)
+        assert got[g]["std"] == pytest.approx(arr.std(ddof=1))
         for p in (25, 50, 75):
             assert got[g][f"q{p}"] == pytest.approx(np.percentile(arr, p), abs=1e-9)
+    arr = np.array([x for _, x in rows])
+    assert whole["q50"] == np.percentile(arr, 50) and whole["mean"] == pytest.approx(arr.mean())
 
 
-def test_bucket_lookup_matches_linear_count(spark):
-    from pyspark.sql import functions as F
-    from shelfscan.operators.stats import bucket_of
-    rnd = random.Random(4)
-    for m in (1, 2, 7, 50, 401):
-        splits = sorted(rnd.uniform(0, 100) for _ in range(m))
-        vals = [rnd.uniform(-5, 105) for _ in range(300)] + splits[:20]
-        df = spark.createDataFrame([(v,) for v in vals], "v double")
-        arr = F.array(*[F.lit(x) for x in splits])
-        got = [r.b for r in df.select(bucket_of(arr, F.col("v"), m).alias("b")).collect()]
-        assert got == [sum(1 for x in splits if x < v) for v in vals], m
+def test_describe_empty_table_and_clashing_names(spark):
+    empty = spark.createDataFrame([], "x double")
+    r = describe(empty, "x").first()
+    assert r["count"] == 0 and r["mean"] is None and r["q50"] is None
+    df = spark.createDataFrame([(1.0, "a"), (3.0, "a")], "count double, mean string")
+    r = describe(df, "count", ["mean"]).first()
+    assert r["count"] == 2 and r["q50"] == 2.0
 
 
-def test_quantiles_many_buckets(spark):
-    rnd = random.Random(12)
-    vals = [rnd.randint(0, 100000) / 7 for _ in range(4000)]
-    df = spark.createDataFrame([(v,) for v in vals], "x double")
-    got = exact_quantiles(df, "x", (0.25, 0.5, 0.75), buckets=300).first()
-    arr = np.array(vals)
-    for p, c in [(25, "q25"), (50, "q50"), (75, "q75")]:
-        assert got[c] == pytest.approx(np.percentile(arr, p), abs=1e-9)
+def test_describe_reads_its_input_once(spark):
+    acc = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            acc.add(b.num_rows)
+            yield b
+    df = spark.range(2000).selectExpr("id % 3 g", "cast(id % 50 as double) x")
+    describe(df.mapInArrow(count, df.schema).repartition(4), "x", ["g"]).collect()
+    assert acc.value == 2000
 
 
 def test_null_profile_from_parquet_footers(spark):
