@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import log_fields, max_digit_run
+from ..functions.text import LOG_TIME_FORMAT, log_fields, max_digit_run
 from ..session import ship_package
 from .extract import head_facts
 
@@ -45,7 +45,7 @@ def run_report(pages: DataFrame, tiles: DataFrame, keys: list[str],
 def completeness_audit(pages: DataFrame, tiles: DataFrame, keys: list[str], page_key: str,
                        page_size: int, first_page: F.Column | None = None,
                        html_col: str = "html") -> DataFrame:
-    """Expected versus fetched, per ``keys`` group.
+    """Expected versus fetched, per ``keys`` group, for all three crawl styles.
 
     * ``expected_total`` — the result counter of the group's first page;
     * ``last_page`` — the last pager entry of the first page;
@@ -53,13 +53,16 @@ def completeness_audit(pages: DataFrame, tiles: DataFrame, keys: list[str], page
     * ``progress`` — ``least(fetched, expected)`` (the "k of n" of a crawl);
     * ``short_pages`` — landed pages holding fewer than ``page_size`` rows (a
       crawl stops at the first one);
-    * ``missing_rows`` and ``complete``.
+    * ``missing_rows`` and ``complete`` — by the counter: as many rows as it
+      says; without one by the pager: as many pages as it says; without either by
+      the last landed page: a short one ends a listing.
 
-    The counter and pager are read only from first pages, so the markup is
+    ``first_page`` tells first pages; by default offset 0 or page number 1.  The
+    counter and pager are read only from first pages, so the markup is
     parsed once more for one page per group, not for every page.
     """
     ship_package(pages.sparkSession)
-    fp = first_page if first_page is not None else (F.col(page_key) == F.lit(0))
+    fp = first_page if first_page is not None else (F.col(page_key) <= F.lit(1))
     facts = head_facts(F.col(html_col))
     heads = (pages.where(fp)
              .select(*keys, max_digit_run(facts["counter"]).alias("_exp"),
@@ -75,10 +78,14 @@ def completeness_audit(pages: DataFrame, tiles: DataFrame, keys: list[str], page
     got = pg.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_pages"),
         F.sum("_rows").cast("bigint").alias("fetched_rows"),
+        F.max_by("_rows", page_key).alias("_last_rows"),
         F.count_if(F.col("_rows") < F.lit(page_size)).alias("short_pages"))
     cond = [got[k].eqNullSafe(heads[k]) for k in keys]
     j = got.join(heads, on=cond, how="left")
-    exp = heads["expected_total"]
+    exp, last = heads["expected_total"], heads["last_page"]
+    complete = (F.when(exp.isNotNull(), got["fetched_rows"] >= exp)
+                .when(last.isNotNull(), got["n_pages"] >= last)
+                .otherwise(got["_last_rows"] < F.lit(page_size)))
     return j.select(
         *[got[k] for k in keys],
         exp.cast("bigint").alias("expected_total"),
@@ -88,7 +95,25 @@ def completeness_audit(pages: DataFrame, tiles: DataFrame, keys: list[str], page
         F.least(got["fetched_rows"], exp).cast("bigint").alias("progress"),
         got["short_pages"].cast("bigint").alias("short_pages"),
         (exp - got["fetched_rows"]).cast("bigint").alias("missing_rows"),
-        (got["fetched_rows"] >= exp).alias("complete"))
+        complete.alias("complete"))
+
+
+def pipeline_metrics(rows: DataFrame, file_keys: list[str], log: DataFrame,
+                     columns: list[str] | None = None) -> DataFrame:
+    """One row about a run: ``n_files`` (different ``file_keys``), ``n_rows``,
+    ``n_null`` (missing values in ``columns``) and ``elapsed_s`` (from the first
+    to the last record of the run's log, whose lines ``parse_log_lines`` split)."""
+    cols = columns or rows.columns
+    nulls = [F.count_if(F.col(f"`{c}`").isNull()) for c in cols]
+    total = nulls[0]
+    for n in nulls[1:]:
+        total = total + n
+    # distinct files first, so that no key's rows meet in one task
+    files = rows.select(*file_keys).distinct().agg(F.count(F.lit(1)).alias("n_files"))
+    counts = rows.agg(F.count(F.lit(1)).alias("n_rows"), total.alias("n_null"))
+    at = F.unix_millis(F.try_to_timestamp(F.col("logged_at"), F.lit(LOG_TIME_FORMAT)))
+    span = log.agg(((F.max(at) - F.min(at)) / 1000.0).alias("elapsed_s"))
+    return files.join(counts, on=F.lit(True)).join(span, on=F.lit(True))
 
 
 def parse_log_lines(lines: DataFrame, col: str = "value") -> DataFrame:

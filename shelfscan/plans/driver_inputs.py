@@ -285,19 +285,21 @@ def audit_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order counts per (priority, status): the 'categories' of the counter
-    and pager constructions."""
+    """One 'category' per customer for the counter and pager constructions; its
+    size is the customer's order volume in thousands."""
     orders = table(spark, sf_dir, "orders")
-    return (orders.groupBy("o_orderpriority", "o_orderstatus")
-                  .agg(F.count(F.lit(1)).alias("n"))
-                  .select(cat(F.col("o_orderpriority"), "/", F.col("o_orderstatus")).alias("category"),
-                          "o_orderpriority", "n"))
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
+    return (orders.groupBy("o_custkey").agg(F.sum(cents).alias("cents"))
+                  .select(cat("customer-", F.col("o_custkey").cast("string")).alias("category"),
+                          "o_custkey", F.expr("cents div 100000").alias("n")))
 
 
 def counter_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first page of every category with its result counter; every second
+    one of a thousand or more is written with a thousands mark."""
     g = order_groups(spark, sf_dir)
     n = F.col("n")
-    total = F.when((F.col("o_orderpriority") == "1-URGENT") & (n >= 1000),
+    total = F.when((F.col("o_custkey") % 2 == 0) & (n >= 1000),
                    cat(F.floor(n / 1000).cast("string"), ".",
                        F.lpad((n % 1000).cast("string"), 3, "0"))).otherwise(n.cast("string"))
     html = cat("<html><body>",
@@ -308,18 +310,69 @@ def counter_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select("category", "n", html.alias("html"))
 
 
+def pager_nodes(last: Column) -> Column:
+    """Pager links of a listing with ``last`` pages: the last five, as shops
+    show them; none for a single page."""
+    nodes = F.array_join(F.transform(
+        F.sequence(F.greatest(F.lit(1), last - 4), F.greatest(F.lit(1), last)), lambda i: cat(
+            '<div class="page js-change-page" data-page="', i.cast("string"), '">',
+            i.cast("string"), "</div>")), "")
+    return F.when(last > 1, nodes).otherwise(F.lit(""))
+
+
 def pager_pages_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = order_groups(spark, sf_dir)
     pages = F.ceil(F.col("n") / F.lit(PAGER_PAGE_SIZE)).cast("int")
-    nodes = F.array_join(F.transform(F.sequence(F.lit(1), pages), lambda i: cat(
-        '<div class="page js-change-page" data-page="', i.cast("string"), '">',
-        i.cast("string"), "</div>")), "")
-    nodes = F.when(pages > 1, nodes).otherwise(F.lit(""))
     html = cat('<html><body><div class="pager"><div class="page" data-page="999">x</div>',
-               nodes, "</div></body></html>")
+               pager_nodes(pages), "</div></body></html>")
     return g.select("category", "n", html.alias("html"))
 
 
+def _listing(spark: SparkSession, sf_dir: str, markup: Column) -> DataFrame:
+    """``category, page (from 0), pages, html``: all of ``part`` listed by
+    category, ``TILES_PER_PAGE`` tiles a page."""
+    part = table(spark, sf_dir, "part").withColumn("category", F.lower(F.col("p_type")))
+    ranked = with_row_index(part, ["p_partkey"], ["category"], "_r")
+    tiles = ranked.select("p_partkey", "category", F.floor(F.col("_r") / TILES_PER_PAGE)
+                          .cast("int").alias("page"), markup.alias("tile"))
+    n = part.groupBy("category").agg(
+        F.ceil(F.count(F.lit(1)) / TILES_PER_PAGE).cast("int").alias("pages"))
+    return _pages_of(tiles, ["category", "page"]).join(n, "category")
+
+
+def pager_audit_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cards by page number from 1 with a pager on the first page; of one
+    category every third page never landed."""
+    p = _listing(spark, sf_dir, card_markup())
+    html = F.when(F.col("page") == 0, F.regexp_replace(
+        "html", "<body>", F.concat(F.lit("<body>"), pager_nodes(F.col("pages"))))).otherwise(F.col("html"))
+    gone = (F.col("category") == "promo") & (F.col("page") % 3 == 2)
+    return p.where(~gone).select("category", (F.col("page") + 1).alias("page_no"), html.alias("html"))
+
+
+def short_page_audit_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attribute tiles by offset, without counter or pager; of one category the
+    last page never landed."""
+    p = _listing(spark, sf_dir, attr_tile_markup())
+    gone = (F.col("category") == "promo") & (F.col("page") == F.col("pages") - 1)
+    return p.where(~gone).select("category", (F.col("page") * TILES_PER_PAGE).alias("page_start"), "html")
+
+
+def mixed_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``PAGES_RAW`` rows of a day that went partly wrong: good JSON-tile pages,
+    for every page of the ``pages`` table one of an unknown retailer, and for every
+    supplier one that no tokenizer reads."""
+    day, none = F.lit(RUN_DATE).cast("date"), F.lit(None).cast("int")
+    row = lambda df, source, category, number, html: df.select(
+        F.lit(source).alias("source"), F.lit(category).alias("category"), day.alias("snapshot_date"),
+        none.alias("page_no"), number.cast("int").alias("page_start"), html.alias("html"))
+    good = row(json_tile_pages(spark, sf_dir), "r1", "catalogue", F.col("page_id"), F.col("html"))
+    odd = row(table(spark, sf_dir, "pages"), "elsewhere", "web", F.col("page_id"), F.col("html"))
+    bad = row(table(spark, sf_dir, "supplier"), "r1", "broken", F.col("s_suppkey"),
+              F.lit("<![foo[bar]]>"))
+    return good.unionByName(odd).unionByName(bad)
+
+
 def nutrition_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One product page per ``part`` row.  Every 4th lacks the reference
     intake, every 5th has a one-paragraph unit block, every 3rd a malformed
@@ -389,6 +442,28 @@ def r2_csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         day.alias("snapshot_dir"), F.lower(F.col("p_type")).alias("category_file"))
 
 
+def drifted_csv_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The same rows in two shapes: the usual one, and one in another column
+    order, without the rating, with a column more and odd category names."""
+    rows = r2_csv_rows(spark, sf_dir).withColumn("k", F.regexp_extract("product_id", r"(\d+)", 1).cast("int"))
+    usual = rows.where(F.col("k") % 3 != 0).drop("k")
+    name = cat("processed_Água e/ou ", F.col("category_file"), " 100%+")
+    other = rows.where(F.col("k") % 3 == 0).select(
+        "timestamp", "source", F.lit("x").alias("stock"), "product_price", "product_name", "product_id",
+        "snapshot_dir", name.alias("category_file"))
+    return usual, other
+
+
+def pack_csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2-shaped CSV rows whose names hold pack sizes."""
+    names = pack_names(table(spark, sf_dir, "part"))
+    return names.select(
+        F.col("p_partkey").cast("string").alias("product_id"), "product_name",
+        cat(comma_text(F.col("product_price")), "€ / UN").alias("product_price"),
+        F.lit("r2").alias("source"), F.lit("20241113").alias("snapshot_dir"),
+        F.lit("packs").alias("category_file"))
+
+
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One log line per event (every 10th a traceback line that is not a
     log record)."""

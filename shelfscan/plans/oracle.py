@@ -89,25 +89,17 @@ STD_VALUE = """CAST(CASE k WHEN 0 THEN (p_size + 0.75) * 1000.0 WHEN 1 THEN 7500
 STD_UNIT = """CASE WHEN k IN (0, 1, 12) THEN 'ml' WHEN k IN (2, 3, 14) THEN 'g' END"""
 STD_QTY = """CAST(CASE WHEN k IN (5, 7, 8, 9, 15) THEN p_size END AS BIGINT)"""
 
-W = r"(\d+(\.\d+)?)\s*(kg|g|l|ml)"
-U = r"(\d+)\s*(un|pieces|dozen|unit|meia\s*dúzia|par|rolos|doses)"
-CW = r"(\d+)\s*x\s*(\d+(\.\d+)?)\s*(kg|g|l|ml)"
-V = r"(\d+)\s*x\s*(\d+)\s*(cl|ml)"
-LEN = r"(\d+)\s*(mt|m)"
-DOSE = r"(\d+)\s*(doses)"
-PAIR = r"(\d+)\s*(par)"
-
-
-def _hit(p: str, cond: str = "") -> str:
-    extra = f" AND {cond}" if cond else ""
-    return f"regexp_matches(product_name, '{p}'){extra}"
-
-
-def _grp(p: str, i: int) -> str:
-    return f"regexp_extract(product_name, '{p}', {i})"
-
-
-LEN_GUARD = "contains(product_name, 'm') AND NOT contains(product_name, 'ml')"
+# Expected hits of single matchers per construction branch, likewise worked out
+# by reading the names: the number and unit that the branch writes.
+W_VALUE = """CAST(CASE k WHEN 0 THEN p_size + 0.75 WHEN 1 THEN 75 WHEN 2 THEN p_size
+  WHEN 3 THEN p_size WHEN 12 THEN p_size WHEN 13 THEN p_size WHEN 14 THEN p_size END AS DOUBLE)"""
+W_UNIT = """CASE k WHEN 0 THEN 'l' WHEN 1 THEN 'l' WHEN 2 THEN 'g' WHEN 3 THEN 'g' WHEN 12 THEN 'ml'
+  WHEN 13 THEN 'g' WHEN 14 THEN 'g' END"""
+L_UNIT = "CASE WHEN k IN (9, 11, 13) THEN 'm' END"
+L_QTY = "CAST(CASE k WHEN 9 THEN p_size WHEN 11 THEN p_size WHEN 13 THEN 2 END AS BIGINT)"
+U_UNIT = """CASE k WHEN 5 THEN 'un' WHEN 7 THEN 'un' WHEN 8 THEN 'dozen' WHEN 9 THEN 'meia dúzia'
+  WHEN 15 THEN 'par' END"""
+U_QTY = "CAST(CASE WHEN k IN (5, 7, 8, 9, 15) THEN p_size END AS BIGINT)"
 
 VALUE_UNITS = """
 (SELECT p_partkey,
@@ -121,8 +113,9 @@ NOJSON = "(p_partkey % 17 = 0 OR p_partkey % 13 = 0)"
 TILE_POS = "CAST(row_number() OVER (PARTITION BY p_partkey // 50 ORDER BY p_partkey) - 1 AS BIGINT)"
 
 GROUPS = """
-(SELECT o_orderpriority || '/' || o_orderstatus AS category, o_orderpriority, count(*) AS n
- FROM orders GROUP BY o_orderpriority, o_orderstatus) g"""
+(SELECT 'customer-' || o_custkey AS category, o_custkey,
+   CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) // 100000 AS n
+ FROM orders GROUP BY o_custkey) g"""
 PAGES_N = "CAST(ceil(n / 212.0) AS BIGINT)"
 
 NULL_COLS = ["doc_id", "text", "lang", "source", "n_chars", "quality", "toxic"]
@@ -134,6 +127,25 @@ def _log(expr: str) -> str:
     return f"CASE WHEN {LOG_OK} THEN {expr} END"
 
 
+# All of part listed by category, 50 tiles a page (see driver_inputs._listing).
+LISTING = """
+(SELECT category, page, count(*) AS n_rows, any_value(pages) AS pages FROM (
+   SELECT lower(p_type) AS category,
+     (row_number() OVER (PARTITION BY lower(p_type) ORDER BY p_partkey) - 1) // 50 AS page,
+     CAST(ceil(count(*) OVER (PARTITION BY lower(p_type)) / 50.0) AS BIGINT) AS pages FROM part)
+ GROUP BY category, page) listing"""
+
+
+def _completeness(gone: str, last_page: str) -> str:
+    return f"""
+SELECT category, CAST(NULL AS BIGINT) AS expected_total, {last_page} AS last_page, count(*) AS n_pages,
+  CAST(sum(n_rows) AS BIGINT) AS fetched_rows, CAST(sum(n_rows) AS BIGINT) AS progress,
+  count(*) FILTER (WHERE n_rows < 50) AS short_pages, CAST(NULL AS BIGINT) AS missing_rows,
+  CASE WHEN {last_page} IS NOT NULL THEN count(*) >= {last_page}
+       ELSE max_by(n_rows, page) < 50 END AS complete
+FROM {LISTING} WHERE NOT ({gone}) GROUP BY category"""
+
+
 ORACLE: dict[str, str] = {
     "price_parse": PRICE_PARSE,
     "drop_missing": f"SELECT p_partkey, price FROM ({PRICE_PARSE}) WHERE price IS NOT NULL",
@@ -158,37 +170,27 @@ FROM part""",
 SELECT p_partkey, product_name, {EXP_VALUE} AS weight_value, {EXP_UNIT} AS weight_unit,
        {EXP_QTY} AS quantity FROM {NAMES}""",
     "qty_weight": f"""
-SELECT p_partkey, product_name,
-  CASE WHEN {_hit(W)} THEN CAST({_grp(W, 1)} AS DOUBLE) END AS weight_value,
-  CASE WHEN {_hit(W)} THEN {_grp(W, 3)} END AS weight_unit,
+SELECT p_partkey, product_name, {W_VALUE} AS weight_value, {W_UNIT} AS weight_unit,
   CAST(NULL AS BIGINT) AS quantity FROM {NAMES}""",
     "qty_multipack": f"""
-SELECT p_partkey, product_name,
-  CASE WHEN {_hit(CW)} THEN CAST({_grp(CW, 2)} AS DOUBLE) END AS weight_value,
-  CASE WHEN {_hit(CW)} THEN {_grp(CW, 4)} END AS weight_unit,
-  CASE WHEN {_hit(CW)} THEN CAST({_grp(CW, 1)} AS BIGINT) END AS quantity FROM {NAMES}""",
+SELECT p_partkey, product_name, CAST(CASE WHEN k = 2 THEN p_size END AS DOUBLE) AS weight_value,
+  CASE WHEN k = 2 THEN 'g' END AS weight_unit, CAST(CASE WHEN k = 2 THEN 4 END AS BIGINT) AS quantity
+FROM {NAMES}""",
     "qty_volume_pack": f"""
-SELECT p_partkey, product_name,
-  CASE WHEN {_hit(V)} THEN CAST({_grp(V, 2)} AS DOUBLE) END AS weight_value,
-  CASE WHEN {_hit(V)} THEN {_grp(V, 3)} END AS weight_unit,
-  CASE WHEN {_hit(V)} THEN CAST({_grp(V, 1)} AS BIGINT) END AS quantity FROM {NAMES}""",
-    "qty_length": f"""
-SELECT p_partkey, product_name, CAST(NULL AS DOUBLE) AS weight_value,
-  CASE WHEN {_hit(LEN, LEN_GUARD)} THEN {_grp(LEN, 2)} END AS weight_unit,
-  CASE WHEN {_hit(LEN, LEN_GUARD)} THEN CAST({_grp(LEN, 1)} AS BIGINT) END AS quantity
+SELECT p_partkey, product_name, CAST(CASE WHEN k = 4 THEN p_size END AS DOUBLE) AS weight_value,
+  CASE WHEN k = 4 THEN 'cl' END AS weight_unit, CAST(CASE WHEN k = 4 THEN 6 END AS BIGINT) AS quantity
 FROM {NAMES}""",
+    "qty_length": f"""
+SELECT p_partkey, product_name, CAST(NULL AS DOUBLE) AS weight_value, {L_UNIT} AS weight_unit,
+  {L_QTY} AS quantity FROM {NAMES}""",
     "qty_units": f"""
-SELECT p_partkey, product_name,
-  CASE WHEN {_hit(U)} THEN {_grp(U, 2)} END AS unit,
-  CASE WHEN {_hit(U)} THEN CAST({_grp(U, 1)} AS BIGINT) END AS unit_quantity,
-  CASE WHEN {_hit(DOSE)} THEN CAST({_grp(DOSE, 1)} AS BIGINT) END AS dose_quantity,
-  CASE WHEN {_hit(PAIR)} THEN CAST({_grp(PAIR, 1)} AS BIGINT) END AS pair_quantity
+SELECT p_partkey, product_name, {U_UNIT} AS unit, {U_QTY} AS unit_quantity,
+  CAST(NULL AS BIGINT) AS dose_quantity,
+  CAST(CASE WHEN k = 15 THEN p_size END AS BIGINT) AS pair_quantity
 FROM {NAMES}""",
     "qty_dozen": f"""
-SELECT p_partkey, CASE WHEN {_hit(U)} THEN {_grp(U, 2)} END AS unit,
-  CASE WHEN {_hit(U)} THEN CAST({_grp(U, 1)} AS BIGINT) END AS quantity,
-  CASE WHEN {_hit(U)} AND {_grp(U, 2)} IN ('dozen', 'meia dúzia')
-       THEN CAST(CAST({_grp(U, 1)} AS BIGINT) * 12 AS DOUBLE) END AS items
+SELECT p_partkey, {U_UNIT} AS unit, {U_QTY} AS quantity,
+  CAST(CASE WHEN k IN (8, 9) THEN 12 * p_size END AS DOUBLE) AS items
 FROM {NAMES}""",
     "to_base_unit": f"""
 SELECT p_partkey, weight_value, weight_unit,
@@ -293,7 +295,7 @@ UNION ALL
 SELECT p_partkey, 'Marca', p_brand FROM part""",
     "expected_count": f"""
 SELECT category,
-  CASE WHEN o_orderpriority = '1-URGENT' AND n >= 1000
+  CASE WHEN o_custkey % 2 = 0 AND n >= 1000
        THEN greatest(least(n, 216), n // 1000, n % 1000)
        ELSE greatest(least(n, 216), n) END AS expected_total
 FROM {GROUPS}""",
@@ -439,4 +441,41 @@ SELECT k.category, CAST(t.total AS BIGINT) AS expected_total, CAST(NULL AS BIGIN
   CAST(count(*) FILTER (WHERE rows < 216) AS BIGINT) AS short_pages,
   CAST(t.total - sum(rows) AS BIGINT) AS missing_rows, sum(rows) >= t.total AS complete
 FROM pg k JOIN tot t USING (category) GROUP BY k.category, t.total""",
+    "min_price_pushed": "SELECT p_partkey, p_retailprice AS price FROM part WHERE p_retailprice >= 950.0",
+    "category_pruned": """
+SELECT p_partkey, lower(p_type) AS category FROM part WHERE lower(p_type) IN ('small', 'promo')""",
+    "scan_union_drift": f"""
+SELECT 'item-' || p_partkey AS product_id, p_name AS product_name,
+  {COMMA} || '€ / UN' AS product_price, CAST(NULL AS VARCHAR) AS product_rating, 'r2' AS source,
+  CASE WHEN p_partkey % 2 = 0 THEN '20241113_173405' ELSE '20241114_165838' END AS timestamp,
+  CASE WHEN p_partkey % 2 = 0 THEN DATE '2024-11-13' ELSE DATE '2024-11-14' END AS snapshot_date,
+  CASE WHEN p_partkey % 3 = 0 THEN 'processed_Água e/ou ' || lower(p_type) || ' 100%+'
+       ELSE lower(p_type) END AS category
+FROM part""",
+    "name_column": "SELECT p_name AS product_name FROM part",
+    "unit_price_job": f"""
+SELECT {STD_VALUE} AS Weight_Value, {STD_UNIT} AS Weight_Unit, {STD_QTY} AS Quantity, product_name,
+  {DEC_NUM} AS product_price, {DEC_NUM} / {STD_VALUE} AS price_per_unit
+FROM {NAMES}""",
+    "pages_roundtrip": """
+SELECT 'r1' AS source, 'broken' AS category, DATE '2024-11-13' AS snapshot_date,
+  CAST(s_suppkey AS INTEGER) AS page_start, CAST(13 AS BIGINT) AS n_chars FROM supplier
+UNION ALL
+SELECT 'elsewhere', 'web', DATE '2024-11-13', CAST(page_id AS INTEGER), CAST(length(html) AS BIGINT) FROM pages
+UNION ALL
+SELECT 'r1', 'catalogue', DATE '2024-11-13', CAST(p_partkey // 50 AS INTEGER), NULL
+FROM part GROUP BY p_partkey // 50""",
+    "ingest_run_report": """
+SELECT 'r1' AS source, 'catalogue' AS category, CAST(count(DISTINCT p_partkey // 50) AS BIGINT) AS n_pages,
+  count(*) AS n_rows, CAST(0 AS BIGINT) AS n_errors, 'saved' AS status FROM part
+UNION ALL SELECT 'r1', 'broken', count(*), 0, count(*), 'error' FROM supplier
+UNION ALL SELECT 'elsewhere', 'web', count(*), 0, count(*), 'error' FROM pages""",
+    "completeness_by_pager": _completeness("category = 'promo' AND page % 3 = 2",
+                                           "CASE WHEN any_value(pages) > 1 THEN any_value(pages) END"),
+    "completeness_by_short_page": _completeness("category = 'promo' AND page = pages - 1",
+                                                "CAST(NULL AS BIGINT)"),
+    "pipeline_metrics": """
+SELECT (SELECT count(*) FROM (SELECT DISTINCT p_partkey % 2, lower(p_type) FROM part)) AS n_files,
+  (SELECT count(*) FROM part) AS n_rows, (SELECT count(*) FROM part) AS n_null,
+  (SELECT (max(epoch_ms(ts)) - min(epoch_ms(ts))) / 1000.0 FROM events WHERE event_id % 10 <> 0) AS elapsed_s""",
 }

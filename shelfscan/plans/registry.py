@@ -20,12 +20,14 @@ from ..operators import filters as FL
 from ..operators.conform import conform
 from ..operators.harmonise import harmonise, unit_price, with_harmonised_index
 from ..operators.ordering import cheapest_first as _cheapest, expected_pages as _exp_pages
-from ..operators.ordering import materialize, page_numbers, page_slice
-from ..operators.report import completeness_audit as _audit, run_report as _run_report
+from ..operators.ordering import page_numbers, page_slice
+from ..operators.report import completeness_audit as _audit, parse_log_lines, pipeline_metrics
+from ..operators.report import run_report as _run_report
 from ..operators.stats import describe, null_profile as _null_profile, row_counts as _row_counts
+from ..schemas import PAGES_RAW, UNIT_PRICE
 from ..session import scratch_path
 from ..sources.sinks import write_csv, write_snapshot
-from ..sources.snapshots import read_csv_snapshots
+from ..sources.snapshots import read_csv_snapshots, read_name_column
 from . import driver_inputs as D
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -267,19 +269,20 @@ def q_description_entries(spark, sf):
 
 
 def q_expected_count(spark, sf):
-    p = D.counter_pages(spark, sf)
+    p = X.spread_pages(D.counter_pages(spark, sf), ["category"])
     return p.select("category", X.expected_count("html").alias("expected_total"))
 
 
 def q_last_page(spark, sf):
-    p = D.pager_pages_html(spark, sf)
+    p = X.spread_pages(D.pager_pages_html(spark, sf), ["category"])
     lp = X.last_page("html")
     return p.select("category", lp.alias("last_page_raw"),
                     F.coalesce(lp, F.lit(1).cast("bigint")).alias("last_page"))
 
 
 def q_expected_pages(spark, sf):
-    p = D.pager_pages_html(spark, sf).select("category", X.last_page("html").alias("last_page"))
+    p = X.spread_pages(D.pager_pages_html(spark, sf), ["category"]).select(
+        "category", X.last_page("html").alias("last_page"))
     return _exp_pages(p).select("category", "page_no")
 
 
@@ -396,16 +399,22 @@ def q_log_fields(spark, sf):
     return lines.select("event_id", *log_fields("value"))
 
 
+def _stored(spark, pages: DataFrame) -> DataFrame:
+    """The constructed pages stand in for a stored pages_raw table: written
+    once as Parquet, then read by both branches, each its own columns."""
+    path = scratch_path(spark, "pages")
+    pages.write.parquet(path)
+    return spark.read.schema(pages.schema).parquet(path)
+
+
 def q_run_report(spark, sf):
-    # The constructed pages stand in for a stored pages_raw table: written
-    # once, then read by both branches.
-    pages = materialize(D.attr_tile_pages(spark, sf, with_category=True))
+    pages = _stored(spark, D.attr_tile_pages(spark, sf, with_category=True))
     tiles = X.extract_products(pages, "tile_attr")
     return _run_report(pages, tiles, ["category"], "page_id")
 
 
 def q_completeness_audit(spark, sf):
-    pages = materialize(D.audit_pages(spark, sf))
+    pages = _stored(spark, D.audit_pages(spark, sf))
     tiles = X.explode_tiles(pages, "tile_json", keys=["category", "page_start"])
     return _audit(pages, tiles, ["category"], "page_start", specs.PAGE_SIZE_TILE_JSON)
 
@@ -458,6 +467,87 @@ def q_harmonise_snapshot(spark, sf):
     return harmonise_products(build_product_snapshot(conform(pages, PAGES_RAW)))
 
 
+def q_min_price_pushed(spark, sf):
+    """Over a stored numeric price: the predicate reaches the Parquet scan."""
+    part = D.table(spark, sf, "part")
+    return FL.min_price(part.select("p_partkey", F.col("p_retailprice").alias("price")), "price", 950.0)
+
+
+def q_category_pruned(spark, sf):
+    """Over a table stored by category: the list prunes directories."""
+    path = scratch_path(spark, "by-category")
+    write_snapshot(D.table(spark, sf, "part").select(
+        "p_partkey", "p_retailprice", F.lower("p_type").alias("category")), path, ["category"])
+    return FL.categories(spark.read.parquet(path), ["small", "promo"]).select("p_partkey", "category")
+
+
+def q_scan_union_drift(spark, sf):
+    """CSV files of two shapes under one folder, read as one table."""
+    path = scratch_path(spark, "csv-drift")
+    for i, rows in enumerate(D.drifted_csv_rows(spark, sf)):
+        write_csv(rows, f"{path}/{i}", ["snapshot_dir", "category_file"])
+    back = read_csv_snapshots(spark, path, "r2")
+    return back.select("product_id", "product_name", "product_price", "product_rating", "source",
+                       "timestamp", "snapshot_date", "category")
+
+
+def q_name_column(spark, sf):
+    path = scratch_path(spark, "csv-names")
+    write_csv(D.r2_csv_rows(spark, sf), path, ["snapshot_dir", "category_file"])
+    return read_name_column(spark, path, "r2")
+
+
+def q_unit_price_job(spark, sf):
+    """The unit-price job: CSV folder in, Parquet table out."""
+    from .jobs import run_unit_price
+    path, out = scratch_path(spark, "csv-packs"), scratch_path(spark, "unit-price")
+    write_csv(D.pack_csv_rows(spark, sf), path, ["snapshot_dir", "category_file"])
+    run_unit_price(spark, path, "r2", out)
+    return spark.read.schema(UNIT_PRICE).parquet(out)
+
+
+def q_pages_roundtrip(spark, sf):
+    """Raw pages landed in ``pages_raw``, one retailer's twice, and read back."""
+    from ..sources.pages import read_pages_table
+    from ..sources.sinks import write_pages
+    pages, path = conform(D.mixed_landing(spark, sf), PAGES_RAW), scratch_path(spark, "pages-raw")
+    write_pages(pages, path)
+    write_pages(pages.where(F.col("source") == "elsewhere"), path)
+    back = read_pages_table(spark, path)
+    return back.select("source", "category", "snapshot_date", "page_start",
+                       F.when(F.col("category") != "catalogue", F.length("html")).cast("bigint")
+                       .alias("n_chars"))
+
+
+def q_ingest_run_report(spark, sf):
+    """The ingest of a day with unreadable pages and an unknown retailer."""
+    from .ingest import build_product_snapshot
+    pages = _stored(spark, conform(D.mixed_landing(spark, sf), PAGES_RAW))
+    return _run_report(pages, build_product_snapshot(pages), ["source", "category"], "page_start")
+
+
+def q_completeness_by_pager(spark, sf):
+    pages = _stored(spark, D.pager_audit_pages(spark, sf))
+    tiles = X.explode_tiles(pages, "card", keys=["category", "page_no"])
+    return _audit(pages, tiles, ["category"], "page_no", D.TILES_PER_PAGE)
+
+
+def q_completeness_by_short_page(spark, sf):
+    pages = _stored(spark, D.short_page_audit_pages(spark, sf))
+    tiles = X.explode_tiles(pages, "tile_attr", keys=["category", "page_start"])
+    return _audit(pages, tiles, ["category"], "page_start", D.TILES_PER_PAGE)
+
+
+def q_pipeline_metrics(spark, sf):
+    """Metrics of the day's CSV folders and of the run's log."""
+    path = scratch_path(spark, "csv-metrics")
+    write_csv(D.r2_csv_rows(spark, sf), path, ["snapshot_dir", "category_file"])
+    rows = read_csv_snapshots(spark, path, "r2")
+    log = parse_log_lines(D.log_lines(spark, sf))
+    return pipeline_metrics(rows, ["snapshot_date", "category"], log,
+                            ["product_id", "product_name", "product_rating"])
+
+
 QUERIES: dict[str, Query] = {
     "price_parse": q_price_parse,
     "drop_missing": q_drop_missing,
@@ -512,4 +602,14 @@ QUERIES: dict[str, Query] = {
     "completeness_audit": q_completeness_audit,
     "ingest_snapshot": q_ingest_snapshot,
     "harmonise_snapshot": q_harmonise_snapshot,
+    "min_price_pushed": q_min_price_pushed,
+    "category_pruned": q_category_pruned,
+    "scan_union_drift": q_scan_union_drift,
+    "name_column": q_name_column,
+    "unit_price_job": q_unit_price_job,
+    "pages_roundtrip": q_pages_roundtrip,
+    "ingest_run_report": q_ingest_run_report,
+    "completeness_by_pager": q_completeness_by_pager,
+    "completeness_by_short_page": q_completeness_by_short_page,
+    "pipeline_metrics": q_pipeline_metrics,
 }
