@@ -71,19 +71,22 @@ def join_rows(docs: DataFrame, facts: DataFrame, how: str, id_col: str = "doc_id
     return keyed.join(f, ["_row_k1", "_row_k2"], how)
 
 
-def bucket_of(x: Column, bounds: list, as_literal) -> Column:
-    """Number of sorted ``bounds`` that are <= x, by a two-level lookup:
-    about 2 * sqrt(len(bounds)) comparisons, inside the JVM.
+def longs(values: list[int]) -> str:
+    """SQL text of an array of longs (one literal instead of a column per value)."""
+    return f"array({', '.join(f'{v}L' for v in values)})"
 
-    ``as_literal`` turns one bound into a Column of x's type."""
+
+def bucket_of(x: Column, bounds: list, to_sql=longs) -> Column:
+    """Number of sorted ``bounds`` that are <= x, by a two-level lookup: about
+    2 * sqrt(len(bounds)) comparisons, inside the JVM.
+
+    ``to_sql`` writes a list of bounds as an SQL array of x's type."""
     if not bounds:
         return F.lit(0)
     step = max(1, int(len(bounds) ** 0.5))
     chunks = [bounds[i:i + step] for i in range(0, len(bounds), step)]
-    if len(chunks) == 1:
-        return F.size(F.filter(F.array(*map(as_literal, bounds)), lambda b: b <= x))
-    heads = F.array(*[as_literal(c[0]) for c in chunks])
-    rest = F.array(*[F.array(*map(as_literal, c)) for c in chunks])
+    heads = F.expr(to_sql([c[0] for c in chunks]))
+    rest = F.expr(f"array({', '.join(map(to_sql, chunks))})")
     c = F.size(F.filter(heads, lambda b: b <= x))
     inside = F.size(F.filter(F.element_at(rest, F.greatest(c, F.lit(1))), lambda b: b <= x))
     return F.when(c == 0, F.lit(0)).otherwise((c - 1) * step + inside)

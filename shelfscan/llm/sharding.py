@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfscan.llm.common import bucket_of, cut, prepare
+from shelfscan.llm.common import bucket_of, cut, longs, prepare
 
 RANGES_PER_SHARD = 32
 ROWS_PER_RANGE = 1_000_000
@@ -28,12 +28,13 @@ FIRST = -(1 << 63)
 UNIT = 1 << 40
 
 
-def _literal(bound: tuple[int, int]) -> Column:
-    return F.struct(F.lit(bound[0]).cast("long").alias("g"), F.lit(bound[1]).cast("long").alias("d"))
+def _keys(bounds: list[tuple[int, int]]) -> str:
+    one = "named_struct('g', {}L, 'd', {}L)"
+    return f"array({', '.join(one.format(g, d) for g, d in bounds)})"
 
 
 def _range_of(bounds: list[tuple[int, int]]) -> Column:
-    return bucket_of(F.struct(F.col("g"), F.col("d")), bounds, _literal).cast("int")
+    return bucket_of(F.struct(F.col("g"), F.col("d")), bounds, _keys).cast("int")
 
 
 def _draw(rows: DataFrame, rate: Column, turn: int) -> list[tuple[int, int]]:
@@ -96,14 +97,14 @@ def shard_records(records: DataFrame, group: Column, doc_id: Column, size: Colum
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = cut(rows.withColumn("r", _range_of(bounds)).select(
         "c", "size",
-        (F.element_at(F.array(*[F.lit(x).cast("long") for x in row_at]), r)
+        (F.element_at(F.expr(longs(row_at)), r)
          + F.row_number().over(w) - 1).alias("at"),
-        (F.element_at(F.array(*[F.lit(x).cast("long") for x in byte_at]), r)
+        (F.element_at(F.expr(longs(byte_at)), r)
          + F.sum("size").over(upto) - F.col("size")).alias("byte")
     ).withColumn("shard", F.floor(
         F.col("byte").cast("decimal(38,0)") * n_shards / max(1, total)).cast("int")))
     start = {x.shard: x.at for x in placed.groupBy("shard").agg(F.min("at").alias("at")).collect()}
-    first = F.array(*[F.lit(start.get(s, 0)).cast("long") for s in range(n_shards)])
+    first = F.expr(longs([start.get(s, 0) for s in range(n_shards)]))
     return placed.select("c.*", "size", "shard",
                          (F.col("at") - F.element_at(first, F.col("shard") + 1)).alias("slot"))
 

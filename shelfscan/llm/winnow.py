@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfscan.llm.common import bucket_of, narrow, prepare
+from shelfscan.llm.common import bucket_of, longs, narrow, prepare
 
 GRAM = 16           # code points a hash covers
 WINDOW = 32         # hashes a window covers
@@ -141,16 +141,16 @@ def with_next(docs: DataFrame, fn, schema: str, id_col: str = "doc_id",
     rows = ids.count()
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / ROWS_PER_RANGE))
     cuts = _id_ranges(ids, n, rows)
-    bucket = bucket_of(F.col("o"), cuts, lambda v: F.lit(v)).cast("int")
+    bucket = bucket_of(F.col("o"), cuts).cast("int")
     firsts = sorted((r.b, r.o) for r in ids.groupBy(bucket.alias("b")).agg(F.max("o").alias("o"))
                     .collect())
     # a range's first document (its largest id) also ends the range above it
     above = {o: firsts[(i + 1) % len(firsts)][0] for i, (_, o) in enumerate(firsts)}
     heads = sorted(above)
-    slot = bucket_of(F.col("o"), heads, lambda v: F.lit(v))
+    slot = bucket_of(F.col("o"), heads)
     if heads:
-        to = F.array(*[F.lit(above[o]) for o in heads])
-        is_head = (slot > 0) & (F.element_at(F.array(*map(F.lit, heads)),
+        to = F.expr(longs([above[o] for o in heads])).cast("array<int>")
+        is_head = (slot > 0) & (F.element_at(F.expr(longs(heads)),
                                              F.greatest(slot, F.lit(1))) == F.col("o"))
         places = F.when(is_head, F.array(
             F.struct(bucket.alias("b"), F.lit(0).alias("tail")),
