@@ -103,10 +103,11 @@ def _names(spark, sf):
 
 
 def _flat(df, triple, prefix=""):
-    return df.select("p_partkey", "product_name",
-                     triple["weight_value"].alias(f"{prefix}weight_value"),
-                     triple["weight_unit"].alias(f"{prefix}weight_unit"),
-                     triple["quantity"].alias(f"{prefix}quantity"))
+    # the triple is one column first, so that it is worked out once
+    return df.select("p_partkey", "product_name", triple.alias("t")).select(
+        "p_partkey", "product_name", F.col("t.weight_value").alias(f"{prefix}weight_value"),
+        F.col("t.weight_unit").alias(f"{prefix}weight_unit"),
+        F.col("t.quantity").alias(f"{prefix}quantity"))
 
 
 def q_parse_quantity(spark, sf):
@@ -138,16 +139,18 @@ def q_qty_units(spark, sf):
     n = _names(spark, sf)
     u, d, p = (Q.match_units("product_name"), Q.match_doses("product_name"),
                Q.match_pairs("product_name"))
-    return n.select("p_partkey", "product_name", u["weight_unit"].alias("unit"),
-                    u["quantity"].alias("unit_quantity"), d["quantity"].alias("dose_quantity"),
-                    p["quantity"].alias("pair_quantity"))
+    return n.select("p_partkey", "product_name", u.alias("u"), d.alias("d"), p.alias("p")).select(
+        "p_partkey", "product_name", F.col("u.weight_unit").alias("unit"),
+        F.col("u.quantity").alias("unit_quantity"), F.col("d.quantity").alias("dose_quantity"),
+        F.col("p.quantity").alias("pair_quantity"))
 
 
 def q_qty_dozen(spark, sf):
     n = _names(spark, sf)
     u = Q.match_units("product_name")
-    return n.select("p_partkey", u["weight_unit"].alias("unit"), u["quantity"].alias("quantity"),
-                    u["weight_value"].alias("items"))
+    return n.select("p_partkey", u.alias("u")).select(
+        "p_partkey", F.col("u.weight_unit").alias("unit"), F.col("u.quantity").alias("quantity"),
+        F.col("u.weight_value").alias("items"))
 
 
 def q_to_base_unit(spark, sf):
