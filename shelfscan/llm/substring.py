@@ -234,7 +234,10 @@ def _repeats(dealt: DataFrame, grams: DataFrame, window: int, prefix: int,
         F.collect_set(F.when(F.col("way") == i, F.col("g"))).alias(name)
         for i, name in enumerate(("own", "some", "hot"))]))
     met = by_doc.where("size(some) > 0 or size(own) > 0").select("k1", "k2", "some", "own")
-    bundles = dealt.join(met, ["k1", "k2"]).select("k1", "k2", "body", "some", "own").mapInArrow(
+    # doc_id is unused here, but with the same columns this is the same exchange
+    # as that of the last join, and the text is shuffled once
+    bundles = dealt.join(met, ["k1", "k2"]).select(
+        "doc_id", "k1", "k2", "body", "some", "own").mapInArrow(
         _bundles(window, prefix), "g long, n long, words binary, places binary")
     parts = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spans = (bundles.repartition(parts, "g").sortWithinPartitions("g")
