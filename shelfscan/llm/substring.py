@@ -38,7 +38,7 @@ from shelfscan.llm.winnow import MIX, rolling, window_minima
 WINDOW = 35             # words
 PREFIX = 8              # words of an anchor gram
 GROUP_ROWS = 1_000_000  # places of a gram that one group may hold (24 bytes each)
-TREE_WORDS = 1 << 20    # words of bundles a suffix tree is built over at a time, about
+TREE_WORDS = 1 << 18    # words of bundles a suffix tree is built over at a time, about
 BLOCK = 1 << 18         # windows of one document looked at at a time
 POSITION_BITS = 24      # low bits of an anchor's sort key (block positions fit)
 
