@@ -477,5 +477,5 @@ UNION ALL SELECT 'elsewhere', 'web', count(*), 0, count(*), 'error' FROM pages""
     "pipeline_metrics": """
 SELECT (SELECT count(*) FROM (SELECT DISTINCT p_partkey % 2, lower(p_type) FROM part)) AS n_files,
   (SELECT count(*) FROM part) AS n_rows, (SELECT count(*) FROM part) AS n_null,
-  (SELECT (max(epoch_ms(ts)) - min(epoch_ms(ts))) / 1000.0 FROM events WHERE event_id % 10 <> 0) AS elapsed_s""",
+  (SELECT (max(epoch_us(ts) // 1000) - min(epoch_us(ts) // 1000)) / 1000.0 FROM events WHERE event_id % 10 <> 0) AS elapsed_s""",
 }
