@@ -3,13 +3,11 @@ before kept, written as Parquet and read again."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfscan.llm import bpe, line_dedup, mixing, quality_model, simhash
 from shelfscan.llm.common import prepare
-from shelfscan.session import ensure_checkpoint_dir
+from shelfscan.session import scratch_path
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,9 +51,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages applied to ``documents``; each stage's rows are written to the
-    shared folder and read again by the next."""
+    shared folder, read again by the next, and removed when the application ends."""
     prepare(spark)
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/corpus-{uuid.uuid4().hex[:12]}"
+    base = scratch_path(spark, "corpus")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (_, stage) in enumerate(STAGES):
         path = f"{base}/{i}"
