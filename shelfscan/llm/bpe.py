@@ -27,6 +27,7 @@ from tokenizers.models import BPE
 from shelfscan.llm.common import narrow, prepare
 
 CACHE = 200_000         # words, and chunks of text, that a task remembers at least while it can
+CACHED_CHARS = 64       # longer ones are not remembered, so that the memory for them is bounded
 # Up to this character all letters and numbers have long been assigned, and
 # normalisation but for the case changes nothing (but for U+0130).
 STABLE = 0x2FF
@@ -48,13 +49,16 @@ def byte_symbols() -> list[str]:
 
 
 class _Recent(dict):
-    """Results of ``make``: the last CACHE new keys and those used since the CACHE before them."""
+    """Results of ``make``: the last CACHE new keys and those used since the CACHE before them.
+    Keys of more than CACHED_CHARS characters are worked out each time."""
 
     def __init__(self, make):
         super().__init__()
         self.make, self.older = make, {}
 
     def __missing__(self, key):
+        if len(key) > CACHED_CHARS:
+            return self.make(key)
         value = self.older.get(key)
         if value is None:
             value = self.make(key)

@@ -24,6 +24,7 @@ GRAM = 16           # code points a hash covers
 WINDOW = 32         # hashes a window covers
 ROWS_PER_RANGE = 20_000
 SAMPLE_PER_RANGE = 40
+MAX_RANGES = 20_000 # beyond, ranges get longer: documents stream through a task, so its memory stays
 BLOCK = 1 << 18     # windows looked at at a time
 # Base of the rolling hash and the multiplier of its finisher
 # (the 64-bit golden ratio and a public splitmix constant).
@@ -139,7 +140,8 @@ def with_next(docs: DataFrame, fn, schema: str, id_col: str = "doc_id",
     d = narrow(docs, id_col, text_col).withColumn("o", F.coalesce("doc_id", F.lit(FIRST)))
     ids = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(FIRST)).alias("o"))
     rows = ids.count()
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / ROWS_PER_RANGE))
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+            min(MAX_RANGES, math.ceil(rows / ROWS_PER_RANGE)))
     cuts = _id_ranges(ids, n, rows)
     bucket = bucket_of(F.col("o"), cuts).cast("int")
     firsts = sorted((r.b, r.o) for r in ids.groupBy(bucket.alias("b")).agg(F.max("o").alias("o"))

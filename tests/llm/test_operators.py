@@ -429,6 +429,10 @@ def test_bpe_cache_is_bounded(monkeypatch):
     a = e.encode("many different words here so that the cache overflows again and again").tolist()
     assert len(e.by_word) <= 3 and len(e.by_word.older) <= 3 and len(e.by_chunk) <= 3
     assert a == e.library.encode("many different words here so that the cache overflows again and again").ids
+    long = "ab" * bpe.CACHED_CHARS + "9z" * bpe.CACHED_CHARS
+    assert e.encode(long).tolist() == e.library.encode(long).ids
+    known = [*e.by_word, *e.by_word.older, *e.by_chunk, *e.by_chunk.older]
+    assert max(map(len, known)) <= bpe.CACHED_CHARS
 
 
 # all ---------------------------------------------------------------------
