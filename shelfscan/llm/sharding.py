@@ -26,6 +26,7 @@ OVERFULL = 2.0
 SEED = 11
 FIRST = -(1 << 63)
 UNIT = 1 << 40
+BIG = "decimal(38,0)"
 
 
 def _keys(bounds: list[tuple[int, int]]) -> str:
@@ -101,8 +102,8 @@ def shard_records(records: DataFrame, group: Column, doc_id: Column, size: Colum
          + F.row_number().over(w) - 1).alias("at"),
         (F.element_at(F.expr(longs(byte_at)), r)
          + F.sum("size").over(upto) - F.col("size")).alias("byte")
-    ).withColumn("shard", F.floor(
-        F.col("byte").cast("decimal(38,0)") * n_shards / max(1, total)).cast("int")))
+    ).withColumn("shard", F.expr(      # whole numbers: a decimal quotient is rounded up
+        f"(cast(byte as {BIG}) * {n_shards}) div cast({max(1, total)} as {BIG})").cast("int")))
     start = {x.shard: x.at for x in placed.groupBy("shard").agg(F.min("at").alias("at")).collect()}
     first = F.expr(longs([start.get(s, 0) for s in range(n_shards)]))
     return placed.select("c.*", "size", "shard",

@@ -203,6 +203,17 @@ def test_shards_with_hot_group(spark, monkeypatch):
     check_shards(spark.createDataFrame(rows, "doc_id long, text string"), rows, 8)
 
 
+def test_last_record_small_beside_the_total(spark):
+    """A last record far below a millionth of a shard stays in the last shard, and a record
+    that begins one byte before a cut in the shard before it."""
+    sizes = [4 * 10 ** 9 - 1] + [4 * 10 ** 9] * 7 + [1]
+    docs = spark.createDataFrame([(i, n) for i, n in enumerate(sizes)], "doc_id long, bytes long")
+    out = sharding.shard_records(docs, F.lit(0), F.col("doc_id"), F.col("bytes"), 8, F.col("doc_id"))
+    got = sorted((r.doc_id, r.size, r.shard, r.slot) for r in out.collect())
+    assert got == [(0, sizes[0], 0, 0), (1, sizes[1], 0, 1)] + [
+        (i, sizes[i], i - 1, 0) for i in range(2, 8)] + [(8, 1, 7, 0)]
+
+
 # 5 -----------------------------------------------------------------------
 
 def mixed(docs, **options):
