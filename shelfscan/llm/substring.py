@@ -17,9 +17,12 @@ are partitioned.
    prefixes of doubling lengths: the classes of equal rank are the tree's
    nodes at that depth).  Nodes at the window's depth with two places or more
    are repeats; neighbouring ones join to maximal repeats.
-3. A gram with more than ``group_rows`` places would not fit a group.  Its
-   prefix is made longer, up to the whole window: windows are counted by a
-   128-bit hash, combined before the shuffle, however many copies there are.
+3. A gram with more than ``group_rows`` places, or different bundles of more than
+   ``group_bytes``, would not fit a group.  Its prefix is made longer by ``PREFIX``
+   words at a time: a bundle falls into parts whose windows all hold the same words
+   around the anchor, and the longer prefixes are measured alike.  What fits no
+   group at the longest goes by the whole window: windows are counted by a 128-bit
+   hash, combined before the shuffle, however many copies there are.
 """
 
 from __future__ import annotations
@@ -38,7 +41,9 @@ from shelfscan.llm.winnow import MIX, rolling, window_minima
 WINDOW = 35             # words
 PREFIX = 8              # words of an anchor gram
 GROUP_ROWS = 1_000_000  # places of a gram that one group may hold (24 bytes each)
+GROUP_BYTES = 1 << 22   # of a gram's different bundles that one group may hold
 TREE_WORDS = 1 << 18    # words of bundles a suffix tree is built over at a time, about
+LONG_WORD = 16          # bytes; longer words count as several
 BLOCK = 1 << 18         # windows of one document looked at at a time
 POSITION_BITS = 24      # low bits of an anchor's sort key (block positions fit)
 
@@ -69,6 +74,46 @@ def anchors(words: list[bytes], window: int = WINDOW, prefix: int = PREFIX):
     return tuple(np.concatenate([o[i] for o in out]) for i in range(4))
 
 
+def prefix_lengths(window: int = WINDOW, prefix: int = PREFIX) -> list[int]:
+    """Lengths of prefixes, in words, that every window can hold around its anchor."""
+    return [prefix, *range(2 * prefix, window - prefix + 2, prefix)]
+
+
+def parts(words: list[bytes], hot: list[list[int]], window: int = WINDOW, prefix: int = PREFIX):
+    """Like ``anchors``, after one lengthening for each list in ``hot``: bundles whose
+    key is in the list are cut into parts, the others are left out.
+
+    The prefix of a part is ``length`` words of which a multiple of ``prefix``, the
+    smallest that fits the window, stand before the anchor: this follows from the
+    anchor's offset, so equal windows stay in parts with equal keys."""
+    g, pos, first, last = anchors(words, window, prefix)
+    for length, keys in zip(prefix_lengths(window, prefix)[1:], hot):
+        hit = np.flatnonzero(np.isin(g, np.array(keys, np.int64)))
+        pos, first, last = pos[hit], first[hit], last[hit]
+        out: list[tuple] = []
+        for before in range(0, length - prefix + 1, prefix):
+            start = pos - before
+            a = np.maximum(first, start - (window - length))
+            z = last if not before else np.minimum(last, start + prefix - (window - length) - 1)
+            some = np.flatnonzero(a <= z)
+            key = [_signed64(xxh64_intdigest(b" ".join(words[s: s + length]), length * window + before))
+                   for s in start[some].tolist()]
+            out.append((np.array(key, np.int64), pos[some], a[some], z[some]))
+        g, pos, first, last = (np.concatenate([o[i] for o in out]) for i in range(4))
+    return g, pos, first, last
+
+
+def _ends(words: list[bytes]) -> np.ndarray:
+    """Bytes up to each word, blanks included."""
+    return np.cumsum(np.fromiter((len(w) + 1 for w in words), np.int64, len(words)))
+
+
+def _sizes(ends: np.ndarray, first: np.ndarray, last: np.ndarray, window: int) -> np.ndarray:
+    """Bytes of the bundles."""
+    begin = np.where(first > 0, ends[first - 1], 0) if len(first) else first
+    return ends[last + window - 1] - begin if len(first) else first
+
+
 def repeated_starts(bundles: list[list[bytes]], starts: list[int], places: list[int],
                     window: int = WINDOW) -> list[np.ndarray]:
     """Per bundle, the offsets below ``starts`` whose window of words has two
@@ -114,15 +159,43 @@ def _spans(start: np.ndarray, window: int) -> list[tuple[int, int]]:
 def _grams(window: int, prefix: int):
     def run(batches):
         for b in batches:
-            cols = [[], [], [], []]
+            cols = [[], [], [], [], []]
             for k1, k2, body in zip(*(b.column(c).to_pylist() for c in ("k1", "k2", "body"))):
-                g, n = np.unique(anchors((body or b"").split(), window, prefix)[0],
-                                 return_counts=True)
-                for to, v in zip(cols, (g, n, np.full(len(g), k1), np.full(len(g), k2))):
+                words = (body or b"").split()
+                every, _, first, last = anchors(words, window, prefix)
+                g, which, n = np.unique(every, return_inverse=True, return_counts=True)
+                size = np.bincount(which, _sizes(_ends(words), first, last, window), len(g))
+                for to, v in zip(cols, (g, n, size, np.full(len(g), k1), np.full(len(g), k2))):
                     to.append(v)
             arrays = [pa.array(np.concatenate(c).astype(np.int64)) if c else pa.array([], pa.int64())
                       for c in cols]
-            yield pa.RecordBatch.from_arrays(arrays, ["g", "n", "k1", "k2"])
+            yield pa.RecordBatch.from_arrays(arrays, ["g", "n", "size", "k1", "k2"])
+    return run
+
+
+def _measures(window: int, prefix: int):
+    """Documents with their frequent grams -> different bundles (``bundle``, a hash) of the
+    grams, or of the longer prefixes, with places and bytes."""
+
+    def run(batches):
+        for b in batches:
+            at: dict[tuple, list[int]] = {}
+            for k1, k2, body, hot, some in zip(*(b.column(c).to_pylist()
+                                                 for c in ("k1", "k2", "body", "hot", "some"))):
+                words = body.split()
+                g, _, first, last = parts(words, hot, window, prefix)
+                if some is not None:
+                    hit = np.flatnonzero(np.isin(g, np.array(some, np.int64)))
+                    g, first, last = g[hit], first[hit], last[hit]
+                for key, a, z in zip(g.tolist(), first.tolist(), last.tolist()):
+                    bundle = b" ".join(words[a: z + window])
+                    got = at.setdefault((key, _signed64(xxh64_intdigest(bundle, z - a)), k1, k2),
+                                        [0, len(bundle)])
+                    got[0] += 1
+            rows = [(*key, *v) for key, v in at.items()]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)],
+                                                 ["g", "bundle", "k1", "k2", "n", "size"])
     return run
 
 
@@ -134,10 +207,10 @@ def _bundles(window: int, prefix: int):
     def run(batches):
         for b in batches:
             at: dict[tuple, list[int]] = {}
-            for k1, k2, body, some, own in zip(*(b.column(c).to_pylist()
-                                                 for c in ("k1", "k2", "body", "some", "own"))):
+            for k1, k2, body, hot, some, own in zip(*(
+                    b.column(c).to_pylist() for c in ("k1", "k2", "body", "hot", "some", "own"))):
                 words = body.split()
-                g, _, first, last = anchors(words, window, prefix)
+                g, _, first, last = parts(words, hot, window, prefix)
                 for i in np.flatnonzero(np.isin(g, np.array(some, np.int64))).tolist():
                     key = (int(g[i]), int(last[i] - first[i]) + 1,
                            b" ".join(words[first[i]: last[i] + window]))
@@ -191,7 +264,7 @@ def _trees(window: int):
                 last = g
                 key = (words, n)
                 if key not in held:
-                    size += words.count(b" ") + 1
+                    size += max(words.count(b" ") + 1, len(words) // LONG_WORD)
                 held.setdefault(key, []).append(places)
                 size += len(places) // 24
             if whole:
@@ -202,14 +275,14 @@ def _trees(window: int):
 
 
 def _windows(window: int, prefix: int):
-    """Documents with their most frequent grams -> windows by 128-bit hash."""
+    """Documents with their most frequent prefixes -> windows by 128-bit hash."""
 
     def run(batches):
         for b in batches:
-            for k1, k2, body, some in zip(*(b.column(c).to_pylist()
-                                            for c in ("k1", "k2", "body", "some"))):
+            for k1, k2, body, hot, some in zip(*(b.column(c).to_pylist()
+                                                 for c in ("k1", "k2", "body", "hot", "some"))):
                 words = body.split()
-                g, _, first, last = anchors(words, window, prefix)
+                g, _, first, last = parts(words, hot, window, prefix)
                 hit = np.flatnonzero(np.isin(g, np.array(some, np.int64)))
                 start = np.concatenate([np.arange(first[i], last[i] + 1) for i in hit.tolist()])
                 h = [xxh3_128_intdigest(b" ".join(words[s: s + window])) for s in start.tolist()]
@@ -221,31 +294,68 @@ def _windows(window: int, prefix: int):
     return run
 
 
-def _repeats(dealt: DataFrame, grams: DataFrame, window: int, prefix: int,
-             group_rows: int) -> DataFrame:
-    """``k1, k2, from, to``: repeated spans, from documents dealt by key."""
-    total = (grams.groupBy("g").agg(F.sum("n").alias("total"), F.count("*").alias("docs"))
-             .where("total > 1"))
-    # 0: in this document only, 1: to be met in a tree, 2: too many places for one
-    way = (F.when(F.col("docs") == 1, 0).when(F.col("total") <= group_rows, 1).otherwise(2))
+def _groups(dealt: DataFrame, grams: DataFrame, window: int, prefix: int, group_rows: int,
+            group_bytes: int) -> tuple[DataFrame, DataFrame | None]:
+    """Bundles whose keys each fit a group, and the documents (``k1, k2, hot, some``)
+    with prefixes that fit none at any length, if there are."""
+    fits = (F.col("total") <= group_rows) & (F.col("bytes") <= group_bytes)
+    lists = "array<array<bigint>>"
+
+    def bundles_of(met):
+        # doc_id is unused here, but with the same columns this is the same exchange
+        # as that of the last join, and the text is shuffled once
+        return dealt.join(met, ["k1", "k2"]).select(
+            "doc_id", "k1", "k2", "body", "hot", "some", "own").mapInArrow(
+            _bundles(window, prefix), "g long, n long, words binary, places binary")
+
+    # by all places first: the bytes of the different bundles are at most these
+    total = (grams.groupBy("g").agg(F.sum("n").alias("total"), F.sum("size").alias("bytes"),
+                                    F.count("*").alias("docs")).where("total > 1"))
+    # 0: in this document only, 1: to be met in a tree, 2: perhaps too much for one
+    way = F.when(F.col("docs") == 1, 0).when(fits, 1).otherwise(2)
     repeated = grams.join(total, "g").select("k1", "k2", "g", way.alias("way"))
     # per document: at most as many grams as it has words
     by_doc = cut(repeated.groupBy("k1", "k2").agg(*[
         F.collect_set(F.when(F.col("way") == i, F.col("g"))).alias(name)
-        for i, name in enumerate(("own", "some", "hot"))]))
-    met = by_doc.where("size(some) > 0 or size(own) > 0").select("k1", "k2", "some", "own")
-    # doc_id is unused here, but with the same columns this is the same exchange
-    # as that of the last join, and the text is shuffled once
-    bundles = dealt.join(met, ["k1", "k2"]).select(
-        "doc_id", "k1", "k2", "body", "some", "own").mapInArrow(
-        _bundles(window, prefix), "g long, n long, words binary, places binary")
+        for i, name in enumerate(("own", "some", "many"))]))
+    none = F.expr(f"cast(array() as {lists})").alias("hot")
+    bundles = bundles_of(by_doc.where("size(some) > 0 or size(own) > 0")
+                         .select("k1", "k2", none, "some", "own"))
+    left = by_doc.where(F.size("many") > 0).select("k1", "k2", none, F.col("many").alias("some"))
+    for _ in prefix_lengths(window, prefix):
+        if left.isEmpty():
+            return bundles, None
+        found = cut_table(dealt.join(left, ["k1", "k2"]).select("k1", "k2", "body", "hot", "some")
+                          .mapInArrow(_measures(window, prefix), "g long, bundle long, k1 long, "
+                                                                 "k2 long, n long, size long"), "found")
+        total = (found.groupBy("g", "bundle").agg(F.sum("n").alias("n"), F.max("size").alias("size"))
+                 .groupBy("g").agg(F.sum("n").alias("total"), F.sum("size").alias("bytes"))
+                 .where("total > 1"))
+        met = found.select("g", "k1", "k2").distinct().join(total, "g").groupBy("k1", "k2").agg(
+            F.collect_set(F.when(fits, F.col("g"))).alias("met"),
+            F.collect_set(F.when(~fits, F.col("g"))).alias("many"))
+        met = cut(met.join(left.select("k1", "k2", "hot"), ["k1", "k2"]))
+        bundles = bundles.union(bundles_of(met.where(F.size("met") > 0).select(
+            "k1", "k2", "hot", F.col("met").alias("some"),
+            F.expr("cast(array() as array<bigint>)").alias("own"))))
+        over = met.where(F.size("many") > 0)
+        hot = over.select("k1", "k2", "hot", F.col("many").alias("some"))
+        left = over.select("k1", "k2", F.concat("hot", F.array("many")).alias("hot"),
+                           F.lit(None).cast("array<bigint>").alias("some"))
+    return bundles, None if hot.isEmpty() else hot
+
+
+def _repeats(dealt: DataFrame, grams: DataFrame, window: int, prefix: int,
+             group_rows: int, group_bytes: int) -> DataFrame:
+    """``k1, k2, from, to``: repeated spans, from documents dealt by key."""
+    bundles, hot = _groups(dealt, grams, window, prefix, group_rows, group_bytes)
     parts = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spans = (bundles.repartition(parts, "g").sortWithinPartitions("g")
              .mapInArrow(_trees(window), "k1 long, k2 long, from long, to long"))
-    if by_doc.where(F.size("hot") > 0).isEmpty():
+    if hot is None:
         return spans
-    hot = by_doc.where(F.size("hot") > 0).select("k1", "k2", F.col("hot").alias("some"))
-    windows = cut_table(dealt.join(hot, ["k1", "k2"]).select("k1", "k2", "body", "some").mapInArrow(
+    windows = cut_table(dealt.join(hot, ["k1", "k2"]).select(
+        "k1", "k2", "body", "hot", "some").mapInArrow(
         _windows(window, prefix), "w1 long, w2 long, k1 long, k2 long, from long"), "windows")
     often = windows.groupBy("w1", "w2").count().where("count > 1").select("w1", "w2")
     return spans.union(windows.join(often, ["w1", "w2"]).select(
@@ -273,7 +383,7 @@ def _remove(batches):
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     window: int = WINDOW, prefix: int = PREFIX,
-                    group_rows: int = GROUP_ROWS) -> DataFrame:
+                    group_rows: int = GROUP_ROWS, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256, kept`` per row; ``kept`` is
     the remaining words joined by one space, as UTF-8 bytes.
 
@@ -288,10 +398,10 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = prepare(docs.sparkSession)
     d = narrow(docs, id_col, text_col)
     grams = cut_table(d.select("k1", "k2", "body").mapInArrow(
-        _grams(window, prefix), "g long, n long, k1 long, k2 long"), "grams")
+        _grams(window, prefix), "g long, n long, size long, k1 long, k2 long"), "grams")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = d.select("doc_id", "k1", "k2", "body").repartition(parts, "k1", "k2")
-    spans = _repeats(dealt, grams, window, prefix, group_rows)
+    spans = _repeats(dealt, grams, window, prefix, group_rows, group_bytes)
     by_doc = spans.groupBy("k1", "k2").agg(
         F.collect_set(F.struct("from", "to")).alias("spans"))
     return (dealt.join(by_doc, ["k1", "k2"], "left").select("doc_id", "body", "spans")

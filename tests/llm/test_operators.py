@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfscan.llm import (bpe, license_scan, line_dedup, mixing, quality_model, quality_rules,
                            sharding, simhash, substring, winnow)
+from shelfscan.llm.common import narrow
 from shelfscan.llm.components import connected_components
 from tests.llm import brute
 
@@ -378,6 +379,48 @@ def test_substrings(odd, pairs, real, real_pairs, window, prefix, group_rows):
         assert sum(n for _, _, n, _ in want) > 0
 
 
+@pytest.mark.parametrize("window,prefix,group_bytes", [(35, 8, 3000), (35, 8, 600), (12, 3, 400)])
+def test_substrings_of_one_phrase(spark, window, prefix, group_bytes):
+    """A phrase with many different surroundings: its prefix is made longer until the
+    different bundles of each key fit."""
+    rng = random.Random(3)
+    text = lambda n: " ".join(rng.choice("abcdefghijklmnop") + str(rng.randrange(99)) for _ in range(n))
+    phrase, long, left = text(8), text(17), text(20)
+    rows = [(i, f"{text(30)} {phrase} {text(30)}") for i in range(40)]
+    rows += [(100 + i, f"{text(30)} {phrase} {long} {text(20)}") for i in range(40)]
+    rows += [(200 + i, f"{left} {phrase} {text(7 + i % 30)}") for i in range(40)]
+    rows += [(300 + i, rows[3 * i][1]) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = substring.substring_dedup(docs, window=window, prefix=prefix, group_bytes=group_bytes)
+    want = Counter(brute.substrings(rows, window))
+    assert bag(out.select("doc_id", "n_words", "n_removed", "kept_sha256")) == want
+    d = narrow(docs).select("doc_id", "k1", "k2", "body")
+    grams = d.select("k1", "k2", "body").mapInArrow(
+        substring._grams(window, prefix), "g long, n long, size long, k1 long, k2 long")
+    assert grams.groupBy("g").agg(F.sum("size").alias("s")).agg(F.max("s")).first()[0] > 2 * group_bytes
+    bundles, _ = substring._groups(d, grams, window, prefix, 1000, group_bytes)
+    one = bundles.where("length(words) > 0").select("g", "n", "words").distinct()
+    sizes = [r.s for r in one.groupBy("g").agg(F.sum(F.length("words")).alias("s")).collect()]
+    assert sizes and max(sizes) <= group_bytes
+
+
+def test_longer_prefixes():
+    """Parts cover the windows of the bundles lengthened, each once, and hold their prefix."""
+    words = [f"{i * i % 61}".encode() for i in range(300)]
+    for window, prefix in ((35, 8), (12, 3), (9, 4)):
+        hot = []
+        want = {s for s in range(len(words) - window + 1)}
+        for length in substring.prefix_lengths(window, prefix):
+            g, pos, first, last = substring.parts(words, hot, window, prefix)
+            starts = [s for a, z in zip(first.tolist(), last.tolist()) for s in range(a, z + 1)]
+            assert len(starts) == len(set(starts)) and set(starts) == want
+            by_window = {}
+            for key, a, z in zip(g.tolist(), first.tolist(), last.tolist()):
+                for s in range(a, z + 1):
+                    assert by_window.setdefault(tuple(words[s: s + window]), key) == key
+            hot.append(g.tolist())
+
+
 def test_substring_blocks(monkeypatch):
     words = [f"{i * i % 89}".encode() for i in range(400)]
     whole = substring.anchors(words)
