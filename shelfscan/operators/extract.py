@@ -79,7 +79,7 @@ def tile_fields(layout: specs.TileLayout) -> list[T.StructField]:
 
 
 def read_nutrition(html):
-    """Nutrition page → (reference_intake, serving_size, uom, cells, description)."""
+    """Nutrition page → (reference_intake, serving_size, uom, cells, description, parse_error)."""
     root = dom.parse(html)
 
     def second_p(step):
@@ -103,7 +103,7 @@ def read_nutrition(html):
             sib = h.next_sibling("p")
             desc[h.text_tight().replace(":", "")] = sib.text_tight() if sib is not None else None
     return (second_p(specs.NUTRITION_REFERENCE), second_p(specs.NUTRITION_SERVING),
-            second_p(specs.NUTRITION_UOM), rows, desc)
+            second_p(specs.NUTRITION_UOM), rows, desc, None)
 
 
 NUTRITION_SCHEMA = T.StructType([
@@ -112,6 +112,7 @@ NUTRITION_SCHEMA = T.StructType([
     T.StructField("uom", T.StringType()),
     T.StructField("nutrient_cells", T.ArrayType(T.ArrayType(T.StringType()))),
     T.StructField("description", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("parse_error", T.StringType()),
 ])
 
 
@@ -146,18 +147,25 @@ def pager_pages(html):
 
 
 @pandas_udf(T.StructType([T.StructField("counter", T.StringType()),
-                          T.StructField("pager", T.ArrayType(T.StringType()))]))
+                          T.StructField("pager", T.ArrayType(T.StringType())),
+                          T.StructField("parse_error", T.StringType())]))
 def head_facts(html):
-    """Result-counter text and pager ``data-page`` list from one parse."""
+    """Result-counter text and pager ``data-page`` list from one parse; a page that
+    cannot be read has neither, but a ``parse_error``."""
     import pandas as pd
     cs, ps = specs.RESULT_COUNTER, specs.PAGER_NODE
-    counters, pagers = [], []
+    counters, pagers, errors = [], [], []
     for h in html:
-        root = _tree(h)
+        try:
+            root, error = dom.parse(h), None
+        except dom.BadMarkup as e:
+            root, error = dom.parse(None), f"page: {e}"
+        errors.append(error)
         n = root.find(cs.tag, cs.cls)
         counters.append("".join(n.strings()) if n is not None else None)
         pagers.append([x.get(specs.PAGER_ATTR) for x in root.find_all(ps.tag, ps.cls, ps.attr)])
-    return pd.DataFrame({"counter": counters, "pager": pagers})
+    return pd.DataFrame({"counter": counters, "pager": pagers,
+                         "parse_error": pd.Series(errors, dtype=object)})
 
 
 @pandas_udf(T.StructType([T.StructField("first_href", T.StringType()),
@@ -286,7 +294,8 @@ def nutrition(pages: DataFrame, html_col: str = "html", keys: list[str] | None =
 
     ``nutrients`` keeps the table's rows after the header that have exactly
     three cells (native filter); ``description`` maps header → text, last
-    duplicate header winning.  Absent blocks are NULL.
+    duplicate header winning.  Absent blocks are NULL.  A page that cannot be read is
+    a record of NULLs with a ``parse_error``.
     """
     keys = [c for c in pages.columns if c != html_col] if keys is None else keys
     raw = walk_pages(pages, keys, html_col, lambda h: (read_nutrition(h),),
@@ -296,7 +305,7 @@ def nutrition(pages: DataFrame, html_col: str = "html", keys: list[str] | None =
                                                      c[1].alias("quantity"),
                                                      c[2].alias("unit")))
     return raw.select(*keys, "reference_intake", "serving_size", "uom",
-                      nutrients.alias("nutrients"), "description")
+                      nutrients.alias("nutrients"), "description", "parse_error")
 
 
 def type_tile_json(tiles: DataFrame) -> DataFrame:

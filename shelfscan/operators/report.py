@@ -19,6 +19,13 @@ def _n_tiles(tiles: DataFrame) -> F.Column:
     return F.count("tile_pos" if "tile_pos" in tiles.columns else F.lit(1))
 
 
+def _n_unreadable(tiles: DataFrame) -> F.Column:
+    """Rows that stand for a page that could not be read."""
+    if not {"tile_pos", "parse_error"} <= set(tiles.columns):
+        return F.sum(F.lit(0))
+    return F.count_if(F.col("tile_pos").isNull() & F.col("parse_error").isNotNull())
+
+
 def run_report(pages: DataFrame, tiles: DataFrame, keys: list[str],
                page_key: str) -> DataFrame:
     """Per ``keys`` group: pages landed, rows extracted, rows with a parse
@@ -55,7 +62,8 @@ def completeness_audit(pages: DataFrame, tiles: DataFrame, keys: list[str], page
       crawl stops at the first one);
     * ``missing_rows`` and ``complete`` — by the counter: as many rows as it
       says; without one by the pager: as many pages as it says; without either by
-      the last landed page: a short one ends a listing.
+      the last landed page: a short one ends a listing.  A group with a page that
+      could not be read is never complete.
 
     ``first_page`` tells first pages; by default offset 0 or page number 1.  The
     counter and pager are read only from first pages, so the markup is
@@ -66,24 +74,29 @@ def completeness_audit(pages: DataFrame, tiles: DataFrame, keys: list[str], page
     facts = head_facts(F.col(html_col))
     heads = (pages.where(fp)
              .select(*keys, max_digit_run(facts["counter"]).alias("_exp"),
-                     F.try_element_at(facts["pager"], F.lit(-1)).try_cast("bigint").alias("_last"))
+                     F.try_element_at(facts["pager"], F.lit(-1)).try_cast("bigint").alias("_last"),
+                     facts["parse_error"].alias("_error"))
              .groupBy(*keys).agg(F.max("_exp").alias("expected_total"),
-                                 F.max("_last").alias("last_page")))
-    per_page = tiles.groupBy(*keys, page_key).agg(_n_tiles(tiles).alias("_rows"))
+                                 F.max("_last").alias("last_page"), F.max("_error").alias("_error")))
+    per_page = tiles.groupBy(*keys, page_key).agg(_n_tiles(tiles).alias("_rows"),
+                                                      _n_unreadable(tiles).alias("_bad"))
     landed = pages.select(*keys, page_key).distinct()
     cond_p = [landed[k].eqNullSafe(per_page[k]) for k in keys + [page_key]]
     pg = landed.join(per_page, on=cond_p, how="left").select(
         *[landed[k] for k in keys], landed[page_key],
-        F.coalesce(per_page["_rows"], F.lit(0)).alias("_rows"))
+        F.coalesce(per_page["_rows"], F.lit(0)).alias("_rows"),
+        F.coalesce(per_page["_bad"], F.lit(0)).alias("_bad"))
     got = pg.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_pages"),
         F.sum("_rows").cast("bigint").alias("fetched_rows"),
         F.max_by("_rows", page_key).alias("_last_rows"),
-        F.count_if(F.col("_rows") < F.lit(page_size)).alias("short_pages"))
+        F.count_if(F.col("_rows") < F.lit(page_size)).alias("short_pages"),
+        F.sum("_bad").alias("_bad"))
     cond = [got[k].eqNullSafe(heads[k]) for k in keys]
     j = got.join(heads, on=cond, how="left")
     exp, last = heads["expected_total"], heads["last_page"]
-    complete = (F.when(exp.isNotNull(), got["fetched_rows"] >= exp)
+    readable = (got["_bad"] == 0) & heads["_error"].isNull()
+    complete = (F.when(~readable, F.lit(False)).when(exp.isNotNull(), got["fetched_rows"] >= exp)
                 .when(last.isNotNull(), got["n_pages"] >= last)
                 .otherwise(got["_last_rows"] < F.lit(page_size)))
     return j.select(

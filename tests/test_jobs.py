@@ -150,6 +150,27 @@ def test_bad_pages_are_rows(spark):
         jobs.harmonise({"r9": pages})
 
 
+def test_unreadable_pages_are_not_complete(spark):
+    """An unreadable first or last page, whichever way the listing is judged."""
+    bad, tile = "<![foo[bar]]>", '<div class="product" data-pid="1"></div>'
+    counter = '<div class="search-results-products-counter d-flex justify-content-center">1 de 2</div>'
+    full, short = tile * 2, tile
+    pages = spark.createDataFrame(
+        [("last", 0, full), ("last", 2, bad), ("first", 0, bad), ("first", 2, short),
+         ("middle", 0, counter + full), ("middle", 2, bad), ("good", 0, full), ("good", 2, short)],
+        "category string, page_start int, html string")
+    tiles = X.explode_tiles(pages, "tile_attr", keys=["category", "page_start"])
+    for t in (tiles, tiles.drop("parse_error")):
+        got = {r.category: r for r in completeness_audit(
+            pages, t, ["category"], "page_start", 2).collect()}
+        assert not got["first"].complete and got["good"].complete
+        if "parse_error" in t.columns:
+            assert not got["last"].complete and not got["middle"].complete
+            assert (got["last"].n_pages, got["last"].fetched_rows, got["last"].short_pages) == (2, 2, 1)
+    n = {r.page_start: r for r in X.nutrition(pages.where("category = 'last'")).collect()}
+    assert n[0].parse_error is None and n[2].parse_error.startswith("page: ")
+
+
 def test_harmonise_from_product_snapshot(spark, tmp_path):
     from shelfscan.operators.harmonise import harmonise_products
     from shelfscan.operators.stats import describe
