@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfscan.llm import (bpe, license_scan, line_dedup, mixing, quality_model, quality_rules,
-                           sharding, simhash, substring, winnow)
+from shelfscan.llm import (alignment, bpe, license_scan, line_dedup, mixing, quality_model,
+                           quality_rules, sharding, simhash, substring, whitening, winnow)
 from shelfscan.llm.common import prepare
 from shelfscan.llm.oracle import ORACLE  # noqa: F401
 
@@ -61,7 +61,15 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_documents(spark, sf_dir))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(prepare(spark).read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(_documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash_near_dedup, op2_line_dedup, op3_document_fingerprints, op4_sharding,
     op5_source_mixing, op6_license_scan, op7_quality_rules, op8_quality_classifier,
-    op9_substring_dedup, op10_bpe)}
+    op9_substring_dedup, op10_bpe, op11_embedding_whitening, op12_tokenizer_alignment)}
