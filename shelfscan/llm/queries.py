@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfscan.llm import (alignment, bpe, license_scan, line_dedup, mixing, quality_model,
-                           quality_rules, sharding, simhash, substring, whitening, winnow)
+from shelfscan.llm import (alignment, bpe, license_scan, line_dedup, minhash, mixing,
+                           quality_model, quality_rules, sharding, simhash, substring, whitening,
+                           winnow)
 from shelfscan.llm.common import prepare
 from shelfscan.llm.oracle import ORACLE  # noqa: F401
 
@@ -69,7 +70,12 @@ def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(_documents(spark, sf_dir))
 
 
+def op13_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_dup_groups(_documents(spark, sf_dir)).drop("k1", "k2")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash_near_dedup, op2_line_dedup, op3_document_fingerprints, op4_sharding,
     op5_source_mixing, op6_license_scan, op7_quality_rules, op8_quality_classifier,
-    op9_substring_dedup, op10_bpe, op11_embedding_whitening, op12_tokenizer_alignment)}
+    op9_substring_dedup, op10_bpe, op11_embedding_whitening, op12_tokenizer_alignment,
+    op13_minhash_near_dedup)}

@@ -125,3 +125,69 @@ def substrings(docs, window=35):
         kept = " ".join(w for n, w in enumerate(ws) if n not in gone)
         out.append((i, len(ws), len(gone), sha(kept)))
     return out
+
+
+def shingle_set(text, size=5):
+    words = WORD.findall((text or "").translate(A_Z))
+    return frozenset(" ".join(words[i:i + size]) for i in range(max(1, len(words) - size + 1))) \
+        if words else frozenset()
+
+
+def similar_groups(docs, percent=85):
+    """(doc_id, set size, component_id, kept): all pairs that share a shingle are compared."""
+    sets = [shingle_set(t) for _, t in docs]
+    root, holders = list(range(len(sets))), defaultdict(list)
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    for i, s in enumerate(sets):
+        common = Counter(j for x in s for j in holders[x])
+        for x in s:
+            holders[x].append(i)
+        for j, k in common.items():
+            if 100 * k >= percent * (len(s) + len(sets[j]) - k):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    ids = defaultdict(list)
+    for n, (i, _) in enumerate(docs):
+        ids[find(n)] += [i] if i is not None else []
+    least = {k: min(v, default=None) for k, v in ids.items()}
+    return [(i, len(s), least[find(n)], i == least[find(n)]) for n, ((i, _), s) in enumerate(zip(docs, sets))]
+
+
+def aligned(docs, first, second, a_bytes, b_bytes):
+    """op12's rows: ``first`` and ``second`` encode a whole text, ids to bytes by the tables."""
+    groups = []
+    for _, t in docs:
+        raw = (" " + (t or "")).encode()
+        a, b = (first(" " + t), second(t)) if t else ([], [])
+        if not t or any(b"".join(table[i] for i in ids) != raw for ids, table in ((a, a_bytes), (b, b_bytes))):
+            groups.append([])
+            continue
+        out, i, j, ea, eb, gi, gj = [], 0, 0, 0, 0, 0, 0
+        while i < len(a) or j < len(b):
+            if ea <= eb and i < len(a):
+                ea += len(a_bytes[a[i]])
+                i += 1
+            else:
+                eb += len(b_bytes[b[j]])
+                j += 1
+            if ea == eb:
+                out.append((a[gi:i], b[gj:j]))
+                gi, gj = i, j
+        groups.append(out)
+    count, best = Counter(), Counter()
+    for g in groups:
+        count.update({(x, y) for xs, ys in g for x in xs for y in ys})
+    for (x, _), n in count.items():
+        best[x] = max(best[x], n)
+    rows = []
+    for (i, _), g in zip(docs, groups):
+        linked = [(x, y) for xs, ys in g for x in xs for y in ys]
+        text = ";".join(",".join(map(str, xs)) + "|" + ",".join(map(str, ys)) for xs, ys in g)
+        rows.append((i, sum(len(x) for x, _ in g), sum(len(y) for _, y in g), len(g), len(linked),
+                     sum(count[p] == best[p[0]] for p in linked), sum(count[p] for p in linked),
+                     sha(text) if g else ""))
+    return rows
