@@ -88,6 +88,25 @@ def _same_key(a: tuple, b: tuple) -> bool:
     return all(x == y or (x != x and y != y) for x, y in zip(a, b))
 
 
+def changes(batch, columns: list[str]):
+    """Where an Arrow batch's row differs from the row before in any of ``columns``, as grouping
+    sees it; the first row counts as a change."""
+    import numpy as np
+
+    out = np.zeros(batch.num_rows, dtype=bool)
+    for g in columns:
+        col = batch.column(g)
+        valid = ~np.asarray(col.is_null().to_numpy(zero_copy_only=False), dtype=bool)
+        vals = col.to_numpy(zero_copy_only=False)
+        ne = np.asarray(vals[1:] != vals[:-1], dtype=bool)
+        if vals.dtype.kind == "f":
+            ne &= ~(np.isnan(vals[1:]) & np.isnan(vals[:-1]))
+        both = valid[1:] & valid[:-1]
+        out[1:] |= (ne & both) | (valid[1:] != valid[:-1])
+    out[:1] = True
+    return out
+
+
 def _group_runs(groups: list[str]):
     """Arrow pass over one sorted task: position of each row inside its run of
     equal group keys (continuing across batch borders)."""
@@ -103,16 +122,7 @@ def _group_runs(groups: list[str]):
             if n == 0:
                 yield b.append_column("_gpos", pa.array([], pa.int64()))
                 continue
-            change = np.zeros(n, dtype=bool)
-            for g in groups:
-                col = b.column(g)
-                valid = ~np.asarray(col.is_null().to_numpy(zero_copy_only=False), dtype=bool)
-                vals = col.to_numpy(zero_copy_only=False)
-                ne = np.asarray(vals[1:] != vals[:-1], dtype=bool)
-                if vals.dtype.kind == "f":
-                    ne &= ~(np.isnan(vals[1:]) & np.isnan(vals[:-1]))
-                both = valid[1:] & valid[:-1]
-                change[1:] |= (ne & both) | (valid[1:] != valid[:-1])
+            change = changes(b, groups)
             first = tuple(b.column(g)[0].as_py() for g in groups)
             change[0] = last is None or not _same_key(first, last)      # no groups: one run
             idx = np.arange(n)

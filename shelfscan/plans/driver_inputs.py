@@ -477,3 +477,83 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.when(F.col("event_id") % 10 == 0, F.lit("Traceback (most recent call last):")
                   ).otherwise(line)
     return ev.select("event_id", line.alias("value"))
+
+
+# --------------------------------------------------------------------------
+# Listings over time.
+
+
+def _listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One listing per order line: a third are of one product, some have no product id."""
+    li = table(spark, sf_dir, "lineitem")
+    k = F.col("l_partkey")
+    product = (F.when(k % 3 == 0, F.lit("hot")).when(k % 40 == 1, F.lit(None).cast("string"))
+               .otherwise(cat("item-", k.cast("string"))))
+    source = F.element_at(F.array(*map(F.lit, ("r1", "r2", "r3"))), (F.col("l_suppkey") % 3 + 1).cast("int"))
+    return li.withColumns({"source": source, "product_id": product})
+
+
+def price_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listings with a price that falls, rises back and is missing for two months of a year."""
+    month = F.month("l_shipdate")
+    price = (F.lit(10.0) + F.when(F.col("product_id") == "hot", F.lit(0)).otherwise(F.col("l_partkey") % 50)
+             + F.when(month > 8, F.lit(2.5)).otherwise(F.lit(0.0)))
+    return _listings(spark, sf_dir).select(
+        "source", "product_id", F.col("l_shipdate").cast("date").alias("snapshot_date"),
+        F.when(~month.isin(3, 4), price).alias("price"))
+
+
+def dated_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listings by quarter with the day they were seen, in three batches: the second holds late
+    rows of the quarters of the first."""
+    x = _listings(spark, sf_dir)
+    late = F.col("l_linenumber") == 3
+    batch = F.when(F.year("l_shipdate") >= 1996, F.lit(2)).when(late, F.lit(1)).otherwise(F.lit(0))
+    return x.select("source", "product_id",
+                    F.date_trunc("quarter", "l_shipdate").cast("date").alias("snapshot_date"),
+                    F.col("l_shipdate").cast("date").alias("observed_at"),
+                    F.when(F.col("l_quantity") > 5, F.col("l_quantity")).alias("price"),
+                    (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("listing"),
+                    batch.alias("batch"))
+
+
+def two_days(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The catalogue on two days: some products come, some go, some prices rise, some have no price
+    or no id, a quarter of the rows are listings of one product; the first day lists all twice."""
+    part = table(spark, sf_dir, "part")
+    source = F.element_at(F.array(*map(F.lit, ("r1", "r2", "r3"))), (key_mod(3) + 1).cast("int"))
+    product = (F.when(key_mod(4) == 0, F.lit("hot"))
+               .when(key_mod(25) != 3, cat("item-", F.col("p_partkey").cast("string"))))
+    price = F.when(key_mod(8) != 1, F.col("p_retailprice"))
+    first = part.where(key_mod(10) != 3).select(source.alias("source"), product.alias("product_id"),
+                                                price.alias("price"))
+    dearer = first.withColumn("price", F.col("price") + 0.5)
+    second = part.where(key_mod(10) != 7).select(
+        source.alias("source"), product.alias("product_id"),
+        (price + F.when(key_mod(5) == 2, F.lit(1)).otherwise(F.lit(0))).alias("price"))
+    return first.unionByName(dearer), second
+
+
+def retailer_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogue at three retailers that spell names and pack sizes in their own way; the third
+    has another product in place of every fifth, and no price for every eleventh."""
+    part = table(spark, sf_dir, "part")
+    k, code = F.col("p_partkey").cast("string"), cat("n", F.col("p_partkey").cast("string"))
+    brand = F.replace(F.col("p_brand"), F.lit("#"), F.lit(""))
+    grams = (F.col("p_size") * 10).cast("string")
+    fruit = F.when(key_mod(9) == 0, F.lit("maçã ")).otherwise(F.lit(""))
+    kilos = (F.col("p_size") / 100).cast("decimal(6,2)").cast("string")
+    price = F.col("p_retailprice")
+    row = lambda source, name, cost: part.select(
+        F.lit(source).alias("source"), cat(source, "-", k).alias("product_id"),
+        name.alias("product_name"), cost.alias("price"))
+    third = F.when(key_mod(5) == 0, cat("m", k)).otherwise(code)
+    extra = F.when(key_mod(4) == 1, F.lit(" bio")).otherwise(F.lit(""))
+    return (row("r1", cat(fruit, F.col("p_name"), " ", brand, " ", code, ", ", grams, " g"), price)
+            .unionByName(row("r2", cat(F.upper(F.concat(brand, F.lit(" "), code)), " - ",
+                                       F.upper(F.concat(fruit, F.col("p_name"))), " ", kilos, "kg"),
+                             price * F.when(key_mod(3) == 0, F.lit(0.5)).otherwise(F.lit(2.0))))
+            .unionByName(row("r3", cat(F.col("p_name"), " ", fruit, "(", third, "/", brand, ")", extra,
+                                       " ", grams, "g"),
+                             F.when(key_mod(11) != 0, price * F.when(key_mod(7) == 0, F.lit(0.25))
+                                    .otherwise(F.lit(1.0))))))

@@ -9,6 +9,8 @@ pattern itself is the operator under test.
 
 from __future__ import annotations
 
+from .tracking import ORACLE as TRACKING
+
 # Shared pieces ---------------------------------------------------------------
 
 DEC = "CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS VARCHAR)"
@@ -478,4 +480,5 @@ UNION ALL SELECT 'elsewhere', 'web', count(*), 0, count(*), 'error' FROM pages""
 SELECT (SELECT count(*) FROM (SELECT DISTINCT p_partkey % 2, lower(p_type) FROM part)) AS n_files,
   (SELECT count(*) FROM part) AS n_rows, (SELECT count(*) FROM part) AS n_null,
   (SELECT (max(epoch_us(ts) // 1000) - min(epoch_us(ts) // 1000)) / 1000.0 FROM events WHERE event_id % 10 <> 0) AS elapsed_s""",
+    **TRACKING,
 }

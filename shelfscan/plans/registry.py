@@ -29,6 +29,7 @@ from ..session import scratch_path
 from ..sources.sinks import write_csv, write_snapshot
 from ..sources.snapshots import read_csv_snapshots, read_name_column
 from . import driver_inputs as D
+from . import tracking
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -615,4 +616,5 @@ QUERIES: dict[str, Query] = {
     "completeness_by_pager": q_completeness_by_pager,
     "completeness_by_short_page": q_completeness_by_short_page,
     "pipeline_metrics": q_pipeline_metrics,
+    **tracking.QUERIES,
 }
