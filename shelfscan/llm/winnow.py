@@ -15,22 +15,20 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfscan.llm.common import bucket_of, longs, narrow, prepare
+from shelfscan.llm.common import arrow_batches, cut_table, narrow, prepare
 
 GRAM = 16           # code points a hash covers
 WINDOW = 32         # hashes a window covers
-ROWS_PER_RANGE = 20_000
-SAMPLE_PER_RANGE = 40
-MAX_RANGES = 20_000 # beyond, ranges get longer: documents stream through a task, so its memory stays
+ROWS_PER_TASK = 10_000  # documents that are sorted together
+BATCH_BYTES = 4 << 20   # of texts handed to a Python worker at a time
 BLOCK = 1 << 18     # windows looked at at a time
 # Base of the rolling hash and the multiplier of its finisher
 # (the 64-bit golden ratio and a public splitmix constant).
 BASE = 0x9E3779B97F4A7C15
 MIX = 0xBF58476D1CE4E5B9
-FIRST = -(1 << 63)  # sort key of a null id
 
 
 def rolling(values: np.ndarray, k: int) -> np.ndarray:
@@ -118,89 +116,109 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         run, "doc_id long, k1 long, k2 long, hashes array<long>, positions array<long>")
 
 
-def _id_ranges(ids: DataFrame, n: int, rows: int) -> list[int]:
-    """At most n - 1 cut points of the descending id order, from a sample of
-    about SAMPLE_PER_RANGE ids a range, chosen by a hash of the id."""
-    share = min(1.0, n * SAMPLE_PER_RANGE / max(1, rows))
-    picked = ids.where(F.pmod(F.xxhash64("o"), F.lit(1 << 20)) <= int(share * (1 << 20)))
-    s = sorted(r[0] for r in picked.collect())
-    return sorted({s[i * len(s) // n] for i in range(1, n)}) if s else []
-
-
-def with_next(docs: DataFrame, fn, schema: str, id_col: str = "doc_id",
-              text_col: str = "text") -> DataFrame:
-    """``fn(iterator of ((doc_id, text), next (doc_id, text)))`` over all documents in
-    descending id order (nulls last, equal ids by row key); after the last
-    comes the first.
-
-    Documents are dealt to ranges of ids, one task each; every range also gets
-    the first document of the following range, so no task needs another's.
-    """
+def _in_order(docs: DataFrame, id_col: str, text_col: str, rows_per_task: int) -> DataFrame:
+    """``task, doc_id, body``: the documents in descending id order (nulls last, equal ids by row
+    key), dealt to tasks in ranges and sorted inside them.  Rows that are equal in all of
+    that, of which there may be very many, are told apart by where they were read."""
     spark = prepare(docs.sparkSession)
-    d = narrow(docs, id_col, text_col).withColumn("o", F.coalesce("doc_id", F.lit(FIRST)))
-    ids = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(FIRST)).alias("o"))
-    rows = ids.count()
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-            min(MAX_RANGES, math.ceil(rows / ROWS_PER_RANGE)))
-    cuts = _id_ranges(ids, n, rows)
-    bucket = bucket_of(F.col("o"), cuts).cast("int")
-    firsts = sorted((r.b, r.o) for r in ids.groupBy(bucket.alias("b")).agg(F.max("o").alias("o"))
-                    .collect())
-    # a range's first document (its largest id) also ends the range above it
-    above = {o: firsts[(i + 1) % len(firsts)][0] for i, (_, o) in enumerate(firsts)}
-    heads = sorted(above)
-    slot = bucket_of(F.col("o"), heads)
-    if heads:
-        to = F.expr(longs([above[o] for o in heads])).cast("array<int>")
-        is_head = (slot > 0) & (F.element_at(F.expr(longs(heads)),
-                                             F.greatest(slot, F.lit(1))) == F.col("o"))
-        places = F.when(is_head, F.array(
-            F.struct(bucket.alias("b"), F.lit(0).alias("tail")),
-            F.struct(F.element_at(to, F.greatest(slot, F.lit(1))).alias("b"),
-                     F.lit(1).alias("tail"))))
-        places = places.otherwise(F.array(F.struct(bucket.alias("b"), F.lit(0).alias("tail"))))
-    else:
-        places = F.array(F.struct(bucket.alias("b"), F.lit(0).alias("tail")))
-    dealt = (d.withColumn("place", F.explode(places))
-             .select("doc_id", "o", "k1", "k2", "body", "place.b", "place.tail")
-             .repartitionById(max(1, len(cuts) + 1), F.col("b"))
-             .sortWithinPartitions("b", "tail", F.desc("o"), "k1", "k2"))
+            math.ceil(docs.count() / rows_per_task))
+    order = [F.desc_nulls_last("doc_id"), F.asc("k1"), F.asc("k2"), F.asc("place")]
+    return (narrow(docs, id_col, text_col).withColumn("place", F.monotonically_increasing_id())
+            .repartitionByRange(n, *order).sortWithinPartitions(*order)
+            .select(F.spark_partition_id().alias("task"), "doc_id", "body"))
+
+
+def with_next(docs: DataFrame, fn, schema: str, id_col: str = "doc_id", text_col: str = "text",
+              rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """The columns of ``schema`` that ``fn`` gives as tuples for an iterator of
+    ((doc_id, text), next (doc_id, text)) over all documents in descending id order (nulls
+    last, equal ids by row key); after the last comes the first.
+
+    Each text crosses one shuffle.  A task pairs its documents as they stream by; its first
+    and last document are put by, two a task, and meet those of the neighbouring tasks in a
+    join on the task's number.
+    """
+    names = [x.split()[0] for x in schema.split(", ")]
+    kinds = pa.schema([(n, _TYPES[x.split()[1]]) for n, x in zip(names, schema.split(", "))]
+                      + [("task", pa.int32()), ("edge", pa.int32()), ("own", pa.int64()),
+                         ("body", pa.binary())])
+
+    def out(rows):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, k.type) for c, k in zip(zip(*rows), kinds)], schema=kinds)
+
+    def paired(pairs):
+        rows = []
+        for row in fn(pairs):
+            rows.append((*row, None, 0, None, None))
+            if len(rows) == ROWS_OUT:
+                yield out(rows)
+                rows = []
+        if rows:
+            yield out(rows)
 
-    def run(batches):
-        def docs_in_order():
-            for b in batches:
-                cols = (b.column(c).to_pylist() for c in ("doc_id", "tail", "body"))
-                for i, tail, body in zip(*cols):
-                    yield tail, (i, (body or b"").decode("utf-8", "replace"))
+    def inside(batches):
+        edges = []
 
         def pairs():
             held = None
-            for tail, doc in docs_in_order():
-                if held is not None:
-                    yield held, doc
-                held = None if tail else doc
-
-        yield from fn(pairs())
-
-    return dealt.select("doc_id", "tail", "body").mapInArrow(run, schema)
+            for b in batches:
+                for task, i, body in zip(*(b.column(c) for c in ("task", "doc_id", "body"))):
+                    doc = (i.as_py(), (body.as_py() or b"").decode("utf-8", "replace"))
+                    edges[1:] = [(task.as_py(), doc)]
+                    if held is None:
+                        edges.append(edges[0])
+                    else:
+                        yield held, doc
+                    held = doc
+
+        yield from paired(pairs())
+        for edge, (task, (i, text)) in zip((FIRST, LAST), edges):
+            yield out([(*[None] * len(names), task, edge, i, text.encode())])
+
+    def across(batches):
+        def pairs():
+            for b in batches:
+                for i, body, j, after in zip(*(b.column(c) for c in ("own", "body", "j", "after"))):
+                    yield ((i.as_py(), body.as_py().decode()), (j.as_py(), after.as_py().decode()))
+
+        for b in paired(pairs()):
+            yield b.select(names)
+
+    ordered = _in_order(docs, id_col, text_col, rows_per_task)
+    with arrow_batches(docs.sparkSession, BATCH_BYTES):
+        made = cut_table(ordered.mapInArrow(
+            inside, f"{schema}, task int, edge int, own long, body binary"), "paired")
+    first, last = (made.where(F.col("edge") == e).select("task", "own", "body") for e in (FIRST, LAST))
+    # one number a task: the next task that has documents, after the last one the first
+    in_order = Window.partitionBy(F.lit(0)).orderBy("task")
+    everywhere = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    onward = first.select("task", F.coalesce(F.lead("task").over(in_order),
+                                             F.min("task").over(everywhere)).alias("next"))
+    met = (last.join(onward, "task").join(
+        first.select(F.col("task").alias("next"), F.col("own").alias("j"), F.col("body").alias("after")),
+        "next").select("own", "body", "j", "after"))
+    return made.where("edge = 0").select(*names).union(met.mapInArrow(across, schema))
 
 
 _DIGEST = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
            "edited_fingerprint string, near_edited double, near_next double")
+_TYPES = {"long": pa.int64(), "string": pa.string(), "double": pa.float64()}
 ROWS_OUT = 500
+FIRST, LAST = 1, 2      # a task's documents that meet those of its neighbours
 
 
 def edit_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                gram: int = GRAM, window: int = WINDOW) -> DataFrame:
+                gram: int = GRAM, window: int = WINDOW,
+                rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Fingerprints of every text and of its edited text (the last half
     replaced by the first as many code points of the next document in
     descending id order), with the likeness to the edited text's and to the
     next document's.  Null texts are empty.  A lone document is its own next.
+    A task holds two texts and their fingerprints at a time: some 30 bytes a character.
     """
     def run(pairs):
-        names = [x.split()[0] for x in _DIGEST.split(", ")]
-        types = [pa.int64(), pa.int64(), *[pa.string()] * 3, pa.float64(), pa.float64()]
-        rows: list[tuple] = []
         known: tuple = (None, None)
         for (i, text), (_, after) in pairs:
             own = known[1] if known[0] is text else winnow(text, gram, window)
@@ -209,15 +227,7 @@ def edit_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             half = len(text) // 2
             edited = text[: len(text) - half] + after[:half]
             changed = winnow(edited, gram, window)
-            rows.append((i, len(text), hashlib.sha256(edited.encode()).hexdigest(), encode(own),
-                         encode(changed), likeness(own[0], changed[0]),
-                         likeness(own[0], following[0])))
-            if len(rows) == ROWS_OUT:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
-                rows = []
-        if rows:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+            yield (i, len(text), hashlib.sha256(edited.encode()).hexdigest(), encode(own),
+                   encode(changed), likeness(own[0], changed[0]), likeness(own[0], following[0]))
 
-    return with_next(docs, run, _DIGEST, id_col, text_col)
+    return with_next(docs, run, _DIGEST, id_col, text_col, rows_per_task)

@@ -145,6 +145,33 @@ def test_edit_report(spark, odd, pairs, real, real_pairs, parts):
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
+def test_edit_report_likeness(real, real_pairs):
+    """Every likeness is that of the winnowed texts; tasks of 20 documents, so that borders matter."""
+    rows = sorted(real_pairs, key=lambda r: -r[0])
+    sets = [set(winnow.winnow(t)[0].tolist()) for _, t in rows]
+    dice = lambda a, b: 2 * len(a & b) / (len(a) + len(b)) if a or b else 1.0
+    got = {r.doc_id: r for r in winnow.edit_report(real, rows_per_task=20).collect()}
+    for n, (i, t) in enumerate(rows):
+        after = rows[(n + 1) % len(rows)][1]
+        half = len(t) // 2
+        edited = set(winnow.winnow(t[: len(t) - half] + after[:half])[0].tolist())
+        assert got[i].near_next == dice(sets[n], sets[(n + 1) % len(rows)])
+        assert got[i].near_edited == dice(sets[n], edited)
+
+
+def test_edit_report_of_hot_ids(spark):
+    """A third of the ids null, and very many equal rows: no task gets them all."""
+    rows = [(None, f"text {i} " * (i % 5)) for i in range(3000)] + [(7, "the same text")] * 3000
+    rows += [(i, f"other {i}") for i in range(100, 3100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    tasks = winnow._in_order(df, "doc_id", "text", 300).groupBy("task").count().collect()
+    assert len(tasks) > 20 and max(r["count"] for r in tasks) < 3 * len(rows) / len(tasks)
+    out = winnow.edit_report(df, rows_per_task=300)
+    assert Counter(r.doc_id for r in out.collect()) == Counter(i for i, _ in rows)
+    same = [r for r in out.where("doc_id = 7").collect()]
+    assert sum(r.near_next == 1.0 for r in same) >= 2999      # all but the last are followed by themselves
+
+
 def test_winnow_guarantee_and_positions(monkeypatch):
     rng = random.Random(3)
     k, w = 5, 7
