@@ -109,3 +109,25 @@ def bucket_of(x: Column, bounds: list, to_sql=longs) -> Column:
 def same(docs: DataFrame) -> list[Column]:
     """The columns of ``docs`` by name, for selecting them back after a join."""
     return [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+
+
+SKETCH_BITS = 1 << 25   # 4 MB
+
+
+def likely_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``k1, k2`` may be in ``keys``: all that are, and few others while
+    ``keys`` has fewer rows than SKETCH_BITS.  Only a bitmap of that fixed size is broadcast,
+    so that a join that follows shuffles little where few rows are wanted."""
+    place = F.pmod(F.xxhash64("k1", "k2"), F.lit(SKETCH_BITS))
+    bits = (keys.select(place.alias("_h")).groupBy(F.expr("bitmap_bucket_number(_h)").alias("_bucket"))
+            .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(_h))").alias("_bits")))
+    byte = "conv(hex(substring(_bits, cast(bitmap_bit_position(_h) div 8 as int) + 1, 1)), 16, 10)"
+    return (docs.withColumn("_h", place).withColumn("_bucket", F.expr("bitmap_bucket_number(_h)"))
+            .join(F.broadcast(bits), "_bucket")
+            .where(F.expr(f"getbit(cast({byte} as bigint), cast(bitmap_bit_position(_h) % 8 as int)) = 1"))
+            .select(*docs.columns))
+
+
+def partitions_for(rows: int, spark: SparkSession, per_task: int = 20_000) -> int:
+    """Tasks for documents: as many as the session's shuffles have, more for many rows."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_task))

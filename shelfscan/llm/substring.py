@@ -35,7 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_intdigest, xxh64_intdigest
 
-from shelfscan.llm.common import cut, cut_table, narrow, prepare
+from shelfscan.llm.common import (cut, cut_table, likely_rows, narrow, partitions_for,
+                                  prepare)
 from shelfscan.llm.winnow import MIX, rolling, window_minima
 
 WINDOW = 35             # words
@@ -294,7 +295,7 @@ def _windows(window: int, prefix: int):
     return run
 
 
-def _groups(dealt: DataFrame, grams: DataFrame, window: int, prefix: int, group_rows: int,
+def _groups(texts: DataFrame, dealt: DataFrame, grams: DataFrame, window: int, prefix: int, group_rows: int,
             group_bytes: int) -> tuple[DataFrame, DataFrame | None]:
     """Bundles whose keys each fit a group, and the documents (``k1, k2, hot, some``)
     with prefixes that fit none at any length, if there are."""
@@ -325,7 +326,8 @@ def _groups(dealt: DataFrame, grams: DataFrame, window: int, prefix: int, group_
     for _ in prefix_lengths(window, prefix):
         if left.isEmpty():
             return bundles, None
-        found = cut_table(dealt.join(left, ["k1", "k2"]).select("k1", "k2", "body", "hot", "some")
+        found = cut_table(likely_rows(texts, left).join(left, ["k1", "k2"])
+                          .select("k1", "k2", "body", "hot", "some")
                           .mapInArrow(_measures(window, prefix), "g long, bundle long, k1 long, "
                                                                  "k2 long, n long, size long"), "found")
         total = (found.groupBy("g", "bundle").agg(F.sum("n").alias("n"), F.max("size").alias("size"))
@@ -345,16 +347,15 @@ def _groups(dealt: DataFrame, grams: DataFrame, window: int, prefix: int, group_
     return bundles, None if hot.isEmpty() else hot
 
 
-def _repeats(dealt: DataFrame, grams: DataFrame, window: int, prefix: int,
-             group_rows: int, group_bytes: int) -> DataFrame:
+def _repeats(texts: DataFrame, dealt: DataFrame, grams: DataFrame, window: int, prefix: int,
+             group_rows: int, group_bytes: int, parts: int) -> DataFrame:
     """``k1, k2, from, to``: repeated spans, from documents dealt by key."""
-    bundles, hot = _groups(dealt, grams, window, prefix, group_rows, group_bytes)
-    parts = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bundles, hot = _groups(texts, dealt, grams, window, prefix, group_rows, group_bytes)
     spans = (bundles.repartition(parts, "g").sortWithinPartitions("g")
              .mapInArrow(_trees(window), "k1 long, k2 long, from long, to long"))
     if hot is None:
         return spans
-    windows = cut_table(dealt.join(hot, ["k1", "k2"]).select(
+    windows = cut_table(likely_rows(texts, hot).join(hot, ["k1", "k2"]).select(
         "k1", "k2", "body", "hot", "some").mapInArrow(
         _windows(window, prefix), "w1 long, w2 long, k1 long, k2 long, from long"), "windows")
     often = windows.groupBy("w1", "w2").count().where("count > 1").select("w1", "w2")
@@ -399,9 +400,10 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     d = narrow(docs, id_col, text_col)
     grams = cut_table(d.select("k1", "k2", "body").mapInArrow(
         _grams(window, prefix), "g long, n long, size long, k1 long, k2 long"), "grams")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = d.select("doc_id", "k1", "k2", "body").repartition(parts, "k1", "k2")
-    spans = _repeats(dealt, grams, window, prefix, group_rows, group_bytes)
+    parts = partitions_for(docs.count(), spark)
+    texts = d.select("doc_id", "k1", "k2", "body")
+    dealt = texts.repartition(parts, "k1", "k2")
+    spans = _repeats(texts, dealt, grams, window, prefix, group_rows, group_bytes, parts)
     by_doc = spans.groupBy("k1", "k2").agg(
         F.collect_set(F.struct("from", "to")).alias("spans"))
     return (dealt.join(by_doc, ["k1", "k2"], "left").select("doc_id", "body", "spans")

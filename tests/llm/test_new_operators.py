@@ -250,3 +250,16 @@ def test_half_keys_agree_as_often_as_sets():
 def test_minhash_of_nothing(nothing, clashing, odd):
     assert minhash.near_dup_groups(nothing).count() == 0
     assert similar(clashing) == similar(odd)
+
+
+# shared ----------------------------------------------------------------------
+
+def test_likely_rows_lose_none(spark):
+    from shelfscan.llm import common
+    keyed = spark.range(3000).select(F.xxhash64("id").alias("k1"), F.xxhash64("id", F.lit(1)).alias("k2"), "id")
+    wanted = keyed.where("id % 30 = 0").select("k1", "k2")
+    got = common.likely_rows(keyed, wanted)
+    assert got.columns == keyed.columns
+    ids = {r.id for r in got.collect()}
+    assert {i for i in range(0, 3000, 30)} <= ids and len(ids) < 110
+    assert common.likely_rows(keyed, wanted.limit(0)).count() == 0

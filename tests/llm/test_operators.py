@@ -425,7 +425,7 @@ def test_substrings_of_one_phrase(spark, window, prefix, group_bytes):
     grams = d.select("k1", "k2", "body").mapInArrow(
         substring._grams(window, prefix), "g long, n long, size long, k1 long, k2 long")
     assert grams.groupBy("g").agg(F.sum("size").alias("s")).agg(F.max("s")).first()[0] > 2 * group_bytes
-    bundles, _ = substring._groups(d, grams, window, prefix, 1000, group_bytes)
+    bundles, _ = substring._groups(d, d, grams, window, prefix, 1000, group_bytes)
     one = bundles.where("length(words) > 0").select("g", "n", "words").distinct()
     sizes = [r.s for r in one.groupBy("g").agg(F.sum(F.length("words")).alias("s")).collect()]
     assert sizes and max(sizes) <= group_bytes
