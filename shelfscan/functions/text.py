@@ -46,6 +46,18 @@ def max_digit_run(text: Column | str) -> Column:
     return F.array_max(digit_runs(text))
 
 
+# How shops group the digits of a large number, by threes after a dot, a blank
+# or a no-break blank.
+GROUPED_NUMBER = r"\d{1,3}(?:[. \u00a0\u202f]\d{3})+(?!\d)|\d+"
+
+
+def max_grouped_number(text: Column | str) -> Column:
+    """Largest number in a text whose thousands may be marked (``216 de 1.234`` → 1234); NULL
+    when there is none.  ``max_digit_run`` reads 234 there and stays as the original did."""
+    found = F.regexp_extract_all(_col(text), F.lit(GROUPED_NUMBER), 0)
+    return F.array_max(F.transform(found, lambda x: F.regexp_replace(x, r"\D", "").try_cast("bigint")))
+
+
 def parse_dir_date(text: Column | str) -> Column:
     return F.try_to_date(_col(text), DATE_DIR_FORMAT)
 

@@ -163,8 +163,25 @@ def page_slice(df: DataFrame, start: int, size: int, order_by: list[Column | str
     return df.orderBy(*keys).offset(start).limit(size)
 
 
-def expected_pages(df: DataFrame, last_page_col: str = "last_page",
-                   default: int = 1) -> DataFrame:
-    """One row per page number 1..last_page (missing last page → ``default``)."""
+MAX_PAGES = 100_000     # more pages than this are no listing: the pager was misread
+PAGE_STEP = 1_000       # pages written out at a time
+
+
+def expected_pages(df: DataFrame, last_page_col: str = "last_page", default: int = 1,
+                   max_pages: int = MAX_PAGES) -> DataFrame:
+    """One row per page number 1..last_page (missing last page → ``default``), with
+    ``page_error`` NULL.  A last page below 1 gives no row.  One above ``max_pages`` is not
+    believed: it gives one row without a page number and with a ``page_error``."""
     last = F.coalesce(F.col(last_page_col), F.lit(default)).cast("bigint")
-    return df.withColumn("page_no", F.explode(F.sequence(F.lit(1).cast("bigint"), last)))
+    error = F.when(F.col("_last") > max_pages, F.concat(F.lit("pager: last page "),
+                                                        F.col("_last").cast("string")))
+    believed = df.withColumn("_last", last).where("_last >= 1").withColumn("page_error", error)
+    # in two steps, so that no row holds a long list
+    firsts = F.when(F.col("page_error").isNull(), F.sequence(
+        F.lit(1).cast("bigint"), F.least("_last", F.lit(max_pages).cast("bigint")),
+        F.lit(PAGE_STEP).cast("bigint")))
+    stepped = believed.withColumn("_from", F.explode_outer(firsts))
+    step = F.when(F.col("_from").isNotNull(), F.sequence(
+        "_from", F.least(F.col("_from") + (PAGE_STEP - 1), "_last")))
+    return (stepped.withColumn("page_no", F.explode_outer(step))
+            .select(*df.columns, "page_no", "page_error"))

@@ -6,12 +6,13 @@ last page, log "fetched k of n") with group-bys over what actually landed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import LOG_TIME_FORMAT, log_fields, max_digit_run
+from ..functions.text import LOG_TIME_FORMAT, log_fields, max_grouped_number
 from ..session import ship_package
 from .extract import head_facts
+from .ordering import materialize, with_row_index
 
 
 def _n_tiles(tiles: DataFrame) -> F.Column:
@@ -49,35 +50,61 @@ def run_report(pages: DataFrame, tiles: DataFrame, keys: list[str],
                     rows.alias("n_rows"), errs.alias("n_errors"), status.alias("status"))
 
 
+def _heads(pages: DataFrame, keys: list[str], page_key: str, first_page: Column | None = None,
+           html_col: str = "html") -> DataFrame:
+    """``expected_total, last_page, _error`` per group, read from first pages only."""
+    ship_package(pages.sparkSession)
+    fp = first_page if first_page is not None else (F.col(page_key) <= F.lit(1))
+    facts = head_facts(F.col(html_col))
+    return (pages.where(fp)
+            .select(*keys, max_grouped_number(facts["counter"]).alias("_exp"),
+                    F.try_element_at(facts["pager"], F.lit(-1)).try_cast("bigint").alias("_last"),
+                    facts["parse_error"].alias("_error"))
+            .groupBy(*keys).agg(F.max("_exp").alias("expected_total"),
+                                F.max("_last").alias("last_page"), F.max("_error").alias("_error")))
+
+
+def last_pages(pages: DataFrame, tiles: DataFrame, keys: list[str], page_col: str,
+               page_size: int) -> DataFrame:
+    """``keys, last_page``: the number of each listing's last page (pages count from 1), by its
+    counter, else its pager, else its last landed page if that is short; NULL if none tells."""
+    heads = _heads(pages, keys, page_col)
+    rows = tiles.groupBy(*keys, page_col).agg(_n_tiles(tiles).alias("_rows"))
+    got = rows.groupBy(*keys).agg(F.max(page_col).cast("bigint").alias("_max"),
+                                  F.max_by("_rows", page_col).alias("_last_rows"))
+    groups = pages.select(*keys).distinct()
+    j = groups
+    for other in (heads, got):
+        names = {k: f"_{i}" for i, k in enumerate(keys)}
+        right = other.withColumnsRenamed(names)
+        j = j.join(right, [j[k].eqNullSafe(right[n]) for k, n in names.items()], "left").drop(*names.values())
+    return j.select(*keys, F.coalesce(
+        F.ceil(F.col("expected_total") / page_size), "last_page",
+        F.when(F.col("_last_rows") < page_size, F.col("_max"))).alias("last_page"))
+
+
 def completeness_audit(pages: DataFrame, tiles: DataFrame, keys: list[str], page_key: str,
                        page_size: int, first_page: F.Column | None = None,
                        html_col: str = "html") -> DataFrame:
     """Expected versus fetched, per ``keys`` group, for all three crawl styles.
 
-    * ``expected_total`` — the result counter of the group's first page;
+    * ``expected_total`` — the result counter of the group's first page, thousands marks read;
     * ``last_page`` — the last pager entry of the first page;
     * ``fetched_rows`` / ``n_pages`` — what landed and was extracted;
     * ``progress`` — ``least(fetched, expected)`` (the "k of n" of a crawl);
     * ``short_pages`` — landed pages holding fewer than ``page_size`` rows (a
       crawl stops at the first one);
-    * ``missing_rows`` and ``complete`` — by the counter: as many rows as it
-      says; without one by the pager: as many pages as it says; without either by
-      the last landed page: a short one ends a listing.  A group with a page that
-      could not be read is never complete.
+    * ``missing_rows`` and ``complete`` — by the counter: just as many rows as it
+      says (a surplus, a negative number of missing rows, means that the listing changed
+      while it was fetched); without one by the pager: as many pages as it says; without
+      either by the last landed page: a short one ends a listing.  A group with a page
+      that could not be read is never complete.
 
     ``first_page`` tells first pages; by default offset 0 or page number 1.  The
     counter and pager are read only from first pages, so the markup is
     parsed once more for one page per group, not for every page.
     """
-    ship_package(pages.sparkSession)
-    fp = first_page if first_page is not None else (F.col(page_key) <= F.lit(1))
-    facts = head_facts(F.col(html_col))
-    heads = (pages.where(fp)
-             .select(*keys, max_digit_run(facts["counter"]).alias("_exp"),
-                     F.try_element_at(facts["pager"], F.lit(-1)).try_cast("bigint").alias("_last"),
-                     facts["parse_error"].alias("_error"))
-             .groupBy(*keys).agg(F.max("_exp").alias("expected_total"),
-                                 F.max("_last").alias("last_page"), F.max("_error").alias("_error")))
+    heads = _heads(pages, keys, page_key, first_page, html_col)
     per_page = tiles.groupBy(*keys, page_key).agg(_n_tiles(tiles).alias("_rows"),
                                                       _n_unreadable(tiles).alias("_bad"))
     landed = pages.select(*keys, page_key).distinct()
@@ -96,8 +123,8 @@ def completeness_audit(pages: DataFrame, tiles: DataFrame, keys: list[str], page
     j = got.join(heads, on=cond, how="left")
     exp, last = heads["expected_total"], heads["last_page"]
     readable = (got["_bad"] == 0) & heads["_error"].isNull()
-    complete = (F.when(~readable, F.lit(False)).when(exp.isNotNull(), got["fetched_rows"] >= exp)
-                .when(last.isNotNull(), got["n_pages"] >= last)
+    complete = (F.when(~readable, F.lit(False)).when(exp.isNotNull(), got["fetched_rows"] == exp)
+                .when(last.isNotNull(), got["n_pages"] == last)
                 .otherwise(got["_last_rows"] < F.lit(page_size)))
     return j.select(
         *[got[k] for k in keys],
@@ -111,6 +138,53 @@ def completeness_audit(pages: DataFrame, tiles: DataFrame, keys: list[str], page
         complete.alias("complete"))
 
 
+def missing_pages(landed: DataFrame, keys: list[str], page_col: str = "page_no",
+                  last: DataFrame | None = None, last_col: str = "last_page") -> DataFrame:
+    """Pages that should have landed and did not, as ranges: ``keys, from_page, to_page``.
+
+    ``landed`` has a row per landed page (numbers from 1; others and NULL are not pages), ``last``
+    the number of the last page per group.  A group that landed nothing misses all its pages; one
+    whose last page is unknown (NULL, or not in ``last``) misses the pages between landed ones, and
+    those after the last landed one with an open end (``to_page`` NULL).  Pages beyond the last
+    one count for nothing.
+
+    No range is written out page by page, so a pager that names a huge page number costs one
+    row.  A range begins after a page whose next one is missing and ends before one whose previous
+    one is: both come from an anti join on (group, page).  The i-th beginning of a group belongs
+    to its i-th end; a group with very many ranges is numbered by several tasks.
+    """
+    names = {k: f"_k{i}" for i, k in enumerate(keys)}
+
+    def renamed(df: DataFrame) -> DataFrame:
+        return df.withColumnsRenamed(names)
+
+    def match(a: DataFrame, b: DataFrame) -> list[Column]:
+        return [a[k].eqNullSafe(b[n]) for k, n in names.items()]
+
+    unknown = F.lit(None).cast("bigint").alias("_end")
+    groups = landed.select(*keys, unknown)
+    if last is not None:
+        groups = groups.unionByName(last.select(*keys, F.col(last_col).cast("bigint").alias("_end")))
+    groups = groups.groupBy(*keys).agg(F.max("_end").alias("_end")).where("_end is null or _end >= 1")
+    page = landed.select(*keys, F.col(page_col).cast("bigint").alias("_p")).where("_p >= 1").distinct()
+    of = renamed(groups)
+    there = page.join(of, match(page, of)).where("_end is null or _p <= _end").select(*keys, "_p", "_end")
+    # page 0 stands before every listing, and a page after the last one behind it
+    border = groups.select(*keys, F.explode(F.array(F.lit(0).cast("bigint"), F.col("_end") + 1))
+                           .alias("_p"), "_end").where("_p is not null")
+    pages = materialize(there.unionByName(border))
+    at = renamed(pages.select(*keys, F.col("_p").alias("_q")))
+
+    def alone(step: int) -> DataFrame:
+        return pages.join(at, [*match(pages, at), pages["_p"] + step == at["_q"]], "left_anti")
+
+    starts = alone(1).where("_end is null or _p < _end").select(*keys, (F.col("_p") + 1).alias("from_page"))
+    stops = alone(-1).where("_p > 1").select(*keys, (F.col("_p") - 1).alias("to_page"))
+    a = with_row_index(starts, ["from_page"], keys, "_i")
+    b = renamed(with_row_index(stops, ["to_page"], keys, "_j"))
+    return a.join(b, [*match(a, b), a["_i"] == b["_j"]], "left").select(*keys, "from_page", "to_page")
+
+
 def pipeline_metrics(rows: DataFrame, file_keys: list[str], log: DataFrame,
                      columns: list[str] | None = None) -> DataFrame:
     """One row about a run: ``n_files`` (different ``file_keys``), ``n_rows``,

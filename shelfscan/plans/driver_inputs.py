@@ -258,29 +258,37 @@ def attr_tile_pages(spark: SparkSession, sf_dir: str, with_category: bool = Fals
 
 
 def audit_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JSON-tile crawl per category (p_type) with ``AUDIT_PAGE_SIZE`` tiles a
-    page; the first page carries the result counter; every page whose number
-    is 1 mod 3 landed as an error response (the page is there, its tiles are
-    not) — every row of ``part`` is still read and placed."""
-    part = table(spark, sf_dir, "part").withColumn("category", F.lower(F.col("p_type")))
+    """JSON-tile crawl per category with ``AUDIT_PAGE_SIZE`` tiles a page; two thirds of the rows
+    are of one category.  The first page carries the result counter, large numbers with a
+    thousands mark (a dot, blank or no-break blank); that of one category is five rows short of
+    what landed.  Of the others, every page whose number is 1 mod 3 landed as an error response
+    (the page is there, its tiles are not); every row of ``part`` is read and placed."""
+    category = F.when(key_mod(3) == 0, F.lower(F.col("p_type"))).otherwise(F.lit("tudo"))
+    part = table(spark, sf_dir, "part").withColumn("category", category)
     ranked = with_row_index(part, ["p_partkey"], ["category"], "_r")
     tiles = ranked.select(
         "p_partkey", "category",
         (F.floor(F.col("_r") / AUDIT_PAGE_SIZE) * AUDIT_PAGE_SIZE).cast("int").alias("page_start"),
         json_tile_markup().alias("tile"))
-    totals = part.groupBy("category").agg(F.count(F.lit(1)).alias("_total"))
+    surplus = F.when(F.col("category") == "promo", F.lit(5)).otherwise(F.lit(0))
+    totals = part.groupBy("category").agg(F.count(F.lit(1)).alias("_n")).select(
+        "category", (F.col("_n") - surplus).alias("_total"))
     pages = _pages_of(tiles, ["category", "page_start"])
     pages = pages.join(totals, "category")
+    total = F.col("_total")
+    mark = F.element_at(F.array(F.lit("."), F.lit(" "), F.lit("\u00a0")), ((total % 3) + 1).cast("int"))
+    counted = F.when(total >= 1000, cat(F.floor(total / 1000).cast("string"), mark, F.lpad(
+        (total % 1000).cast("string"), 3, "0"))).otherwise(total.cast("string"))
     counter = cat('<div class="search-results-products-counter">0</div>'
                   '<div class="search-results-products-counter d-flex justify-content-center">'
-                  "A mostrar ", F.least(F.col("_total"), F.lit(AUDIT_PAGE_SIZE)).cast("string"),
-                  " de ", F.col("_total").cast("string"), " produtos</div>")
+                  "A mostrar ", F.least(total, F.lit(AUDIT_PAGE_SIZE)).cast("string"),
+                  " de ", counted, " produtos</div>")
     html = F.when(F.col("page_start") == 0,
                   F.regexp_replace("html", "<body>", F.concat(F.lit("<body>"), counter)))
     html = html.otherwise(F.col("html"))
     page_no = F.floor(F.col("page_start") / AUDIT_PAGE_SIZE)
     failed = F.lit("<html><body><h1>503 Service Unavailable</h1></body></html>")
-    html = F.when(page_no % 3 == 1, failed).otherwise(html)
+    html = F.when((page_no % 3 == 1) & (F.col("category") != "promo"), failed).otherwise(html)
     return pages.select("category", "page_start", html.alias("html"))
 
 
@@ -320,11 +328,20 @@ def pager_nodes(last: Column) -> Column:
     return F.when(last > 1, nodes).otherwise(F.lit(""))
 
 
+HUGE_PAGE = 99999999999         # what a misread pager may say
+
+
 def pager_pages_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first page of every category with its pager: of some the last entry is 0, negative or
+    huge."""
     g = order_groups(spark, sf_dir)
     pages = F.ceil(F.col("n") / F.lit(PAGER_PAGE_SIZE)).cast("int")
+    k = F.col("o_custkey") % 50
+    odd = F.when(k == 7, F.lit("0")).when(k == 8, F.lit("-3")).when(k == 9, F.lit(str(HUGE_PAGE)))
+    extra = F.when(odd.isNotNull(), cat('<div class="page js-change-page" data-page="', odd, '">', odd,
+                                        "</div>")).otherwise(F.lit(""))
     html = cat('<html><body><div class="pager"><div class="page" data-page="999">x</div>',
-               pager_nodes(pages), "</div></body></html>")
+               pager_nodes(pages), extra, "</div></body></html>")
     return g.select("category", "n", html.alias("html"))
 
 
@@ -342,10 +359,13 @@ def _listing(spark: SparkSession, sf_dir: str, markup: Column) -> DataFrame:
 
 def pager_audit_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cards by page number from 1 with a pager on the first page; of one
-    category every third page never landed."""
+    category every third page never landed, and another's pager ends with a huge number."""
     p = _listing(spark, sf_dir, card_markup())
+    misread = F.when(F.col("category") == "economy", F.lit(
+        f'<div class="page js-change-page" data-page="{HUGE_PAGE}">&raquo;</div>')).otherwise(F.lit(""))
+    pager = F.concat(pager_nodes(F.col("pages")), misread)
     html = F.when(F.col("page") == 0, F.regexp_replace(
-        "html", "<body>", F.concat(F.lit("<body>"), pager_nodes(F.col("pages"))))).otherwise(F.col("html"))
+        "html", "<body>", F.concat(F.lit("<body>"), pager))).otherwise(F.col("html"))
     gone = (F.col("category") == "promo") & (F.col("page") % 3 == 2)
     return p.where(~gone).select("category", (F.col("page") + 1).alias("page_no"), html.alias("html"))
 
@@ -442,11 +462,31 @@ def r2_csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         day.alias("snapshot_dir"), F.lower(F.col("p_type")).alias("category_file"))
 
 
+def odd_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of files that no reader of one header can take: some begin with a blank line and a
+    padded header in other case, some have a header of other names."""
+    rows = r2_csv_rows(spark, sf_dir).withColumn("k", F.regexp_extract("product_id", r"(\d+)", 1).cast("int"))
+    rows = rows.where(F.col("k") % 3 == 2)
+    foreign = F.lower("category_file").isin("promo", "small")
+    folder = F.when(foreign, F.concat(F.lit("foreign-"), "category_file")).otherwise(
+        F.concat(F.lit("padded-"), "category_file"))
+    lines = rows.select("snapshot_dir", folder.alias("category_file"), F.lit(2).alias("at"), cat(
+        F.col("product_name"), ",", F.col("product_id"), ',"', F.col("product_price"), '",',
+        F.col("timestamp"), ",r2").alias("line"))
+    heads = lines.select("snapshot_dir", "category_file").distinct().select("*", F.explode(F.when(
+        F.col("category_file").startswith("foreign"), F.array(
+            F.struct(F.lit(1).alias("at"), F.lit("nome;codigo;preco;hora;loja").alias("line"))))
+        .otherwise(F.array(F.struct(F.lit(0).alias("at"), F.lit("").alias("line")), F.struct(
+            F.lit(1).alias("at"), F.lit(" Product_Name , product_id,product_price ,timestamp, source").alias(
+                "line"))))).alias("h")).select("snapshot_dir", "category_file", "h.at", "h.line")
+    return lines.unionByName(heads)
+
+
 def drifted_csv_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The same rows in two shapes: the usual one, and one in another column
+    """Two thirds of the rows in two shapes: the usual one, and one in another column
     order, without the rating, with a column more and odd category names."""
     rows = r2_csv_rows(spark, sf_dir).withColumn("k", F.regexp_extract("product_id", r"(\d+)", 1).cast("int"))
-    usual = rows.where(F.col("k") % 3 != 0).drop("k")
+    usual = rows.where(F.col("k") % 3 == 1).drop("k")
     name = cat("processed_Água e/ou ", F.col("category_file"), " 100%+")
     other = rows.where(F.col("k") % 3 == 0).select(
         "timestamp", "source", F.lit("x").alias("stock"), "product_price", "product_name", "product_id",

@@ -119,6 +119,8 @@ GROUPS = """
    CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) // 100000 AS n
  FROM orders GROUP BY o_custkey) g"""
 PAGES_N = "CAST(ceil(n / 212.0) AS BIGINT)"
+LAST_PAGE = f"""CASE o_custkey % 50 WHEN 7 THEN 0 WHEN 8 THEN -3 WHEN 9 THEN 99999999999
+  ELSE CASE WHEN {PAGES_N} > 1 THEN {PAGES_N} END END"""
 
 NULL_COLS = ["doc_id", "text", "lang", "source", "n_chars", "quality", "toxic"]
 
@@ -138,12 +140,23 @@ LISTING = """
  GROUP BY category, page) listing"""
 
 
+# The audit's pages (see driver_inputs.audit_pages): rows that landed on each, and the counters.
+_AUDIT = """SELECT CASE WHEN p_partkey % 3 = 0 THEN lower(p_type) ELSE 'tudo' END AS category, p_partkey FROM part"""
+AUDIT_PAGES = f"""
+(SELECT category, rn // 216 AS page,
+   CASE WHEN (rn // 216) % 3 = 1 AND category <> 'promo' THEN 0 ELSE count(*) END AS rows
+ FROM (SELECT category, row_number() OVER (PARTITION BY category ORDER BY p_partkey) - 1 AS rn FROM ({_AUDIT}))
+ GROUP BY 1, 2)"""
+AUDIT_TOTAL = f"""
+(SELECT category, count(*) - CASE WHEN category = 'promo' THEN 5 ELSE 0 END AS total FROM ({_AUDIT}) GROUP BY category)"""
+
+
 def _completeness(gone: str, last_page: str) -> str:
     return f"""
 SELECT category, CAST(NULL AS BIGINT) AS expected_total, {last_page} AS last_page, count(*) AS n_pages,
   CAST(sum(n_rows) AS BIGINT) AS fetched_rows, CAST(sum(n_rows) AS BIGINT) AS progress,
   count(*) FILTER (WHERE n_rows < 50) AS short_pages, CAST(NULL AS BIGINT) AS missing_rows,
-  CASE WHEN {last_page} IS NOT NULL THEN count(*) >= {last_page}
+  CASE WHEN {last_page} IS NOT NULL THEN count(*) = {last_page}
        ELSE max_by(n_rows, page) < 50 END AS complete
 FROM {LISTING} WHERE NOT ({gone}) GROUP BY category"""
 
@@ -302,13 +315,12 @@ SELECT category,
        ELSE greatest(least(n, 216), n) END AS expected_total
 FROM {GROUPS}""",
     "last_page": f"""
-SELECT category, CASE WHEN {PAGES_N} > 1 THEN {PAGES_N} END AS last_page_raw,
-  CASE WHEN {PAGES_N} > 1 THEN {PAGES_N} ELSE 1 END AS last_page
-FROM {GROUPS}""",
+SELECT category, {LAST_PAGE} AS last_page_raw, coalesce({LAST_PAGE}, 1) AS last_page FROM {GROUPS}""",
     "expected_pages": f"""
-SELECT category, CAST(unnest(generate_series(1, CASE WHEN {PAGES_N} > 1 THEN {PAGES_N} ELSE 1 END))
-  AS BIGINT) AS page_no
-FROM {GROUPS}""",
+SELECT category, CAST(unnest(generate_series(1, coalesce({LAST_PAGE}, 1))) AS BIGINT) AS page_no,
+  CAST(NULL AS VARCHAR) AS page_error
+FROM {GROUPS} WHERE o_custkey % 50 NOT IN (7, 8, 9)
+UNION ALL SELECT category, NULL, 'pager: last page 99999999999' FROM {GROUPS} WHERE o_custkey % 50 = 9""",
     "page_links": """
 SELECT page_id, nullif(regexp_extract(html, '<a href="([^"]*)"', 1), '') AS first_href,
   CAST(len(regexp_extract_all(html, '<a href="')) AS BIGINT) AS n_links
@@ -430,19 +442,33 @@ UNION ALL
 SELECT p_name || ' ' || p_size || ' g', {DEC_NUM}, 'R2' FROM part
 UNION ALL
 SELECT p_name, CASE WHEN p_partkey % 29 = 0 THEN NULL ELSE p_retailprice END, 'R3' FROM part""",
-    "completeness_audit": """
-WITH r AS (SELECT lower(p_type) AS category, p_partkey,
-             row_number() OVER (PARTITION BY lower(p_type) ORDER BY p_partkey) - 1 AS rn FROM part),
-pg AS (SELECT category, rn // 216 AS page,
-              CASE WHEN (rn // 216) % 3 = 1 THEN 0 ELSE count(*) END AS rows
-       FROM r GROUP BY 1, 2),
-tot AS (SELECT category, count(*) AS total FROM r GROUP BY 1)
+    "completeness_audit": f"""
 SELECT k.category, CAST(t.total AS BIGINT) AS expected_total, CAST(NULL AS BIGINT) AS last_page,
   CAST(count(*) AS BIGINT) AS n_pages, CAST(sum(rows) AS BIGINT) AS fetched_rows,
   CAST(least(sum(rows), t.total) AS BIGINT) AS progress,
   CAST(count(*) FILTER (WHERE rows < 216) AS BIGINT) AS short_pages,
-  CAST(t.total - sum(rows) AS BIGINT) AS missing_rows, sum(rows) >= t.total AS complete
-FROM pg k JOIN tot t USING (category) GROUP BY k.category, t.total""",
+  CAST(t.total - sum(rows) AS BIGINT) AS missing_rows, sum(rows) = t.total AS complete
+FROM {AUDIT_PAGES} k JOIN {AUDIT_TOTAL} t USING (category) GROUP BY k.category, t.total""",
+    # the gaps between landed pages, page 0 and the page after the last one
+    "missing_pages": f"""
+WITH landed AS (
+  SELECT 'counter' AS style, category, page + 1 AS p FROM {AUDIT_PAGES} k WHERE rows > 0
+  UNION ALL SELECT 'pager', category, page + 1 FROM {LISTING} WHERE NOT (category = 'promo' AND page % 3 = 2)
+  UNION ALL SELECT 'short', category, page + 1 FROM {LISTING} WHERE NOT (category = 'promo' AND page = pages - 1)),
+ends AS (
+  SELECT 'counter' AS style, category, CAST(ceil(total / 216.0) AS BIGINT) AS z FROM {AUDIT_TOTAL} t
+  UNION ALL SELECT 'pager', category, CASE WHEN category = 'economy' THEN 99999999999
+                          WHEN any_value(pages) > 1 THEN any_value(pages)
+                          WHEN max_by(n_rows, page) < 50 THEN max(page) + 1 END
+    FROM {LISTING} WHERE NOT (category = 'promo' AND page % 3 = 2) GROUP BY category
+  UNION ALL SELECT 'short', category, CASE WHEN max_by(n_rows, page) < 50 THEN max(page) + 1 END
+    FROM {LISTING} WHERE NOT (category = 'promo' AND page = pages - 1) GROUP BY category),
+points AS (
+  SELECT style, category, p FROM landed JOIN ends USING (style, category) WHERE z IS NULL OR p <= z
+  UNION ALL SELECT style, category, 0 FROM ends UNION ALL SELECT style, category, z + 1 FROM ends WHERE z IS NOT NULL),
+gaps AS (SELECT *, lead(p) OVER (PARTITION BY style, category ORDER BY p) AS q FROM points)
+SELECT style, category, CAST(p + 1 AS BIGINT) AS from_page, CAST(q - 1 AS BIGINT) AS to_page
+FROM gaps JOIN ends USING (style, category) WHERE q > p + 1 OR (q IS NULL AND z IS NULL)""",
     "min_price_pushed": "SELECT p_partkey, p_retailprice AS price FROM part WHERE p_retailprice >= 950.0",
     "category_pruned": """
 SELECT p_partkey, lower(p_type) AS category FROM part WHERE lower(p_type) IN ('small', 'promo')""",
@@ -451,9 +477,15 @@ SELECT 'item-' || p_partkey AS product_id, p_name AS product_name,
   {COMMA} || '€ / UN' AS product_price, CAST(NULL AS VARCHAR) AS product_rating, 'r2' AS source,
   CASE WHEN p_partkey % 2 = 0 THEN '20241113_173405' ELSE '20241114_165838' END AS timestamp,
   CASE WHEN p_partkey % 2 = 0 THEN DATE '2024-11-13' ELSE DATE '2024-11-14' END AS snapshot_date,
-  CASE WHEN p_partkey % 3 = 0 THEN 'processed_Água e/ou ' || lower(p_type) || ' 100%+'
-       ELSE lower(p_type) END AS category
-FROM part""",
+  CASE p_partkey % 3 WHEN 0 THEN 'processed_Água e/ou ' || lower(p_type) || ' 100%+'
+       WHEN 1 THEN lower(p_type) ELSE 'padded-' || lower(p_type) END AS category,
+  CAST(NULL AS VARCHAR) AS file_error
+FROM part WHERE p_partkey % 3 < 2 OR lower(p_type) NOT IN ('promo', 'small')
+UNION ALL
+SELECT DISTINCT NULL, NULL, NULL, NULL, NULL, NULL,
+  CASE WHEN p_partkey % 2 = 0 THEN DATE '2024-11-13' ELSE DATE '2024-11-14' END, 'foreign-' || lower(p_type),
+  'header lacks product_id, product_name: nome;codigo;preco;hora;loja'
+FROM part WHERE p_partkey % 3 = 2 AND lower(p_type) IN ('promo', 'small')""",
     "name_column": "SELECT p_name AS product_name FROM part",
     "unit_price_job": f"""
 SELECT {STD_VALUE} AS Weight_Value, {STD_UNIT} AS Weight_Unit, {STD_QTY} AS Quantity, product_name,
@@ -472,8 +504,9 @@ SELECT 'r1' AS source, 'catalogue' AS category, CAST(count(DISTINCT p_partkey //
   count(*) AS n_rows, CAST(0 AS BIGINT) AS n_errors, 'saved' AS status FROM part
 UNION ALL SELECT 'r1', 'broken', count(*), 0, count(*), 'error' FROM supplier
 UNION ALL SELECT 'elsewhere', 'web', count(*), 0, count(*), 'error' FROM pages""",
-    "completeness_by_pager": _completeness("category = 'promo' AND page % 3 = 2",
-                                           "CASE WHEN any_value(pages) > 1 THEN any_value(pages) END"),
+    "completeness_by_pager": _completeness(
+        "category = 'promo' AND page % 3 = 2",
+        "CASE WHEN category = 'economy' THEN 99999999999 WHEN any_value(pages) > 1 THEN any_value(pages) END"),
     "completeness_by_short_page": _completeness("category = 'promo' AND page = pages - 1",
                                                 "CAST(NULL AS BIGINT)"),
     "pipeline_metrics": """

@@ -22,7 +22,7 @@ from ..operators.harmonise import harmonise, unit_price, with_harmonised_index
 from ..operators.ordering import cheapest_first as _cheapest, expected_pages as _exp_pages
 from ..operators.ordering import page_numbers, page_slice
 from ..operators.report import completeness_audit as _audit, parse_log_lines, pipeline_metrics
-from ..operators.report import run_report as _run_report
+from ..operators.report import last_pages, missing_pages, run_report as _run_report
 from ..operators.stats import describe, null_profile as _null_profile, row_counts as _row_counts
 from ..schemas import PAGES_RAW, UNIT_PRICE
 from ..session import scratch_path
@@ -287,7 +287,7 @@ def q_last_page(spark, sf):
 def q_expected_pages(spark, sf):
     p = X.spread_pages(D.pager_pages_html(spark, sf), ["category"]).select(
         "category", X.last_page("html").alias("last_page"))
-    return _exp_pages(p).select("category", "page_no")
+    return _exp_pages(p).select("category", "page_no", "page_error")
 
 
 def q_page_links(spark, sf):
@@ -486,13 +486,18 @@ def q_category_pruned(spark, sf):
 
 
 def q_scan_union_drift(spark, sf):
-    """CSV files of two shapes under one folder, read as one table."""
+    """CSV files of many shapes under one folder, read as one table; a file with a foreign header
+    is one row with an error."""
     path = scratch_path(spark, "csv-drift")
     for i, rows in enumerate(D.drifted_csv_rows(spark, sf)):
         write_csv(rows, f"{path}/{i}", ["snapshot_dir", "category_file"])
-    back = read_csv_snapshots(spark, path, "r2")
+    folder = ["snapshot_dir", "category_file"]
+    (D.odd_csv_lines(spark, sf).repartition(*folder).sortWithinPartitions(*folder, "at").drop("at")
+     .write.option("sep", "\u0001").option("quote", "\u0002").option("emptyValue", "")
+     .partitionBy(*folder).csv(f"{path}/odd"))
+    back = read_csv_snapshots(spark, path, "r2", error_rows=True)
     return back.select("product_id", "product_name", "product_price", "product_rating", "source",
-                       "timestamp", "snapshot_date", "category")
+                       "timestamp", "snapshot_date", "category", "file_error")
 
 
 def q_name_column(spark, sf):
@@ -542,6 +547,23 @@ def q_completeness_by_short_page(spark, sf):
     return _audit(pages, tiles, ["category"], "page_start", D.TILES_PER_PAGE)
 
 
+def q_missing_pages(spark, sf):
+    """Listings of all three crawl styles: by the counter, by the pager, by a short last page."""
+    parts = []
+    for style, pages, layout, size, start in (
+            ("counter", D.audit_pages(spark, sf), "tile_json", specs.PAGE_SIZE_TILE_JSON, "page_start"),
+            ("pager", D.pager_audit_pages(spark, sf), "card", D.TILES_PER_PAGE, None),
+            ("short", D.short_page_audit_pages(spark, sf), "tile_attr", D.TILES_PER_PAGE, "page_start")):
+        number = F.expr(f"{start} div {size} + 1").cast("int") if start else F.col("page_no")
+        pages = _stored(spark, pages.select(F.lit(style).alias("style"), "category",
+                                            number.alias("page_no"), "html"))
+        keys = ["style", "category"]
+        tiles = X.explode_tiles(pages, layout, keys=[*keys, "page_no"])
+        last = last_pages(pages, tiles, keys, "page_no", size)
+        parts.append(missing_pages(tiles.where("tile_pos is not null"), keys, "page_no", last))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def q_pipeline_metrics(spark, sf):
     """Metrics of the day's CSV folders and of the run's log."""
     path = scratch_path(spark, "csv-metrics")
@@ -615,6 +637,7 @@ QUERIES: dict[str, Query] = {
     "ingest_run_report": q_ingest_run_report,
     "completeness_by_pager": q_completeness_by_pager,
     "completeness_by_short_page": q_completeness_by_short_page,
+    "missing_pages": q_missing_pages,
     "pipeline_metrics": q_pipeline_metrics,
     **tracking.QUERIES,
 }

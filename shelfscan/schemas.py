@@ -34,6 +34,9 @@ R3_CSV = T.StructType([
 ])
 
 CSV_SCHEMAS = {"r1": R1_CSV, "r2": R2_CSV, "r3": R3_CSV}
+# Without these a file is no snapshot of its source.
+MANDATORY_COLUMNS = {"r1": ["Product ID", "Product Name"], "r2": ["product_id", "product_name"],
+                     "r3": ["product_id", "product_name"]}
 
 LABEL = T.StructType([T.StructField("alt", S), T.StructField("title", S)])
 

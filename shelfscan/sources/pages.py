@@ -8,7 +8,7 @@ loose HTML files laid out as
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import parse_dir_date
@@ -23,6 +23,19 @@ def read_pages_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PAGES_RAW).parquet(path)
 
 
+def latest_pages(pages: DataFrame, keys: list[str], where: Column) -> DataFrame:
+    """The pages of a stored table that fulfil ``where``, each key once: as it landed last (by file
+    time, then file name).  Finding the files reads the keys only; the markup is
+    read once and not sorted.  Files hold a page once."""
+    landed = F.struct(F.col("_metadata.file_modification_time"), F.col("_metadata.file_path"))
+    some = pages.where(where).withColumn("_landed", landed)
+    last = some.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.max("_landed").alias("_last"))
+    same = F.col("_landed") == F.col("_last")
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return some.join(last, same, "left_semi").drop("_landed")
+
+
 def read_page_files(spark: SparkSession, path: str, offset_paged: bool = False,
                     page_size: int | None = None) -> DataFrame:
     """Whole HTML files → one row per page with keys parsed from the path.

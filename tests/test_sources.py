@@ -3,7 +3,9 @@ partitioned snapshot writes."""
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfscan.operators.report import read_log
 from shelfscan.sources.pages import read_page_files
@@ -116,8 +118,46 @@ def test_csv_quoted_newline(spark, tmp_path):
            HEADER + 'a,"Linha 1\nLinha 2 500 g","1,00€ / UN",,,,r2,20241113_101500\n')
     rows = read_csv_snapshots(spark, str(tmp_path), "r2").collect()
     assert len(rows) == 1 and rows[0].product_name == "Linha 1\nLinha 2 500 g"
-    flat = read_csv_snapshots(spark, str(tmp_path), "r2", multiline=False).collect()
-    assert len(flat) >= 1          # splittable mode: the caller vouches for no newlines
+
+
+def test_csv_headers_that_do_not_fit(spark, tmp_path):
+    """Blank lines, padding, case and a byte order mark are no matter; an unknown header is never
+    read as rows of NULL."""
+    _write(tmp_path / "20241113" / "a.csv", "\ufeff\n  \n Product_ID , product_name,Extra\n\n1,Água,x\n2,\"\",y\n")
+    _write(tmp_path / "20241113" / "b.csv", "product_name,product_id,product_name\nfirst,3,second\n,4\nshort\n")
+    _write(tmp_path / "20241113" / "blank.csv", "\n \n")
+    good = read_csv_snapshots(spark, str(tmp_path), "r2")
+    assert {(r.product_id, r.product_name) for r in good.collect()} == {
+        ("1", "Água"), ("2", ""), ("3", "first"), ("4", None), (None, "short")}
+    _write(tmp_path / "20241113" / "bad.csv", "codigo;nome;preco\n1;x;2\n3;y;4\n")
+    _write(tmp_path / "20241114" / "half.csv", "product_id,source\n9,r2\n")
+    with pytest.raises(Exception, match="bad.csv: header lacks product_id, product_name|half.csv"):
+        read_csv_snapshots(spark, str(tmp_path), "r2").collect()
+    rows = read_csv_snapshots(spark, str(tmp_path), "r2", error_rows=True).collect()
+    bad = {(r.category, r.file_error, r.product_id) for r in rows if r.file_error}
+    assert bad == {("bad", "header lacks product_id, product_name: codigo;nome;preco", None),
+                   ("half", "header lacks product_name: product_id,source", None)}
+    assert len(rows) == 7
+    _write(tmp_path / "none" / "20241113" / "c.csv", "x,y\n1,2\n")
+    own = T.StructType([T.StructField("a", T.LongType())])
+    with pytest.raises(Exception, match="every declared column"):
+        read_csv_snapshots(spark, str(tmp_path / "none"), own).collect()
+
+
+def test_csv_is_read_once(spark, tmp_path):
+    """One scan in the plan, no job before it, and the bytes of each file go by once."""
+    for i in range(12):
+        _write(tmp_path / f"2024111{i % 3}" / f"c{i}.csv", HEADER + f"p{i},Nome,1,,,,r2,t\n" * 50)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("csv-read", "reading")
+    try:
+        df = read_csv_snapshots(spark, str(tmp_path), "r2")
+        assert list(tracker.getJobIdsForGroup("csv-read")) == []
+        assert df.count() == 600
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") + plan.count("BatchScan") == 1
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
 
 
 def test_csv_columns_by_name_with_drift(spark, tmp_path):
