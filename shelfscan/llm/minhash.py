@@ -9,10 +9,10 @@ halves^2 * 2 * rows.  Half keys that no other class has are dropped before the t
 
 Buckets are not compared all with all.  In a few rounds every bucket compares its members with
 one pivot (another each round), and links found merge them; buckets whose members are all in one
-component are done.  Of the buckets that stay open, members of different components meet if
-they share one of the shingles that the prefix filter leaves: ordered from rare to frequent, two
-sets that are similar enough share one of their first n - ceil(similarity * n) + 1.  That loses
-no pair of a bucket.  Every link is confirmed on the full sets.
+component are done.  Of the buckets that stay open, members are held against one pivot again, and
+two of different components meet only if their differences to it have enough in common that
+they can be similar (see ``_rest``).  That loses no pair of a bucket.  Every link is confirmed on
+the full sets.
 
 A pair just at 0.85 is missed by all tables with a probability of 2 * (1 - 0.85^rows)^halves,
 5e-6 as set here (1e-8 at 0.9), and chains of links make up for part of that.
@@ -40,6 +40,7 @@ ROWS = 2                # minhashes of a half key
 HALVES = 10             # half keys of either collection
 ROUNDS = 3              # rounds of comparing with pivots
 SALT = 64               # comparisons that share one copy of a pivot's set
+LEVELS = (0.25, 0.5, 0.75, 1, 1.25, 1.5, 2, 2.5, 3, 4, 6, 8)    # of cost, in what a link with the pivot may cost
 BLOCK = 2048            # shingles hashed at a time
 # Odd 64-bit multipliers (the golden ratio, and splitmix64's two).
 GOLDEN, MIX1, MIX2 = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
@@ -146,8 +147,8 @@ def sets_of(docs: DataFrame, members: DataFrame, id_col: str = "doc_id", text_co
                      "sets")
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The ``a, b`` of ``pairs`` whose full sets are similar enough.
+def _met(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``a, b, na, nb, ha, hb``: both sets of every pair.
 
     The set of an ``a`` with many pairs goes to one place per ``SALT`` of them."""
     part = F.pmod(F.xxhash64("b"), F.ceil(F.col("m") / SALT))
@@ -158,8 +159,13 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     second = (pairs.join(often, "a").select("a", "b", part.alias("part"))
               .join(sets.select(F.col("c").alias("b"), F.col("n").alias("nb"),
                                 F.col("hashes").alias("hb")), "b"))
+    return second.join(first, ["a", "part"])
+
+
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The ``a, b`` of ``pairs`` whose full sets are similar enough."""
     both = F.size(F.array_intersect("ha", "hb"))
-    return (second.join(first, ["a", "part"])
+    return (_met(pairs, sets)
             .where(both * 100 >= (F.col("na") + F.col("nb") - both) * percent).select("a", "b"))
 
 
@@ -184,29 +190,63 @@ def _with_pivots(members: DataFrame, turn: int, percent: int) -> DataFrame:
             .select(F.col("p").alias("a"), F.col("c").alias("b")).distinct())
 
 
-def _rest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``a, b``: members of open buckets, of different components, that share a prefix shingle."""
-    where = members.select("c", "root").distinct()
-    inside = cut_table(sets.join(where, "c").select("c", "n", "root", F.explode("hashes").alias("h")),
-                       "rest")
-    often = inside.groupBy("h").agg(F.count("*").alias("m")).where("m > 1")
-    # shingles of one set only come first and meet nobody: how many they are, then the next ones
-    ranked = (inside.join(often, "h").groupBy("c", "n", "root")
+def _rest(members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links of members of open buckets with their pivots, and the pairs ``a, b`` of other members
+    of different components that may be links.
+
+    Of every member x only its difference to the pivot p matters: d shingles of p that it lacks, u
+    that p lacks.  Two members x, y whose differences have k shingles in common are similar enough
+    just if cost(x) + cost(y) <= (100 - percent) |p| + (100 + percent) k with cost = 100 d +
+    percent u.  So they need so many common shingles in their differences, the more the farther
+    they are from p: with the differences ordered from rare to frequent they share one of the first
+    |difference| - k + 1.  Members are set apart by levels of cost, so that k is nearly exact.
+    """
+    pivot = members.groupBy("key").agg(F.min("c").alias("p"))
+    group = cut(members.join(pivot, "key").select("p", "c", "root").distinct())
+    several = (group.groupBy("p").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+               .where("lo < hi").select("p"))
+    pairs = group.where("c <> p").select(F.col("p").alias("a"), F.col("c").alias("b"), "root").join(
+        several.withColumnRenamed("p", "a"), "a")
+    lacks, adds = F.array_except("ha", "hb"), F.array_except("hb", "ha")
+    far = cut_table(
+        _met(pairs.select("a", "b"), sets)
+        .select(F.col("a").alias("p"), F.col("b").alias("c"), F.col("na").alias("size"),
+                lacks.alias("lacks"), adds.alias("adds"))
+        .withColumn("cost", F.size("lacks") * 100 + F.size("adds") * percent)
+        .select("p", "c", "size", "cost", F.concat("lacks", "adds").alias("apart")), "apart")
+    free = F.col("size") * (100 - percent)
+    links = far.where(F.col("cost") <= free).select(F.col("p").alias("a"), F.col("c").alias("b"))
+
+    level = F.lit(0)
+    for step in LEVELS:
+        level += (F.col("cost") >= free * step).cast("int")
+    named = far.join(group, ["p", "c"]).withColumn("level", level)
+    levels = named.groupBy("p", "level").agg(
+        F.min("cost").alias("cheapest"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    each = named.select("p", "c", F.explode("apart").alias("h"))
+    often = each.groupBy("p", "h").agg(F.count("*").alias("m")).where("m > 1")
+    # a shingle in one difference only comes first and meets nobody
+    common = (each.join(often, ["p", "h"]).groupBy("p", "c")
               .agg(F.sort_array(F.collect_list(F.struct("m", "h"))).alias("common")))
-    length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    prefix = (ranked.withColumn("w", F.size("common"))
-              .withColumn("take", length - (F.col("n") - F.col("w"))).where("take > 0")
-              .select("c", "n", "root", "w", F.explode(
-                  F.slice("common", F.lit(1), F.col("take").cast("int"))).alias("x"))
-              .select("c", "n", "root", "w", F.col("x.h").alias("h")))
-    left = prefix.select("h", F.col("c").alias("a"), F.col("n").alias("na"),
-                         F.col("root").alias("ra"), F.col("w").alias("wa"))
-    right = prefix.select("h", F.col("c").alias("b"), F.col("n").alias("nb"),
-                          F.col("root").alias("rb"), F.col("w").alias("wb"))
-    most = F.least("wa", "wb")          # an intersection holds no shingle of one set only
-    return (left.join(right, "h").where("ra < rb").where(_similar_sizes("na", "nb", percent))
-            .where(most * 100 >= (F.col("na") + F.col("nb") - most) * percent)
-            .select("a", "b").distinct())
+    facts = (named.join(common, ["p", "c"])
+             .select("p", "c", "root", "size", "cost", "level", F.size("apart").alias("s"),
+                     F.size("common").alias("w"), "common"))
+    met = facts.join(levels.withColumnsRenamed({"level": "other"}), "p").where(
+        "lo <> root or hi <> root")
+    k = F.greatest(F.ceil((F.col("cost") + F.col("cheapest") - free) / (100 + percent)), F.lit(1))
+    first = (F.col("s") - k + 1 - (F.col("s") - F.col("w"))).cast("int")
+    rows = (met.withColumn("first", first).where("first > 0")
+            .select("p", "c", "root", "size", "cost", "level", "other", "w",
+                    F.explode(F.slice("common", F.lit(1), F.col("first"))).alias("x"))
+            .withColumn("key", F.xxhash64("p", "x.h")))
+    x = rows.select("key", "p", "level", "other", F.col("size"), F.col("c").alias("a"),
+                    F.col("root").alias("ra"), F.col("cost").alias("ca"), F.col("w").alias("wa"))
+    y = rows.select("key", "p", F.col("other").alias("level"), F.col("level").alias("other"),
+                    F.col("c").alias("b"), F.col("root").alias("rb"), F.col("cost").alias("cb"),
+                    F.col("w").alias("wb"))
+    may = (F.col("ca") + F.col("cb") <= free + F.least("wa", "wb") * (100 + percent))
+    return links, (x.join(y, ["key", "p", "level", "other"]).where("ra < rb").where(may)
+                   .select("a", "b").distinct())
 
 
 def near_dup_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -232,7 +272,8 @@ def near_dup_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if turn < rounds:
             pairs = cut(_with_pivots(still, turn, percent))
         else:
-            pairs = cut(_rest(still, sets, percent))
+            near, pairs = _rest(still, sets, percent)
+            links, pairs = links.union(near), cut(pairs)
         links = cut(links.union(confirm(pairs, sets, percent)))
         labels = _labels(links)
         if turn < rounds:
