@@ -9,8 +9,6 @@ the same document to every operator; ids may be null.
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,18 +30,6 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-@contextmanager
-def arrow_batches(spark: SparkSession, size: int):
-    """Arrow batches of at most ``size`` bytes for what is evaluated inside."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(size))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def cut(df: DataFrame) -> DataFrame:
     """Evaluate once and cut the lineage: a reliable checkpoint in the shared
     folder named by ``spark.checkpoint.dir``."""

@@ -11,18 +11,20 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import math
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfscan.llm.common import arrow_batches, cut_table, narrow, prepare
+from shelfscan.llm.common import cut, cut_table, narrow, partitions_for, prepare
 
 GRAM = 16           # code points a hash covers
 WINDOW = 32         # hashes a window covers
 ROWS_PER_TASK = 10_000  # documents that are sorted together
+SAMPLE_PER_RANGE = 40
+MAX_RANGES = 100_000    # beyond, more documents are sorted together; they stream through a task
 BATCH_BYTES = 4 << 20   # of texts handed to a Python worker at a time
 BLOCK = 1 << 18     # windows looked at at a time
 # Base of the rolling hash and the multiplier of its finisher
@@ -116,97 +118,161 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         run, "doc_id long, k1 long, k2 long, hashes array<long>, positions array<long>")
 
 
-def _in_order(docs: DataFrame, id_col: str, text_col: str, rows_per_task: int) -> DataFrame:
-    """``task, doc_id, body``: the documents in descending id order (nulls last, equal ids by row
-    key), dealt to tasks in ranges and sorted inside them.  Rows that are equal in all of
-    that, of which there may be very many, are told apart by where they were read."""
+def _order_keys(doc_id: np.ndarray, missing: np.ndarray, k1: np.ndarray) -> np.ndarray:
+    """17 bytes a document that sort as descending ids, nulls last, equal ids by ``k1``."""
+    out = np.zeros(len(k1), np.dtype([("last", "u1"), ("id", ">u8"), ("k1", ">u8")]))
+    sign = np.uint64(1 << 63)
+    out["last"] = missing
+    out["id"] = np.where(missing, 0, (~doc_id).astype(np.int64).view(np.uint64) ^ sign)
+    out["k1"] = k1.view(np.uint64) ^ sign
+    return out.view("S17")
+
+
+def _key_columns(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    ids = batch.column("doc_id")
+    missing = ids.is_null().to_numpy(zero_copy_only=False)
+    k1, k2 = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("k1", "k2"))
+    return ids.fill_null(0).to_numpy(zero_copy_only=False), missing, k1, k2
+
+
+def _cuts(keys: DataFrame, n: int, rows: int) -> np.ndarray:
+    """At most n - 1 cut points of the documents' order, from a sample of about SAMPLE_PER_RANGE
+    different documents a range, chosen by a hash."""
+    share = min(1.0, n * SAMPLE_PER_RANGE / max(1, rows))
+    some = keys.where(F.pmod(F.xxhash64("k2"), F.lit(1 << 20)) <= int(share * (1 << 20))).select(
+        F.coalesce("doc_id", F.lit(0)).alias("i"), F.col("doc_id").isNull().alias("missing"), "k1").toArrow()
+    if some.num_rows == 0:
+        return np.zeros(0, "S17")
+    order = np.sort(_order_keys(*(some.column(c).to_numpy() for c in ("i", "missing", "k1"))))
+    return np.unique(order[[i * len(order) // n for i in range(1, n)]])
+
+
+def _heads(keys: DataFrame, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of every range that has any its first document (order key, k2), and the range above."""
+    def run(batches):
+        first: dict[int, tuple] = {}
+        for b in batches:
+            ids, missing, k1, k2 = _key_columns(b)
+            order = _order_keys(ids, missing, k1)
+            for r, o, k in zip(np.searchsorted(cuts, order, "right").tolist(), order.tolist(), k2.tolist()):
+                if r not in first or (o, k) < first[r]:
+                    first[r] = (o, k)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(first), pa.int64()), pa.array([o.ljust(17, b"\0") for o, _ in first.values()], pa.binary()),
+             pa.array([k for _, k in first.values()], pa.int64())], ["r", "o", "k2"])
+
+    rows = keys.mapInArrow(run, "r long, o binary, k2 long").groupBy("r").agg(
+        F.min(F.struct("o", "k2")).alias("x")).collect()
+    full = sorted(r.r for r in rows)
+    order, k2, above = np.zeros(len(cuts) + 1, "S17"), np.zeros(len(cuts) + 1, np.int64), \
+        np.zeros(len(cuts) + 1, np.int64)
+    for r in rows:
+        order[r.r], k2[r.r] = bytes(r.x.o), r.x.k2
+    above[full] = np.roll(full, 1)
+    return order, k2, above
+
+
+def _dealt(docs: DataFrame, id_col: str, text_col: str, rows_per_task: int) -> tuple[DataFrame, DataFrame]:
+    """Documents dealt to tasks by ranges of descending id (nulls last, equal ids by row key) and
+    sorted inside them: ``doc_id, tail, body``; every range also gets, as its tail, the first document
+    of the next.  Of a document with more than ``rows_per_task`` equal rows only one is dealt; the
+    second table has these, ``doc_id, body, more``: how many others there are."""
     spark = prepare(docs.sparkSession)
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-            math.ceil(docs.count() / rows_per_task))
-    order = [F.desc_nulls_last("doc_id"), F.asc("k1"), F.asc("k2"), F.asc("place")]
-    return (narrow(docs, id_col, text_col).withColumn("place", F.monotonically_increasing_id())
-            .repartitionByRange(n, *order).sortWithinPartitions(*order)
-            .select(F.spark_partition_id().alias("task"), "doc_id", "body"))
+    d = narrow(docs, id_col, text_col)
+    key = ["doc_id", "k1", "k2"]
+    keys = cut(d.select(*key).groupBy(*key).agg(F.count("*").alias("m")))
+    rows = keys.agg(F.sum("m")).first()[0] or 0
+    # at most rows / rows_per_task documents have so many
+    often = keys.where(F.col("m") > rows_per_task).select("k1", "k2", "m")
+    one = (d.join(F.broadcast(often), ["k1", "k2"]).groupBy("doc_id", "k1", "k2", "m")
+           .agg(F.first("body").alias("body")))
+    one = cut_table(one, "often")
+    if not one.isEmpty():
+        d = d.join(F.broadcast(often), ["k1", "k2"], "left_anti").unionByName(one.drop("m"))
+    n = min(MAX_RANGES, partitions_for(rows, spark, rows_per_task))
+    cuts = _cuts(keys, n, rows)
+    # 37 bytes a range, of which there are MAX_RANGES at most
+    shared = spark.sparkContext.broadcast((cuts, *_heads(keys.drop("m"), cuts)))
+
+    @F.pandas_udf("array<int>")
+    def places(doc_id: pd.Series, missing: pd.Series, k1: pd.Series, k2: pd.Series) -> pd.Series:
+        cuts, head, head_k2, above = shared.value
+        order = _order_keys(doc_id.to_numpy(), missing.to_numpy(), k1.to_numpy())
+        at = np.searchsorted(cuts, order, "right")
+        first = (head[at] == order) & (head_k2[at] == k2.to_numpy())
+        return pd.Series([[r, up] if f else [r] for r, up, f in
+                          zip(at.tolist(), above[at].tolist(), first.tolist())])
+
+    place = places(F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull(), "k1", "k2")
+    dealt = (d.select("*", F.posexplode(place).alias("tail", "range"))
+             .repartitionById(len(cuts) + 1, F.col("range"))
+             .sortWithinPartitions("tail", F.desc_nulls_last("doc_id"), "k1", "k2"))
+    return dealt.select("doc_id", "tail", "body"), one.select(
+        "doc_id", "body", (F.col("m") - 1).alias("more"))
+
+
+def _text(body) -> str:
+    return (body.as_py() or b"").decode("utf-8", "replace")
 
 
 def with_next(docs: DataFrame, fn, schema: str, id_col: str = "doc_id", text_col: str = "text",
               rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """The columns of ``schema`` that ``fn`` gives as tuples for an iterator of
+    """The rows of ``schema`` that ``fn`` gives as tuples for an iterator of
     ((doc_id, text), next (doc_id, text)) over all documents in descending id order (nulls
-    last, equal ids by row key); after the last comes the first.
-
-    Each text crosses one shuffle.  A task pairs its documents as they stream by; its first
-    and last document are put by, two a task, and meet those of the neighbouring tasks in a
-    join on the task's number.
-    """
-    names = [x.split()[0] for x in schema.split(", ")]
-    kinds = pa.schema([(n, _TYPES[x.split()[1]]) for n, x in zip(names, schema.split(", "))]
-                      + [("task", pa.int32()), ("edge", pa.int32()), ("own", pa.int64()),
-                         ("body", pa.binary())])
+    last, equal ids by row key); after the last comes the first.  Each text crosses one
+    shuffle; documents stream through a task."""
+    types = [(x.split()[0], _TYPES[x.split()[1]]) for x in schema.split(", ")]
+
+    def batches_of(rows):
+        held = []
+        for row in rows:
+            held.append(row)
+            if len(held) == ROWS_OUT:
+                yield out(held)
+                held = []
+        if held:
+            yield out(held)
 
     def out(rows):
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, k.type) for c, k in zip(zip(*rows), kinds)], schema=kinds)
-
-    def paired(pairs):
-        rows = []
-        for row in fn(pairs):
-            rows.append((*row, None, 0, None, None))
-            if len(rows) == ROWS_OUT:
-                yield out(rows)
-                rows = []
-        if rows:
-            yield out(rows)
-
-    def inside(batches):
-        edges = []
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows), types)],
+                                          [n for n, _ in types])
 
+    def run(batches):
         def pairs():
             held = None
             for b in batches:
-                for task, i, body in zip(*(b.column(c) for c in ("task", "doc_id", "body"))):
-                    doc = (i.as_py(), (body.as_py() or b"").decode("utf-8", "replace"))
-                    edges[1:] = [(task.as_py(), doc)]
-                    if held is None:
-                        edges.append(edges[0])
-                    else:
+                for i, tail, body in zip(*(b.column(c) for c in ("doc_id", "tail", "body"))):
+                    doc = (i.as_py(), _text(body))
+                    if held is not None:
                         yield held, doc
-                    held = doc
+                    held = None if tail.as_py() else doc
 
-        yield from paired(pairs())
-        for edge, (task, (i, text)) in zip((FIRST, LAST), edges):
-            yield out([(*[None] * len(names), task, edge, i, text.encode())])
+        yield from batches_of(fn(pairs()))
 
-    def across(batches):
-        def pairs():
-            for b in batches:
-                for i, body, j, after in zip(*(b.column(c) for c in ("own", "body", "j", "after"))):
-                    yield ((i.as_py(), body.as_py().decode()), (j.as_py(), after.as_py().decode()))
-
-        for b in paired(pairs()):
-            yield b.select(names)
-
-    ordered = _in_order(docs, id_col, text_col, rows_per_task)
-    with arrow_batches(docs.sparkSession, BATCH_BYTES):
-        made = cut_table(ordered.mapInArrow(
-            inside, f"{schema}, task int, edge int, own long, body binary"), "paired")
-    first, last = (made.where(F.col("edge") == e).select("task", "own", "body") for e in (FIRST, LAST))
-    # one number a task: the next task that has documents, after the last one the first
-    in_order = Window.partitionBy(F.lit(0)).orderBy("task")
-    everywhere = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    onward = first.select("task", F.coalesce(F.lead("task").over(in_order),
-                                             F.min("task").over(everywhere)).alias("next"))
-    met = (last.join(onward, "task").join(
-        first.select(F.col("task").alias("next"), F.col("own").alias("j"), F.col("body").alias("after")),
-        "next").select("own", "body", "j", "after"))
-    return made.where("edge = 0").select(*names).union(met.mapInArrow(across, schema))
+    def alone(batches):
+        for b in batches:
+            docs_of = [(i.as_py(), _text(body)) for i, body in zip(b.column("doc_id"), b.column("body"))]
+            made = out(list(fn((doc, doc) for doc in docs_of)))
+            yield made.append_column("more", b.column("more"))
+
+    dealt, often = _dealt(docs, id_col, text_col, rows_per_task)
+    # a small batch keeps little text in a worker and in the buffers between it and the JVM
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    made = dealt.mapInArrow(run, schema)
+    if often.isEmpty():
+        return made
+    # equal rows follow each other: worked out once, and given as often as they are there
+    names = [n for n, _ in types]
+    repeated = often.mapInArrow(alone, f"{schema}, more long").select("*", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.col("more") - 1, F.lit(rows_per_task).cast("long"))).alias("_from"))
+    return made.unionByName(repeated.repartition("doc_id", "_from").select(*names, F.explode(F.sequence(
+        "_from", F.least(F.col("_from") + (rows_per_task - 1), F.col("more") - 1)))).select(*names))
 
 
 _DIGEST = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
            "edited_fingerprint string, near_edited double, near_next double")
 _TYPES = {"long": pa.int64(), "string": pa.string(), "double": pa.float64()}
 ROWS_OUT = 500
-FIRST, LAST = 1, 2      # a task's documents that meet those of its neighbours
 
 
 def edit_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

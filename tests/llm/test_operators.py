@@ -164,8 +164,10 @@ def test_edit_report_of_hot_ids(spark):
     rows = [(None, f"text {i} " * (i % 5)) for i in range(3000)] + [(7, "the same text")] * 3000
     rows += [(i, f"other {i}") for i in range(100, 3100)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
-    tasks = winnow._in_order(df, "doc_id", "text", 300).groupBy("task").count().collect()
-    assert len(tasks) > 20 and max(r["count"] for r in tasks) < 3 * len(rows) / len(tasks)
+    dealt, often = winnow._dealt(df, "doc_id", "text", 300)
+    tasks = dealt.groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) > 12 and max(r["count"] for r in tasks) < 3 * 6000 / len(tasks)
+    assert sum(r["more"] for r in often.collect()) == 2999 + 599
     out = winnow.edit_report(df, rows_per_task=300)
     assert Counter(r.doc_id for r in out.collect()) == Counter(i for i, _ in rows)
     same = [r for r in out.where("doc_id = 7").collect()]
