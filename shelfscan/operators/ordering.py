@@ -3,20 +3,21 @@ unpartitioned window.
 
 ``row_number() over (order by …)`` with no partition pulls every row into one
 task, and ``partition by category`` puts a hot category (possibly a third of
-all rows) into one task.  ``with_row_index`` instead range-partitions on
-(group keys, order keys, row hash) so a hot group, or a run of equal keys, is
-split across many tasks, numbers the rows of each task locally, and adds the
-count of the group's rows held by earlier tasks.
-
-The sorted rows are checkpointed to the shared checkpoint folder
-before they are read twice (for the per-task summary and for the numbering):
-range bounds are sampled per exchange, so two evaluations could split the rows
-differently; the checkpoint makes both readers see the same rows, cuts the
-lineage, and survives the loss of executors.
+all rows) into one task.  ``with_row_index`` instead sorts a small table of
+keys: one row per different (group, order key, row hash) with the number of rows
+that have it, range-partitioned, so a hot group or a run of equal keys is split
+across many tasks.  Each task numbers its keys, the rows held by earlier tasks
+are added, and the rows get their number by a join on the hash.
+
+Only the key table is checkpointed to the shared checkpoint folder: it is read
+twice (for the per-task sums and for the numbering), range bounds are sampled per
+exchange, so two evaluations could split the keys differently.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,19 +29,36 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+ROWS_OF_A_KEY = 10_000      # equal rows that may meet in one task
+
+
+def _referenced(df: DataFrame, order_by: list[Column | str]) -> list[str]:
+    """The columns that ``order_by`` names; all of them if it holds other expressions."""
+    out = []
+    for c in order_by:
+        plain = re.fullmatch(r"Column<'(.+?)(?: (?:ASC|DESC) NULLS (?:FIRST|LAST))?'>", str(c))
+        name = c if isinstance(c, str) else plain[1].strip("`") if plain else None
+        if name not in df.columns:
+            return list(df.columns)
+        out.append(name)
+    return list(dict.fromkeys(out))
+
+
 def with_row_index(df: DataFrame, order_by: list[Column | str],
                    partition_by: list[str] | None = None, name: str = "row_index",
-                   num_partitions: int | None = None) -> DataFrame:
+                   num_partitions: int | None = None,
+                   rows_of_a_key: int = ROWS_OF_A_KEY) -> DataFrame:
     """Add a dense 0-based BIGINT position per ``partition_by`` group.
 
     ``order_by`` should be a total order; rows tied on every key get
-    consecutive positions, ordered among themselves by a hash of the row.  That
-    hash is the last range key, so a run of equal keys (a third of all prices
-    missing, say) spreads over tasks like any other rows.
-
-    A row's position inside its group within its task comes from one streaming
-    pass over the sorted task (no second shuffle).  Only groups that cross a
-    task border need an offset: at most two per task, so that table is bounded by
+    consecutive positions, ordered among themselves by a 128-bit hash of the row.
+    Equal rows count as one key with a number: a row that stands there more than
+    ``rows_of_a_key`` times (a third of all, say) is not sent anywhere so often but
+    once, and written out as often by many tasks.
+
+    ``df`` is evaluated twice, first for the columns that order it and its hashes
+    alone; its rows cross one exchange.  Only groups that cross a task
+    border need an offset: at most two per task, so that table is bounded by
     the task count and broadcast.
     """
     from pyspark.sql import types as T
@@ -48,24 +66,24 @@ def with_row_index(df: DataFrame, order_by: list[Column | str],
     from ..session import ship_package
     ship_package(df.sparkSession)
     groups = list(partition_by or [])
-    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    keys: list[Column] = [F.col(g) for g in groups] + [
-        F.col(c) if isinstance(c, str) else c for c in order_by] + [F.col("_tie")]
-    # A range exchange runs its input twice (to sample it, then to deal it out).
-    # After an even hash exchange both runs read shuffle files, not the upstream.
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in hashable])
-    even = df.repartition(row_hash).withColumn("_tie", row_hash)
+    hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    hashes = {"_h1": F.xxhash64(*hashable), "_h2": F.xxhash64(F.lit(1), *reversed(hashable))}
+    keyed = df.withColumns(hashes)
+    used = list(dict.fromkeys([*groups, *_referenced(df, order_by)]))
+    order: list[Column] = [F.col(g) for g in groups] + [
+        F.col(c) if isinstance(c, str) else c for c in order_by] + [F.col("_h1"), F.col("_h2")]
+    counted = keyed.groupBy(*[F.col(f"`{c}`") for c in used], "_h1", "_h2").agg(F.count(F.lit(1)).alias("_m"))
     # No fixed count by default: adaptive execution sizes the range partitions
     # by bytes at run time (coalescing adjacent ranges keeps them ordered).
-    rp = even.repartitionByRange(num_partitions, *keys) if num_partitions \
-        else even.repartitionByRange(*keys)
-    ranged = materialize(rp.sortWithinPartitions(*keys).drop("_tie")
+    rp = counted.repartitionByRange(num_partitions, *order) if num_partitions \
+        else counted.repartitionByRange(*order)
+    ranged = materialize(rp.sortWithinPartitions(*order).select(*groups, "_h1", "_h2", "_m")
                          .withColumn("_pid", F.spark_partition_id()))
     schema = T.StructType(list(ranged.schema.fields) + [T.StructField("_gpos", T.LongType())])
     numbered = ranged.mapInArrow(_group_runs(groups), schema)
 
     # Rows of each group per task; groups of more than one task cross a border.
-    stats = ranged.groupBy("_pid", *groups).agg(F.count(F.lit(1)).alias("_n"))
+    stats = ranged.groupBy("_pid", *groups).agg(F.sum("_m").alias("_n"))
     ren = {g: f"_k{i}" for i, g in enumerate(groups)}
     spans = (stats.groupBy(*groups).agg(F.count(F.lit(1)).alias("_tasks"))
              .where(F.col("_tasks") > 1)
@@ -78,9 +96,27 @@ def with_row_index(df: DataFrame, order_by: list[Column | str],
                               F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
     cond = [F.col("_pid") == F.col("_opid")] + [
         F.col(g).eqNullSafe(F.col(ren[g])) for g in groups]
-    joined = numbered.join(F.broadcast(offsets), on=cond, how="left")
-    idx = (F.coalesce(F.col("_before"), F.lit(0)) + F.col("_gpos")).cast("bigint").alias(name)
-    return joined.select(*[F.col(f"`{c}`") for c in df.columns], idx)
+    starts = numbered.join(F.broadcast(offsets), on=cond, how="left").select(
+        "_h1", "_h2", "_m", (F.coalesce(F.col("_before"), F.lit(0)) + F.col("_gpos")).alias("_start"))
+    own = [F.col(f"`{c}`") for c in df.columns]
+
+    # equal rows, of which there are few, are told apart by a number
+    copy = F.row_number().over(Window.partitionBy("_h1", "_h2").orderBy("_start")) - 1
+    few = (keyed.join(starts.where(F.col("_m") <= rows_of_a_key), ["_h1", "_h2"])
+           .select(*own, (F.col("_start") + copy).cast("bigint").alias(name)))
+    # at most a row per ``rows_of_a_key``: a bounded list
+    often = ranged.where(F.col("_m") > rows_of_a_key).select("_h1", "_h2")
+    if often.isEmpty():
+        return few
+    few = (keyed.join(F.broadcast(often), ["_h1", "_h2"], "left_anti").join(starts, ["_h1", "_h2"])
+           .select(*own, (F.col("_start") + copy).cast("bigint").alias(name)))
+    one = keyed.join(F.broadcast(often), ["_h1", "_h2"], "left_semi").dropDuplicates(["_h1", "_h2"])
+    steps = F.sequence(F.lit(0).cast("bigint"), F.col("_m") - 1, F.lit(rows_of_a_key).cast("bigint"))
+    blocks = one.join(starts, ["_h1", "_h2"]).withColumn("_from", F.explode(steps))
+    many = (blocks.repartition("_h1", "_from").withColumn("_at", F.explode(F.sequence(
+        "_from", F.least(F.col("_from") + (rows_of_a_key - 1), F.col("_m") - 1))))
+        .select(*own, (F.col("_start") + F.col("_at")).cast("bigint").alias(name)))
+    return few.unionByName(many)
 
 
 def _same_key(a: tuple, b: tuple) -> bool:
@@ -108,15 +144,15 @@ def changes(batch, columns: list[str]):
 
 
 def _group_runs(groups: list[str]):
-    """Arrow pass over one sorted task: position of each row inside its run of
-    equal group keys (continuing across batch borders)."""
+    """Arrow pass over one sorted task of keys: the rows (``_m`` a key) of its run of equal group
+    keys that stand before each key (continuing across batch borders)."""
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
         last = None     # group key of the previous row (across batches)
-        pos = -1        # its position inside its run
+        before = 0      # rows of its run so far
         for b in batches:
             n = b.num_rows
             if n == 0:
@@ -124,11 +160,12 @@ def _group_runs(groups: list[str]):
                 continue
             change = changes(b, groups)
             first = tuple(b.column(g)[0].as_py() for g in groups)
-            change[0] = last is None or not _same_key(first, last)      # no groups: one run
-            idx = np.arange(n)
-            start = np.maximum.accumulate(np.where(change, idx, -1))
-            gpos = np.where(start >= 0, idx - start, pos + 1 + idx)
-            pos = int(gpos[-1])
+            goes_on = last is not None and _same_key(first, last)      # no groups: one run
+            rows = b.column("_m").to_numpy()
+            until = np.cumsum(rows) - rows
+            start = np.maximum.accumulate(np.where(change, np.arange(n), 0))
+            gpos = until - until[start] + np.where(start == 0, before if goes_on else 0, 0)
+            before = int(gpos[-1] + rows[-1])
             last = tuple(b.column(g)[n - 1].as_py() for g in groups)
             yield b.append_column("_gpos", pa.array(gpos, pa.int64()))
 
@@ -185,3 +222,28 @@ def expected_pages(df: DataFrame, last_page_col: str = "last_page", default: int
         "_from", F.least(F.col("_from") + (PAGE_STEP - 1), "_last")))
     return (stepped.withColumn("page_no", F.explode_outer(step))
             .select(*df.columns, "page_no", "page_error"))
+
+
+# A listing stored in order -------------------------------------------------------
+
+ROWS_PER_BLOCK = 1_000_000
+
+
+def store_ordered(df: DataFrame, path: str, order_by: list[Column | str],
+                  rows_per_block: int = ROWS_PER_BLOCK) -> None:
+    """Store ``df`` with its ``row_index`` in this order, ``rows_per_block`` rows to a directory
+    ``block=…``, sorted.  A row's directory follows from its index, so a page needs no look-up."""
+    idx = with_row_index(df, order_by, None, "row_index")
+    blocks = idx.withColumn("block", F.expr(f"row_index div {int(rows_per_block)}"))
+    (blocks.repartition("block").sortWithinPartitions("block", "row_index")
+           .write.mode("overwrite").partitionBy("block").parquet(path))
+
+
+def stored_page(stored: DataFrame, start: int, size: int,
+                rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+    """Rows ``start`` to ``start + size`` of a table that ``store_ordered`` wrote, in order: however
+    deep the page, only its one or two directories are read, and nothing else is sorted."""
+    last = start + size - 1
+    here = F.col("block").between(start // rows_per_block, last // rows_per_block)
+    return (stored.where(here & F.col("row_index").between(start, last)).drop("block")
+            .orderBy("row_index"))

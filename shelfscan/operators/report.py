@@ -187,7 +187,7 @@ def missing_pages(landed: DataFrame, keys: list[str], page_col: str = "page_no",
 
 def pipeline_metrics(rows: DataFrame, file_keys: list[str], log: DataFrame,
                      columns: list[str] | None = None) -> DataFrame:
-    """One row about a run: ``n_files`` (different ``file_keys``), ``n_rows``,
+    """One row about a run: ``n_files`` (different ``file_keys``: the files' paths), ``n_rows``,
     ``n_null`` (missing values in ``columns``) and ``elapsed_s`` (from the first
     to the last record of the run's log, whose lines ``parse_log_lines`` split)."""
     cols = columns or rows.columns
@@ -203,6 +203,33 @@ def pipeline_metrics(rows: DataFrame, file_keys: list[str], log: DataFrame,
     return files.join(counts, on=F.lit(True)).join(span, on=F.lit(True))
 
 
+IDLE_GAP = "30 minutes"
+
+
+def log_runs(log: DataFrame, gap: str = IDLE_GAP, keys: list[str] | None = None) -> DataFrame:
+    """The runs that a log holds, one row each: ``keys, run_start, run_end, elapsed_s, n_records,
+    n_errors``.  A run ends when nothing is logged for longer than
+    ``gap``; lines without a time (tracebacks)
+    belong to none.
+
+    Records are counted per ``gap``-wide slot of time first, combined before the shuffle, so the
+    session window sees one row a slot and not the log: records of one slot are of one run.
+    """
+    keys = keys or []
+    at = F.try_to_timestamp(F.col("logged_at"), F.lit(LOG_TIME_FORMAT))
+    slots = (log.withColumn("_at", at).where("_at is not null")
+             .groupBy(*keys, F.window("_at", gap).alias("_slot"))
+             .agg(F.min("_at").alias("_first"), F.max("_at").alias("_last"), F.count(F.lit(1)).alias("_n"),
+                  F.count_if(F.col("level") == "ERROR").alias("_errors")).drop("_slot"))
+    span = "cast((unix_micros(_last) - unix_micros(_first)) / 1000000 as decimal(18, 6))"
+    until = F.expr(f"make_interval(0, 0, 0, 0, 0, 0, {span}) + cast('{gap}' as interval)")
+    runs = slots.groupBy(*keys, F.session_window("_first", until).alias("_run")).agg(
+        F.min("_first").alias("run_start"), F.max("_last").alias("run_end"),
+        F.sum("_n").alias("n_records"), F.sum("_errors").alias("n_errors"))
+    elapsed = (F.unix_millis("run_end") - F.unix_millis("run_start")) / 1000.0
+    return runs.select(*keys, "run_start", "run_end", elapsed.alias("elapsed_s"), "n_records", "n_errors")
+
+
 def parse_log_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     """Split ``asctime - name - level - file:line - func - message`` lines."""
     return lines.select(*log_fields(col))

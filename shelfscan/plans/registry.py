@@ -570,7 +570,7 @@ def q_pipeline_metrics(spark, sf):
     write_csv(D.r2_csv_rows(spark, sf), path, ["snapshot_dir", "category_file"])
     rows = read_csv_snapshots(spark, path, "r2")
     log = parse_log_lines(D.log_lines(spark, sf))
-    return pipeline_metrics(rows, ["snapshot_date", "category"], log,
+    return pipeline_metrics(rows, ["file_path"], log,
                             ["product_id", "product_name", "product_rating"])
 
 

@@ -7,11 +7,15 @@ from pyspark.sql import functions as F
 
 from ..operators.history import compare_days, price_periods, store_day
 from ..operators.linkage import PERCENT, cheapest_sources
+from ..operators.ordering import store_ordered, stored_page
+from ..operators.report import log_runs, parse_log_lines
 from ..session import scratch_path
 from ..sources.merge import merge_latest
+from ..sources.sinks import write_measured
 from . import driver_inputs as D
 
 MAX_GAP_DAYS = 60
+LOG_GAP = "20 minutes"
 
 
 def q_price_periods(spark, sf):
@@ -45,11 +49,42 @@ def q_cheapest_source(spark, sf):
     return cheapest_sources(D.retailer_offers(spark, sf))
 
 
+def q_log_runs(spark, sf):
+    """Runs of three crawlers that log into one file, several a day."""
+    log = parse_log_lines(D.log_lines(spark, sf)).withColumn("crawler", F.col("line") % 3)
+    return log_runs(log, LOG_GAP, ["crawler"]).select(
+        "crawler", F.date_format("run_start", "yyyy-MM-dd HH:mm:ss.SSS").alias("run_start"), "elapsed_s",
+        "n_records", "n_errors")
+
+
+DEEP_PAGE = 40          # of pages of a hundredth of the table
+
+
+def q_stored_page(spark, sf):
+    """A deep page of the price list, from a table stored in that order."""
+    orders, path = D.table(spark, sf, "orders"), scratch_path(spark, "ordered")
+    rows = orders.select("o_orderkey", F.round("o_totalprice", -3).alias("price"))
+    size = max(1, rows.count() // 100)
+    store_ordered(rows, path, [F.col("price").asc_nulls_last(), "o_orderkey"], rows_per_block=size * 3)
+    return stored_page(spark.read.parquet(path), DEEP_PAGE * size, size, size * 3)
+
+
+def q_write_metrics(spark, sf):
+    """Metrics taken while a snapshot is written."""
+    part = D.product_snapshot_rows(spark, sf)
+    rows = part.withColumn("price", F.when(F.col("product_id").cast("int") % 6 != 0, F.col("price")))
+    got = write_measured(rows, scratch_path(spark, "measured"), columns=["product_id", "price", "category"])
+    return spark.createDataFrame([(k, v) for k, v in got.items()], "metric string, value bigint")
+
+
 QUERIES = {
     "price_periods": q_price_periods,
     "day_changes": q_day_changes,
     "latest_per_day": q_latest_per_day,
     "cheapest_source": q_cheapest_source,
+    "log_runs": q_log_runs,
+    "stored_page": q_stored_page,
+    "write_metrics": q_write_metrics,
 }
 
 # A third of all listings are of one product; some have no product id.
@@ -98,6 +133,27 @@ SELECT source, product_id, CAST(date_trunc('quarter', l_shipdate) AS DATE) AS sn
 FROM ({_LISTED})
 QUALIFY row_number() OVER (PARTITION BY source, product_id, snapshot_date
                            ORDER BY observed_at DESC, price DESC NULLS LAST, listing DESC) = 1""",
+    "log_runs": """
+WITH r AS (SELECT user_id % 3 AS crawler, date_trunc('millisecond', ts) AS t, event_type = 'error' AS bad
+           FROM events WHERE event_id % 10 <> 0),
+n AS (SELECT *, sum(CASE WHEN t - before <= INTERVAL 20 MINUTES THEN 0 ELSE 1 END)
+               OVER (PARTITION BY crawler ORDER BY t) AS run
+      FROM (SELECT *, lag(t) OVER (PARTITION BY crawler ORDER BY t) AS before FROM r))
+SELECT crawler, strftime(min(t), '%Y-%m-%d %H:%M:%S.%g') AS run_start,
+  (epoch_ms(max(t)) - epoch_ms(min(t))) / 1000.0 AS elapsed_s, count(*) AS n_records,
+  count(*) FILTER (WHERE bad) AS n_errors
+FROM n GROUP BY crawler, run""",
+    "stored_page": f"""
+WITH k AS (SELECT greatest(1, count(*) // 100) AS size FROM orders),
+o AS (SELECT o_orderkey, round(o_totalprice, -3) AS price,
+        row_number() OVER (ORDER BY round(o_totalprice, -3) NULLS LAST, o_orderkey) - 1 AS row_index FROM orders)
+SELECT o_orderkey, price, row_index FROM o, k
+WHERE row_index >= {DEEP_PAGE} * size AND row_index < {DEEP_PAGE + 1} * size""",
+    "write_metrics": """
+WITH m AS (SELECT count(*) AS n, count(*) FILTER (WHERE p_partkey % 6 = 0 OR p_retailprice IS NULL) AS missing FROM part)
+SELECT 'n_rows' AS metric, n AS value FROM m UNION ALL SELECT 'null_product_id', 0
+UNION ALL SELECT 'null_price', missing FROM m UNION ALL SELECT 'null_category', 0
+UNION ALL SELECT 'n_null', missing FROM m""",
     # every pair of one pack size is compared here, from the words the names were built of
     "cheapest_source": f"""
 WITH shop(source) AS (VALUES ('r1'), ('r2'), ('r3')),

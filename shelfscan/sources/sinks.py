@@ -2,13 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import PARTITION_COLUMNS
 
 
+def write_measured(df: DataFrame, path: str, partition_by: list[str] | None = None,
+                   columns: list[str] | None = None, mode: str = "overwrite") -> dict[str, int]:
+    """``write_snapshot``, and what was written, taken while it was: ``n_rows``, and the missing
+    values per column (``null_<column>``) and together (``n_null``).  Neither the rows nor the
+    table are read again."""
+    cols = columns or df.columns
+    seen = Observation()
+    nulls = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"null_{c}") for c in cols]
+    write_snapshot(df.observe(seen, F.count(F.lit(1)).alias("n_rows"), *nulls), path, partition_by, mode)
+    got = seen.get
+    return {**got, "n_null": sum(got[f"null_{c}"] for c in cols)}
+
+
 def write_snapshot(df: DataFrame, path: str, partition_by: list[str] | None = None,
                    mode: str = "overwrite") -> None:
     """Write a snapshot table partitioned by source / date / category.

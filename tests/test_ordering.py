@@ -3,8 +3,10 @@ hot group holding a third of the rows and ties."""
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
+from shelfscan.operators import ordering
 from shelfscan.operators.ordering import (cheapest_first, expected_pages, page_numbers,
                                           page_slice, with_row_index)
 
@@ -132,23 +134,75 @@ def test_many_groups_path_nan_and_null_double_keys(spark):
     assert got == want
 
 
+def _task_rows(df):
+    return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+
 def test_tied_keys_spread_over_tasks(spark):
     """A third of all keys missing: the largest task stays near the mean."""
     df = spark.range(30000).selectExpr("id", "if(id % 3 = 0, null, cast(id as double)) price")
     out = with_row_index(df, ["price"], None, "rn", num_partitions=6)
-    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    sizes = _task_rows(out)
     assert sorted(r.rn for r in out.select("rn").collect()) == list(range(30000))
-    assert max(sizes) < 1.6 * 30000 / 6
-
-
-def test_index_evaluates_its_input_once(spark):
+    assert max(sizes) < 1.6 * 30000 / len(sizes)
+
+
+@pytest.mark.parametrize("rows_of_a_key", [10_000, 500])
+def test_a_third_of_the_rows_equal(spark, rows_of_a_key):
+    """Equal rows are numbered one after the other and come from many tasks, none of which has them all."""
+    rows = [(None, None, "R1")] * 6000 + [(f"n{i}", float(i % 40), "R2") for i in range(12_000)]
+    df = spark.createDataFrame(rows, "name string, price double, source string").repartition(6)
+    out = with_row_index(df, [F.col("name").asc_nulls_last(), "price"], ["source"], "rn",
+                         rows_of_a_key=rows_of_a_key)
+    got = out.collect()
+    assert sorted(r.rn for r in got if r.source == "R1") == list(range(6000))
+    assert sorted(r.rn for r in got if r.source == "R2") == list(range(12_000))
+    assert sum(r.name is None and r.price is None for r in got) == 6000
+    if rows_of_a_key == 500:
+        equal = out.where("name is null")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            assert max(_task_rows(equal)) < 6000 * 0.6
+        finally:
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_only_keys_are_checkpointed(spark, monkeypatch):
+    """The rows are not copied to the checkpoint folder, and cross one exchange."""
+    seen = []
+    keep = ordering.materialize
+    monkeypatch.setattr(ordering, "materialize", lambda df: seen.append(df.columns) or keep(df))
+    df = spark.range(500).selectExpr("id % 7 AS g", "id AS x", "repeat('wide ', 50) AS wide")
+    out = with_row_index(df, ["x"], ["g"], "rn")
+    assert out.count() == 500 and seen == [["g", "_h1", "_h2", "_m", "_pid"]]
+
+
+def test_index_evaluates_its_input_for_keys_and_for_rows(spark):
     acc = spark.sparkContext.accumulator(0)
 
     def count(batches):
         for b in batches:
             acc.add(b.num_rows)
             yield b
-    df = spark.range(2000).selectExpr("id % 3 g", "cast(id % 50 as double) x", "id")
+    df = spark.range(3000).selectExpr("id % 5 AS g", "id AS x")
     out = with_row_index(df.mapInArrow(count, df.schema), ["x"], ["g"], "rn")
-    assert out.where("rn < 0").count() == 0 and out.count() == 2000
-    assert acc.value == 2000
+    assert out.count() == 3000 and acc.value == 6000
+
+
+def test_a_page_of_a_stored_listing(spark, tmp_path):
+    """Pages equal slices of the sorted rows; a deep one reads only its directories."""
+    path = str(tmp_path / "listing")
+    rows = [(i, float((i * 37) % 101) if i % 9 else None) for i in range(1000)]
+    df = spark.createDataFrame(rows, "id int, price double")
+    ordering.store_ordered(df, path, [F.col("price").asc_nulls_last(), "id"], rows_per_block=64)
+    want = sorted(rows, key=lambda r: (r[1] is None, r[1] or 0, r[0]))
+    stored = spark.read.parquet(path)
+    for start, size in ((0, 10), (60, 10), (640, 130), (995, 50), (2000, 5)):
+        got = ordering.stored_page(stored, start, size, 64).collect()
+        assert [(r.id, r.price) for r in got] == want[start:start + size]
+        assert [r.row_index for r in got] == list(range(start, min(start + size, 1000)))
+    page = ordering.stored_page(stored, 700, 10, 64)
+    plan = page._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(block" in plan and "row_index" in plan.split("PushedFilters")[1]
+    files = stored.where("block = 10").select(F.input_file_name()).distinct().count()
+    assert files == 1 and len({r[0] for r in stored.select("block").distinct().collect()}) == 16
