@@ -52,10 +52,12 @@ def weight_of(level: str) -> Column:
     return out.cast("long")
 
 
-def order_of(epoch: Column, doc_id: Column, seed: int = SEED) -> Column:
-    """Seeded place of a document in an epoch: 60 bits of an MD5."""
+def order_of(epoch: Column, doc_id: Column, *row: Column, seed: int = SEED) -> Column:
+    """Seeded place of a document in an epoch: 60 bits of an MD5 over its id, or over ``row``
+    where it has none, so that documents without an id do not share one place."""
+    nameless = F.concat_ws(":", F.lit("null"), *[c.cast("string") for c in row])
     name = F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"),
-                       F.coalesce(doc_id.cast("string"), F.lit("null")))
+                       F.coalesce(doc_id.cast("string"), nameless))
     return F.conv(F.substring(F.md5(name), 1, ORDER_HEX), 16, 10).cast("long")
 
 
@@ -142,7 +144,7 @@ def mix(docs: DataFrame, budget: int | None = None, share: float = SHARE,
     plan = cut(leaf_budgets(leaves, budget, max_epochs)
                .select(*LEVELS, "epochs", "prefix"))
     placed = rows.join(plan, list(LEVELS)).withColumn(
-        "o", order_of(F.col("epochs"), F.col("doc_id"), seed))
+        "o", order_of(F.col("epochs"), F.col("doc_id"), F.col("k1"), F.col("k2"), seed=seed))
     step = (1 << (4 * ORDER_HEX)) // BUCKETS
     placed = placed.withColumn("b", F.expr(f"o div {step}L"))
     # Running tokens per step of each leaf's order; only the step where the

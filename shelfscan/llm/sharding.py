@@ -7,9 +7,12 @@ running sums inside ranges and range offsets then give every record its exact
 place in the whole order, so shards are cut at equal bytes to within one
 record, and slots are gapless.
 
-The sort key is (hash of the group, id): members of a group, such as equal
+The sort key is (hash of the group, id, tie): members of a group, such as equal
 texts, stay next to each other and share a shard unless a cut falls inside
-their group.  A hot group is subdivided by id like any overfull range.
+their group.  A hot group is subdivided by id like any overfull range, and
+records of one group and id by the tie: a hash of their carried columns, and, as
+equal records may be very many, of where they were read.  The keys are
+checkpointed, so the tie of a record does not change.
 """
 
 from __future__ import annotations
@@ -20,8 +23,9 @@ from pyspark.sql import functions as F
 from shelfscan.llm.common import bucket_of, cut, longs, prepare
 
 RANGES_PER_SHARD = 32
-ROWS_PER_RANGE = 1_000_000
+ROWS_PER_RANGE = 4_000_000
 SAMPLES_PER_RANGE = 32
+TIE_BITS = 20           # low bits of the tie, which tell equal records apart
 OVERFULL = 2.0
 SEED = 11
 FIRST = -(1 << 63)
@@ -29,20 +33,22 @@ UNIT = 1 << 40
 BIG = "decimal(38,0)"
 
 
-def _keys(bounds: list[tuple[int, int]]) -> str:
-    one = "named_struct('g', {}L, 'd', {}L)"
-    return f"array({', '.join(one.format(g, d) for g, d in bounds)})"
+def _keys(bounds: list[tuple[int, int, int]]) -> str:
+    one = "named_struct('g', {}L, 'd', {}L, 't', {}L)"
+    return f"array({', '.join(one.format(*b) for b in bounds)})"
 
 
-def _range_of(bounds: list[tuple[int, int]]) -> Column:
-    return bucket_of(F.struct(F.col("g"), F.col("d")), bounds, _keys).cast("int")
+def _range_of(bounds: list[tuple[int, int, int]]) -> Column:
+    return bucket_of(F.struct("g", "d", "t"), bounds, _keys).cast("int")
 
 
-def _draw(rows: DataFrame, rate: Column, turn: int) -> list[tuple[int, int]]:
+def _draw(rows: DataFrame, rate: Column, turn: int) -> list[tuple[int, int, int]]:
     """Keys drawn with probability min(1, size * rate), decided by a hash of the key,
-    so a retried task draws the same ones."""
-    u = F.pmod(F.xxhash64(F.lit(SEED + turn), "g", "d"), F.lit(UNIT)) / UNIT
-    return sorted((r.g, r.d) for r in rows.where(u < F.col("size") * rate).select("g", "d").collect())
+    so a retried task draws the same ones.  Equal records have ties of their own, so however
+    many there are, no more than the sample reaches the driver."""
+    u = F.pmod(F.xxhash64(F.lit(SEED + turn), "g", "d", "t"), F.lit(UNIT)) / UNIT
+    return sorted((r.g, r.d, r.t) for r in
+                  rows.where(u < F.col("size") * rate).select("g", "d", "t").collect())
 
 
 def _ranges(rows: DataFrame, n: int, total: int) -> tuple[list, list]:
@@ -53,7 +59,8 @@ def _ranges(rows: DataFrame, n: int, total: int) -> tuple[list, list]:
     while True:
         got = {r.r: r for r in rows.groupBy(_range_of(bounds).alias("r")).agg(
             F.count("*").alias("n"), F.sum("size").alias("size"),
-            F.min(F.struct("g", "d")).alias("lo"), F.max(F.struct("g", "d")).alias("hi")).collect()}
+            F.min(F.struct("g", "d", "t")).alias("lo"),
+            F.max(F.struct("g", "d", "t")).alias("hi")).collect()}
         full = [r for r in got.values() if r["size"] > OVERFULL * total / n and r.lo != r.hi]
         turn += 1
         more: set = set()
@@ -79,12 +86,15 @@ def shard_records(records: DataFrame, group: Column, doc_id: Column, size: Colum
 
     Shards hold equal bytes to within one record.  ``size`` must be at least 1.
     Null groups and ids sort first; records equal in group and id are ordered
-    by their carried columns.  An empty table gives an empty result.
+    by a hash of their carried columns.  An empty table gives an empty result.
     """
     prepare(records.sparkSession)
+    low = (1 << TIE_BITS) - 1
+    tie = F.xxhash64(*carry).bitwiseAND(F.lit(~low)).bitwiseOR(
+        F.xxhash64(F.monotonically_increasing_id()).bitwiseAND(F.lit(low)))
     rows = cut(records.select(
         F.coalesce(group.cast("long"), F.lit(FIRST)).alias("g"),
-        F.coalesce(doc_id.cast("long"), F.lit(FIRST)).alias("d"),
+        F.coalesce(doc_id.cast("long"), F.lit(FIRST)).alias("d"), tie.alias("t"),
         size.cast("long").alias("size"), F.struct(*carry).alias("c")))
     n_rows, total = rows.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     n = max(n_shards * RANGES_PER_SHARD, -(-n_rows // ROWS_PER_RANGE))
@@ -94,7 +104,7 @@ def shard_records(records: DataFrame, group: Column, doc_id: Column, size: Colum
         row_at.append(row_at[-1] + k)
         byte_at.append(byte_at[-1] + b)
     r = F.col("r") + 1
-    w = Window.partitionBy("r").orderBy("g", "d", "c")
+    w = Window.partitionBy("r").orderBy("g", "d", "t")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = cut(rows.withColumn("r", _range_of(bounds)).select(
         "c", "size",

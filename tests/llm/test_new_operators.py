@@ -263,3 +263,36 @@ def test_likely_rows_lose_none(spark):
     ids = {r.id for r in got.collect()}
     assert {i for i in range(0, 3000, 30)} <= ids and len(ids) < 110
     assert common.likely_rows(keyed, wanted.limit(0)).count() == 0
+
+
+def test_sharding_of_equal_rows(spark, monkeypatch):
+    """Very many equal rows without an id: a sample of them reaches the driver, and no range holds
+    them all."""
+    from shelfscan.llm import sharding
+    seen = []
+    draw = sharding._draw
+    monkeypatch.setattr(sharding, "_draw", lambda *a: seen.append(draw(*a)) or seen[-1])
+    monkeypatch.setattr(sharding, "ROWS_PER_RANGE", 500)
+    rows = [(None, "the same text")] * 6000 + [(i, f"text {i}") for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    out = sharding.shard_documents(df, 8).collect()
+    assert sum(map(len, seen)) < 256 * 32 * 3
+    size, slots = [0] * 8, [[] for _ in range(8)]
+    for r in out:
+        size[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+    assert max(size) - min(size) <= 2 * 14 and [sorted(s) for s in slots] == [list(range(len(s))) for s in slots]
+    keys = df.select(F.lit(1).cast("long").alias("g"), F.lit(2).cast("long").alias("d"),
+                     F.xxhash64(F.monotonically_increasing_id()).alias("t"), F.lit(1).cast("long").alias("size")).cache()
+    _, counts = sharding._ranges(keys, 20, 12_000)
+    assert max(n for n, _ in counts) <= 2 * sharding.OVERFULL * 12_000 / 20
+
+
+def test_documents_without_an_id_have_places_of_their_own(spark):
+    from shelfscan.llm import mixing
+    df = spark.range(3000).select(F.xxhash64("id").alias("k1"), F.xxhash64("id", F.lit(1)).alias("k2"))
+    place = mixing.order_of(F.lit(1), F.lit(None).cast("long"), F.col("k1"), F.col("k2"))
+    assert df.select(place.alias("o")).distinct().count() == 3000
+    with_id = spark.range(5).select(mixing.order_of(F.lit(1), F.col("id")).alias("a"),
+                                    mixing.order_of(F.lit(1), F.col("id"), F.lit(9)).alias("b"))
+    assert all(r.a == r.b for r in with_id.collect())
