@@ -29,6 +29,15 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Evaluated once, as a Parquet table under the shared checkpoint folder: for rows that are read
+    several times by different columns."""
+    from ..session import scratch_path
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 ROWS_OF_A_KEY = 10_000      # equal rows that may meet in one task
 
 

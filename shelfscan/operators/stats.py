@@ -4,10 +4,11 @@
 quartiles (linear interpolation, the pandas/NumPy default) and max per group.
 There is one plan for every size.  Values are collapsed to (group, value, count) with
 map-side partial aggregation (prices repeat a lot) and range-partitioned on (group,
-value), so a hot group spreads over many tasks; that table is checkpointed and is
+value), so a hot group spreads over many tasks; that table is stored and is
 all that later steps read.  Moments are grouped sums over it.  For the quartiles, counts
 run inside each (task, group) slice, slices get the counts of earlier tasks, and only the
-few rows that hold a wanted rank reach the final aggregate.
+few rows that hold a wanted rank reach the final aggregate.  The table is stored as Parquet, so
+each of these steps reads its own columns.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordering import materialize
+from .ordering import stored
 
 DESCRIBE_PROBS = (0.25, 0.5, 0.75)
 
@@ -34,15 +35,15 @@ def _join_ns(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inn
 
 
 def value_counts(df: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
-    """Checkpointed ``_g0 .. , _v, _c, _task``: how often each group holds each
+    """Stored ``_g0 .. , _v, _c, _task``: how often each group holds each
     value (NULL values are one row), range-partitioned and sorted by (group, value)."""
     groups = _group_cols(by)
     v = F.col(f"`{value}`").cast("double")
     keys = [*groups, "_v"]
     counts = (df.select(*[c.alias(n) for n, c in groups.items()], v.alias("_v"))
               .groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")))
-    return materialize(counts.repartitionByRange(*keys).sortWithinPartitions(*keys)
-                       .withColumn("_task", F.spark_partition_id()))
+    return stored(counts.repartitionByRange(*keys).sortWithinPartitions(*keys)
+                  .withColumn("_task", F.spark_partition_id()), "values")
 
 
 def _quantiles(counts: DataFrame, keys: list[str], probs, prefix: str) -> DataFrame:
