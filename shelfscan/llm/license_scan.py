@@ -1,14 +1,18 @@
 """License scans by diagonal voting, in DataFrame operations only.
 
-All rolling word k-grams of a document are joined with the positions of the
-same k-grams in license templates.  A match of document word i with template
+The hashes of all rolling word k-grams of a document are joined with the positions of
+the same k-grams in license templates; positions whose hash no template has are dropped
+before the rows leave the document's array.  A match of document word i with template
 word j votes for diagonal i - j; votes are summed per document, template and
 diagonal.  Neighbouring diagonals (a word more or less in between) are merged,
 and the merged span is verified: enough different template k-grams, in a span
 of the template's length.
 
-Templates of at most ``GRAM`` words, such as the base phrases, are one k-gram:
-their votes are exact places.
+Long templates vote by ``GRAM`` words.  Short ones vote by two, since one word put inside
+them would break most of their longer k-grams.  A base phrase is one k-gram:
+its votes are exact places.
+
+A task holds the words of a text as an array: some 50 bytes a word.
 """
 
 from __future__ import annotations
@@ -19,7 +23,10 @@ from pyspark.sql import functions as F
 from shelfscan.llm.common import LOWER, UPPER, cut, prepare, row_key
 
 GRAM = 3
+SHORT_GRAM = 2
+SHORT = 10          # statements of at most so many words vote by SHORT_GRAM
 COVERAGE = 0.8      # share of a template's k-grams that a span must hold
+SHORT_COVERAGE = 0.75
 DRIFT = 2           # diagonals this near are merged
 STRETCH = 3         # words a span may have beyond its template
 # Characters outside words, after A-Z became a-z.
@@ -42,6 +49,35 @@ STATEMENTS = {
     "bsd-3-clause": ("licensed under the bsd 3 clause license",),
     "mpl-2.0": ("subject to the terms of the mozilla public license version 2 0",),
 }
+# The notices of public licenses, as their words.
+NOTICES = {
+    "mit": ("permission is hereby granted free of charge to any person obtaining a copy of this software "
+            "and associated documentation files the software to deal in the software without restriction "
+            "including without limitation the rights to use copy modify merge publish distribute "
+            "sublicense and or sell copies of the software",),
+    "isc": ("permission to use copy modify and or distribute this software for any purpose with or without "
+            "fee is hereby granted provided that the above copyright notice and this permission notice "
+            "appear in all copies",),
+    "bsd-2-clause": ("redistribution and use in source and binary forms with or without modification are "
+                     "permitted provided that the following conditions are met",),
+    "apache-2.0": ("you may not use this file except in compliance with the license you may obtain a copy "
+                   "of the license at http www apache org licenses license 2 0",),
+    "gpl-3.0": ("this program is free software you can redistribute it and or modify it under the terms of "
+                "the gnu general public license as published by the free software foundation either "
+                "version 3 of the license or at your option any later version",),
+    "mpl-2.0": ("if a copy of the mpl was not distributed with this file you can obtain one at http "
+                "mozilla org mpl 2 0",),
+}
+
+
+def templates(base: dict[str, str] = BASE, statements: dict[str, tuple] = STATEMENTS,
+              notices: dict[str, tuple] = NOTICES) -> list[tuple[str, str, bool, int]]:
+    """(words, label, is it a base phrase, words of its k-grams) of every template."""
+    out = [(p, label, True, len(p.split())) for p, label in sorted(base.items())]
+    for group in (statements, notices):
+        out += [(p, label, False, SHORT_GRAM if len(p.split()) <= SHORT else GRAM)
+                for label, ps in sorted(group.items()) for p in ps]
+    return out
 
 
 def word_array(text: Column) -> Column:
@@ -50,36 +86,36 @@ def word_array(text: Column) -> Column:
     return F.array_remove(F.split(lowered, GAP), "")
 
 
-def grams(words: Column, gram: int = GRAM) -> Column:
-    """``pos, head, gram`` of every word position: the hash of two words from
-    there and the text of ``gram`` words (empty ones past the end)."""
-    parts = lambda i: [F.coalesce(F.get(words, i + j), F.lit("")) for j in range(1, gram)]
-    return F.transform(words, lambda w, i: F.struct(
-        i.alias("pos"), F.xxhash64(w, parts(i)[0]).alias("head"),
-        F.concat_ws(" ", w, *parts(i)).alias("gram")))
+def gram_text(words: Column, at: Column, k: int) -> Column:
+    """The ``k`` words from position ``at`` on (empty ones past the end)."""
+    return F.concat_ws(" ", *[F.coalesce(F.get(words, at + j), F.lit("")) for j in range(k)])
+
+
+def gram_hash(words: Column, at: Column, k: int) -> Column:
+    """Hash of the ``k`` words from position ``at`` on."""
+    return F.xxhash64(F.lit(k), *[F.coalesce(F.get(words, at + j), F.lit("")) for j in range(k)])
 
 
-def template_table(spark: SparkSession, base: dict[str, str], statements: dict[str, tuple],
-                   gram: int = GRAM) -> DataFrame:
-    """One row per template position: ``tid, label, is_base, words, n_grams, tpos, head, gram``.
-    ``head`` is the hash of the first two words, ``gram`` all its words."""
-    texts = [(p, label, True) for p, label in sorted(base.items())]
-    texts += [(p, label, False) for label, ps in sorted(statements.items()) for p in ps]
+def template_table(spark: SparkSession, texts: list[tuple[str, str, bool, int]]) -> DataFrame:
+    """One row per template position: ``tid, label, is_base, words, k, n_grams, tpos, hash, tgram``."""
     rows = []
-    for tid, (phrase, label, is_base) in enumerate(texts):
+    for tid, (phrase, label, is_base, k) in enumerate(texts):
         words = phrase.split()
-        if len(words) < 2 or is_base and len(words) > gram:
-            raise ValueError("a template has two words or more, a base phrase at most the gram's")
-        n = max(1, len(words) - gram + 1)
-        rows += [(tid, label, is_base, len(words), n, i, words[i], words[i + 1],
-                  " ".join(words[i:i + gram])) for i in range(n)]
-    t = spark.createDataFrame(rows, "tid int, label string, is_base boolean, words int, "
-                                    "n_grams int, tpos int, w1 string, w2 string, gram string")
-    return t.withColumn("head", F.xxhash64("w1", "w2")).drop("w1", "w2")
-
-
-def scan(docs: DataFrame, base: dict[str, str] = BASE, statements: dict[str, tuple] = STATEMENTS,
-         id_col: str = "doc_id", text_col: str = "text", gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
+        if k not in (SHORT_GRAM, GRAM) or len(words) < k:
+            raise ValueError(f"a template has {SHORT_GRAM} words or more, a base phrase {GRAM} at most")
+        n = len(words) - k + 1
+        rows += [(tid, label, is_base, len(words), k, n, i, words[i:i + k]) for i in range(n)]
+    t = spark.createDataFrame(rows, "tid int, label string, is_base boolean, words int, k int, "
+                                    "n_grams int, tpos int, gram array<string>")
+    hashes = [F.when(F.col("k") == k, gram_hash(F.col("gram"), F.lit(0), k)) for k in (SHORT_GRAM, GRAM)]
+    return t.select("*", F.coalesce(*hashes).alias("hash"), F.array_join("gram", " ").alias("tgram")).drop("gram")
+
+
+MAX_POSITIONS = 1_000_000   # of templates: their table is broadcast
+
+
+def scan(docs: DataFrame, texts: list[tuple[str, str, bool, int]] | None = None,
+         id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(documents, spans).
 
     documents: ``doc_id, k1, k2, rows, n_words`` (``rows``: how many rows
@@ -87,33 +123,44 @@ def scan(docs: DataFrame, base: dict[str, str] = BASE, statements: dict[str, tup
     coverage`` for every place of a base phrase and every verified statement,
     in words from 0.  Null and empty texts have no words.
 
-    The templates are a parameter of a few hundred positions, so their table
-    is broadcast; the text is read once and only matches leave the scan.
+    ``texts`` are the ``templates()``; their positions are a parameter of bounded number, so
+    their table is broadcast.  The text is read once and only matches leave the scan.
     """
     spark = prepare(docs.sparkSession)
+    t = template_table(spark, templates() if texts is None else texts)
+    hashes = {k: [r.hash for r in t.where(F.col("k") == k).select("hash").distinct().collect()]
+              for k in (SHORT_GRAM, GRAM)}
+    if t.count() > MAX_POSITIONS:
+        raise ValueError(f"templates of at most {MAX_POSITIONS} positions are supported")
     did, text = docs[id_col].cast("long"), docs[text_col]
     words = docs.select(did.alias("doc_id"), *row_key(did, text), word_array(text).alias("words"))
+    w = F.col("words")
+    everywhere = F.when(F.size(w) > 0, F.sequence(F.lit(0), F.size(w) - 1)).otherwise(
+        F.array().cast("array<int>"))
+
+    def places(k: int) -> Column:
+        at = F.filter(everywhere, lambda i: gram_hash(w, i, k).isin(hashes[k]))
+        return F.transform(at, lambda i: F.struct(i.alias("pos"), F.lit(k).alias("of"),
+                                                  gram_hash(w, i, k).alias("hash"),
+                                                  gram_text(w, i, k).alias("gram")))
+
     # position -1 stands for the document itself and carries its word count
-    mark = F.array(F.struct(F.lit(-1).alias("pos"), F.lit(0).cast("long").alias("head"),
+    mark = F.array(F.struct(F.lit(-1).alias("pos"), F.lit(0).alias("of"), F.lit(0).cast("long").alias("hash"),
                             F.size("words").cast("string").alias("gram")))
     found = words.select("doc_id", "k1", "k2", F.explode(F.concat(
-        mark, grams(F.col("words"), gram))).alias("x")).select("doc_id", "k1", "k2", "x.*")
-    t = template_table(spark, base, statements, gram)
-    own = spark.range(1).select(*[
-        {"tid": F.lit(-1), "gram": F.lit(""), "head": F.lit(0).cast("long")}.get(
-            f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in t.schema])
-    t = F.broadcast(t.unionByName(own).withColumnRenamed("gram", "tgram"))
-    same_words = (F.col("pos") < 0) | (F.col("gram") == F.col("tgram")) | (
-        (F.col("words") < gram) & F.startswith("gram", F.concat("tgram", F.lit(" "))))
-    hits = cut(found.join(t, "head").where(same_words & ((F.col("pos") < 0) == (F.col("tid") < 0)))
-               .select("doc_id", "k1", "k2", "pos", "tid", "label", "is_base", "words", "n_grams",
+        mark, places(SHORT_GRAM), places(GRAM))).alias("x")).select("doc_id", "k1", "k2", "x.*")
+    known = F.broadcast(t.withColumnsRenamed({"hash": "_hash"}))
+    hits = cut(found.join(known, (F.col("hash") == F.col("_hash")) & (F.col("of") == F.col("k"))
+                          & (F.col("gram") == F.col("tgram")), "left")
+               .where("pos < 0 or tid is not null")
+               .select("doc_id", "k1", "k2", "pos", "tid", "label", "is_base", F.col("words"), "k", "n_grams",
                        "tpos", F.when(F.col("pos") < 0, F.col("gram").cast("long")).alias("n_words")))
     documents = hits.where("pos < 0").groupBy("doc_id", "k1", "k2").agg(
         F.count("*").alias("rows"), F.max("n_words").alias("n_words"))
 
     # votes per diagonal; a repeated row votes for the same positions again
     votes = hits.where("pos >= 0").groupBy(
-        "k1", "k2", "tid", "label", "is_base", "words", "n_grams",
+        "k1", "k2", "tid", "label", "is_base", "words", "k", "n_grams",
         (F.col("pos") - F.col("tpos")).alias("diagonal")).agg(F.collect_set("tpos").alias("seen"))
     w = Window.partitionBy("k1", "k2", "tid").orderBy("diagonal")
     gap = F.col("diagonal") - F.coalesce(F.lag("diagonal").over(w), F.lit(-(1 << 30)))
@@ -122,13 +169,13 @@ def scan(docs: DataFrame, base: dict[str, str] = BASE, statements: dict[str, tup
     left_alone = F.coalesce(F.lag(alone).over(w), F.lit(True))
     votes = votes.withColumn("new", (alone | left_alone | (gap > DRIFT)).cast("int"))
     votes = votes.withColumn("merged", F.sum("new").over(w))
-    spans = votes.groupBy("k1", "k2", "tid", "label", "is_base", "words", "n_grams", "merged").agg(
+    spans = votes.groupBy("k1", "k2", "tid", "label", "is_base", "words", "k", "n_grams", "merged").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("seen")))).alias("held"),
         F.min(F.col("diagonal") + F.array_min("seen")).cast("long").alias("first"),
-        F.max(F.col("diagonal") + F.array_max("seen") + F.least(F.col("words"), F.lit(gram)) - 1)
-        .cast("long").alias("last"))
+        F.max(F.col("diagonal") + F.array_max("seen") + F.col("k") - 1).cast("long").alias("last"))
     spans = spans.withColumn("coverage", F.col("held") / F.col("n_grams"))
-    fine = (F.col("coverage") >= COVERAGE) & (
+    enough = F.when(F.col("k") == GRAM, COVERAGE).otherwise(SHORT_COVERAGE)
+    fine = (F.col("coverage") >= enough) & (
         F.col("last") - F.col("first") + 1 <= F.col("words") + STRETCH)
     # of statements that start together, such as two versions of one license,
     # the best covered ones hold

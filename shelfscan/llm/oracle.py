@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from shelfscan.llm.common import LOWER, UPPER
-from shelfscan.llm.license_scan import BASE, COVERAGE, DRIFT, GRAM, STATEMENTS, STRETCH
+from shelfscan.llm.license_scan import COVERAGE, DRIFT, GRAM, SHORT_COVERAGE, STRETCH, templates
 from shelfscan.llm.mixing import DOMAIN_WEIGHTS, LANG_WEIGHTS, MAX_EPOCHS, ORDER_HEX, SEED, SHARE
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -147,12 +147,10 @@ FROM summed WHERE epochs + within::INT > 0
 def _templates() -> str:
     """One VALUES row per template position."""
     rows = []
-    texts = [(p, label, "true") for p, label in sorted(BASE.items())]
-    texts += [(p, label, "false") for label, ps in sorted(STATEMENTS.items()) for p in ps]
-    for tid, (phrase, label, is_base) in enumerate(texts):
+    for tid, (phrase, label, is_base, k) in enumerate(templates()):
         words = phrase.split()
-        n = max(1, len(words) - GRAM + 1)
-        rows += [f"({tid}, '{label}', {is_base}, {len(words)}, {n}, {i}, '{' '.join(words[i:i + GRAM])}')"
+        n = len(words) - k + 1
+        rows += [f"({tid}, '{label}', {str(is_base).lower()}, {len(words)}, {k}, {n}, {i}, '{' '.join(words[i:i + k])}')"
                  for i in range(n)]
     return ", ".join(rows)
 
@@ -161,15 +159,16 @@ _LICENSES = rf"""
 WITH w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
-t(tid, label, is_base, len, n_grams, tpos, gram) AS (VALUES {_templates()}),
+t(tid, label, is_base, len, k, n_grams, tpos, gram) AS (VALUES {_templates()}),
 pos AS (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM w),
 grams AS (SELECT doc_id, i - 1 AS i, array_to_string(words[i:i + 1], ' ') AS two,
             array_to_string(words[i:i + 2], ' ') AS three FROM pos),
 votes AS (
-  SELECT doc_id, tid, label, is_base, len, n_grams, i - tpos AS diagonal,
+  SELECT doc_id, tid, label, is_base, len, k, n_grams, i - tpos AS diagonal,
     list(DISTINCT tpos) AS seen
-  FROM grams JOIN t ON gram = three OR (len = 2 AND gram = two)
-  GROUP BY doc_id, tid, label, is_base, len, n_grams, i - tpos),
+  FROM (SELECT doc_id, i, 2 AS k, two AS gram FROM grams UNION ALL SELECT doc_id, i, 3, three FROM grams)
+    JOIN t USING (k, gram)
+  GROUP BY doc_id, tid, label, is_base, len, k, n_grams, i - tpos),
 marked AS (SELECT *, len(seen) = n_grams OR is_base AS alone FROM votes),
 cut AS (
   SELECT *, alone OR coalesce(lag(alone) OVER o, true) OR diagonal - lag(diagonal) OVER o > {DRIFT} AS is_new
@@ -177,10 +176,9 @@ cut AS (
 merged AS (SELECT *, sum(is_new::INT) OVER (PARTITION BY doc_id, tid ORDER BY diagonal) AS part FROM cut),
 spans AS (
   SELECT doc_id, is_base, label, len(list_distinct(flatten(list(seen)))) / n_grams AS coverage, len AS words,
-    min(diagonal + list_min(seen)) AS first,
-    max(diagonal + list_max(seen) + least(len, {GRAM}) - 1) AS last
-  FROM merged GROUP BY doc_id, tid, is_base, label, len, n_grams, part),
-fine AS (SELECT * FROM spans WHERE coverage >= {COVERAGE} AND last - first + 1 <= words + {STRETCH}),
+    k, min(diagonal + list_min(seen)) AS first, max(diagonal + list_max(seen) + k - 1) AS last
+  FROM merged GROUP BY doc_id, tid, is_base, label, len, k, n_grams, part),
+fine AS (SELECT * FROM spans WHERE coverage >= CASE k WHEN {GRAM} THEN {COVERAGE} ELSE {SHORT_COVERAGE} END AND last - first + 1 <= words + {STRETCH}),
 best AS (
   SELECT *, max(coverage) OVER (PARTITION BY doc_id, is_base ORDER BY first
     RANGE BETWEEN {STRETCH} PRECEDING AND {STRETCH} FOLLOWING) AS top FROM fine),

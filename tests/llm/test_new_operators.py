@@ -296,3 +296,129 @@ def test_documents_without_an_id_have_places_of_their_own(spark):
     with_id = spark.range(5).select(mixing.order_of(F.lit(1), F.col("id")).alias("a"),
                                     mixing.order_of(F.lit(1), F.col("id"), F.lit(9)).alias("b"))
     assert all(r.a == r.b for r in with_id.collect())
+
+
+# licenses --------------------------------------------------------------------
+
+def test_edited_licenses_are_found_and_others_are_not(spark):
+    """Every statement and notice with a word put in at every place, long ones with one left out,
+    among texts that share much with them."""
+    from shelfscan.llm import license_scan
+    rng = random.Random(12)
+    filler = lambda n: " ".join(rng.choice(["lorem", "ipsum", "dolor", "sit", "the", "of", "license"]) for _ in range(n))
+    rows, truth = [], []
+    for phrase, label, is_base, k in license_scan.templates():
+        if is_base:
+            continue
+        words = phrase.split()
+        edits = [words] + [words[:i] + ["well"] + words[i:] for i in range(1, len(words))]
+        if len(words) > 16:
+            edits += [words[:i] + words[i + 1:] for i in range(1, len(words) - 1)]
+        for e in edits:
+            rows.append((len(rows), f"{filler(9)}. {' '.join(e).title()}; {filler(7)}"))
+            truth.append(label)
+    n = len(rows)
+    rows += [(n + i, f"{filler(20)} licensed under the terms of a license {filler(20)} software version") for i in range(100)]
+    rows += [(n + 100 + i, " ".join(rng.sample(license_scan.NOTICES["mit"][0].split(), 30))) for i in range(50)]
+    out = {r.doc_id: set(r.labels.split(",")) - {"", "gpl", "cc-by", "reserved"} for r in license_scan.report(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    hit = sum(truth[i] in out[i] for i in range(n))
+    named = sum(len(v) for v in out.values())
+    right = sum(truth[i] in out[i] for i in range(n))
+    assert hit >= 0.95 * n and right >= 0.95 * named
+    assert all(not out[i] for i in range(n, len(rows)))
+
+
+def test_merging_diagonals_decides(spark, monkeypatch):
+    """Words put in shift the rest of a notice: no diagonal alone covers enough, the merged ones do."""
+    from shelfscan.llm import license_scan
+    words = license_scan.NOTICES["gpl-3.0"][0].split()
+    text = " ".join(words[:18] + ["truly"] + words[18:])
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    found = license_scan.report(df).first()
+    assert found.labels == "gpl,gpl-3.0"
+    spans = license_scan.scan(df)[1].where("label = 'gpl-3.0'").collect()
+    assert len(spans) == 1 and 0 < spans[0].coverage < 1
+    assert spans[0]["last"] - spans[0]["first"] + 1 == len(words) + 1
+    monkeypatch.setattr(license_scan, "DRIFT", 0)
+    assert license_scan.report(df).first().labels == "gpl"
+
+
+# sites -----------------------------------------------------------------------
+
+def brute_posteriors(rows, weight=0.5):
+    """(p, host, path) -> (host posterior, path posterior without the own score, posterior)."""
+    def worth(groups, center):
+        n = [len(g) for g in groups.values()]
+        mean = {k: sum(g) / len(g) for k, g in groups.items()}
+        within = sum((x - mean[k]) ** 2 for k, g in groups.items() for x in g) / max(1, sum(n) - len(n))
+        spread = sum(len(g) * (mean[k] - center(k)) ** 2 for k, g in groups.items())
+        between = max((spread - len(n) * within) / max(1, sum(n)), 1e-6)
+        return min(max(within / between, 1.0), 1e6)
+
+    hosts, paths = {}, {}
+    for p, h, q in rows:
+        hosts.setdefault(h, []).append(p)
+        paths.setdefault((h, q), []).append(p)
+    mean = sum(p for p, *_ in rows) / len(rows)
+    m = worth(hosts, lambda k: mean)
+    host = {h: (sum(g) + m * mean) / (len(g) + m) for h, g in hosts.items()}
+    w = worth(paths, lambda k: host[k[0]])
+    logit = lambda x: math.log(min(max(x, 1e-4), 1 - 1e-4) / (1 - min(max(x, 1e-4), 1 - 1e-4)))
+    out = []
+    for p, h, q in rows:
+        g = paths[h, q]
+        path = (sum(g) - p + w * host[h]) / (len(g) - 1 + w)
+        odds = logit(p) + weight * (logit(path) - logit(mean))
+        out.append((host[h], path, 1 / (1 + math.exp(-odds))))
+    return out
+
+
+def test_posteriors_of_sites_of_unequal_size(spark, monkeypatch):
+    """Large bad and good sites turn verdicts, a site of one document does not."""
+    from shelfscan.llm import quality_model
+    rng = random.Random(21)
+    rows = []
+    for host, path, n, low, high in (("good", "a", 300, 0.7, 0.99), ("good", "b", 5, 0.2, 0.5), ("bad", "a", 200, 0.02, 0.3),
+                                     ("bad", "b", 40, 0.1, 0.5), ("mixed", "a", 60, 0.05, 0.95), ("mixed", "b", 3, 0.4, 0.6)):
+        rows += [(round(rng.uniform(low, high), 6), host, path) for _ in range(n)]
+    rows += [(0.45, "good", "a"), (0.47, "good", "a"), (0.56, "bad", "a"), (0.6, "bad", "b")]
+    rows += [(0.52, f"single{i}", "x") for i in range(5)]
+    df = spark.createDataFrame([(i, f"text {i}", h, q, p) for i, (p, h, q) in enumerate(rows)],
+                               "doc_id long, text string, source string, lang string, p double").repartition(4)
+    probability = {i: p for i, (p, *_) in enumerate(rows)}
+    fixed = F.create_map(*[F.lit(x) for kv in probability.items() for x in kv])
+
+    class Known:
+        def probability(self, x):
+            return F.element_at(fixed, F.col("doc_id"))
+
+    monkeypatch.setattr(quality_model, "train", lambda *a, **k: Known())
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    got = {r.doc_id: r for r in quality_model.classify(df, labels).collect()}
+    turned = set()
+    for i, (want, (p, host, _)) in enumerate(zip(brute_posteriors(rows), rows)):
+        r = got[i]
+        assert (r.host_posterior, r.path_posterior, r.posterior) == pytest.approx(want, abs=2e-6)
+        if abs(want[2] - 0.5) > 1e-5:
+            assert r.keep == (want[2] >= 0.5)
+        if r.keep != (p >= 0.5):
+            turned.add((host, r.keep))
+    assert {("good", True), ("bad", False)} <= turned
+    assert all(got[i].keep for i in range(len(rows) - 5, len(rows)))
+
+
+def test_very_long_texts(spark):
+    """One text of some 10 MB beside short ones goes through the operators on whole texts."""
+    from shelfscan.llm import license_scan, line_dedup, simhash, winnow
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(5000)]
+    long = " ".join(rng.choice(words) for _ in range(1_700_000))
+    rows = [(1, long), (2, long + " end"), (3, "short text"), (4, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert len(long) > 9_000_000
+    assert {r.doc_id: r.component_id for r in minhash.near_dup_groups(df).collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
+    assert winnow.edit_report(df).count() == 4
+    assert license_scan.report(df).where("doc_id = 1").first().n_words == 1_700_000
+    assert simhash.near_dup_groups(df).count() == 4
+    assert line_dedup.digests(df, line_dedup.keep_bitmaps(df)).where("n_lines = 1").count() == 4
