@@ -7,8 +7,8 @@ Two small collections of half keys, ``halves`` each and made of ``rows`` minhash
 pair by pair into the keys of halves^2 tables: 2 * halves * rows minhashes do the work of
 halves^2 * 2 * rows.  Half keys that no other class has are dropped before the tables are formed.
 
-Buckets are not compared all with all.  In a few rounds every bucket compares its members with
-one pivot (another each round), and links found merge them; buckets whose members are all in one
+Buckets are not compared all with all.  First every bucket compares its members with one
+pivot (in more rounds with others), and links found merge them; buckets whose members are all in one
 component are done.  Of the buckets that stay open, members are held against one pivot again, and
 two of different components meet only if their differences to it have enough in common that
 they can be similar (see ``_rest``).  That loses no pair of a bucket.  Every link is confirmed on
@@ -38,7 +38,7 @@ SHINGLE = 5
 PERCENT = 85            # least similarity, in hundredths
 ROWS = 2                # minhashes of a half key
 HALVES = 10             # half keys of either collection
-ROUNDS = 3              # rounds of comparing with pivots
+ROUNDS = 1              # rounds of comparing with pivots before the rest is held against one
 SALT = 64               # comparisons that share one copy of a pivot's set
 LEVELS = (0.25, 0.5, 0.75, 1, 1.25, 1.5, 2, 2.5, 3, 4, 6, 8)    # of cost, in what a link with the pivot may cost
 BLOCK = 2048            # shingles hashed at a time
@@ -201,12 +201,17 @@ def _rest(members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame,
     they are from p: with the differences ordered from rare to frequent they share one of the first
     |difference| - k + 1.  Members are set apart by levels of cost, so that k is nearly exact.
     """
-    pivot = members.groupBy("key").agg(F.min("c").alias("p"))
+    # the member of most open buckets is the pivot, so that a member has few different ones
+    well_known = members.groupBy("c").agg(F.count("*").alias("often"))
+    pivot = (members.select("key", "c").join(well_known, "c").groupBy("key")
+             .agg(F.max_by("c", F.struct("often", "c")).alias("p")))
     group = cut(members.join(pivot, "key").select("p", "c", "root").distinct())
-    several = (group.groupBy("p").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-               .where("lo < hi").select("p"))
-    pairs = group.where("c <> p").select(F.col("p").alias("a"), F.col("c").alias("b"), "root").join(
-        several.withColumnRenamed("p", "a"), "a")
+    several = (group.groupBy("p").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
+                                      F.count("*").alias("size")).where("lo < hi").select("p", "size"))
+    pairs = (group.where("c <> p").join(several, "p")
+             .select(F.col("p").alias("a"), F.col("c").alias("b"), "size"))
+    alone = pairs.where("size = 2").select("a", "b")        # nobody else to compare with
+    pairs = pairs.where("size > 2")
     lacks, adds = F.array_except("ha", "hb"), F.array_except("hb", "ha")
     far = cut_table(
         _met(pairs.select("a", "b"), sets)
@@ -246,7 +251,7 @@ def _rest(members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame,
                     F.col("w").alias("wb"))
     may = (F.col("ca") + F.col("cb") <= free + F.least("wa", "wb") * (100 + percent))
     return links, (x.join(y, ["key", "p", "level", "other"]).where("ra < rb").where(may)
-                   .select("a", "b").distinct())
+                   .select("a", "b").union(alone).distinct())
 
 
 def near_dup_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
